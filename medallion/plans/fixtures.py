@@ -108,6 +108,7 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(ckey % 2 == 0, F.concat(F.upper("c_name"), F.lit(" (conglomerado)")))
          .otherwise(F.concat(blank, F.col("c_name"))).alias("Instituição financeira"),
         F.when(okey % 11 == 0, blank)
+         .when(okey % 13 == 0, F.lit("n/d"))
          .otherwise(F.translate(F.format_number("o_totalprice", 2), ",.", ".,")).alias("Índice"),
         _s(nation).alias("Quantidade de reclamações reguladas procedentes"),
         _s(okey % 13).alias("Quantidade de reclamações reguladas - outras"),

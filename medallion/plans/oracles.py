@@ -27,7 +27,7 @@ CLAIMS_SELECT = f"""
   CASE WHEN o_orderkey % 7 = 0 THEN 'SEM NOME'
        WHEN o_custkey % 2 = 0 THEN upper(c_name)
        ELSE ' ' || c_name END AS financial_institution_name,
-  CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END AS bank_index,
+  CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS bank_index,
   CAST(c_nationkey AS BIGINT) AS number_of_regulated_proceeding_complaints,
   CAST(o_orderkey % 13 AS BIGINT) AS number_of_regulated_other_complaints,
   CAST(o_custkey % 17 AS BIGINT) AS number_of_unregulated_complaints,
@@ -127,3 +127,98 @@ SELECT DISTINCT {", ".join("cl." + c for c in CLAIM_NAMES)},
 FROM cl JOIN named USING (o_custkey)
 WHERE c_acctbal >= 0
 """
+
+PRICE_TEXT_NULL = "o_orderkey % 11 = 0 OR o_orderkey % 13 = 0"
+
+ORACLES["pad_id"] = f"""
+SELECT c_custkey, {CUST_ID} AS id_padded, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS id_lpad,
+       {pad8("CAST(c_custkey * 100003 AS VARCHAR)")} AS long_padded,
+       lpad(CAST(c_custkey * 100003 AS VARCHAR), 8, '0') AS long_lpad
+FROM customer
+"""
+
+ORACLES["locale_decimal"] = f"""
+SELECT o_orderkey, CASE WHEN {PRICE_TEXT_NULL} THEN NULL ELSE o_totalprice END AS price FROM orders
+"""
+
+ORACLES["quarter_ordinal"] = """
+SELECT o_orderkey, CAST(quarter(o_orderdate) AS INTEGER) AS quarter_claim FROM orders
+"""
+
+ORACLES["founded_year"] = """
+SELECT c_custkey,
+       CAST(CASE WHEN c_nationkey <> 0 THEN 1900 + c_nationkey * 4 END AS INTEGER) AS founded_cut,
+       CAST(CASE WHEN c_nationkey <> 0 THEN 1900 + c_nationkey * 4 END AS BIGINT) AS founded_via_double
+FROM customer
+"""
+
+ORACLES["cast_map"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem
+"""
+
+ORACLES["unaccent_documents"] = """
+SELECT doc_id, sha1(replace(strip_accents(text), 'ß', 'ss')) AS text_sha1,
+       CAST(length(replace(strip_accents(text), 'ß', 'ss')) AS INTEGER) AS n_chars_folded
+FROM documents
+"""
+ORACLES["unaccent_udf"] = ORACLES["unaccent_documents"]
+
+ORACLES["strip_markers"] = """
+SELECT c_custkey, c_name AS claim_name, c_name AS registry_name, c_name AS registry_name_paren FROM customer
+"""
+
+ORACLES["split_parts"] = """
+SELECT page_id, trim(split_part(url, '/', 3)) AS host, trim(split_part(url, '/', 4)) AS lang,
+       trim(split_part(url, '/', 1)) AS scheme
+FROM pages
+"""
+
+ORACLES["text_normalise"] = """
+SELECT c_custkey,
+  lower('  ' || c_name || ' ' || chr(9) || c_mktsegment || ' ') AS lowered,
+  c_name || ' ' || chr(9) || c_mktsegment AS stripped,
+  c_name || chr(9) || c_mktsegment AS no_spaces,
+  c_name || c_mktsegment AS no_whitespace,
+  regexp_replace(c_name, '#0+', '#', 'g') AS short_name,
+  replace(c_name, 'Customer', 'Cliente') AS renamed,
+  c_mktsegment || '/' || c_name AS joined
+FROM customer
+"""
+
+ORACLES["alias_map"] = """
+SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'AUTO' WHEN 'BUILDING' THEN 'CONSTRUCTION'
+                  WHEN 'BB' THEN 'BANCO DO BRASIL' ELSE c_mktsegment END AS segment
+FROM customer
+"""
+
+ORACLES["alias_substring"] = """
+SELECT p_partkey, replace(replace(replace(p_type, 'BRASS', 'LATÃO'), 'STEEL', 'AÇO'), 'PROMO', 'PROMOÇÃO') AS p_type_pt
+FROM part
+"""
+
+ORACLES["blank_to_null"] = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey * 2 AS VARCHAR) END AS ccs_text,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey * 2 AS BIGINT) END AS ccs_customers
+FROM orders
+"""
+
+ORACLES["conditional_value"] = """
+SELECT o_orderkey, CASE WHEN o_totalprice >= 300000 THEN 'high' WHEN o_totalprice >= 100000 THEN 'mid'
+                   ELSE 'low' END AS price_band
+FROM orders
+"""
+
+ORACLES["sha1_key"] = "SELECT c_custkey, sha1(c_name) AS name_sha1 FROM customer"
+ORACLES["md5_key"] = "SELECT c_custkey, md5(c_name) AS name_md5 FROM customer"
+
+ORACLES["name_key"] = """
+SELECT c_custkey, sha1(lower(c_name)) AS registry_key, sha1(lower(c_name)) AS profile_key,
+       sha1(lower(c_name)) AS claim_key
+FROM customer
+"""
+
+ORACLES["document_key"] = f"""
+SELECT c_custkey, sha1({CUST_ID} || c_mktsegment) AS sk_sha1, md5({CUST_ID} || c_mktsegment) AS sk_md5
+FROM customer
+"""

@@ -69,3 +69,204 @@ def q_delivery_satisfaction(spark: SparkSession, sf_dir: str) -> DataFrame:
         q_trusted_institutions(spark, sf_dir),
         q_trusted_profiles(spark, sf_dir),
     )
+
+
+# --------------------------------------------------------------------------
+# Scalar cleaners, casts, hashes and keys
+# --------------------------------------------------------------------------
+
+from medallion.contracts import BANK_NAME_ALIASES, INSTITUTIONS, PROFILES, CLAIMS  # noqa: E402
+from medallion.functions import casts, text  # noqa: E402
+from medallion.functions.keys import document_key, md5_hex, name_key, sha1_hex  # noqa: E402
+from medallion.functions.unaccent import unaccent, unaccent_nfkd  # noqa: E402
+from medallion.sources.parquet import read_table  # noqa: E402
+
+# Fixed values used by the mapping queries.
+SEGMENT_ALIASES = {"AUTOMOBILE": "AUTO", "BUILDING": "CONSTRUCTION", "BB": "BANCO DO BRASIL"}
+TYPE_SUBSTRINGS = {"BRASS": "LATÃO", "STEEL": "AÇO", "PROMO": "PROMOÇÃO"}
+
+
+@query("pad_id")
+def q_pad_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 vs T2 on short ids and on ids longer than eight digits."""
+    c = read_table(spark, sf_dir, "customer")
+    short = F.col("c_custkey").cast("string")
+    long = (F.col("c_custkey") * 100003).cast("string")
+    return c.select(
+        "c_custkey",
+        text.pad_id(short).alias("id_padded"),
+        text.pad_truncate(short).alias("id_lpad"),
+        text.pad_id(long).alias("long_padded"),
+        text.pad_truncate(long).alias("long_lpad"),
+    )
+
+
+@query("locale_decimal")
+def q_locale_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pt-BR price text (with blanks and junk) back to a double."""
+    o = read_table(spark, sf_dir, "orders")
+    okey = F.col("o_orderkey")
+    raw = (F.when(okey % 11 == 0, F.lit(" "))
+           .when(okey % 13 == 0, F.lit("n/d"))
+           .otherwise(F.translate(F.format_number("o_totalprice", 2), ",.", ".,")))
+    return o.select("o_orderkey", text.locale_decimal(raw).alias("price"))
+
+
+@query("quarter_ordinal")
+def q_quarter_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T12 + C2: ``'3º'`` -> 3."""
+    o = read_table(spark, sf_dir, "orders")
+    raw = F.concat(F.quarter("o_orderdate").cast("string"), F.lit("º"))
+    return o.select("o_orderkey", casts.to_int(text.drop_ordinal(raw)).alias("quarter_claim"))
+
+
+@query("founded_year")
+def q_founded_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T13 + C3: ``'1904.0'`` -> 1904 by cutting decimals and by way of double."""
+    c = read_table(spark, sf_dir, "customer")
+    nation = F.col("c_nationkey")
+    raw = F.when(nation != 0, F.concat((F.lit(1900) + nation * 4).cast("string"), F.lit(".0")))
+    return c.select(
+        "c_custkey",
+        casts.to_int(text.cut_decimals(raw)).alias("founded_cut"),
+        casts.float_text_to_long(raw).alias("founded_via_double"),
+    )
+
+
+@query("cast_map")
+def q_cast_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text copy of lineitem typed back in one projection."""
+    li = read_table(spark, sf_dir, "lineitem")
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
+    as_text = li.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    return casts.cast_map(as_text, {"l_orderkey": "bigint", "l_linenumber": "int",
+                                    "l_quantity": "double", "l_extendedprice": "double"})
+
+
+@query("unaccent_documents")
+def q_unaccent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T14 over whole document texts (native translate)."""
+    d = read_table(spark, sf_dir, "documents")
+    folded = unaccent(F.col("text"))
+    return d.select("doc_id", sha1_hex(folded).alias("text_sha1"), F.length(folded).alias("n_chars_folded"))
+
+
+@query("unaccent_udf")
+def q_unaccent_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Arrow-batched NFKD path over the same texts."""
+    d = read_table(spark, sf_dir, "documents")
+    folded = unaccent_nfkd(F.col("text"))
+    return d.select("doc_id", sha1_hex(folded).alias("text_sha1"), F.length(folded).alias("n_chars_folded"))
+
+
+@query("strip_markers")
+def q_strip_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suffix markers removed in all their spellings."""
+    c = read_table(spark, sf_dir, "customer")
+    name = F.col("c_name")
+    return c.select(
+        "c_custkey",
+        text.strip_conglomerate(F.concat(name, F.lit(" (conglomerado)"))).alias("claim_name"),
+        text.strip_prudential(F.concat(name, F.lit(" - PRUDENCIAL"))).alias("registry_name"),
+        text.strip_prudential(F.concat(name, F.lit(" (- PRUDENCIAL)"))).alias("registry_name_paren"),
+    )
+
+
+@query("split_parts")
+def q_split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL host and first path segment by ``split_part``."""
+    p = read_table(spark, sf_dir, "pages")
+    return p.select(
+        "page_id",
+        text.split_part_trim("url", "/", 3).alias("host"),
+        text.split_part_trim("url", "/", 4).alias("lang"),
+        text.split_part_trim("url", "/", 1).alias("scheme"),
+    )
+
+
+@query("text_normalise")
+def q_text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3-T7, T9, T15 on padded, tabbed names."""
+    c = read_table(spark, sf_dir, "customer")
+    messy = F.concat(F.lit("  "), F.col("c_name"), F.lit(" \t"), F.col("c_mktsegment"), F.lit(" "))
+    return c.select(
+        "c_custkey",
+        text.lower(messy).alias("lowered"),
+        text.strip(messy).alias("stripped"),
+        text.remove_spaces(messy).alias("no_spaces"),
+        text.remove_whitespace(messy).alias("no_whitespace"),
+        text.regex_replace_all("c_name", "#0+", "#").alias("short_name"),
+        text.literal_replace("c_name", "Customer", "Cliente").alias("renamed"),
+        text.concat_text("c_mktsegment", F.lit("/"), "c_name").alias("joined"),
+    )
+
+
+@query("alias_map")
+def q_alias_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-value aliases; other values pass through."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select("c_custkey", text.alias_map("c_mktsegment", SEGMENT_ALIASES).alias("segment"))
+
+
+@query("alias_substring")
+def q_alias_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Successive substring replacements."""
+    p = read_table(spark, sf_dir, "part")
+    return p.select("p_partkey", text.alias_substring("p_type", TYPE_SUBSTRINGS).alias("p_type_pt"))
+
+
+@query("blank_to_null")
+def q_blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T19 + C2: blank count text -> null, then bigint."""
+    o = read_table(spark, sf_dir, "orders")
+    raw = F.when(F.col("o_orderkey") % 4 == 0, F.lit(" ")).otherwise((F.col("o_custkey") * 2).cast("string"))
+    return o.select("o_orderkey", text.blank_to_null(raw).alias("ccs_text"),
+                    casts.to_long(text.remove_spaces(raw)).alias("ccs_customers"))
+
+
+@query("conditional_value")
+def q_conditional_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CASE WHEN."""
+    o = read_table(spark, sf_dir, "orders")
+    band = (F.when(F.col("o_totalprice") >= 300000, F.lit("high"))
+            .when(F.col("o_totalprice") >= 100000, F.lit("mid"))
+            .otherwise(F.lit("low")))
+    return o.select("o_orderkey", band.alias("price_band"))
+
+
+@query("sha1_key")
+def q_sha1_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1."""
+    return read_table(spark, sf_dir, "customer").select("c_custkey", sha1_hex("c_name").alias("name_sha1"))
+
+
+@query("md5_key")
+def q_md5_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2."""
+    return read_table(spark, sf_dir, "customer").select("c_custkey", md5_hex("c_name").alias("name_md5"))
+
+
+@query("name_key")
+def q_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry, profile and claim spellings of one name give one key."""
+    c = read_table(spark, sf_dir, "customer")
+    name = F.col("c_name")
+    return c.select(
+        "c_custkey",
+        name_key(text.strip_prudential(F.concat(name, F.lit(" - PRUDENCIAL")))).alias("registry_key"),
+        name_key(F.translate(name, "uo", "úõ")).alias("profile_key"),
+        name_key(text.strip_conglomerate(F.concat(F.lit(" "), F.upper(name), F.lit(" (conglomerado)"))))
+        .alias("claim_key"),
+    )
+
+
+@query("document_key")
+def q_document_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Y2 in both hash flavours (the reference uses SHA-1 and, in its SQL variant, MD5)."""
+    c = read_table(spark, sf_dir, "customer")
+    cnpj = text.pad_id(F.col("c_custkey").cast("string"))
+    return c.select(
+        "c_custkey",
+        document_key(cnpj, "c_mktsegment").alias("sk_sha1"),
+        document_key(cnpj, "c_mktsegment", algo="md5").alias("sk_md5"),
+    )
