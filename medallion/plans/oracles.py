@@ -222,3 +222,159 @@ ORACLES["document_key"] = f"""
 SELECT c_custkey, sha1({CUST_ID} || c_mktsegment) AS sk_sha1, md5({CUST_ID} || c_mktsegment) AS sk_md5
 FROM customer
 """
+
+CLAIMS_FROM = "FROM orders JOIN customer ON o_custkey = c_custkey"
+
+ORACLES["join_id"] = f"""
+SELECT {CLAIMS_SELECT}, c_mktsegment AS segment, sha1({ORDER_CUST_ID} || c_mktsegment) AS sk_cnpj_segment
+{CLAIMS_FROM} WHERE o_orderkey % 10 <> 0
+"""
+
+# Profiles that survive de-duplication, keyed by customer (main file + second file).
+SURVIVING_PROFILES = f"""
+  SELECT c_custkey AS pkey, c_name AS employer_name,
+         CASE WHEN c_acctbal < 0 THEN 'NONE' ELSE c_mktsegment END AS segment,
+         100 AS match_percent, 'profiles_main' AS source_file, {PROFILE_SELECT},
+         CASE WHEN c_nationkey % 2 = 0 THEN 'Paris' ELSE 'São Paulo' END AS headquarters_city,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'França' ELSE 'Brasil' END AS headquarters_country
+  FROM customer
+  UNION ALL
+  SELECT c_custkey, c_name, NULL, 70, 'profiles_second', {PROFILE_SELECT},
+         CASE WHEN c_nationkey % 2 = 0 THEN 'Paris' ELSE 'São Paulo' END,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'França' ELSE 'Brasil' END
+  FROM customer WHERE c_acctbal < 0
+"""
+
+ORACLES["join_name_key"] = f"""
+WITH cl AS (SELECT o_custkey, {CLAIMS_SELECT} {CLAIMS_FROM} WHERE o_orderkey % 7 <> 0),
+pr AS ({SURVIVING_PROFILES})
+SELECT {", ".join("cl." + c for c in CLAIM_NAMES)}, pr.employer_name, pr.segment, pr.match_percent, pr.source_file
+FROM cl JOIN pr ON cl.o_custkey = pr.pkey
+"""
+
+ORACLES["delivery_satisfaction_late"] = ORACLES["delivery_satisfaction"]
+
+ORACLES["delivery_satisfaction_sql"] = f"""
+WITH cl AS (SELECT o_custkey, c_mktsegment AS bank_segment, {CLAIMS_SELECT} {CLAIMS_FROM}
+            WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0),
+pr AS ({SURVIVING_PROFILES})
+SELECT cl.year_claim, cl.quarter_claim, cl.category, cl.bank_type, cl.cnpj, cl.financial_institution_name,
+       cl.bank_index, cl.sk_financial_institution_name, cl.bank_segment AS segment,
+       pr.employer_website, pr.headquarters_city, pr.headquarters_country, pr.employer_founded,
+       pr.employer_industry, pr.employer_revenue, pr.general_score, pr.culture_values_score,
+       pr.diversity_inclusion_score, pr.life_quality_score, pr.senior_leadership_score,
+       pr.compensation_benefits_score, pr.career_opportunities_score, pr.recommendation_score,
+       pr.company_positive_score, pr.reviews_count, pr.culture_count, pr.salaries_count,
+       pr.benefits_count, pr.match_percent
+FROM cl JOIN pr ON cl.o_custkey = pr.pkey
+"""
+
+ORACLES["anti_both_ways"] = """
+SELECT 'document_without_label' AS side, doc_id FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+UNION ALL
+SELECT 'label_without_document', doc_id FROM labels l
+WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)
+"""
+
+ORACLES["reconciliation"] = """
+SELECT 'claims' AS side, 'SEM NOME' AS name, 'semnome' AS name_norm
+WHERE EXISTS (SELECT 1 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 = 0)
+UNION ALL
+SELECT 'profiles', translate(c_name, 'uo', 'úõ'), lower(c_name) FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 7 <> 0)
+"""
+
+ORACLES["override_names"] = """
+SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '%URGENT' THEN split_part(o_orderpriority, '-', 2)
+                   ELSE o_orderpriority END AS o_orderpriority
+FROM orders
+"""
+
+ORACLES["distinct_rows"] = "SELECT DISTINCT user_id, event_type FROM events"
+ORACLES["dedup_subset"] = ORACLES["distinct_rows"]
+
+ORACLES["dedup_row_number"] = """
+SELECT event_id, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
+"""
+
+ORACLES["dedup_first_by"] = """
+SELECT event_id, user_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+"""
+
+ORACLES["limit_preview"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
+ORDER BY l_orderkey, l_linenumber LIMIT 100
+"""
+
+ORACLES["union_missing_columns"] = """
+SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nation_key, c_acctbal AS balance,
+       c_mktsegment AS segment, 'customer' AS party FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL, 'supplier' FROM supplier
+"""
+
+ORACLES["rename_project"] = f"""
+SELECT c_mktsegment AS segment, {CUST_ID} AS cnpj, lower(c_mktsegment) AS segment_lower FROM customer
+"""
+
+ORACLES["column_difference"] = """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, o_custkey FROM orders
+"""
+
+ORACLES["row_counts"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS total FROM {t}"
+    for t in ("region nation customer supplier part orders lineitem events documents embeddings "
+              "pages benchmark labels conversations").split()
+)
+
+_ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                 ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+ORACLES["column_profile"] = "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS non_null, "
+    f"COUNT(*) AS total FROM orders"
+    for i, (c, t) in enumerate(_ORDERS_TYPES)
+)
+
+ORACLES["pk_violations"] = """
+SELECT translate(c_name, 'uo', 'úõ') AS financial_institution_name,
+       CASE WHEN c_acctbal < 0 THEN 'NONE' ELSE c_mktsegment END AS segment,
+       CAST(2 AS BIGINT) AS occurrences
+FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
+"""
+
+ORACLES["contract_violations"] = """
+SELECT 'segment' AS column_name, 'max_length' AS rule,
+       CAST(SUM(CASE WHEN length(c_mktsegment) > 10 THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM customer
+UNION ALL
+SELECT 'cnpj', 'max_length', CAST(SUM(CASE WHEN length(CAST(c_custkey * 100003 AS VARCHAR)) > 8 THEN 1 ELSE 0 END) AS BIGINT)
+FROM customer
+UNION ALL
+SELECT 'financial_institution_name', 'max_length', CAST(SUM(CASE WHEN length(c_name) > 255 THEN 1 ELSE 0 END) AS BIGINT)
+FROM customer
+UNION ALL
+SELECT 'sk_cnpj_segment', 'max_length', CAST(0 AS BIGINT)
+"""
+
+_CLAIM_TYPED = [("quarter_claim", "int"), ("bank_index", "double"),
+                ("number_of_regulated_proceeding_complaints", "bigint"),
+                ("number_of_regulated_other_complaints", "bigint"),
+                ("number_of_unregulated_complaints", "bigint"), ("total_number_of_complaints", "bigint"),
+                ("total_number_of_ccs_and_scr_customers", "bigint"), ("number_of_ccs_customers", "bigint"),
+                ("number_of_scr_customers", "bigint")]
+ORACLES["cast_failures"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS target_type, "
+    + ("CAST(SUM(CASE WHEN o_orderkey % 13 = 0 AND o_orderkey % 11 <> 0 THEN 1 ELSE 0 END) AS BIGINT)"
+       if c == "bank_index" else "CAST(SUM(0) AS BIGINT)")
+    + f" AS failures {CLAIMS_FROM}"
+    for c, t in _CLAIM_TYPED
+)
+
+ORACLES["sql_cleaners"] = f"""
+SELECT {CUST_ID} AS cnpj, c_mktsegment AS segment, c_name AS financial_institution_name,
+       sha1(lower(c_name)) AS sk_financial_institution_name, lower(c_name) AS name_norm,
+       sha1({CUST_ID} || c_mktsegment) AS sk_cnpj_segment
+FROM customer
+"""

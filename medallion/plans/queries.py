@@ -270,3 +270,223 @@ def q_document_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         document_key(cnpj, "c_mktsegment").alias("sk_sha1"),
         document_key(cnpj, "c_mktsegment", algo="md5").alias("sk_md5"),
     )
+
+
+# --------------------------------------------------------------------------
+# Joins, de-duplication, windows, unions, limits
+# --------------------------------------------------------------------------
+
+from medallion.operators import dedup, joins, quality, reconcile  # noqa: E402
+from medallion.operators.project import column_difference, keep_only, rename_columns  # noqa: E402
+from medallion.contracts import CLAIM_COLUMNS  # noqa: E402
+
+@query("join_id")
+def q_join_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims with their registry entry by 8-digit id (USING-style key)."""
+    banks = q_trusted_institutions(spark, sf_dir).drop("financial_institution_name")
+    return joins.join_on(q_trusted_claims(spark, sf_dir), banks, "cnpj")
+
+
+@query("join_name_key")
+def q_join_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims with every profile of the same name key."""
+    prof = q_trusted_profiles(spark, sf_dir).select(
+        "sk_financial_institution_name", "employer_name", "segment", "match_percent", "source_file")
+    return joins.join_on(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name")
+
+
+@query("delivery_satisfaction_late")
+def q_delivery_satisfaction_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 as the reference plans it: composite-key join first, distinct last."""
+    return delivery_satisfaction(
+        q_trusted_claims(spark, sf_dir),
+        q_trusted_institutions(spark, sf_dir),
+        q_trusted_profiles(spark, sf_dir),
+        early_distinct=False,
+    )
+
+
+@query("delivery_satisfaction_sql")
+def q_delivery_satisfaction_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL variant -- three-way join on id and on name key, 29 columns."""
+    from medallion.plans.sqlapi import delivery_satisfaction_sql
+    return delivery_satisfaction_sql(
+        spark,
+        q_trusted_claims(spark, sf_dir),
+        q_trusted_institutions(spark, sf_dir),
+        q_trusted_profiles(spark, sf_dir),
+    )
+
+
+@query("anti_both_ways")
+def q_anti_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label row and label rows without a document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    only_docs, only_labels = joins.anti_both_ways(docs, labels, "doc_id", "doc_id")
+    return (
+        only_docs.select(F.lit("document_without_label").alias("side"), "doc_id")
+        .unionByName(only_labels.select(F.lit("label_without_document").alias("side"), "doc_id"))
+    )
+
+
+@query("reconciliation")
+def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claim names without a profile and profile names without a claim."""
+    claims = fixtures.claims_raw(spark, sf_dir)
+    profiles = raw_profiles(spark, sf_dir)
+    return reconcile.reconciliation(claims, "Instituição financeira", profiles, "Nome", "claims", "profiles")
+
+
+@query("override_names")
+def q_override_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An override table, derived from the data, applied by exact value."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    overrides = (
+        o.select("o_orderpriority").distinct()
+        .where(F.col("o_orderpriority").endswith("URGENT"))
+        .select(F.col("o_orderpriority").alias("from_name"),
+                F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("to_name"))
+    )
+    return reconcile.apply_overrides(o, "o_orderpriority", overrides)
+
+
+@query("distinct_rows")
+def q_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3."""
+    return dedup.distinct_rows(read_table(spark, sf_dir, "events").select("user_id", "event_type"))
+
+
+@query("dedup_subset")
+def q_dedup_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (user, type); only the key columns are deterministic."""
+    ev = read_table(spark, sf_dir, "events")
+    return dedup.dedup_subset(ev, ["user_id", "event_type"]).select("user_id", "event_type")
+
+
+@query("dedup_row_number")
+def q_dedup_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First event per (user, type) by ROW_NUMBER in a FROM sub-query."""
+    ev = read_table(spark, sf_dir, "events")
+    return spark.sql(
+        """
+        SELECT event_id, user_id, event_type, value, props
+        FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS row_num
+            FROM {events}
+        ) ranked
+        WHERE row_num = 1
+        """,
+        events=ev,
+    )
+
+
+@query("dedup_first_by")
+def q_dedup_first_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 through the DataFrame operator: latest event per user."""
+    ev = read_table(spark, sf_dir, "events")
+    out = dedup.first_by(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
+    return out.select("event_id", "user_id", "event_type", "value")
+
+
+@query("limit_preview")
+def q_limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1/L2: the first 100 lines in key order (an ordered preview is the feature)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return (li.orderBy("l_orderkey", "l_linenumber")
+            .select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice").limit(100))
+
+
+@query("union_missing_columns")
+def q_union_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers by name; suppliers have no segment."""
+    c = rename_columns(read_table(spark, sf_dir, "customer"), {
+        "c_custkey": "party_key", "c_name": "name", "c_nationkey": "nation_key",
+        "c_acctbal": "balance", "c_mktsegment": "segment"})
+    s = rename_columns(read_table(spark, sf_dir, "supplier"), {
+        "s_suppkey": "party_key", "s_name": "name", "s_nationkey": "nation_key", "s_acctbal": "balance"})
+    return union_by_name(c.withColumn("party", F.lit("customer")), s.withColumn("party", F.lit("supplier")))
+
+
+@query("rename_project")
+def q_rename_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rename by map, view round trip, drop, derived columns."""
+    raw = fixtures.institutions_raw(spark, sf_dir)
+    renamed = rename_columns(raw, INSTITUTIONS.rename_map())
+    renamed.createOrReplaceTempView("institutions_renamed")
+    df = spark.table("institutions_renamed").drop("financial_institution_name")
+    return df.withColumns({
+        "cnpj": text.pad_id("cnpj"),
+        "segment_lower": F.lower("segment"),
+    })
+
+
+@query("column_difference")
+def q_column_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep the order columns the customer table lacks, plus the join key."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    kept = [x for x in column_difference(o, c, keep=["o_custkey"]) if x != "o_orderdate"]
+    return keep_only(o, kept)
+
+
+# --------------------------------------------------------------------------
+# Quality and inspection
+# --------------------------------------------------------------------------
+
+DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+                 "pages benchmark labels conversations").split()
+
+
+@query("row_counts")
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1/R2: one audit row per table."""
+    return quality.row_counts({t: read_table(spark, sf_dir, t) for t in DRIVER_TABLES})
+
+
+@query("column_profile")
+def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type, non-null count and row count of every orders column."""
+    return quality.column_profile(read_table(spark, sf_dir, "orders"))
+
+
+@query("pk_violations")
+def q_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, segment) keys repeated in the profiles before de-duplication."""
+    prof = trusted_profiles(raw_profiles(spark, sf_dir), dedup=False)
+    return quality.pk_violations(prof, list(PROFILES.primary_key))
+
+
+@query("contract_violations")
+def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry ids longer than eight digits are kept (D2) and reported here."""
+    raw = fixtures.institutions_raw(spark, sf_dir).withColumn(
+        "CNPJ", (F.col("CNPJ").cast("bigint") * 100003).cast("string"))
+    return quality.contract_violations(trusted_institutions(raw), INSTITUTIONS)
+
+
+@query("cast_failures")
+def q_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw claim text that was present but did not survive its cast."""
+    return quality.cast_failures(fixtures.claims_raw(spark, sf_dir), CLAIMS)
+
+
+@query("sql_cleaners")
+def q_sql_cleaners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaners as SQL functions over views."""
+    from medallion.plans.sqlapi import register_sql_functions, register_views
+    register_sql_functions(spark)
+    register_views({"institutions_raw": fixtures.institutions_raw(spark, sf_dir)})
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY VIEW institutions_clean AS
+        SELECT Segmento AS segment, md_pad_id(CNPJ) AS cnpj,
+               md_strip_prudential(Nome) AS financial_institution_name
+        FROM institutions_raw
+    """)
+    return spark.sql("""
+        SELECT cnpj, segment, financial_institution_name,
+               md_name_key(financial_institution_name) AS sk_financial_institution_name,
+               md_name_norm(md_unaccent(financial_institution_name)) AS name_norm,
+               sha1(concat(cnpj, segment)) AS sk_cnpj_segment
+        FROM institutions_clean
+    """)
