@@ -378,3 +378,30 @@ SELECT {CUST_ID} AS cnpj, c_mktsegment AS segment, c_name AS financial_instituti
        sha1({CUST_ID} || c_mktsegment) AS sk_cnpj_segment
 FROM customer
 """
+
+ORACLES["csv_tab_roundtrip"] = ORACLES["trusted_institutions"]
+ORACLES["csv_semicolon_latin1"] = ORACLES["trusted_claims"]
+ORACLES["csv_pipe_roundtrip"] = f"""
+SELECT * EXCLUDE (source_file) FROM ({ORACLES["trusted_profiles"]})
+"""
+
+ORACLES["folder_union_by_header"] = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+"""
+
+ORACLES["encoding_audit"] = """
+SELECT 'ascii' AS folder, 'ascii' AS encoding, 'UTF-8' AS spark_charset, COUNT(*) AS lines FROM customer
+UNION ALL SELECT 'utf8', 'utf-8', 'UTF-8', COUNT(*) FROM customer
+UNION ALL SELECT 'latin1', 'iso-8859-1', 'ISO-8859-1', COUNT(*) FROM customer
+UNION ALL SELECT 'cp1252', 'windows-1252', 'ISO-8859-1', COUNT(*) FROM customer
+"""
+
+ORACLES["parquet_roundtrip"] = "SELECT * FROM orders"
+ORACLES["parquet_append"] = """
+SELECT * EXCLUDE (o_orderdate) FROM orders UNION ALL SELECT * EXCLUDE (o_orderdate) FROM orders
+"""
+ORACLES["parquet_overwrite"] = "SELECT * EXCLUDE (o_orderdate) FROM orders"
+ORACLES["sql_copy_parquet"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
+"""

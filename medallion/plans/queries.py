@@ -490,3 +490,114 @@ def q_sql_cleaners(spark: SparkSession, sf_dir: str) -> DataFrame:
                sha1(concat(cnpj, segment)) AS sk_cnpj_segment
         FROM institutions_clean
     """)
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks: write -> read round trips in a fresh shared folder
+# --------------------------------------------------------------------------
+
+from medallion.session import scratch_path  # noqa: E402
+from medallion.sinks.delimited import write_delimited  # noqa: E402
+from medallion.sinks.parquet import sql_copy_parquet, write_parquet  # noqa: E402
+from medallion.sources import charset, delimited  # noqa: E402
+from medallion.sources.parquet import register_scan, sql_scan  # noqa: E402
+
+
+@query("csv_tab_roundtrip")
+def q_csv_tab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry written tab-separated (UTF-8) and read back by contract."""
+    path = write_delimited(fixtures.institutions_raw(spark, sf_dir), scratch_path(spark, "institutions_tsv"),
+                           sep="\t", encoding="UTF-8")
+    raw = delimited.read_contract(spark, path, INSTITUTIONS)
+    return trusted_institutions(raw.drop("source_file"))
+
+
+@query("csv_pipe_roundtrip")
+def q_csv_pipe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pipe files with different column sets, read as one table."""
+    main, second = fixtures.profiles_raw(spark, sf_dir)
+    root = scratch_path(spark, "profiles_psv")
+    write_delimited(main, f"{root}/main", sep="|")
+    write_delimited(second, f"{root}/second", sep="|")
+    raw = delimited.read_contract(spark, [f"{root}/main", f"{root}/second"], PROFILES)
+    return trusted_profiles(raw).drop("source_file")
+
+
+@query("csv_semicolon_latin1")
+def q_csv_semicolon_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/TR4/TR5: cp1252-style claims file (C1 dash in headers, trailing ';') read as Latin-1."""
+    path = write_delimited(fixtures.claims_raw(spark, sf_dir), scratch_path(spark, "claims_csv"),
+                           sep=";", encoding="ISO-8859-1", trailing_separator=True, cp1252_headers=True)
+    raw = delimited.read_contract(spark, path, CLAIMS)
+    return trusted_claims(raw.drop("source_file"))
+
+
+@query("folder_union_by_header")
+def q_folder_union_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4/U1/TR3: two folders whose files order the same columns differently."""
+    c = read_table(spark, sf_dir, "customer")
+    text_cols = [F.col(x).cast("string").alias(x) for x in c.columns]
+    root = scratch_path(spark, "customer_folders")
+    write_delimited(c.where(F.col("c_acctbal") >= 0).select(*text_cols), f"{root}/a", sep="|")
+    write_delimited(c.where(F.col("c_acctbal") < 0).select(*reversed(text_cols)), f"{root}/b", sep="|")
+    df = delimited.read_folder(spark, [f"{root}/a", f"{root}/b"], sep="|")
+    return casts.cast_map(df.drop("source_file"), {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
+
+
+@query("encoding_audit")
+def q_encoding_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoding of every folder of name files, decided on the executors."""
+    c = read_table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "encodings")
+    accented = F.translate("c_name", "uo", "úõ")
+    dash = F.concat(F.col("c_name"), F.lit(" \u0096 "), F.col("c_mktsegment"))  # cp1252 en dash at its C1 point
+    variants = {
+        "ascii": (F.col("c_name"), "UTF-8"),
+        "utf8": (accented, "UTF-8"),
+        "latin1": (accented, "ISO-8859-1"),
+        "cp1252": (dash, "ISO-8859-1"),
+    }
+    for folder, (value, enc) in variants.items():
+        (c.select(value.alias("name")).write.mode("errorifexists")
+         .option("header", False).option("encoding", enc).csv(f"{root}/{folder}"))
+    audit = charset.encoding_audit(spark, f"{root}/*", by="folder")
+    return audit
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snappy parquet, fail-if-exists mode, read back."""
+    path = write_parquet(read_table(spark, sf_dir, "orders"), scratch_path(spark, "orders_pq"), mode="errorifexists")
+    return spark.read.parquet(path)
+
+
+@query("parquet_append")
+def q_parquet_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: two appends of the same batch give it twice."""
+    o = read_table(spark, sf_dir, "orders").drop("o_orderdate")
+    path = scratch_path(spark, "orders_append")
+    write_parquet(o, path, mode="append")
+    write_parquet(o, path, mode="append")
+    return spark.read.parquet(path)
+
+
+@query("parquet_overwrite")
+def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: overwrite replaces what an earlier run wrote (re-runs are idempotent)."""
+    o = read_table(spark, sf_dir, "orders").drop("o_orderdate")
+    path = scratch_path(spark, "orders_overwrite")
+    write_parquet(o.where(F.col("o_totalprice") < 0), path, mode="overwrite")
+    write_parquet(o, path, mode="overwrite")
+    write_parquet(o, path, mode="overwrite")
+    return spark.read.parquet(path)
+
+
+@query("sql_copy_parquet")
+def q_sql_copy_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COPY-style SQL export, then SQL scan of the folder through a view."""
+    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem_src")
+    path = scratch_path(spark, "lineitem_copy")
+    sql_copy_parquet(spark, "lineitem_src", path)
+    register_scan(spark, "lineitem_copy", path)
+    return sql_scan(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag") \
+        .unionByName(spark.table("lineitem_copy").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))

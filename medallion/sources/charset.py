@@ -44,13 +44,22 @@ def encoding_label(utf8: Column, c1: Column, high: Column) -> Column:
     )
 
 
-def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """One row per file: ``file_name``, ``encoding``, ``spark_charset``, ``lines``."""
+def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None, by: str = "file") -> DataFrame:
+    """One row per file (``by='file'``) or per parent folder (``by='folder'``).
+
+    Columns: the group (``file_name`` / ``folder``), ``encoding``,
+    ``spark_charset`` and ``lines``.
+    """
     reader = spark.read.format("text")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.load(folder).select(F.col("_metadata.file_name").alias("file_name"), *line_flags(F.col("value")))
-    per_file = lines.groupBy("file_name").agg(
+    path = F.col("_metadata.file_path")
+    if by == "folder":
+        group, name = F.element_at(F.split(path, "/"), -2), "folder"
+    else:
+        group, name = F.col("_metadata.file_name"), "file_name"
+    lines = reader.load(folder).select(group.alias(name), *line_flags(F.col("value")))
+    per_file = lines.groupBy(name).agg(
         F.bool_and("utf8").alias("utf8"),
         F.bool_or("c1").alias("c1"),
         F.bool_or("high").alias("high"),
@@ -59,7 +68,7 @@ def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None) ->
     label = encoding_label(F.col("utf8"), F.col("c1"), F.col("high"))
     mapping = F.create_map(*[F.lit(x) for kv in SPARK_CHARSET.items() for x in kv])
     return per_file.select(
-        "file_name",
+        name,
         label.alias("encoding"),
         mapping[label].alias("spark_charset"),
         "lines",
