@@ -405,3 +405,6 @@ ORACLES["sql_copy_parquet"] = """
 SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
 UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
 """
+
+ORACLES["delivery_from_layers"] = ORACLES["delivery_satisfaction"]
+ORACLES["claims_incremental_ingest"] = ORACLES["trusted_claims"]

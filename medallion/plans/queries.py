@@ -601,3 +601,38 @@ def q_sql_copy_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_scan(spark, "lineitem_copy", path)
     return sql_scan(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag") \
         .unionByName(spark.table("lineitem_copy").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
+
+
+# --------------------------------------------------------------------------
+# Layer jobs end to end, and incremental ingestion
+# --------------------------------------------------------------------------
+
+from medallion.plans.layers import build_raw, run_pipeline  # noqa: E402
+from medallion.streaming.ingest import run_once  # noqa: E402
+
+
+@query("delivery_from_layers")
+def q_delivery_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw, trusted and delivery layers written as parquet; delivery read back."""
+    main, second = fixtures.profiles_raw(spark, sf_dir)
+    raw = build_raw(
+        main.withColumn("source_file", F.lit("profiles_main")),
+        second.withColumn("source_file", F.lit("profiles_second")),
+        fixtures.institutions_raw(spark, sf_dir),
+        fixtures.claims_raw(spark, sf_dir),
+    )
+    return run_pipeline(spark, raw, scratch_path(spark, "layers"))
+
+
+@query("claims_incremental_ingest")
+def q_claims_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 via Structured Streaming: two deliveries of claim files, each run appends only new files."""
+    claims = fixtures.claims_raw(spark, sf_dir)
+    root = scratch_path(spark, "claims_landing")
+    landing, target, ckpt = f"{root}/landing", f"{root}/raw_claims", f"{root}/_checkpoint"
+    batches = [claims.where(F.col("Tipo") == "F"), claims.where(F.col("Tipo") != "F")]
+    for i, batch in enumerate(batches):
+        write_delimited(batch, f"{landing}/delivery={i}", sep=";", encoding="ISO-8859-1",
+                        trailing_separator=True, cp1252_headers=True)
+        run_once(spark, landing, CLAIMS, target, ckpt, trailing_columns=1)
+    return trusted_claims(spark.read.parquet(target).drop("source_file", "delivery"))
