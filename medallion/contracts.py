@@ -167,7 +167,7 @@ CLAIMS = TableContract(
         Field("Tipo", "bank_type", max_length=255),
         Field("CNPJ IF", "cnpj", clean=text.pad_id, max_length=8),
         Field("Instituição financeira", "financial_institution_name", clean=claim_name, max_length=255),
-        Field("Índice", "bank_index", "double", clean=text.locale_decimal),
+        Field("Índice", "bank_index", "double", clean=text.locale_decimal_text),
         Field("Quantidade de reclamações reguladas procedentes", "number_of_regulated_proceeding_complaints", "bigint"),
         Field("Quantidade de reclamações reguladas - outras", "number_of_regulated_other_complaints", "bigint"),
         Field("Quantidade de reclamações não reguladas", "number_of_unregulated_complaints", "bigint"),

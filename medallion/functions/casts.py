@@ -17,22 +17,34 @@ ColumnOrName = Column | str
 
 _LONG_LIMIT = 9.2e18
 
+# Shapes of number text.  ``try_cast`` returns null for bad text, but it gets
+# there by raising and catching an exception per row, which costs tens of
+# microseconds; dirty columns (a quarter of the rows blank) spend most of their
+# time there.  Only text of the right shape is handed to the cast.
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^(NaN|[+-]?Infinity)$"
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _guarded(c: ColumnOrName, shape: str, type_name: str) -> Column:
+    t = F.trim(_col(c))
+    return F.when(t.rlike(shape), t.try_cast(type_name))
+
+
 def to_long(c: ColumnOrName) -> Column:
     """Text -> bigint; ``'12'`` -> 12, ``' '``/``'x'`` -> null."""
-    return F.trim(_col(c)).try_cast("bigint")
+    return _guarded(c, INTEGER_TEXT, "bigint")
 
 
 def to_int(c: ColumnOrName) -> Column:
-    return F.trim(_col(c)).try_cast("int")
+    return _guarded(c, INTEGER_TEXT, "int")
 
 
 def to_double(c: ColumnOrName) -> Column:
-    return F.trim(_col(c)).try_cast("double")
+    return _guarded(c, DECIMAL_TEXT, "double")
 
 
 def float_text_to_long(c: ColumnOrName) -> Column:

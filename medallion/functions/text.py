@@ -110,11 +110,17 @@ def split_part_trim(c: ColumnOrName, delimiter: str, part: int) -> Column:
     return F.trim(F.split_part(_col(c), F.lit(delimiter), F.lit(part)))
 
 
+def locale_decimal_text(c: ColumnOrName) -> Column:
+    """T20, text step: ``'1.234.567,89'`` -> ``'1234567.89'`` (thousand dots, comma, blanks)."""
+    c = _col(c)
+    return F.replace(F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
+
+
 def locale_decimal(c: ColumnOrName) -> Column:
     """Pt-BR number text (``'1.234.567,89'``) -> double; junk -> null."""
-    c = _col(c)
-    text = F.replace(F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit(".")), F.lit(" "), F.lit(""))
-    return text.try_cast("double")
+    from medallion.functions.casts import to_double
+
+    return to_double(locale_decimal_text(c))
 
 
 def alias_map(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:

@@ -53,3 +53,17 @@ def test_jdbc_options_are_partitioned_and_batched():
                            column_types={"cnpj": "VARCHAR(8)"})
     assert w["batchsize"] == "500" and w["truncate"] == "true"
     assert w["createTableColumnTypes"] == create_table_column_types({"cnpj": "VARCHAR(8)"})
+
+
+def test_pick_file_by_glob_and_infer_schema(spark):
+    root = tempfile.mkdtemp(prefix="md-glob-")
+    write(f"{root}/f/a.csv", "x|y\n1|2.5\n", "utf-8")
+    write(f"{root}/f/b.txt", "x|y\n9|9\n", "utf-8")
+    df = delimited.read_delimited(spark, f"{root}/f", sep="|", glob="*.csv", infer_schema=True)
+    assert [tuple(r) for r in df.collect()] == [(1, 2.5)]
+    assert dict(df.dtypes) == {"x": "int", "y": "double"}
+
+
+def test_object_store_layout_is_plain_uri():
+    from medallion.sources.parquet import layer_path
+    assert layer_path("s3a://bucket/lake/", "trusted", "claims") == "s3a://bucket/lake/trusted/claims"
