@@ -30,7 +30,8 @@ ColumnOrName = Column | str
 _LATIN_RANGE = range(0x00C0, 0x0250)
 
 # Letters without a canonical decomposition, transliterated the
-# way common ASCII-folding tables do it.
+# way common ASCII-folding tables do it.  One-letter results join the translate
+# table; the others are literal replacements.
 LIGATURES: dict[str, str] = {
     "ß": "ss", "ẞ": "SS",
     "æ": "ae", "Æ": "AE",
@@ -46,11 +47,17 @@ LIGATURES: dict[str, str] = {
     "ŀ": "l", "Ŀ": "L",
 }
 
+MULTI_LETTER = {k: v for k, v in LIGATURES.items() if len(v) > 1}
+
 
 @lru_cache(maxsize=1)
 def translate_table() -> tuple[str, str]:
     """(source letters, ASCII letters) for ``F.translate``, built by rule."""
     src, dst = [], []
+    for k, v in LIGATURES.items():
+        if len(v) == 1:
+            src.append(k)
+            dst.append(v)
     for cp in _LATIN_RANGE:
         ch = chr(cp)
         if ch in LIGATURES:
@@ -68,7 +75,7 @@ def unaccent(c: ColumnOrName) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     src, dst = translate_table()
     out = F.translate(c, src, dst)
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), LIGATURES.items(), out)
+    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), MULTI_LETTER.items(), out)
 
 
 def _nfkd_strip(text: str | None) -> str | None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.functions.unaccent import LIGATURES, translate_table
+from medallion.functions.unaccent import MULTI_LETTER, translate_table
 from medallion.functions.text import CONGLOMERATE_MARKER, ORDINAL_SIGN, PRUDENTIAL_MARKER_PATTERN
 
 
@@ -21,7 +21,7 @@ def _lit(s: str) -> str:
 def unaccent_sql(arg: str) -> str:
     src, dst = translate_table()
     expr = f"translate({arg}, {_lit(src)}, {_lit(dst)})"
-    for k, v in LIGATURES.items():
+    for k, v in MULTI_LETTER.items():
         expr = f"replace({expr}, {_lit(k)}, {_lit(v)})"
     return expr
 
