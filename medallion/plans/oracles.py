@@ -408,3 +408,6 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineite
 
 ORACLES["delivery_from_layers"] = ORACLES["delivery_satisfaction"]
 ORACLES["claims_incremental_ingest"] = ORACLES["trusted_claims"]
+
+ORACLES["alias_map_join"] = ORACLES["alias_map"]
+ORACLES["catalog_table"] = ORACLES["delivery_satisfaction"]

@@ -636,3 +636,21 @@ def q_claims_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         trailing_separator=True, cp1252_headers=True)
         run_once(spark, landing, CLAIMS, target, ckpt, trailing_columns=1)
     return trusted_claims(spark.read.parquet(target).drop("source_file", "delivery"))
+
+
+@query("alias_map_join")
+def q_alias_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T17 at scale: the alias table as a DataFrame joined in (planner decides broadcast)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    mapping = spark.createDataFrame(list(SEGMENT_ALIASES.items()), "from_value string, to_value string")
+    return text.map_by_join(c, "segment", mapping)
+
+
+@query("catalog_table")
+def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery published as a catalog table created with declared types."""
+    import uuid
+
+    from medallion.sinks.parquet import publish_table
+    table = f"dlzd_bank_employment_satisfaction_{uuid.uuid4().hex[:8]}"
+    return publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table))

@@ -30,6 +30,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole documents (up to ~20k words) go through the optional pandas UDF:
+    # keep Arrow batches to a bounded number of rows so one batch stays small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

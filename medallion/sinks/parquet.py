@@ -47,3 +47,24 @@ def write_layer(df: DataFrame, root: str, layer: str, table: str, mode: str = "o
 def sql_copy_parquet(spark: SparkSession, view: str, path: str) -> None:
     """K5: the reference's ``COPY t TO 'p' (FORMAT PARQUET)`` as Spark SQL."""
     spark.sql(f"INSERT OVERWRITE DIRECTORY '{path}' USING parquet SELECT * FROM `{view}`")
+
+
+def create_table_ddl(table: str, columns: Sequence[tuple[str, str]], location: str,
+                     partition_by: Sequence[str] = ()) -> str:
+    """K9: ``CREATE TABLE IF NOT EXISTS`` with declared column types, stored as parquet."""
+    cols = ", ".join(f"`{name}` {sql_type}" for name, sql_type in columns)
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{parts} LOCATION '{location}'"
+
+
+def publish_table(spark: SparkSession, df: DataFrame, table: str, location: str,
+                  overwrite: bool = True) -> DataFrame:
+    """K9 + K2: create the catalog table if absent (types from ``df``), then fill it.
+
+    ``insertInto`` matches columns by position, so ``df`` is selected in the
+    table's column order first.
+    """
+    spark.sql(create_table_ddl(table, [(f.name, f.dataType.simpleString()) for f in df.schema.fields], location))
+    target_cols = spark.table(table).columns
+    df.select(*target_cols).write.insertInto(table, overwrite=overwrite)
+    return spark.table(table)
