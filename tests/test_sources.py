@@ -67,3 +67,19 @@ def test_pick_file_by_glob_and_infer_schema(spark):
 def test_object_store_layout_is_plain_uri():
     from medallion.sources.parquet import layer_path
     assert layer_path("s3a://bucket/lake/", "trusted", "claims") == "s3a://bucket/lake/trusted/claims"
+
+
+def test_incremental_ingest_takes_each_file_once(spark):
+    from medallion.contracts import INSTITUTIONS
+    from medallion.streaming.ingest import run_once
+
+    root = tempfile.mkdtemp(prefix="md-stream-")
+    landing, target, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/_ckpt"
+    write(f"{landing}/a.tsv", "Segmento\tCNPJ\tNome\nS1\t1\tA\n", "utf-8")
+    run_once(spark, landing, INSTITUTIONS, target, ckpt)
+    run_once(spark, landing, INSTITUTIONS, target, ckpt)          # nothing new: no rows added
+    write(f"{landing}/b.tsv", "Segmento\tCNPJ\tNome\nS2\t2\tB\nS3\t3\tC\n", "utf-8")
+    run_once(spark, landing, INSTITUTIONS, target, ckpt)
+    rows = spark.read.parquet(target)
+    assert rows.count() == 3
+    assert sorted(r["source_file"] for r in rows.collect()) == ["a.tsv", "b.tsv", "b.tsv"]
