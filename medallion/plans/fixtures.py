@@ -9,8 +9,8 @@ different column set, and stale duplicate profiles.  Every view is a lazy
 projection (plus one join for claims) over whole tables, so its size grows with
 the scale factor.  All raw columns are text, named as in the source files.
 
-The dirt is placed by value (key residues, balances, segments), never by
-dropping rows: every customer is an institution and has a profile, every order
+The dirt is placed by value (priorities, statuses, months, balances,
+segments), never by dropping rows: every customer is an institution and has a profile, every order
 is a claim.
 """
 
@@ -83,6 +83,11 @@ def profiles_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return main.unionByName(stale), less
 
 
+# Order priorities that decide where claim dirt goes.
+NO_ID_PRIORITY = "5-LOW"
+NO_NAME_PRIORITY = "4-NOT SPECIFIED"
+MEDIUM = "3-MEDIUM"
+
 # Raw claim headers that carry the en dash.
 CCS_SCR_TOTAL = "Quantidade total de clientes – CCS e SCR"
 CCS_COUNT = "Quantidade de clientes – CCS"
@@ -90,30 +95,39 @@ SCR_COUNT = "Quantidade de clientes – SCR"
 
 
 def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarterly complaints, one per order, with pt-BR text dirt."""
+    """Quarterly complaints, one per order, with pt-BR text dirt.
+
+    Dirt follows the order's own attributes: low-priority claims come without
+    an institution id, unspecified-priority claims without a usable name,
+    fulfilled ones with the upper-case conglomerate spelling; December index
+    text is blank and June index text is junk; medium-priority claims have
+    blank customer counts.
+    """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
-    okey, ckey, nation = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
+    ckey, nation = F.col("o_custkey"), F.col("c_nationkey")
+    day, month = F.dayofmonth("o_orderdate"), F.month("o_orderdate")
+    priority = F.col("o_orderpriority")
     blank = F.lit(" ")
-    ccs_blank = okey % 4 == 0
+    ccs_blank = priority == MEDIUM
     return j.select(
         _s(F.year("o_orderdate")).alias("Ano"),
         F.concat(_s(F.quarter("o_orderdate")), F.lit("º")).alias("Trimestre"),
-        F.col("o_orderpriority").alias("Categoria"),
+        priority.alias("Categoria"),
         F.col("o_orderstatus").alias("Tipo"),
-        F.when(okey % 10 == 0, blank).otherwise(_s(ckey)).alias("CNPJ IF"),
-        F.when(okey % 7 == 0, F.lit("SEM NOME"))
-         .when(ckey % 2 == 0, F.concat(F.upper("c_name"), F.lit(" (conglomerado)")))
+        F.when(priority == NO_ID_PRIORITY, blank).otherwise(_s(ckey)).alias("CNPJ IF"),
+        F.when(priority == NO_NAME_PRIORITY, F.lit("SEM NOME"))
+         .when(F.col("o_orderstatus") == "F", F.concat(F.upper("c_name"), F.lit(" (conglomerado)")))
          .otherwise(F.concat(blank, F.col("c_name"))).alias("Instituição financeira"),
-        F.when(okey % 11 == 0, blank)
-         .when(okey % 13 == 0, F.lit("n/d"))
+        F.when(month == 12, blank)
+         .when(month == 6, F.lit("n/d"))
          .otherwise(F.translate(F.format_number("o_totalprice", 2), ",.", ".,")).alias("Índice"),
         _s(nation).alias("Quantidade de reclamações reguladas procedentes"),
-        _s(okey % 13).alias("Quantidade de reclamações reguladas - outras"),
-        _s(ckey % 17).alias("Quantidade de reclamações não reguladas"),
-        _s(nation + okey % 13 + ckey % 17).alias("Quantidade total de reclamações"),
+        _s(day).alias("Quantidade de reclamações reguladas - outras"),
+        _s(month).alias("Quantidade de reclamações não reguladas"),
+        _s(nation + day + month).alias("Quantidade total de reclamações"),
         F.when(ccs_blank, blank).otherwise(_s(ckey * 3)).alias(CCS_SCR_TOTAL),
         F.when(ccs_blank, blank).otherwise(_s(ckey * 2)).alias(CCS_COUNT),
         F.when(ccs_blank, blank).otherwise(_s(ckey)).alias(SCR_COUNT),

@@ -15,6 +15,11 @@ def pad8(expr: str) -> str:
 
 
 CUST_ID = pad8("CAST(c_custkey AS VARCHAR)")
+
+# Where the claim dirt goes (see plans.fixtures.claims_raw).
+NO_ID = "o_orderpriority = '5-LOW'"
+NO_NAME = "o_orderpriority = '4-NOT SPECIFIED'"
+CCS_BLANK = "o_orderpriority = '3-MEDIUM'"
 ORDER_CUST_ID = pad8("CAST(o_custkey AS VARCHAR)")
 
 # Trusted claims as they must come out of the cleaning, from orders + customer.
@@ -23,19 +28,19 @@ CLAIMS_SELECT = f"""
   CAST(quarter(o_orderdate) AS INTEGER) AS quarter_claim,
   o_orderpriority AS category,
   o_orderstatus AS bank_type,
-  CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE {ORDER_CUST_ID} END AS cnpj,
-  CASE WHEN o_orderkey % 7 = 0 THEN 'SEM NOME'
-       WHEN o_custkey % 2 = 0 THEN upper(c_name)
+  CASE WHEN {NO_ID} THEN NULL ELSE {ORDER_CUST_ID} END AS cnpj,
+  CASE WHEN {NO_NAME} THEN 'SEM NOME'
+       WHEN o_orderstatus = 'F' THEN upper(c_name)
        ELSE ' ' || c_name END AS financial_institution_name,
-  CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS bank_index,
+  CASE WHEN month(o_orderdate) IN (6, 12) THEN NULL ELSE o_totalprice END AS bank_index,
   CAST(c_nationkey AS BIGINT) AS number_of_regulated_proceeding_complaints,
-  CAST(o_orderkey % 13 AS BIGINT) AS number_of_regulated_other_complaints,
-  CAST(o_custkey % 17 AS BIGINT) AS number_of_unregulated_complaints,
-  CAST(c_nationkey + o_orderkey % 13 + o_custkey % 17 AS BIGINT) AS total_number_of_complaints,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey * 3 AS BIGINT) END AS total_number_of_ccs_and_scr_customers,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey * 2 AS BIGINT) END AS number_of_ccs_customers,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS number_of_scr_customers,
-  sha1(CASE WHEN o_orderkey % 7 = 0 THEN 'semnome' ELSE lower(c_name) END) AS sk_financial_institution_name"""
+  CAST(day(o_orderdate) AS BIGINT) AS number_of_regulated_other_complaints,
+  CAST(month(o_orderdate) AS BIGINT) AS number_of_unregulated_complaints,
+  CAST(c_nationkey + day(o_orderdate) + month(o_orderdate) AS BIGINT) AS total_number_of_complaints,
+  CASE WHEN {CCS_BLANK} THEN NULL ELSE CAST(o_custkey * 3 AS BIGINT) END AS total_number_of_ccs_and_scr_customers,
+  CASE WHEN {CCS_BLANK} THEN NULL ELSE CAST(o_custkey * 2 AS BIGINT) END AS number_of_ccs_customers,
+  CASE WHEN {CCS_BLANK} THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS number_of_scr_customers,
+  sha1(CASE WHEN {NO_NAME} THEN 'semnome' ELSE lower(c_name) END) AS sk_financial_institution_name"""
 
 CLAIM_NAMES = [
     "year_claim", "quarter_claim", "category", "bank_type", "cnpj", "financial_institution_name",
@@ -114,10 +119,10 @@ ORACLES["delivery_satisfaction"] = f"""
 WITH cl AS (
   SELECT o_custkey, c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal, {CLAIMS_SELECT}
   FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderkey % 10 <> 0
+  WHERE NOT ({NO_ID})
 ),
 named AS (
-  SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0
+  SELECT DISTINCT o_custkey FROM orders WHERE NOT ({NO_ID}) AND NOT ({NO_NAME})
 )
 SELECT DISTINCT {", ".join("cl." + c for c in CLAIM_NAMES)},
   c_mktsegment AS segment,
@@ -128,7 +133,7 @@ FROM cl JOIN named USING (o_custkey)
 WHERE c_acctbal >= 0
 """
 
-PRICE_TEXT_NULL = "o_orderkey % 11 = 0 OR o_orderkey % 13 = 0"
+PRICE_TEXT_NULL = "month(o_orderdate) IN (6, 12)"
 
 ORACLES["pad_id"] = f"""
 SELECT c_custkey, {CUST_ID} AS id_padded, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS id_lpad,
@@ -198,8 +203,8 @@ FROM part
 
 ORACLES["blank_to_null"] = """
 SELECT o_orderkey,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey * 2 AS VARCHAR) END AS ccs_text,
-  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_custkey * 2 AS BIGINT) END AS ccs_customers
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE CAST(o_custkey * 2 AS VARCHAR) END AS ccs_text,
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE CAST(o_custkey * 2 AS BIGINT) END AS ccs_customers
 FROM orders
 """
 
@@ -227,7 +232,7 @@ CLAIMS_FROM = "FROM orders JOIN customer ON o_custkey = c_custkey"
 
 ORACLES["join_id"] = f"""
 SELECT {CLAIMS_SELECT}, c_mktsegment AS segment, sha1({ORDER_CUST_ID} || c_mktsegment) AS sk_cnpj_segment
-{CLAIMS_FROM} WHERE o_orderkey % 10 <> 0
+{CLAIMS_FROM} WHERE NOT ({NO_ID})
 """
 
 # Profiles that survive de-duplication, keyed by customer (main file + second file).
@@ -246,7 +251,7 @@ SURVIVING_PROFILES = f"""
 """
 
 ORACLES["join_name_key"] = f"""
-WITH cl AS (SELECT o_custkey, {CLAIMS_SELECT} {CLAIMS_FROM} WHERE o_orderkey % 7 <> 0),
+WITH cl AS (SELECT o_custkey, {CLAIMS_SELECT} {CLAIMS_FROM} WHERE NOT ({NO_NAME})),
 pr AS ({SURVIVING_PROFILES})
 SELECT {", ".join("cl." + c for c in CLAIM_NAMES)}, pr.employer_name, pr.segment, pr.match_percent, pr.source_file
 FROM cl JOIN pr ON cl.o_custkey = pr.pkey
@@ -256,7 +261,7 @@ ORACLES["delivery_satisfaction_late"] = ORACLES["delivery_satisfaction"]
 
 ORACLES["delivery_satisfaction_sql"] = f"""
 WITH cl AS (SELECT o_custkey, c_mktsegment AS bank_segment, {CLAIMS_SELECT} {CLAIMS_FROM}
-            WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0),
+            WHERE NOT ({NO_ID}) AND NOT ({NO_NAME})),
 pr AS ({SURVIVING_PROFILES})
 SELECT cl.year_claim, cl.quarter_claim, cl.category, cl.bank_type, cl.cnpj, cl.financial_institution_name,
        cl.bank_index, cl.sk_financial_institution_name, cl.bank_segment AS segment,
@@ -277,12 +282,12 @@ SELECT 'label_without_document', doc_id FROM labels l
 WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)
 """
 
-ORACLES["reconciliation"] = """
+ORACLES["reconciliation"] = f"""
 SELECT 'claims' AS side, 'SEM NOME' AS name, 'semnome' AS name_norm
-WHERE EXISTS (SELECT 1 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 7 = 0)
+WHERE EXISTS (SELECT 1 FROM orders JOIN customer ON o_custkey = c_custkey WHERE {NO_NAME})
 UNION ALL
 SELECT 'profiles', translate(c_name, 'uo', 'úõ'), lower(c_name) FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 7 <> 0)
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND NOT ({NO_NAME}))
 """
 
 ORACLES["override_names"] = """
@@ -366,7 +371,7 @@ _CLAIM_TYPED = [("quarter_claim", "int"), ("bank_index", "double"),
                 ("number_of_scr_customers", "bigint")]
 ORACLES["cast_failures"] = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, '{t}' AS target_type, "
-    + ("CAST(SUM(CASE WHEN o_orderkey % 13 = 0 AND o_orderkey % 11 <> 0 THEN 1 ELSE 0 END) AS BIGINT)"
+    + ("CAST(SUM(CASE WHEN month(o_orderdate) = 6 THEN 1 ELSE 0 END) AS BIGINT)"
        if c == "bank_index" else "CAST(SUM(0) AS BIGINT)")
     + f" AS failures {CLAIMS_FROM}"
     for c, t in _CLAIM_TYPED

@@ -105,9 +105,9 @@ def q_pad_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_locale_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pt-BR price text (with blanks and junk) back to a double."""
     o = read_table(spark, sf_dir, "orders")
-    okey = F.col("o_orderkey")
-    raw = (F.when(okey % 11 == 0, F.lit(" "))
-           .when(okey % 13 == 0, F.lit("n/d"))
+    month = F.month("o_orderdate")
+    raw = (F.when(month == 12, F.lit(" "))
+           .when(month == 6, F.lit("n/d"))
            .otherwise(F.translate(F.format_number("o_totalprice", 2), ",.", ".,")))
     return o.select("o_orderkey", text.locale_decimal(raw).alias("price"))
 
@@ -219,7 +219,7 @@ def q_alias_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T19 + C2: blank count text -> null, then bigint."""
     o = read_table(spark, sf_dir, "orders")
-    raw = F.when(F.col("o_orderkey") % 4 == 0, F.lit(" ")).otherwise((F.col("o_custkey") * 2).cast("string"))
+    raw = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit(" ")).otherwise((F.col("o_custkey") * 2).cast("string"))
     return o.select("o_orderkey", text.blank_to_null(raw).alias("ccs_text"),
                     casts.to_long(text.remove_spaces(raw)).alias("ccs_customers"))
 
