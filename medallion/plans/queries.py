@@ -8,19 +8,35 @@ return the lazy read-back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.contracts import CLAIMS, INSTITUTIONS, PROFILES
+from medallion.functions import casts, text
+from medallion.functions.keys import document_key, md5_hex, name_key, sha1_hex
+from medallion.functions.unaccent import unaccent, unaccent_nfkd
+from medallion.operators import dedup, joins, quality, reconcile
+from medallion.operators.project import column_difference, keep_only, rename_columns
+from medallion.operators.union import union_by_name
 from medallion.plans import fixtures
 from medallion.plans.layers import (
+    build_raw,
     delivery_satisfaction,
+    run_pipeline,
     trusted_claims,
     trusted_institutions,
     trusted_profiles,
 )
-from medallion.operators.union import union_by_name
+from medallion.plans.sqlapi import delivery_satisfaction_sql, register_sql_functions, register_views
+from medallion.session import scratch_path
+from medallion.sinks.delimited import write_delimited
+from medallion.sinks.parquet import publish_table, sql_copy_parquet, write_parquet
+from medallion.sources import charset, delimited
+from medallion.sources.parquet import read_table, register_scan, sql_scan
+from medallion.streaming.ingest import run_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,11 +91,6 @@ def q_delivery_satisfaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scalar cleaners, casts, hashes and keys
 # --------------------------------------------------------------------------
 
-from medallion.contracts import BANK_NAME_ALIASES, INSTITUTIONS, PROFILES, CLAIMS  # noqa: E402
-from medallion.functions import casts, text  # noqa: E402
-from medallion.functions.keys import document_key, md5_hex, name_key, sha1_hex  # noqa: E402
-from medallion.functions.unaccent import unaccent, unaccent_nfkd  # noqa: E402
-from medallion.sources.parquet import read_table  # noqa: E402
 
 # Fixed values used by the mapping queries.
 SEGMENT_ALIASES = {"AUTOMOBILE": "AUTO", "BUILDING": "CONSTRUCTION", "BB": "BANCO DO BRASIL"}
@@ -276,9 +287,6 @@ def q_document_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Joins, de-duplication, windows, unions, limits
 # --------------------------------------------------------------------------
 
-from medallion.operators import dedup, joins, quality, reconcile  # noqa: E402
-from medallion.operators.project import column_difference, keep_only, rename_columns  # noqa: E402
-from medallion.contracts import CLAIM_COLUMNS  # noqa: E402
 
 @query("join_id")
 def q_join_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +317,6 @@ def q_delivery_satisfaction_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("delivery_satisfaction_sql")
 def q_delivery_satisfaction_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL variant -- three-way join on id and on name key, 29 columns."""
-    from medallion.plans.sqlapi import delivery_satisfaction_sql
     return delivery_satisfaction_sql(
         spark,
         q_trusted_claims(spark, sf_dir),
@@ -474,7 +481,6 @@ def q_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sql_cleaners")
 def q_sql_cleaners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaners as SQL functions over views."""
-    from medallion.plans.sqlapi import register_sql_functions, register_views
     register_sql_functions(spark)
     register_views({"institutions_raw": fixtures.institutions_raw(spark, sf_dir)})
     spark.sql("""
@@ -496,12 +502,6 @@ def q_sql_cleaners(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks: write -> read round trips in a fresh shared folder
 # --------------------------------------------------------------------------
 
-from medallion.session import scratch_path  # noqa: E402
-from medallion.sinks.delimited import write_delimited  # noqa: E402
-from medallion.sinks.parquet import sql_copy_parquet, write_parquet  # noqa: E402
-from medallion.sources import charset, delimited  # noqa: E402
-from medallion.sources.parquet import register_scan, sql_scan  # noqa: E402
-
 
 @query("csv_tab_roundtrip")
 def q_csv_tab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -607,9 +607,6 @@ def q_sql_copy_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Layer jobs end to end, and incremental ingestion
 # --------------------------------------------------------------------------
 
-from medallion.plans.layers import build_raw, run_pipeline  # noqa: E402
-from medallion.streaming.ingest import run_once  # noqa: E402
-
 
 @query("delivery_from_layers")
 def q_delivery_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -649,8 +646,5 @@ def q_alias_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("catalog_table")
 def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery published as a catalog table created with declared types."""
-    import uuid
-
-    from medallion.sinks.parquet import publish_table
     table = f"dlzd_bank_employment_satisfaction_{uuid.uuid4().hex[:8]}"
     return publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table))
