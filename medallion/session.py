@@ -8,7 +8,6 @@ thresholds stated explicitly so that a broadcast is always behind a size check.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,20 +85,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/medallion/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a shared place to write to."""
-    root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a path can be handed to Python file APIs."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
