@@ -42,6 +42,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def _view_name(base: str) -> str:
+    """A session-unique temporary view name (queries may run side by side)."""
+    return f"{base}_{uuid.uuid4().hex[:8]}"
+
+
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -420,8 +425,9 @@ def q_rename_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rename by map, view round trip, drop, derived columns."""
     raw = fixtures.institutions_raw(spark, sf_dir)
     renamed = rename_columns(raw, INSTITUTIONS.rename_map())
-    renamed.createOrReplaceTempView("institutions_renamed")
-    df = spark.table("institutions_renamed").drop("financial_institution_name")
+    view = _view_name("institutions_renamed")
+    renamed.createOrReplaceTempView(view)
+    df = spark.table(view).drop("financial_institution_name")
     return df.withColumns({
         "cnpj": text.pad_id("cnpj"),
         "segment_lower": F.lower("segment"),
@@ -482,19 +488,20 @@ def q_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sql_cleaners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaners as SQL functions over views."""
     register_sql_functions(spark)
-    register_views({"institutions_raw": fixtures.institutions_raw(spark, sf_dir)})
-    spark.sql("""
-        CREATE OR REPLACE TEMPORARY VIEW institutions_clean AS
+    raw_view, clean_view = _view_name("institutions_raw"), _view_name("institutions_clean")
+    register_views({raw_view: fixtures.institutions_raw(spark, sf_dir)})
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY VIEW {clean_view} AS
         SELECT Segmento AS segment, md_pad_id(CNPJ) AS cnpj,
                md_strip_prudential(Nome) AS financial_institution_name
-        FROM institutions_raw
+        FROM {raw_view}
     """)
-    return spark.sql("""
+    return spark.sql(f"""
         SELECT cnpj, segment, financial_institution_name,
                md_name_key(financial_institution_name) AS sk_financial_institution_name,
                md_name_norm(md_unaccent(financial_institution_name)) AS name_norm,
                sha1(concat(cnpj, segment)) AS sk_cnpj_segment
-        FROM institutions_clean
+        FROM {clean_view}
     """)
 
 
@@ -595,12 +602,13 @@ def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sql_copy_parquet")
 def q_sql_copy_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COPY-style SQL export, then SQL scan of the folder through a view."""
-    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem_src")
+    src_view, copy_view = _view_name("lineitem_src"), _view_name("lineitem_copy")
+    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView(src_view)
     path = scratch_path(spark, "lineitem_copy")
-    sql_copy_parquet(spark, "lineitem_src", path)
-    register_scan(spark, "lineitem_copy", path)
+    sql_copy_parquet(spark, src_view, path)
+    register_scan(spark, copy_view, path)
     return sql_scan(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag") \
-        .unionByName(spark.table("lineitem_copy").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
+        .unionByName(spark.table(copy_view).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
 
 
 # --------------------------------------------------------------------------
