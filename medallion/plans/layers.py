@@ -90,12 +90,18 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
                           early_distinct: bool = True) -> DataFrame:
     """Claims with their registry segment and the employer profile of their id.
 
-    ``early_distinct=False`` runs the reference's plan (join, join, distinct)
-    and exists for comparison; both give the same rows.
+    ``early_distinct=False`` keeps the reference's placement of the final
+    ``distinct`` (on the joined output) but not its employee side: the
+    reference joins every claim row to the profiles and then to every claim
+    row of the same id again -- all pairs of claims within an institution.
+    Both forms here build the employee side from distinct ``(id, name key)``
+    pairs, so no join emits more rows than the result has before
+    de-duplication; they differ only in de-duplicating the join's inputs or its
+    output.
 
     The pairs branch reads only the id and name columns of the claims (column
     pruning reaches the scan), so the second read of the fact table is narrow.
-    Both distincts aggregate on full rows, so an institution holding a third of
+    The distincts aggregate on full rows, so an institution holding a third of
     all claims is spread over all partitions by the aggregate's hash, and the
     final join on the composite key is either a broadcast of the (small,
     profile-bounded) employee side or a sort-merge join whose skewed partition
@@ -104,17 +110,14 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
     banks = institutions.select("cnpj", "segment", "sk_cnpj_segment")
     banks_claims = claims.select(*CLAIM_COLUMNS).join(banks, "cnpj", "inner")
     prof = profiles.drop("financial_institution_name", "cnpj")
-    if early_distinct:
-        pairs = claims.select("cnpj", "sk_financial_institution_name").distinct()
-        employee = pairs.join(prof, "sk_financial_institution_name", "inner")
-    else:
-        employee = claims.join(prof, "sk_financial_institution_name", "inner")
+    pairs = claims.select("cnpj", "sk_financial_institution_name").distinct()
+    employee = pairs.join(prof, "sk_financial_institution_name", "inner")
     employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
     carried = [c for c in column_difference(employee, banks_claims, keep=["sk_cnpj_segment"])
                if c in PROFILE_DELIVERY_COLUMNS or c == "sk_cnpj_segment"]
-    employee = employee.select(*carried)
+    employee = employee.select(*carried).distinct()
     if early_distinct:
-        out = banks_claims.distinct().join(employee.distinct(), "sk_cnpj_segment", "inner")
+        out = banks_claims.distinct().join(employee, "sk_cnpj_segment", "inner")
     else:
         out = banks_claims.join(employee, "sk_cnpj_segment", "inner").distinct()
     return out.select(*DELIVERY_COLUMNS)

@@ -310,7 +310,7 @@ def q_join_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("delivery_satisfaction_late")
 def q_delivery_satisfaction_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J3 as the reference plans it: composite-key join first, distinct last."""
+    """J3 with the reference's placement of the distinct: on the joined output."""
     return delivery_satisfaction(
         q_trusted_claims(spark, sf_dir),
         q_trusted_institutions(spark, sf_dir),

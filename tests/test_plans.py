@@ -16,6 +16,15 @@ def test_flagship_early_equals_late(spark):
     assert late.exceptAll(early).count() == 0
 
 
+def test_flagship_equals_reference_plan_brute_force(spark):
+    claims = Q.q_trusted_claims(spark, SF_SMALL)
+    inst = Q.q_trusted_institutions(spark, SF_SMALL)
+    prof = Q.q_trusted_profiles(spark, SF_SMALL)
+    ours = Q.q_delivery_satisfaction(spark, SF_SMALL)
+    ref = reference_plan(claims, inst, prof)
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
 def test_default_path_has_no_python_udf_and_no_cartesian(spark):
     df = Q.q_delivery_satisfaction(spark, SF_SMALL)
     text = df._jdf.queryExecution().optimizedPlan().toString()
@@ -67,6 +76,19 @@ def test_describe_view(spark):
     assert rows["o_orderkey"] == "bigint" and rows["o_totalprice"] == "double"
 
 
+def reference_plan(claims, inst, prof):
+    """Brute force on a small fixture: the reference's join order, distinct last."""
+    from medallion.contracts import CLAIM_COLUMNS, DELIVERY_COLUMNS, PROFILE_DELIVERY_COLUMNS
+    from medallion.functions.keys import document_key
+
+    banks_claims = claims.join(inst.drop("financial_institution_name"), "cnpj")
+    employee_claims = claims.join(prof.drop("financial_institution_name", "cnpj"), "sk_financial_institution_name")
+    employee_claims = employee_claims.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
+    employee_claims = employee_claims.select(*PROFILE_DELIVERY_COLUMNS, "sk_cnpj_segment")
+    assert set(CLAIM_COLUMNS) <= set(banks_claims.columns)
+    return banks_claims.join(employee_claims, "sk_cnpj_segment").distinct().select(*DELIVERY_COLUMNS)
+
+
 def test_hot_institution_early_equals_late(spark):
     """A third of all claims on one id: the early-distinct plan gives the reference's rows."""
     from pyspark.sql import functions as F
@@ -83,7 +105,7 @@ def test_hot_institution_early_equals_late(spark):
     inst = trusted_institutions(fixtures.institutions_raw(spark, SF_SMALL))
     prof = trusted_profiles(Q.raw_profiles(spark, SF_SMALL))
     early = delivery_satisfaction(claims, inst, prof)
-    late = delivery_satisfaction(claims, inst, prof, early_distinct=False)
+    late = reference_plan(claims, inst, prof)
     n = early.count()
     assert n > 0
     hot = early.where(F.col("cnpj") == F.lpad(F.lit(hot_id), 8, "0")).count()
