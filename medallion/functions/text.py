@@ -62,9 +62,18 @@ def remove_spaces(c: ColumnOrName) -> Column:
     return F.replace(_col(c), F.lit(" "), F.lit(""))
 
 
+# The characters of Java's ``\s`` class: space, tab, newline, vertical tab,
+# form feed, carriage return.
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def remove_whitespace(c: ColumnOrName) -> Column:
-    """Remove every whitespace run."""
-    return F.regexp_replace(_col(c), r"\s+", "")
+    """Remove every whitespace character (``regexp_replace(c, '\\s+', '')``).
+
+    ``translate`` deletes characters that have no replacement, which does the
+    same as the regex in one pass without a regex engine.
+    """
+    return F.translate(_col(c), WHITESPACE, "")
 
 
 def regex_replace_all(c: ColumnOrName, pattern: str, replacement: str) -> Column:
@@ -94,7 +103,7 @@ def drop_ordinal(c: ColumnOrName) -> Column:
 
 def cut_decimals(c: ColumnOrName) -> Column:
     """``'2000.0'`` -> ``'2000'``; everything from the first dot goes."""
-    return F.regexp_replace(_col(c), r"\..*", "")
+    return F.substring_index(_col(c), ".", 1)
 
 
 def concat_text(*cols: ColumnOrName) -> Column:
