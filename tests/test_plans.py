@@ -118,3 +118,23 @@ def test_distinct_aggregates_partially_before_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # partial HashAggregate below each distinct's exchange (map-side combine)
     assert plan.count("HashAggregate") >= 4
+
+
+def test_period_query_prunes_claim_partitions(spark, tmp_path):
+    """Trusted claims are partitioned by year and quarter; a period filter prunes files."""
+    from pyspark.sql import functions as F
+    from medallion.plans.layers import trusted_claims
+    from medallion.plans import fixtures
+    from medallion.sinks.parquet import write_layer
+
+    claims = trusted_claims(fixtures.claims_raw(spark, SF_SMALL))
+    root = str(tmp_path / "lake")
+    write_layer(claims, root, "trusted", "claims", partition_by=["year_claim", "quarter_claim"])
+    df = (spark.read.schema(claims.schema).parquet(f"{root}/trusted/claims")
+          .where((F.col("year_claim") == "1998") & (F.col("quarter_claim") == 4))
+          .select("cnpj", "bank_index"))
+    plan = plan_text(df)
+    assert "PartitionFilters: [isnotnull(year_claim" in plan and "quarter_claim" in plan
+    assert "ReadSchema: struct<cnpj:string,bank_index:double>" in plan
+    expected = claims.where((F.col("year_claim") == "1998") & (F.col("quarter_claim") == 4)).count()
+    assert df.count() == expected > 0
