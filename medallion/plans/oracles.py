@@ -416,3 +416,16 @@ ORACLES["claims_incremental_ingest"] = ORACLES["trusted_claims"]
 
 ORACLES["alias_map_join"] = ORACLES["alias_map"]
 ORACLES["catalog_table"] = ORACLES["delivery_satisfaction"]
+
+ORACLES["layer_audit"] = f"""
+SELECT 'raw' AS layer, 'institutions' AS table_name, COUNT(*) AS total FROM customer
+UNION ALL SELECT 'raw', 'profiles',
+  (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM customer WHERE c_mktsegment = 'AUTOMOBILE')
+  + (SELECT COUNT(*) FROM customer WHERE c_acctbal < 0)
+UNION ALL SELECT 'raw', 'claims', COUNT(*) {CLAIMS_FROM}
+UNION ALL SELECT 'trusted', 'institutions', COUNT(*) FROM customer
+UNION ALL SELECT 'trusted', 'profiles',
+  (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM customer WHERE c_acctbal < 0)
+UNION ALL SELECT 'trusted', 'claims', COUNT(*) {CLAIMS_FROM}
+UNION ALL SELECT 'delivery', 'bank_employment_satisfaction', COUNT(*) FROM ({ORACLES["delivery_satisfaction"]})
+"""

@@ -656,3 +656,19 @@ def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery published as a catalog table created with declared types."""
     table = f"dlzd_bank_employment_satisfaction_{uuid.uuid4().hex[:8]}"
     return publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table))
+
+
+@query("layer_audit")
+def q_layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: row counts of every layer table, observed on the writes themselves."""
+    main, second = fixtures.profiles_raw(spark, sf_dir)
+    raw = build_raw(
+        main.withColumn("source_file", F.lit("profiles_main")),
+        second.withColumn("source_file", F.lit("profiles_second")),
+        fixtures.institutions_raw(spark, sf_dir),
+        fixtures.claims_raw(spark, sf_dir),
+    )
+    audit: dict[str, int] = {}
+    run_pipeline(spark, raw, scratch_path(spark, "layers_audit"), audit=audit)
+    rows = [(name.split(".")[0], name.split(".")[1], n) for name, n in sorted(audit.items())]
+    return spark.createDataFrame(rows, "layer string, table_name string, total bigint")
