@@ -77,10 +77,24 @@ def remove_whitespace(c: ColumnOrName) -> Column:
 
 
 def regex_replace_all(c: ColumnOrName, pattern: str, replacement: str) -> Column:
-    """T7 (and T8, which the build does not copy: replace-all is the only mode)."""
+    """Replace every match (the mode the layers use)."""
     return F.regexp_replace(_col(c), pattern, replacement)
 
 
+def regex_replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Column:
+    """Replace the first match only (the default of some SQL engines).
+
+    Built from ``regexp_instr`` (start of the first match) and
+    ``regexp_extract`` (its text); ``replacement`` is literal text.
+    """
+    c = _col(c)
+    start = F.regexp_instr(c, F.lit(pattern))
+    match = F.regexp_extract(c, pattern, 0)
+    before = c.substr(F.lit(1), start - 1)
+    after = c.substr(start + F.length(match), F.lit(1 << 30))
+    return F.when(start > 0, F.concat(before, F.lit(replacement), after)).otherwise(c)
+
+
 def literal_replace(c: ColumnOrName, search: str, replacement: str = "") -> Column:
     """Literal substring replacement, no regex."""
     return F.replace(_col(c), F.lit(search), F.lit(replacement))

@@ -429,3 +429,11 @@ UNION ALL SELECT 'trusted', 'profiles',
 UNION ALL SELECT 'trusted', 'claims', COUNT(*) {CLAIMS_FROM}
 UNION ALL SELECT 'delivery', 'bank_employment_satisfaction', COUNT(*) FROM ({ORACLES["delivery_satisfaction"]})
 """
+
+ORACLES["regex_replace_first"] = """
+SELECT c_custkey,
+  regexp_replace(c_name || '.' || c_mktsegment || '.' || CAST(c_nationkey AS VARCHAR), '\\.', '') AS first_dot_removed,
+  regexp_replace(c_name || '.' || c_mktsegment || '.' || CAST(c_nationkey AS VARCHAR), '\\.', '', 'g') AS all_dots_removed,
+  regexp_replace(c_name || '.' || c_mktsegment || '.' || CAST(c_nationkey AS VARCHAR), '#0+', '#') AS short_name
+FROM customer
+"""

@@ -217,6 +217,19 @@ def q_text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("regex_replace_first")
+def q_regex_replace_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 vs T7 on dotted text: first match only against every match."""
+    c = read_table(spark, sf_dir, "customer")
+    dotted = F.concat_ws(".", "c_name", "c_mktsegment", F.col("c_nationkey").cast("string"))
+    return c.select(
+        "c_custkey",
+        text.regex_replace_first(dotted, r"\.", "").alias("first_dot_removed"),
+        text.regex_replace_all(dotted, r"\.", "").alias("all_dots_removed"),
+        text.regex_replace_first(dotted, "#0+", "#").alias("short_name"),
+    )
+
+
 @query("alias_map")
 def q_alias_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-value aliases; other values pass through."""

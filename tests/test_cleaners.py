@@ -80,3 +80,11 @@ def test_cleaners_idempotent(spark):
     for fn, v in [(text.pad_id, "12"), (text.strip, "  a  "), (unaccent, "Ação"), (name_norm, "A b")]:
         once = one(spark, fn, v)
         assert one(spark, fn, once) == once
+
+
+def test_regex_replace_first(spark):
+    first = lambda c: text.regex_replace_first(c, r"\.", "")
+    assert one(spark, first, "1.234.567,89") == "1234.567,89"
+    assert one(spark, first, ".5") == "5"
+    assert one(spark, first, "no dots") == "no dots"
+    assert one(spark, first, None) is None
