@@ -71,7 +71,7 @@ def trusted_profiles(raw: DataFrame, dedup: bool = True) -> DataFrame:
     hq = text.blank_to_null(F.col("employer_headquarters"))
     df = df.withColumns({
         "headquarters_city": text.split_part_trim(hq, ",", 1),
-        "headquarters_country": text.split_part_trim(hq, ",", -1),
+        "headquarters_country": F.when(hq.contains(","), text.split_part_trim(hq, ",", -1)),
         "sk_financial_institution_name": name_key("financial_institution_name"),
     })
     df = df.select(*PROFILES.names)
