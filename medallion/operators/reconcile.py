@@ -1,19 +1,21 @@
 """Name reconciliation between two sources.
 
-R3 normalises the names on both sides, de-duplicates them (map-side partial
-aggregation) and runs the two anti-joins; the report is the union of both
-sides with a ``side`` column.  R4 replaces the reference's interactive prompt
+R3 normalises the names on both sides and de-duplicates them (map-side partial
+aggregation, so a name carried by a third of all rows is collapsed before any
+shuffle).  The two distinct lists are tagged with their side and unioned; a
+window over the normalised name then keeps the names whose group has one side
+only.  Each source is read once, and a window group holds the distinct
+spellings of one name, not its rows.  R4 replaces the reference's interactive prompt
 with an override table joined in by exact name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.keys import name_norm
 from medallion.functions.text import strip, strip_conglomerate
-from medallion.operators.joins import anti_join
 
 
 def normalised_names(df: DataFrame, column: str) -> DataFrame:
@@ -30,14 +32,15 @@ def normalised_names(df: DataFrame, column: str) -> DataFrame:
 def reconciliation(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
                    left_label: str = "left", right_label: str = "right") -> DataFrame:
     """Names present on one side only, labelled by side."""
-    a = normalised_names(left, left_col)
-    b = normalised_names(right, right_col)
-    only_a = anti_join(a, b.select("name_norm"), "name_norm")
-    only_b = anti_join(b, a.select("name_norm"), "name_norm")
-    return (
-        only_a.select(F.lit(left_label).alias("side"), "name", "name_norm")
-        .unionByName(only_b.select(F.lit(right_label).alias("side"), "name", "name_norm"))
+    if left_label == right_label:
+        raise ValueError("the two sides need different labels")
+    tagged = (
+        normalised_names(left, left_col).select(F.lit(left_label).alias("side"), "name", "name_norm")
+        .unionByName(normalised_names(right, right_col).select(F.lit(right_label).alias("side"), "name", "name_norm"))
     )
+    w = Window.partitionBy("name_norm")
+    one_side = F.min("side").over(w) == F.max("side").over(w)
+    return tagged.withColumn("__one_side", one_side).where("__one_side").drop("__one_side")
 
 
 def reconciliation_summary(report: DataFrame) -> DataFrame:

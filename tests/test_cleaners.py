@@ -88,3 +88,13 @@ def test_regex_replace_first(spark):
     assert one(spark, first, ".5") == "5"
     assert one(spark, first, "no dots") == "no dots"
     assert one(spark, first, None) is None
+
+
+def test_reconciliation_both_sides(spark):
+    from medallion.operators.reconcile import reconciliation
+    claims = spark.createDataFrame([("Itaú (conglomerado)",), ("ITAU",), ("SEM NOME",), (" ",), (None,)], "n string")
+    profiles = spark.createDataFrame([("Itau",), ("Banco Beta",), ("banco  beta",)], "n string")
+    got = sorted((r["side"], r["name"], r["name_norm"])
+                 for r in reconciliation(claims, "n", profiles, "n", "claims", "profiles").collect())
+    assert got == [("claims", "SEM NOME", "semnome"),
+                   ("profiles", "Banco Beta", "bancobeta"), ("profiles", "banco  beta", "bancobeta")]
