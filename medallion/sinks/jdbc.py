@@ -14,15 +14,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-# Relational column types of the published delivery table.
-DELIVERY_COLUMN_TYPES = {
-    "year_claim": "VARCHAR(4)",
-    "cnpj": "VARCHAR(8)",
-    "financial_institution_name": "VARCHAR(255)",
-    "sk_financial_institution_name": "VARCHAR(40)",
-    "segment": "VARCHAR(10)",
-    "sk_cnpj_segment": "VARCHAR(40)",
-}
+from medallion.contracts import TableContract
+
+_SQL_TYPES = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE"}
+
+
+def contract_column_types(contract: TableContract) -> dict[str, str]:
+    """K9: relational column types from a contract (text with a length -> VARCHAR(n))."""
+    out = {}
+    for f in contract.fields:
+        if f.dtype == "string":
+            out[f.name] = f"VARCHAR({f.max_length})" if f.max_length else "TEXT"
+        else:
+            out[f.name] = _SQL_TYPES.get(f.dtype, f.dtype.upper())
+    return out
 
 
 def create_table_column_types(types: Mapping[str, str]) -> str:

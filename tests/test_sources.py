@@ -5,7 +5,7 @@ import tempfile
 
 from medallion.contracts import CLAIMS
 from medallion.sources import charset, delimited
-from medallion.sinks.jdbc import create_table_column_types, jdbc_write_options
+from medallion.sinks.jdbc import contract_column_types, create_table_column_types, jdbc_write_options
 from medallion.sources.jdbc import jdbc_read_options
 
 
@@ -83,3 +83,11 @@ def test_incremental_ingest_takes_each_file_once(spark):
     rows = spark.read.parquet(target)
     assert rows.count() == 3
     assert sorted(r["source_file"] for r in rows.collect()) == ["a.tsv", "b.tsv", "b.tsv"]
+
+
+def test_contract_column_types():
+    from medallion.contracts import CLAIMS
+    types = contract_column_types(CLAIMS)
+    assert types["cnpj"] == "VARCHAR(8)" and types["bank_index"] == "DOUBLE"
+    assert types["quarter_claim"] == "INT" and types["total_number_of_complaints"] == "BIGINT"
+    assert "cnpj VARCHAR(8)" in create_table_column_types(types)
