@@ -190,3 +190,22 @@ PROFILE_DELIVERY_COLUMNS = [
 ]
 
 DELIVERY_COLUMNS = [*CLAIM_COLUMNS, "segment", "sk_cnpj_segment", *PROFILE_DELIVERY_COLUMNS]
+
+
+def _fields_by_name() -> dict[str, Field]:
+    out: dict[str, Field] = {}
+    for contract in (CLAIMS, INSTITUTIONS, PROFILES):
+        for f in contract.fields:
+            out.setdefault(f.name, f)
+    return out
+
+
+# The published delivery table: its columns take type and length from the
+# source contract they come from (claims first, then registry, then profiles).
+DELIVERY = TableContract(
+    name="bank_employment_satisfaction",
+    fields=tuple(
+        Field(None, name, _fields_by_name()[name].dtype, max_length=_fields_by_name()[name].max_length)
+        for name in DELIVERY_COLUMNS
+    ),
+)

@@ -90,7 +90,8 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     """Rows breaking each not-null / max-length rule of the contract, in one pass."""
     rules = _rules(contract, df)
     wide = df.agg(*[
-        F.sum(F.when(cond, 1).otherwise(0)).cast("bigint").alias(f"__r{i}") for i, (_, _, cond) in enumerate(rules)
+        F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"__r{i}")
+        for i, (_, _, cond) in enumerate(rules)
     ])
     long = wide.unpivot([], [f"__r{i}" for i in range(len(rules))], "__slot", "violations")
     meta = df.sparkSession.createDataFrame(
@@ -109,7 +110,8 @@ def cast_failures(raw: DataFrame, contract: TableContract) -> DataFrame:
         cleaned = f.clean(src) if f.clean else src
         value = casts.try_cast_to(cleaned, f.dtype)
         present = F.trim(src) != F.lit("")
-        exprs.append(F.sum(F.when(present & value.isNull(), 1).otherwise(0)).cast("bigint").alias(f"__f{i}"))
+        failed = F.sum(F.when(present & value.isNull(), 1).otherwise(0))
+        exprs.append(F.coalesce(failed, F.lit(0)).cast("bigint").alias(f"__f{i}"))
     wide = raw.agg(*exprs)
     long = wide.unpivot([], [f"__f{i}" for i in range(len(typed))], "__slot", "failures")
     meta = raw.sparkSession.createDataFrame(

@@ -437,3 +437,18 @@ SELECT c_custkey,
   regexp_replace(c_name || '.' || c_mktsegment || '.' || CAST(c_nationkey AS VARCHAR), '#0+', '#') AS short_name
 FROM customer
 """
+
+
+def _delivery_violations_sql() -> str:
+    from medallion.contracts import DELIVERY
+    parts = []
+    for f in DELIVERY.fields:
+        if f.dtype == "string" and f.max_length is not None:
+            parts.append(
+                f"SELECT '{f.name}' AS column_name, 'max_length' AS rule, "
+                f"CAST(COALESCE(SUM(CASE WHEN length({f.name}) > {f.max_length} THEN 1 ELSE 0 END), 0) AS BIGINT) "
+                f"AS violations FROM delivery")
+    return f"WITH delivery AS ({ORACLES['delivery_satisfaction']})\n" + "\nUNION ALL\n".join(parts)
+
+
+ORACLES["delivery_contract_violations"] = _delivery_violations_sql()

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.contracts import CLAIMS, INSTITUTIONS, PROFILES
+from medallion.contracts import CLAIMS, DELIVERY, INSTITUTIONS, PROFILES
 from medallion.functions import casts, text
 from medallion.functions.keys import document_key, md5_hex, name_key, sha1_hex
 from medallion.functions.unaccent import unaccent, unaccent_nfkd
@@ -685,3 +685,9 @@ def q_layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_pipeline(spark, raw, scratch_path(spark, "layers_audit"), audit=audit)
     rows = [(name.split(".")[0], name.split(".")[1], n) for name, n in sorted(audit.items())]
     return spark.createDataFrame(rows, "layer string, table_name string, total bigint")
+
+
+@query("delivery_contract_violations")
+def q_delivery_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 on the published table: every length rule of the delivery contract, one pass."""
+    return quality.contract_violations(q_delivery_satisfaction(spark, sf_dir), DELIVERY)
