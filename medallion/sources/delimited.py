@@ -112,19 +112,33 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return reader.load(folder).select("path", "length")
 
 
-def _first_line(path: str, encoding: str, limit: int = 1 << 16) -> str:
+def _first_line(path: str, encoding: str, limit: int = 1 << 16) -> str | None:
+    """The header line of one file, reading only its first block; None if unreadable here."""
+    import pyarrow as pa
     import pyarrow.fs as pafs
 
     uri = path
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
-    fs, inner = pafs.FileSystem.from_uri(uri)
-    with fs.open_input_stream(inner) as stream:
-        head = stream.read(limit)
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3://" + uri.split("://", 1)[1]
+    try:
+        fs, inner = pafs.FileSystem.from_uri(uri)
+        with fs.open_input_stream(inner) as stream:
+            head = stream.read(limit)
+    except (OSError, ValueError, pa.ArrowException):
+        return None
     line = head.split(b"\n", 1)[0].rstrip(b"\r")
     return line.decode(encoding, errors="replace")
 
 
+def _header_by_spark(spark: SparkSession, path: str, sep: str, encoding: str) -> str:
+    """Fallback for file systems the executors' Python cannot open: Spark reads the header."""
+    cols = (spark.read.option("sep", sep).option("header", True).option("encoding", java_charset(encoding))
+            .csv(path).columns)
+    return sep.join(cols)
+
+
 def read_headers(spark: SparkSession, files: DataFrame, encoding: str) -> DataFrame:
     """(path, header line) per file, read on the executors (first block only)."""
     py_encoding = "latin-1" if java_charset(encoding) == "ISO-8859-1" else "utf-8"
@@ -155,7 +169,10 @@ def read_folder(
     headers = read_headers(spark, files, encoding).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in headers:
-        cols = tuple(canonical_header(c) for c in row["header"].split(sep))
+        header = row["header"]
+        if header is None:
+            header = _header_by_spark(spark, row["path"], sep, encoding)
+        cols = tuple(canonical_header(c) for c in header.split(sep))
         groups.setdefault(cols, []).append(row["path"])
     if not groups:
         raise FileNotFoundError(f"no files under {folders}")
