@@ -67,8 +67,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a location every executor can
-    reach (HDFS, object store).  Only when it is unset -- a test or a laptop --
-    do we create one of our own and register it with the context.
+    reach (HDFS, object store), and it is an error to leave it unset.  Only in
+    local mode (tests, a laptop) do we create one of our own when it is unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -76,6 +76,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        # A folder on the driver's disk is not visible to the executors.
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     local = tempfile.mkdtemp(prefix="medallion-checkpoint-")
     spark.sparkContext.setCheckpointDir(local)
     return local
