@@ -128,6 +128,8 @@ def _first_line(path: str, encoding: str, limit: int = 1 << 16) -> str | None:
             head = stream.read(limit)
     except (OSError, ValueError, pa.ArrowException):
         return None
+    if b"\n" not in head and len(head) == limit:
+        return None  # header longer than the block read: let Spark read it whole
     line = head.split(b"\n", 1)[0].rstrip(b"\r")
     return line.decode(encoding, errors="replace")
 
