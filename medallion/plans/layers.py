@@ -23,6 +23,7 @@ before the ``distinct``.  Here:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,16 +155,27 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, root: str, mode: str = "ov
         write_layer(df, root, layer, table, mode=mode, **kwargs)
         observations.append((f"{layer}.{table}", obs))
 
-    write(raw.institutions, "raw", "institutions")
-    write(raw.profiles, "raw", "profiles")
-    write(raw.claims, "raw", "claims")
+    def write_all(*jobs: tuple) -> None:
+        # The tables of one layer are independent jobs: submit them together so
+        # the scheduler can run their tasks side by side.
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(write, *job[:3], **(job[3] if len(job) > 3 else {})) for job in jobs]:
+                f.result()
+
+    write_all(
+        (raw.institutions, "raw", "institutions"),
+        (raw.profiles, "raw", "profiles"),
+        (raw.claims, "raw", "claims"),
+    )
 
     inst = trusted_institutions(read_layer(spark, root, "raw", "institutions"))
     prof = trusted_profiles(read_layer(spark, root, "raw", "profiles"))
     claims = trusted_claims(read_layer(spark, root, "raw", "claims"))
-    write(inst, "trusted", "institutions")
-    write(prof, "trusted", "profiles")
-    write(claims, "trusted", "claims", partition_by=["year_claim", "quarter_claim"])
+    write_all(
+        (inst, "trusted", "institutions"),
+        (prof, "trusted", "profiles"),
+        (claims, "trusted", "claims", {"partition_by": ["year_claim", "quarter_claim"]}),
+    )
 
     # Partition values come back typed by inference; the written schema keeps
     # ``year_claim`` text.
