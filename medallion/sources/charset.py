@@ -6,8 +6,9 @@ Latin-1 view of the same bytes.  Per file the line flags are combined with
 ``bool_and`` / ``bool_or`` -- a partial aggregation, so a file of any size is
 split across tasks and only one row per file leaves the map side.
 
-Labels: ``ascii`` (no byte over 0x7F), ``utf-8`` (valid UTF-8), ``windows-1252``
-(not UTF-8 and uses bytes 0x80-0x9F, which are printable only in cp1252) and
+Labels: ``utf-16`` (NUL bytes between the characters, as UTF-16 text has),
+``ascii`` (no byte over 0x7F), ``utf-8`` (valid UTF-8), ``windows-1252`` (not
+UTF-8 and uses bytes 0x80-0x9F, which are printable only in cp1252) and
 ``iso-8859-1`` (not UTF-8, no C1 bytes).  ``spark_charset`` gives the charset to
 pass to the CSV reader for each label.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 # Detected label -> charset the Spark 4 CSV reader accepts.
 SPARK_CHARSET = {
+    "utf-16": "UTF-16",
     "ascii": "UTF-8",
     "utf-8": "UTF-8",
     "windows-1252": "ISO-8859-1",
@@ -32,12 +34,14 @@ def line_flags(value: Column) -> list[Column]:
         F.is_valid_utf8(value).alias("utf8"),
         latin1.rlike("[\\x80-\\x9f]").alias("c1"),
         latin1.rlike("[^\\x00-\\x7f]").alias("high"),
+        latin1.contains("\x00").alias("nul"),
     ]
 
 
-def encoding_label(utf8: Column, c1: Column, high: Column) -> Column:
+def encoding_label(utf8: Column, c1: Column, high: Column, nul: Column) -> Column:
     return (
-        F.when(~high, F.lit("ascii"))
+        F.when(nul, F.lit("utf-16"))
+        .when(~high, F.lit("ascii"))
         .when(utf8, F.lit("utf-8"))
         .when(c1, F.lit("windows-1252"))
         .otherwise(F.lit("iso-8859-1"))
@@ -63,9 +67,10 @@ def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None, by
         F.bool_and("utf8").alias("utf8"),
         F.bool_or("c1").alias("c1"),
         F.bool_or("high").alias("high"),
+        F.bool_or("nul").alias("nul"),
         F.count(F.lit(1)).alias("lines"),
     )
-    label = encoding_label(F.col("utf8"), F.col("c1"), F.col("high"))
+    label = encoding_label(F.col("utf8"), F.col("c1"), F.col("high"), F.col("nul"))
     mapping = F.create_map(*[F.lit(x) for kv in SPARK_CHARSET.items() for x in kv])
     return per_file.select(
         name,

@@ -99,3 +99,18 @@ def test_header_fallback_when_python_cannot_open(spark):
     write(f"{root}/f/a.csv", "A|B\n1|2\n", "utf-8")
     assert d._first_line("nosuchscheme://x/a.csv", "utf-8") is None
     assert d._header_by_spark(spark, f"{root}/f/a.csv", "|", "UTF-8") == "A|B"
+
+
+def test_encoding_audit_labels(spark):
+    root = tempfile.mkdtemp(prefix="md-enc-")
+    write(f"{root}/e/ascii.txt", "plain text\n", "ascii")
+    write(f"{root}/e/utf8.txt", "ação\n", "utf-8")
+    write(f"{root}/e/latin1.txt", "ação\n", "latin-1")
+    write(f"{root}/e/cp1252.txt", "a – b\n", "cp1252")
+    write(f"{root}/e/utf16.txt", "ação\nx\n", "utf-16")
+    got = {r["file_name"]: (r["encoding"], r["spark_charset"]) for r in charset.encoding_audit(spark, f"{root}/e").collect()}
+    assert got == {
+        "ascii.txt": ("ascii", "UTF-8"), "utf8.txt": ("utf-8", "UTF-8"),
+        "latin1.txt": ("iso-8859-1", "ISO-8859-1"), "cp1252.txt": ("windows-1252", "ISO-8859-1"),
+        "utf16.txt": ("utf-16", "UTF-16"),
+    }
