@@ -158,7 +158,7 @@ def claim_name(c: Column) -> Column:
 CLAIMS = TableContract(
     name="claims",
     sep=";",
-    encoding="ISO-8859-1",
+    encoding="windows-1252",
     fields=(
         Field("Ano", "year_claim", max_length=4),
         Field("Trimestre", "quarter_claim", "int", clean=text.drop_ordinal),

@@ -49,9 +49,10 @@ def encoding_label(utf8: Column, c1: Column, high: Column, nul: Column) -> Colum
 
 
 def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None, by: str = "file") -> DataFrame:
-    """One row per file (``by='file'``) or per parent folder (``by='folder'``).
+    """One row per file (``by='file'`` names it, ``by='path'`` gives its full
+    path) or per parent folder (``by='folder'``).
 
-    Columns: the group (``file_name`` / ``folder``), ``encoding``,
+    Columns: the group (``file_name`` / ``file_path`` / ``folder``), ``encoding``,
     ``spark_charset`` and ``lines``.
     """
     reader = spark.read.format("text")
@@ -60,6 +61,8 @@ def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None, by
     path = F.col("_metadata.file_path")
     if by == "folder":
         group, name = F.element_at(F.split(path, "/"), -2), "folder"
+    elif by == "path":
+        group, name = path, "file_path"
     else:
         group, name = F.col("_metadata.file_name"), "file_name"
     lines = reader.load(folder).select(group.alias(name), *line_flags(F.col("value")))

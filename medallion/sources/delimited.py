@@ -50,6 +50,28 @@ def _c1_to_cp1252(ch: str) -> str:
     return ch
 
 
+def _c1_table() -> tuple[str, str]:
+    src, dst = [], []
+    for code in range(0x80, 0xA0):
+        mapped = bytes([code]).decode("cp1252", errors="ignore")
+        if mapped:
+            src.append(chr(code))
+            dst.append(mapped)
+    return "".join(src), "".join(dst)
+
+
+C1_SOURCE, C1_TARGET = _c1_table()
+CP1252_NAMES = {"cp1252", "windows-1252"}
+
+
+def c1_values_to_cp1252(df: DataFrame) -> DataFrame:
+    """Values of a cp1252 file read as ISO-8859-1: C1 controls back to cp1252 characters."""
+    return df.select(*[
+        F.translate(F.col(f"`{name}`"), C1_SOURCE, C1_TARGET).alias(name) if dtype == "string" else F.col(f"`{name}`")
+        for name, dtype in df.dtypes
+    ])
+
+
 def canonical_header(name: str) -> str:
     """TR4: one spelling per header whatever the file's encoding."""
     name = name.replace("﻿", "").strip()
@@ -84,6 +106,9 @@ def read_delimited(
     ``schema`` (all strings, in file order) avoids the header-inference job;
     ``infer_schema`` is available but costs one extra pass over the data.
     ``glob`` picks files of a folder by name (S5) instead of by list position.
+    ``encoding='windows-1252'`` reads as ISO-8859-1 (the charset Spark 4 accepts)
+    and maps the C1 code points back to the cp1252 characters, in one
+    ``translate`` per text column.
     """
     reader = (
         spark.read.option("sep", sep)
@@ -100,8 +125,10 @@ def read_delimited(
     else:
         reader = reader.option("inferSchema", infer_schema)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = reader.csv(paths)
-    return canonicalise_columns(df, source_column)
+    df = canonicalise_columns(reader.csv(paths), source_column)
+    if encoding.lower() in CP1252_NAMES:
+        df = c1_values_to_cp1252(df)
+    return df
 
 
 def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
@@ -112,8 +139,20 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return reader.load(folder).select("path", "length")
 
 
+def _python_codec(charset: str) -> str:
+    cs = java_charset(charset).upper()
+    if cs == "ISO-8859-1":
+        return "latin-1"
+    if cs.startswith("UTF-16"):
+        return "utf-16"
+    return "utf-8"
+
+
 def _first_line(path: str, encoding: str, limit: int = 1 << 16) -> str | None:
-    """The header line of one file, reading only its first block; None if unreadable here."""
+    """The header line of one file, reading only its first block; None if unreadable here.
+
+    ``encoding`` is a Python codec name.
+    """
     import pyarrow as pa
     import pyarrow.fs as pafs
 
@@ -128,10 +167,10 @@ def _first_line(path: str, encoding: str, limit: int = 1 << 16) -> str | None:
             head = stream.read(limit)
     except (OSError, ValueError, pa.ArrowException):
         return None
-    if b"\n" not in head and len(head) == limit:
+    text = head.decode(encoding, errors="replace")
+    if "\n" not in text and len(head) == limit:
         return None  # header longer than the block read: let Spark read it whole
-    line = head.split(b"\n", 1)[0].rstrip(b"\r")
-    return line.decode(encoding, errors="replace")
+    return text.split("\n", 1)[0].rstrip("\r")
 
 
 def _header_by_spark(spark: SparkSession, path: str, sep: str, encoding: str) -> str:
@@ -141,15 +180,24 @@ def _header_by_spark(spark: SparkSession, path: str, sep: str, encoding: str) ->
     return sep.join(cols)
 
 
-def read_headers(spark: SparkSession, files: DataFrame, encoding: str) -> DataFrame:
-    """(path, header line) per file, read on the executors (first block only)."""
-    py_encoding = "latin-1" if java_charset(encoding) == "ISO-8859-1" else "utf-8"
+def read_headers(spark: SparkSession, files: DataFrame, encoding: str | None = None) -> DataFrame:
+    """(path, charset, header line) per file, read on the executors (first block only).
+
+    ``files`` has a ``path`` column and, when ``encoding`` is None, a
+    ``charset`` column with each file's own charset.
+    """
+    if encoding is not None:
+        files = files.select("path", F.lit(java_charset(encoding)).alias("charset"))
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"path": b["path"], "header": [_first_line(p, py_encoding) for p in b["path"]]})
+            yield pd.DataFrame({
+                "path": b["path"],
+                "charset": b["charset"],
+                "header": [_first_line(p, _python_codec(c)) for p, c in zip(b["path"], b["charset"])],
+            })
 
-    return files.select("path").mapInPandas(heads, "path string, header string")
+    return files.select("path", "charset").mapInPandas(heads, "path string, charset string, header string")
 
 
 def read_folder(
@@ -164,23 +212,39 @@ def read_folder(
 
     Only the file list and one header line per file reach the driver (metadata,
     one row per file); the data itself is read by one distributed scan per
-    distinct header and combined with ``unionByName(allowMissingColumns=True)``.
+    distinct (charset, header) and combined with
+    ``unionByName(allowMissingColumns=True)``.
+
+    ``encoding='auto'`` decides each file's charset with the distributed
+    encoding audit (S11 feeding S1-S3); it costs one extra pass over the files.
     """
     folders = [folder] if isinstance(folder, str) else list(folder)
-    files = reduce(DataFrame.unionByName, [list_files(spark, f, glob) for f in folders])
-    headers = read_headers(spark, files, encoding).collect()
-    groups: dict[tuple[str, ...], list[str]] = {}
+    if encoding == "auto":
+        from medallion.sources.charset import encoding_audit
+
+        files = reduce(DataFrame.unionByName, [
+            encoding_audit(spark, f, glob=glob, by="path").select(
+                F.col("file_path").alias("path"),
+                F.when(F.col("encoding") == "windows-1252", F.lit("windows-1252"))
+                 .otherwise(F.col("spark_charset")).alias("charset"))
+            for f in folders
+        ])
+        headers = read_headers(spark, files).collect()
+    else:
+        files = reduce(DataFrame.unionByName, [list_files(spark, f, glob) for f in folders])
+        headers = read_headers(spark, files, encoding).collect()
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for row in headers:
         header = row["header"]
         if header is None:
-            header = _header_by_spark(spark, row["path"], sep, encoding)
+            header = _header_by_spark(spark, row["path"], sep, row["charset"])
         cols = tuple(canonical_header(c) for c in header.split(sep))
-        groups.setdefault(cols, []).append(row["path"])
+        groups.setdefault((row["charset"], cols), []).append(row["path"])
     if not groups:
         raise FileNotFoundError(f"no files under {folders}")
     parts = []
-    for cols, paths in sorted(groups.items()):
-        parts.append(read_delimited(spark, sorted(paths), sep=sep, encoding=encoding, source_column=source_column))
+    for (charset, _), paths in sorted(groups.items()):
+        parts.append(read_delimited(spark, sorted(paths), sep=sep, encoding=charset, source_column=source_column))
     return union_all_by_name(parts)
 
 

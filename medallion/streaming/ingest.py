@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.contracts import TableContract
-from medallion.sources.delimited import java_charset
+from medallion.sources.delimited import CP1252_NAMES, c1_values_to_cp1252, java_charset
 
 
 def landing_schema(contract: TableContract, trailing_columns: int = 0) -> T.StructType:
@@ -55,6 +55,8 @@ def ingest_landing(
     )
     rows = stream.select(*[F.col(f"`{n}`") for n in contract.raw_names],
                          F.col("_metadata.file_name").alias("source_file"))
+    if contract.encoding.lower() in CP1252_NAMES:
+        rows = c1_values_to_cp1252(rows)
     writer = (
         rows.writeStream.format("parquet")
         .option("path", target)

@@ -51,4 +51,4 @@ def test_run_from_folders(spark):
 def test_parser():
     args = build_parser().parse_args(["run", "--institutions", "a", "--profiles", "b", "c",
                                       "--claims", "d", "--root", "r"])
-    assert args.profiles == ["b", "c"] and args.claims_encoding == "ISO-8859-1"
+    assert args.profiles == ["b", "c"] and args.claims_encoding == "windows-1252"

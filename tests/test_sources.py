@@ -114,3 +114,12 @@ def test_encoding_audit_labels(spark):
         "latin1.txt": ("iso-8859-1", "ISO-8859-1"), "cp1252.txt": ("windows-1252", "ISO-8859-1"),
         "utf16.txt": ("utf-16", "UTF-16"),
     }
+
+
+def test_read_folder_auto_encoding(spark):
+    root = tempfile.mkdtemp(prefix="md-auto-")
+    write(f"{root}/c/a.csv", "Nome;Índice\nAção;1,5\n", "utf-8")
+    write(f"{root}/c/b.csv", "Índice;Nome\n2,5;Pão – doce\n", "cp1252")
+    df = delimited.read_folder(spark, f"{root}/c", sep=";", encoding="auto")
+    got = sorted((r["Nome"], r["Índice"]) for r in df.collect())
+    assert got == [("Ação", "1,5"), ("Pão – doce", "2,5")]
