@@ -8,6 +8,7 @@ thresholds stated explicitly so that a broadcast is always behind a size check.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -60,6 +61,7 @@ def get_spark(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -88,3 +90,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/medallion/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``medallion`` importable in the Python workers of this session.
+
+    The few places where Python runs inside tasks (the header reader, the
+    optional NFKD accent stripper) call library functions; the workers must be
+    able to import the package.  It is zipped once per driver process and added
+    with ``addPyFile``, Spark's own way of shipping code to every executor
+    (the same as ``--py-files``).  Calling it again is a no-op.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    if not _ZIP:
+        package_dir = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="medallion-pyfiles-"), "medallion.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+            for folder, _, files in os.walk(package_dir):
+                if "__pycache__" in folder:
+                    continue
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(package_dir)))
+        _ZIP.append(target)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(key)
