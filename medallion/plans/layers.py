@@ -87,6 +87,22 @@ def trusted_claims(raw: DataFrame) -> DataFrame:
     return df.withColumn("sk_financial_institution_name", name_key("financial_institution_name"))
 
 
+def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Claims-with-registry joined to the employee side on the (id, segment) key.
+
+    The many-to-many join of Z5 before any de-duplication of its output; the
+    employee side is built from distinct ``(id, name key)`` pairs.
+    """
+    banks = institutions.select("cnpj", "segment", "sk_cnpj_segment")
+    banks_claims = claims.select(*CLAIM_COLUMNS).join(banks, "cnpj", "inner")
+    prof = profiles.drop("financial_institution_name", "cnpj")
+    pairs = claims.select("cnpj", "sk_financial_institution_name").distinct()
+    employee = pairs.join(prof, "sk_financial_institution_name", "inner")
+    employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
+    employee = employee.select(*PROFILE_DELIVERY_COLUMNS, "sk_cnpj_segment").distinct()
+    return banks_claims.join(employee, "sk_cnpj_segment", "inner").select(*DELIVERY_COLUMNS)
+
+
 def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles: DataFrame,
                           early_distinct: bool = True) -> DataFrame:
     """Claims with their registry segment and the employer profile of their id.

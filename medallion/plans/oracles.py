@@ -452,3 +452,6 @@ def _delivery_violations_sql() -> str:
 
 
 ORACLES["delivery_contract_violations"] = _delivery_violations_sql()
+
+# J3 without the final de-duplication: the flagship's rows with their multiplicity.
+ORACLES["join_composite"] = ORACLES["delivery_satisfaction"].replace("SELECT DISTINCT cl.", "SELECT cl.", 1)

@@ -24,6 +24,7 @@ from medallion.operators.union import union_by_name
 from medallion.plans import fixtures
 from medallion.plans.layers import (
     build_raw,
+    composite_key_join,
     delivery_satisfaction,
     run_pipeline,
     trusted_claims,
@@ -321,6 +322,16 @@ def q_join_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_on(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name")
 
 
+@query("join_composite")
+def q_join_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The composite-key join itself, duplicates of the output kept."""
+    return composite_key_join(
+        q_trusted_claims(spark, sf_dir),
+        q_trusted_institutions(spark, sf_dir),
+        q_trusted_profiles(spark, sf_dir),
+    )
+
+
 @query("delivery_satisfaction_late")
 def q_delivery_satisfaction_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 with the reference's placement of the distinct: on the joined output."""
