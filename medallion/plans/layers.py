@@ -87,11 +87,14 @@ def trusted_claims(raw: DataFrame) -> DataFrame:
     return df.withColumn("sk_financial_institution_name", name_key("financial_institution_name"))
 
 
-def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Claims-with-registry joined to the employee side on the (id, segment) key.
-
-    The many-to-many join of Z5 before any de-duplication of its output; the
-    employee side is built from distinct ``(id, name key)`` pairs.
+def _composite_inputs(claims: DataFrame, institutions: DataFrame,
+                      profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the composite-key join of Z5.
+
+    * claims with their registry entry (id join, registry name dropped);
+    * the employee side: distinct ``(id, name key)`` pairs of the claims joined
+      to the profiles, keyed by ``sha1(id || profile segment)``, carrying only
+      the profile columns the claims side does not have (P6), de-duplicated.
     """
     banks = institutions.select("cnpj", "segment", "sk_cnpj_segment")
     banks_claims = claims.select(*CLAIM_COLUMNS).join(banks, "cnpj", "inner")
@@ -99,7 +102,17 @@ def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: Dat
     pairs = claims.select("cnpj", "sk_financial_institution_name").distinct()
     employee = pairs.join(prof, "sk_financial_institution_name", "inner")
     employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
-    employee = employee.select(*PROFILE_DELIVERY_COLUMNS, "sk_cnpj_segment").distinct()
+    carried = [c for c in column_difference(employee, banks_claims, keep=["sk_cnpj_segment"])
+               if c in PROFILE_DELIVERY_COLUMNS or c == "sk_cnpj_segment"]
+    return banks_claims, employee.select(*carried).distinct()
+
+
+def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Claims-with-registry joined to the employee side on the (id, segment) key.
+
+    The many-to-many join of Z5 before any de-duplication of its output.
+    """
+    banks_claims, employee = _composite_inputs(claims, institutions, profiles)
     return banks_claims.join(employee, "sk_cnpj_segment", "inner").select(*DELIVERY_COLUMNS)
 
 
@@ -124,15 +137,7 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
     profile-bounded) employee side or a sort-merge join whose skewed partition
     AQE splits.
     """
-    banks = institutions.select("cnpj", "segment", "sk_cnpj_segment")
-    banks_claims = claims.select(*CLAIM_COLUMNS).join(banks, "cnpj", "inner")
-    prof = profiles.drop("financial_institution_name", "cnpj")
-    pairs = claims.select("cnpj", "sk_financial_institution_name").distinct()
-    employee = pairs.join(prof, "sk_financial_institution_name", "inner")
-    employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
-    carried = [c for c in column_difference(employee, banks_claims, keep=["sk_cnpj_segment"])
-               if c in PROFILE_DELIVERY_COLUMNS or c == "sk_cnpj_segment"]
-    employee = employee.select(*carried).distinct()
+    banks_claims, employee = _composite_inputs(claims, institutions, profiles)
     if early_distinct:
         out = banks_claims.distinct().join(employee, "sk_cnpj_segment", "inner")
     else:
