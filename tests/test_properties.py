@@ -87,3 +87,17 @@ def test_guarded_long_cast_equals_try_cast(spark, values):
     guarded = run(spark, casts.to_long, values)
     plain = run(spark, lambda c: F.trim(c).try_cast("bigint"), values)
     assert guarded == plain
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab.,# 0", max_size=12)), min_size=1, max_size=200))
+def test_replace_first_matches_python(spark, values):
+    got = run(spark, lambda c: text.regex_replace_first(c, r"\.", "_"), values)
+    assert got == [None if v is None else re.sub(r"\.", "_", v, count=1) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab \t\n\x0b\f\rc", max_size=12)), min_size=1, max_size=200))
+def test_remove_whitespace_matches_java_class(spark, values):
+    got = run(spark, text.remove_whitespace, values)
+    assert got == [None if v is None else re.sub(r"[ \t\n\x0b\f\r]+", "", v) for v in values]
