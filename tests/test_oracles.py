@@ -11,6 +11,11 @@ QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 
 
+# Spark type name -> DuckDB type name of the same values.
+SAME_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def norm(v):
     if hasattr(v, "isoformat"):
         return v.isoformat()
@@ -26,6 +31,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(ORACLES[name])
     ocols = rel.columns
     assert sorted(cols) == sorted(ocols)
+    otypes = dict(zip(ocols, (str(t) for t in rel.types)))
+    assert {c: SAME_TYPE.get(t, t) for c, t in df.dtypes} == otypes
     order = sorted(cols)
     a = Counter(tuple(norm(r[c]) for c in order) for r in rows)
     b = Counter(tuple(norm(r[ocols.index(c)]) for c in order) for r in rel.fetchall())
