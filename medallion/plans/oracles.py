@@ -311,7 +311,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 
 ORACLES["limit_preview"] = """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
-ORDER BY l_orderkey, l_linenumber LIMIT 100
+ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice LIMIT 100
 """
 
 ORACLES["union_missing_columns"] = """
