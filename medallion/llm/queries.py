@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import bpe
+from medallion.llm import bpe, planes
 from medallion.llm.common import table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -25,12 +25,19 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids written as shuffled byte planes and read back."""
+    _, digests = planes.encode_to_files(table(spark, sf_dir, "documents"), tokenizer_path())
+    return digests.withColumnRenamed("doc", "doc_id")
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forced-boundary byte-level BPE of every text, and its decoded text."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_planes": op1_token_planes,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 ORACLES: dict[str, str] = {}
