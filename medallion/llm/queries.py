@@ -9,8 +9,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import bpe, planes
+from medallion.llm import bpe, decontaminate, planes
 from medallion.llm.common import table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -31,6 +32,13 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.withColumnRenamed("doc", "doc_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items, and those items."""
+    found = decontaminate.match_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forced-boundary byte-level BPE of every text, and its decoded text."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -38,6 +46,31 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
+    "op2_decontamination": op2_decontamination,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
-ORACLES: dict[str, str] = {}
+#: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
+OP2_SQL = r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+grams AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM low, ks WHERE len(w) >= k)),
+hit AS (SELECT doc_id, i, win.k, item_id FROM grams JOIN win ON grams.k = win.k AND grams.g = win.g),
+words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS names FROM hit WHERE item_id IS NOT NULL GROUP BY doc_id)
+SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(names), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256,
+       coalesce(n, 0) > 0 AS contaminated
+FROM low LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL}
