@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, planes
+from medallion.llm import bpe, decontaminate, planes, simhash
 from medallion.llm.common import table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -39,6 +39,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate group of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forced-boundary byte-level BPE of every text, and its decoded text."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -47,6 +52,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_decontamination": op2_decontamination,
+    "op4_simhash": op4_simhash,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 #: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
