@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, planes, simhash
-from medallion.llm.common import table
+from medallion.llm import bpe, decontaminate, langid, planes, simhash
+from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
 TOKENIZER_DIR = os.environ.get("MEDALLION_TOKENIZERS", "")
@@ -39,6 +39,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a recurrent network that never saw the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, crc_mod(docs["doc_id"], 5) != 0)
+    return langid.identify(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -52,6 +60,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
