@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, langid, planes, simhash
+from medallion.llm import bpe, decontaminate, langid, planes, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -52,6 +52,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a conditional random field that never saw the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod(docs["doc_id"], 3) != 1)
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted", "spans")
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forced-boundary byte-level BPE of every text, and its decoded text."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -62,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe_round_trip": op8_bpe_round_trip,
 }
 #: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
