@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, langid, planes, simhash, toxicity
+from medallion.llm import bpe, decontaminate, langid, pitman_yor, planes, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -65,6 +65,13 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Pitman-Yor model that never saw the held-out seventh."""
+    docs = table(spark, sf_dir, "documents")
+    found = pitman_yor.score_documents(docs, crc_mod(docs["doc_id"], 7) == 2)
+    return found.select("doc_id", (crc_mod(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_decontamination": op2_decontamination,
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_pitman_yor": op9_pitman_yor,
 }
 #: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
 OP2_SQL = r"""
