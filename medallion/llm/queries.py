@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, langid, pitman_yor, planes, simhash, toxicity
+from medallion.llm import bpe, decontaminate, fingerprint, langid, pitman_yor, planes, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -72,6 +72,11 @@ def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_mod(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op10_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polynomial fingerprint of every document and of its edited text, and their likeness."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_decontamination": op2_decontamination,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_pitman_yor": op9_pitman_yor,
+    "op10_prefix_hashes": op10_prefix_hashes,
 }
 #: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
 OP2_SQL = r"""
