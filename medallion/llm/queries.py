@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, fingerprint, langid, pitman_yor, planes, simhash, toxicity
+from medallion.llm import bpe, decontaminate, fingerprint, hilbert, langid, pitman_yor, planes, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -52,6 +52,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of equal row counts along a Hilbert curve."""
+    found = hilbert.assign_shards(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a conditional random field that never saw the held-out third."""
     docs = table(spark, sf_dir, "documents")
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
+    "op6_hilbert_shards": op6_hilbert_shards,
     "op7_toxicity": op7_toxicity,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_pitman_yor": op9_pitman_yor,
