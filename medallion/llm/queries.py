@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, fingerprint, hilbert, langid, pitman_yor, planes, simhash, toxicity
+from medallion.llm import bpe, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -52,6 +52,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of equal row counts along a Hilbert curve."""
     found = hilbert.assign_shards(table(spark, sf_dir, "documents"))
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
+    "op5_html_text": op5_html_text,
     "op6_hilbert_shards": op6_hilbert_shards,
     "op7_toxicity": op7_toxicity,
     "op8_bpe_round_trip": op8_bpe_round_trip,
