@@ -217,12 +217,17 @@ def blocks_of(page: str) -> list[Block]:
                 break
         if name in BLOCK:
             end_block()
-            if stack[-1][0] == "p" and name != "br":
-                stack.pop()
+            k = len(stack) - 1
+            while k and stack[k][0] not in BLOCK:
+                k -= 1
+            if name != "br" and stack[k][0] == "p":
+                del stack[k:]
             if name in SIBLINGS and stack[-1][0] == name:
                 stack.pop()
         if name in VOID or m.group(3).endswith("/"):
             continue
+        if name == "a" and stack[-1][0] == "a":
+            stack.pop()  # links don't nest
         _, main, furniture, named, links = stack[-1]
         hint = name not in WHOLE and _named_furniture(m.group(3)) if m.group(3) else False
         if name in BLOCK or name == "a" or hint:
