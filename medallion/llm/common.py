@@ -65,9 +65,6 @@ def within(lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
 
 
-def bounded_sample(frame: DataFrame, order: Column, rows: int) -> DataFrame:
-    """At most ``rows`` rows, chosen by the smallest values of a hash: the same for the same table.
-
-    Only classifiers are fitted on such a sample; ``rows`` is a documented parameter there.
-    """
-    return frame.orderBy(order).limit(rows)
+def hash_share(hashed: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1: rows below a share are a sample of that share, the same each time."""
+    return F.shiftrightunsigned(hashed, 11) / F.lit(float(1 << 53))

@@ -6,8 +6,9 @@ byte's probabilities of the languages, and a document's probabilities are the me
 all its bytes.  Segments of many documents run through the network together.
 
 Training: back-propagation through time in numpy (Adam, cross-entropy at every byte) on
-the driver, on a bounded sample: ``rows_per_language`` labelled rows of each language,
-``windows`` segments of each, all chosen by hashes.  Only the text and the language of
+the driver, on a bounded sample: about ``rows_per_language`` labelled rows of each
+language (twice as many at most), ``windows`` segments of each, all drawn by hashes; the
+``max_languages`` most frequent languages are learned.  Only the text and the language of
 the training rows are used.
 
 Defined results: ``und`` with score 0 for null, empty and letterless texts, and for all
@@ -23,16 +24,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import slices
+from medallion.llm.common import hash_share, slices
 
 UNDETERMINED = "und"
 SEGMENT = 64
 HIDDEN = 8
 ROWS_PER_LANGUAGE = 700
 WINDOWS = 3
+#: The most frequent languages that are learned.
+MAX_LANGUAGES = 200
 STEPS = 350
 BATCH = 192
 _AT_ONCE = 4096  # segments in one run of the network
@@ -227,18 +230,22 @@ def predict(model: Model | None, texts: list[bytes | None]) -> tuple[list[str],
     return langs, np.where(known, np.clip(p[np.arange(len(texts)), best], 0, 1), 0.0)
 
 
-def fit(docs: DataFrame, usable: Column, text_column: str = "text", lang_column: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE,
+def fit(docs: DataFrame, usable: Column, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id",
+        max_languages: int = MAX_LANGUAGES, rows_per_language: int = ROWS_PER_LANGUAGE,
         windows: int = WINDOWS, **options) -> Model | None:
     """Train on a bounded sample of the rows where ``usable`` holds and the language is not null."""
     text = docs[text_column].cast("binary")
-    rows = (docs.where(usable & docs[lang_column].isNotNull() & docs[text_column].isNotNull())
-            .select(text.alias("text"), docs[lang_column].alias("lang"), F.xxhash64(text).alias("h")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    rows = (docs.where(usable & docs[lang_column].isNotNull() & (F.octet_length(text) > 0))
+            .select(text.alias("text"), docs[lang_column].alias("lang"), F.xxhash64(docs[id_column], text).alias("h")))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    if not counts:
+        return None
+    shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, rows_per_language / r["n"]))))
     # only the windows leave the tasks, not the texts
     at = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.lit(1), F.octet_length("text") - SEGMENT + 1)).cast("int") + 1
     cut = F.array(*(F.substring("text", at(k), F.lit(SEGMENT)) for k in range(windows)))
-    rows = rows.where(F.octet_length("text") > 0).select("lang", "h", cut.alias("cut"))
-    found = rows.withColumn("rank", rank).where(F.col("rank") <= rows_per_language).select("lang", "cut").collect()
+    found = (rows.where(hash_share(F.col("h")) < F.try_element_at(shares, F.col("lang"))).select("lang", "h", cut.alias("cut"))
+             .orderBy("h", "lang").limit(2 * rows_per_language * len(counts)).collect())
     return train([(bytes(w), r["lang"]) for r in found for w in r["cut"]], **options)
 
 

@@ -14,8 +14,9 @@ The marginals give a document its score (a logistic function, fitted on the trai
 documents, of their sum and their largest), and the tokens with a marginal of at least
 one half are the offending spans, with code-point offsets.
 
-The fit uses a bounded sample: ``toxic_rows`` and ``clean_rows`` labelled documents of
-at most ``train_bytes``, chosen by hash.  Every document is scored, whole.
+The fit uses a bounded sample: about ``toxic_rows`` and ``clean_rows`` labels (twice as
+many at most), drawn by a hash of the id, and of these the usable documents of at most
+``train_bytes``.  Every document is scored, whole.
 
 Defined results: null, empty and wordless texts have no tokens and get the score of no
 evidence; so do all texts where nothing could be learned (score 0); repeated rows get
@@ -32,18 +33,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.bpe import Memo
-from medallion.llm.common import segments, slices, within
+from medallion.llm.common import hash_share, segments, slices, within
 from medallion.llm.decontaminate import words_of
 
-TOXIC_ROWS = 1200
-CLEAN_ROWS = 3600
+TOXIC_ROWS = 1800
+CLEAN_ROWS = 5400
 TRAIN_BYTES = 20_000
 BLOCK = 128
 _FEATURES = 1 << 20
+#: Marginals below this count as no evidence for the document.
+LIKELY = 0.2
 _WORD_AT = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 #: Twice the log-likelihood ratio at which a word counts as found too often by chance
 #: (the tail of chi-squared beyond it is about 1e-7).
@@ -197,7 +200,7 @@ def evidence_of_documents(model: Field, docs: list[list[bytes]]) -> tuple[np.nda
     used = lengths > 0
     p = marginals(model.evidence([w for d in docs for w in d], lengths[used]), lengths[used], model.steps)
     owner = segments(lengths)
-    total = np.bincount(owner, p, len(docs))
+    total = np.bincount(owner, np.where(p >= LIKELY, p, 0), len(docs))  # else a long text adds up to evidence
     most = np.zeros(len(docs))
     np.maximum.at(most, owner, p)
     return p, owner, np.stack([np.ones(len(docs)), np.log1p(total), most], axis=1)
@@ -302,20 +305,18 @@ def _pair_counts(e: np.ndarray, lengths: np.ndarray, steps: np.ndarray, p: np.nd
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic",
         toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, train_bytes: int = TRAIN_BYTES) -> Field | None:
     """Train on a bounded sample of the labelled documents where ``usable`` (over ``docs``) holds."""
-    text = docs[text_column].cast("binary")
-    rows = docs.where(usable & docs[text_column].isNotNull()).select(
-        docs[id_column].alias("id"), text.alias("text"), F.xxhash64(text).alias("h")).where(F.octet_length("text") <= train_bytes)
     marks = (labels.where(labels[label_column].isin(0, 1)).groupBy(labels[id_column].alias("id"))
              .agg(F.max(label_column).alias("y"), F.min(label_column).alias("low")).where("y = low").select("id", "y"))
-    # the sample is drawn from ids and hashes; only its own texts travel
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "id"))
-    drawn = (rows.select("id", "h").join(marks, "id").withColumn("rank", rank)
-             .where(F.col("rank") <= F.when(F.col("y") == 1, toxic_rows).otherwise(clean_rows)).select("id", "y"))
-    chosen = drawn.collect()  # bounded by the two row limits
-    if not chosen:
+    wanted = {1: toxic_rows, 0: clean_rows}
+    shares = {r["y"]: min(1.0, wanted[r["y"]] / r["n"]) for r in marks.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(shares) < 2:
         return None
+    drawn = marks.where(hash_share(F.xxhash64("id")) < F.when(F.col("y") == 1, shares[1]).otherwise(shares[0]))
+    chosen = drawn.orderBy(F.xxhash64("id"), "id").limit(2 * (toxic_rows + clean_rows)).collect()
     picked = docs.sparkSession.createDataFrame(chosen, drawn.schema)
-    found = rows.join(F.broadcast(picked), "id").select("text", "y").collect()
+    text = docs[text_column].cast("binary")
+    rows = docs.where(usable & (F.octet_length(text) <= train_bytes)).select(docs[id_column].alias("id"), text.alias("text"))
+    found = rows.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.min("text").alias("text")).collect()
     return train([(bytes(r["text"]), r["y"]) for r in found])
 
 
