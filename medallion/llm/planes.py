@@ -20,7 +20,7 @@ and lengths), so no task ever needs more than one chunk.
 
 Defined results: a null text is the empty one and has the end id alone.  Documents
 with equal ids (repeated rows) are different documents, told apart by their place;
-among them the order is by text.  Null ids come first.  An empty table has no chunks.
+among them the order is by a hash of the text.  Null ids come first.  An empty table has no chunks.
 """
 
 from __future__ import annotations
@@ -33,12 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.bpe import Memo, byte_letters, read_spec
+from medallion.llm.bpe import MEMO_ENTRIES, Memo, byte_letters, read_spec
 from medallion.llm.common import slices
 from medallion.session import scratch_path
 
@@ -47,7 +48,7 @@ CHUNK_IDS = 1 << 16
 END_ID = 0
 
 
-def pack_planes(ids: np.ndarray, plane_bits: int = 8, level: int = 3) -> bytes:
+def pack_planes(ids: np.ndarray, plane_bits: int = 8, level: int = 1) -> bytes:
     """One chunk's payload.  Planes above the highest bit used are not stored."""
     ids = np.ascontiguousarray(ids, "<u4")
     width = max(1, int(ids.max()).bit_length()) if len(ids) else 1
@@ -88,17 +89,27 @@ def unpack_planes(payload: bytes) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
 
 
+# The pre-token pattern over bytes, right wherever all characters beyond ASCII are letters.
+_ASCII_TOKEN = re.compile(rb"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z\x80-\xff]+| ?[0-9]+| ?[!-/:-@\[-`{-~\x00-\x08\x0e-\x1f\x7f]+"
+                          rb"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+
+
+class _SpaceRun(Exception):
+    """A piece ends in white space, so the cut after it is not certain."""
+
+
 class LibraryEncoder:
-    """Whole texts through the tokenizers library, each distinct piece of a text once.
+    """Whole texts through the tokenizers library, each distinct pre-token of a text once.
 
     The pre-tokenizer ends a pre-token before every space that follows something other
-    than white space, so such a text's ids are those of its pieces; the library's
-    pre-tokenizer and model encode the pieces not seen before.  Texts with a space after
-    white space, or with what may be a special token, go to the library whole.
+    than white space, so such a text's ids are those of its pieces, and a piece's ids
+    those of its pre-tokens, which the library's model encodes.  Texts in which a space
+    follows white space are cut at fewer places; those that may hold a special token go
+    to the library as they are.
     """
 
-    # Unicode White_Space in UTF-8 (and the four separators some patterns add), then a space
-    _other = re.compile(rb"(?:[\t-\r \x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80) |<\|")
+    _certain = re.compile(rb"(?<=[!-~])(?= )")
+    _odd = regex.compile(r"[^\x00-\x7f\p{L}]")
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -107,31 +118,45 @@ class LibraryEncoder:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         pre = self._tokenizer.pre_tokenizer
-        if self._tokenizer.normalizer is not None or not str(pre).startswith("ByteLevel(add_prefix_space=False"):
-            self._pieces = None  # other tokenizers: whole texts
-            return
-        self._letters = {b: c for c, b in byte_letters().items()}
-        self._pieces = Memo(lambda p: self._model(b" " + p))
-
-    def _model(self, piece: bytes) -> bytes:
-        tokenize = self._tokenizer.model.tokenize
-        if piece[1:].isalpha():
-            words = ["Ġ" + piece[1:].decode()]  # letters after a space are one pre-token
-        else:
-            words = [w for w, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(piece.decode())]
-        return np.array([t.id for w in words for t in tokenize(w)], "<u4").tobytes()
-
-    def _whole(self, data: bytes) -> bytes:
-        return np.array(self._tokenizer.encode(data.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self._byte_level = self._tokenizer.normalizer is None and str(pre).startswith("ByteLevel(add_prefix_space=False")
+        self._letter = {b: c for c, b in byte_letters().items()}
+        self._id = [i.to_bytes(4, "little") for i in range(1 + max(self._tokenizer.get_vocab().values()))]
+        self._tokenize = self._tokenizer.model.tokenize
+        self._tokens = Memo(self._token)
+        self._pieces = Memo(self._piece)
+        self._after_space = Memo(self._spaced, 2 * MEMO_ENTRIES)
+
+    def _token(self, token: bytes) -> bytes:
+        word = token.decode("latin-1").translate(self._letter)
+        return b"".join([self._id[t.id] for t in self._tokenize(word)])
+
+    def _piece(self, piece: bytes) -> bytes:
+        if piece.isascii() or not self._odd.search(piece.decode("utf-8")):
+            tokens = _ASCII_TOKEN.findall(piece)
+            return self._token(piece) if len(tokens) == 1 else b"".join([self._tokens[t] for t in tokens])
+        words = self._tokenizer.pre_tokenizer.pre_tokenize_str(piece.decode("utf-8"))
+        return b"".join([self._id[t.id] for w, _ in words for t in self._tokenize(w)])
+
+    def _spaced(self, piece: bytes) -> bytes:
+        if piece.isalpha():  # ASCII letters after a space are one pre-token
+            return b"".join([self._id[t.id] for t in self._tokenize("Ġ" + piece.decode())])
+        if not piece or piece[-1] <= 32 or piece[-1] >= 128 and piece.decode("utf-8")[-1].isspace():
+            raise _SpaceRun
+        return self._piece(b" " + piece)
 
     def encode(self, data: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not data:
             return b""
-        if self._pieces is None or self._other.search(data):
-            return self._whole(data)
+        if not self._byte_level or b"<|" in data:
+            return np.array(self._tokenizer.encode(data.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = data.split(b" ")
-        return (self._whole(first) if first else b"") + b"".join(map(self._pieces.__getitem__, rest))
+        try:
+            if not rest or first and not first.decode("utf-8")[-1].isspace():
+                return self._pieces[first] + b"".join(map(self._after_space.__getitem__, rest))
+        except _SpaceRun:
+            pass
+        return b"".join([self._pieces[p] for p in self._certain.split(data)])
 
 
 @functools.lru_cache(maxsize=2)
