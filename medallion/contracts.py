@@ -10,7 +10,7 @@ column names of the source files and of the published tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +29,19 @@ class Field:
     clean: Cleaner | None = None
     nullable: bool = True
     max_length: int | None = None
+    decimal: tuple[int, int] | None = None  # digits and scale of the published column
+
+    def value(self, source: Column) -> Column:
+        """The trusted value of a raw column: cleaner, then the never-throwing cast.
+
+        Whole numbers also come as float text (``'12345.0'``) and are read as such.
+        """
+        c = source if self.clean is None else self.clean(source)
+        if self.dtype == "bigint":
+            return casts.float_text_to_long(c)
+        if self.dtype == "int":
+            return casts.float_text_to_int(c)
+        return c if self.dtype == "string" else casts.try_cast_to(c, self.dtype)
 
 
 @dataclass(frozen=True)
@@ -71,11 +84,7 @@ class TableContract:
         out = []
         for f in self.raw_fields:
             c = F.col(f"`{f.raw}`") if f.raw in df.columns else F.lit(None).cast("string")
-            if f.clean is not None:
-                c = f.clean(c)
-            if f.dtype != "string":
-                c = casts.try_cast_to(c, f.dtype)
-            out.append(c.alias(f.name))
+            out.append(f.value(c).alias(f.name))
         return out
 
 
@@ -90,7 +99,7 @@ INSTITUTIONS = TableContract(
         Field("Segmento", "segment", max_length=10),
         Field("CNPJ", "cnpj", clean=text.pad_id, max_length=8),
         Field("Nome", "financial_institution_name",
-              clean=lambda c: text.blank_to_null(text.strip_prudential(c)), max_length=255),
+              clean=lambda c: text.blank_to_null(text.strip_prudential(c)), nullable=False, max_length=255),
         Field(None, "sk_cnpj_segment", nullable=True, max_length=40),
     ),
     primary_key=("sk_cnpj_segment",),
@@ -123,11 +132,11 @@ PROFILES = TableContract(
         Field("employer-industry", "employer_industry", max_length=255),
         Field("employer-revenue", "employer_revenue", max_length=255),
         Field("url", "url", max_length=255),
-        *(Field(raw, clean, "double") for raw, clean in PROFILE_SCORES),
+        *(Field(raw, clean, "double", decimal=(5, 2)) for raw, clean in PROFILE_SCORES),
         Field("Segmento", "segment", max_length=10),
         Field("CNPJ", "cnpj", clean=text.pad_id, max_length=8),
         Field("Nome", "financial_institution_name", nullable=False, max_length=255),
-        Field("match_percent", "match_percent", "int", clean=text.cut_decimals),
+        Field("match_percent", "match_percent", "int", clean=text.cut_decimals, decimal=(5, 2)),
         Field(None, "headquarters_city"),
         Field(None, "headquarters_country"),
         Field(None, "source_file"),
@@ -146,10 +155,10 @@ BANK_NAME_ALIASES: dict[str, str] = {
 }
 
 
-
 def claim_name(c: Column) -> Column:
-    """Claim institution name: marker stripped, blank -> null, whole-value aliases."""
-    return text.alias_map(text.blank_to_null(text.strip_conglomerate(c)), BANK_NAME_ALIASES)
+    """Claim institution name: marker stripped, blank -> null, whole-value aliases (blanks around the value don't count)."""
+    name = text.blank_to_null(text.strip_conglomerate(c))
+    return text.alias_of(text.strip(name), name, BANK_NAME_ALIASES)
 
 
 # The dash in the three customer-count headers is U+2013; in the cp1252 files
@@ -160,12 +169,12 @@ CLAIMS = TableContract(
     sep=";",
     encoding="windows-1252",
     fields=(
-        Field("Ano", "year_claim", max_length=4),
-        Field("Trimestre", "quarter_claim", "int", clean=text.drop_ordinal),
+        Field("Ano", "year_claim", nullable=False, max_length=4),
+        Field("Trimestre", "quarter_claim", "int", clean=text.drop_ordinal, nullable=False),
         Field("Categoria", "category", max_length=255),
         Field("Tipo", "bank_type", max_length=255),
         Field("CNPJ IF", "cnpj", clean=text.pad_id, max_length=8),
-        Field("Instituição financeira", "financial_institution_name", clean=claim_name, max_length=255),
+        Field("Instituição financeira", "financial_institution_name", clean=claim_name, nullable=False, max_length=255),
         Field("Índice", "bank_index", "double", clean=text.locale_decimal_text),
         Field("Quantidade de reclamações reguladas procedentes", "number_of_regulated_proceeding_complaints", "bigint"),
         Field("Quantidade de reclamações reguladas - outras", "number_of_regulated_other_complaints", "bigint"),
@@ -177,20 +186,24 @@ CLAIMS = TableContract(
         Field("Quantidade de clientes – SCR", "number_of_scr_customers", "bigint", clean=text.remove_spaces),
         Field(None, "sk_financial_institution_name", max_length=40),
     ),
+    primary_key=("financial_institution_name", "year_claim", "quarter_claim"),
 )
 
 CLAIM_COLUMNS = [f.name for f in CLAIMS.fields]
 
-# Profile columns carried into the delivery table: every profile column that
+# Profile columns carried into the delivery table: those of the raw files that
 # the claims/registry side does not already have (FIXTURES §2).
-PROFILE_DELIVERY_COLUMNS = [
-    "employer_name", "reviews_count", "culture_count", "salaries_count", "benefits_count",
-    "employer_website", "employer_headquarters", "employer_founded", "employer_industry",
-    "employer_revenue", "url", *[clean for _, clean in PROFILE_SCORES], "match_percent",
-]
+PROFILE_DELIVERY_COLUMNS = [f.name for f in PROFILES.raw_fields if f.name not in {*CLAIM_COLUMNS, "segment"}]
 
 DELIVERY_COLUMNS = [*CLAIM_COLUMNS, "segment", "sk_cnpj_segment", *PROFILE_DELIVERY_COLUMNS]
 
+# The SQL variant's table: claims without their counts, the registry segment, and the
+# profile without its names and addresses but with the headquarters in two columns.
+SQL_CLAIM_COLUMNS = [f.name for f in CLAIMS.fields if f.dtype != "bigint"]
+SQL_PROFILE_COLUMNS = [f.name for f in PROFILES.fields
+                       if f.name in {*PROFILE_DELIVERY_COLUMNS, "headquarters_city", "headquarters_country"}
+                       and f.name not in {"employer_name", "employer_headquarters", "url"}]
+
 
 def _fields_by_name() -> dict[str, Field]:
     out: dict[str, Field] = {}
@@ -200,12 +213,9 @@ def _fields_by_name() -> dict[str, Field]:
     return out
 
 
-# The published delivery table: its columns take type and length from the
-# source contract they come from (claims first, then registry, then profiles).
+# The published delivery table: its columns take type, length and null rule from
+# the source contract they come from (claims first, then registry, then profiles).
 DELIVERY = TableContract(
     name="bank_employment_satisfaction",
-    fields=tuple(
-        Field(None, name, _fields_by_name()[name].dtype, max_length=_fields_by_name()[name].max_length)
-        for name in DELIVERY_COLUMNS
-    ),
+    fields=tuple(replace(_fields_by_name()[name], raw=None, clean=None) for name in DELIVERY_COLUMNS),
 )

@@ -27,19 +27,31 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters of Java's ``\\s`` class: space, tab, newline, vertical tab,
+# form feed, carriage return.
+WHITESPACE = " \t\n\x0b\f\r"
+# Unicode's other blanks (White_Space beyond ASCII).
+UNICODE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def without_blanks(c: ColumnOrName) -> Column:
+    """Every blank of any kind removed, in one pass."""
+    return F.translate(_col(c), WHITESPACE + UNICODE_SPACES, "")
+
+
 def blank_to_null(c: ColumnOrName) -> Column:
-    """Empty or all-blank text becomes null; other values are kept as they are."""
+    """Empty or all-blank text (blanks of any kind) becomes null; other values are kept as they are."""
     c = _col(c)
-    return F.when(F.trim(c) == F.lit(""), F.lit(None).cast("string")).otherwise(c)
+    return F.when(without_blanks(c) != F.lit(""), c)
 
 
 def pad_id(c: ColumnOrName, width: int = ID_WIDTH) -> Column:
-    """Left zero-pad to ``width`` without ever truncating a longer id.
+    """Blanks removed, then left zero-pad to ``width`` without ever truncating a longer id.
 
     Blank ids become null first (D1), so a null id never joins.
     """
-    c = blank_to_null(c)
-    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
+    bare = F.nullif(without_blanks(c), F.lit(""))
+    return F.lpad(bare, F.greatest(F.length(bare), F.lit(width)), F.lit("0"))
 
 
 def pad_truncate(c: ColumnOrName, width: int = ID_WIDTH) -> Column:
@@ -53,8 +65,8 @@ def lower(c: ColumnOrName) -> Column:
 
 
 def strip(c: ColumnOrName) -> Column:
-    """T4: strip leading and trailing whitespace of any kind (``trim`` only drops U+0020)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """T4: strip leading and trailing whitespace of any kind (``trim`` alone only drops U+0020)."""
+    return F.trim(_col(c), F.lit(WHITESPACE + UNICODE_SPACES))
 
 
 def remove_spaces(c: ColumnOrName) -> Column:
@@ -62,11 +74,6 @@ def remove_spaces(c: ColumnOrName) -> Column:
     return F.replace(_col(c), F.lit(" "), F.lit(""))
 
 
-# The characters of Java's ``\s`` class: space, tab, newline, vertical tab,
-# form feed, carriage return.
-WHITESPACE = " \t\n\x0b\f\r"
-
-
 def remove_whitespace(c: ColumnOrName) -> Column:
     """Remove every whitespace character (``regexp_replace(c, '\\s+', '')``).
 
@@ -91,7 +98,7 @@ def regex_replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Colu
     start = F.regexp_instr(c, F.lit(pattern))
     match = F.regexp_extract(c, pattern, 0)
     before = c.substr(F.lit(1), start - 1)
-    after = c.substr(start + F.length(match), F.lit(1 << 30))
+    after = c.substr(start + F.length(match), F.length(c))
     return F.when(start > 0, F.concat(before, F.lit(replacement), after)).otherwise(c)
 
 
@@ -152,11 +159,15 @@ def alias_map(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:
     The map is a literal in the plan, so it must stay small (tens of entries);
     for a mapping table that grows with the data use ``map_by_join``.
     """
-    c = _col(c)
+    return alias_of(c, c, mapping)
+
+
+def alias_of(key: ColumnOrName, c: ColumnOrName, mapping: Mapping[str, str]) -> Column:
+    """T17 looked up by another form of the value (e.g. without the blanks around it)."""
     if not mapping:
-        return c
+        return _col(c)
     pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.coalesce(F.create_map(*pairs)[c], c)
+    return F.coalesce(F.create_map(*pairs)[_col(key)], _col(c))
 
 
 def alias_substring(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:

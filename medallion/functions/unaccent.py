@@ -23,11 +23,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from medallion.functions.text import UNICODE_SPACES
+
 ColumnOrName = Column | str
 
 # Blocks scanned for decomposable letters: Latin-1 Supplement, Latin
-# Extended-A and Latin Extended-B.
-_LATIN_RANGE = range(0x00C0, 0x0250)
+# Extended-A and -B, and Latin Extended Additional.
+_LATIN_RANGE = (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00))
+
+# Combining marks (and characters of no width), deleted: text in decomposed form
+# gives what its precomposed form gives.
+_DELETED = "".join(map(chr, (*range(0x0300, 0x0370), 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)))
+
+# Punctuation by its ASCII form.
+PUNCTUATION: dict[str, str] = {
+    **dict.fromkeys("\u2010\u2011\u2012\u2013\u2014\u2015\u2212", "-"),
+    **dict.fromkeys("\u2018\u2019\u201a\u201b\u2032", "'"),
+    **dict.fromkeys("\u201c\u201d\u201e\u201f\u2033", '"'),
+}
 
 # Letters without a canonical decomposition, transliterated the
 # way common ASCII-folding tables do it.  One-letter results join the translate
@@ -52,9 +65,12 @@ MULTI_LETTER = {k: v for k, v in LIGATURES.items() if len(v) > 1}
 
 @lru_cache(maxsize=1)
 def translate_table() -> tuple[str, str]:
-    """(source letters, ASCII letters) for ``F.translate``, built by rule."""
+    """(source letters, ASCII letters) for ``F.translate``, built by rule.
+
+    The source ends with the characters that are deleted: they have no counterpart.
+    """
     src, dst = [], []
-    for k, v in LIGATURES.items():
+    for k, v in (*LIGATURES.items(), *PUNCTUATION.items(), *dict.fromkeys(UNICODE_SPACES, " ").items()):
         if len(v) == 1:
             src.append(k)
             dst.append(v)
@@ -67,7 +83,7 @@ def translate_table() -> tuple[str, str]:
         if len(decomposed) > 1 and base.isascii() and base.isalpha() and all(unicodedata.combining(m) for m in marks):
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+    return "".join(src) + _DELETED, "".join(dst)
 
 
 def unaccent(c: ColumnOrName) -> Column:
@@ -82,9 +98,14 @@ def _nfkd_strip(text: str | None) -> str | None:
     if text is None:
         return None
     folded = "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
-    for k, v in LIGATURES.items():
-        folded = folded.replace(k, v)
-    return folded
+    return folded.translate(_folding())
+
+
+@lru_cache(maxsize=1)
+def _folding() -> dict:
+    """The native table as Python's, with the letters that become several."""
+    src, dst = translate_table()
+    return {**dict(zip(map(ord, src), dst)), **dict.fromkeys(map(ord, _DELETED)), **{ord(k): v for k, v in MULTI_LETTER.items()}}
 
 
 @pandas_udf(T.StringType())

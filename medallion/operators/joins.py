@@ -24,10 +24,15 @@ def join_on(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: s
     return left.join(right, on=keys, how=how)
 
 
-def join_columns(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "inner") -> DataFrame:
-    """Equi-join on differently named keys (both key columns kept)."""
-    cond = [left[a] == right[b] for a, b in pairs]
-    return left.join(right, on=cond, how=how)
+def join_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on a computed text key that is null for rows without one; the key appears once.
+
+    An inner join gets a not-null filter on its keys, and that filter would compute the key a
+    second time below the projection.  The left side joins on a form of the key that is never null
+    (the empty text, which no key is), so the key is computed once for each of its rows.
+    """
+    r = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "__key")
+    return left.join(r, F.coalesce(left[key], F.lit("")) == r["__key"]).drop("__key")
 
 
 def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,

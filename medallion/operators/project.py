@@ -1,4 +1,4 @@
-"""Projection operators.
+"""Projection operators (P1, P2, P6, P7; the others are DataFrame methods used as they are).
 
 All of these are plain DataFrame projections; Catalyst collapses consecutive
 ones and prunes unused columns down to the scan.  Column lists derived from
@@ -24,16 +24,6 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def select_renamed(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Keep only the mapped columns, renamed, in mapping order."""
-    return df.select(*[q(raw).alias(clean) for raw, clean in mapping.items()])
-
-
-def drop_columns(df: DataFrame, *names: str) -> DataFrame:
-    """P4."""
-    return df.drop(*names)
-
-
 def column_difference(left: DataFrame, right: DataFrame, keep: Sequence[str] = ()) -> list[str]:
     """Columns of ``left`` that ``right`` does not have, plus ``keep``, in ``left`` order."""
     right_cols = set(right.columns)
@@ -45,19 +35,3 @@ def column_difference(left: DataFrame, right: DataFrame, keep: Sequence[str] = (
 def keep_only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop every column not listed (as one projection)."""
     return df.select(*[q(c) for c in columns])
-
-
-def derive(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add or replace several columns in a single projection."""
-    return df.withColumns(dict(columns))
-
-
-def filter_equals(df: DataFrame, column: str, value) -> DataFrame:
-    """F1."""
-    return df.where(q(column) == F.lit(value))
-
-
-def conditional(condition: Column, value: Column, otherwise: Column | None = None) -> Column:
-    """``CASE WHEN condition THEN value ELSE otherwise END``."""
-    expr = F.when(condition, value)
-    return expr if otherwise is None else expr.otherwise(otherwise)

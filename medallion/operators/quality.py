@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.contracts import TableContract
-from medallion.functions import casts
+from medallion.functions import text
 from medallion.operators.union import union_all_by_name
 
 
@@ -74,20 +74,32 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _rules(contract: TableContract, df: DataFrame) -> list[tuple[str, str, Column]]:
+    """(column, rule, condition of a violation).
+
+    A numeric field that is still text breaks ``numeric`` when the text is no number;
+    one that is typed does when it does not fit its declared decimal.
+    """
+    types = dict(df.dtypes)
     rules = []
     for f in contract.fields:
-        if f.name not in df.columns:
+        if f.name not in types:
             continue
         c = q(f.name)
         if not f.nullable:
             rules.append((f.name, "not_null", c.isNull()))
-        if f.max_length is not None and f.dtype == "string":
-            rules.append((f.name, "max_length", F.length(c) > f.max_length))
+        if f.dtype == "string":
+            if f.max_length is not None:
+                rules.append((f.name, "max_length", F.length(c) > f.max_length))
+        elif types[f.name] == "string":
+            rules.append((f.name, "numeric", (text.without_blanks(c) != F.lit("")) & f.value(c).isNull()))
+        elif f.decimal is not None:
+            digits, scale = f.decimal
+            rules.append((f.name, "numeric", F.abs(F.round(c, scale)) >= F.lit(10 ** (digits - scale))))
     return rules
 
 
-def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Rows breaking each not-null / max-length rule of the contract, in one pass."""
+def contract_violations(df: DataFrame, contract: TableContract, table: str | None = None) -> DataFrame:
+    """Rows breaking each not-null / max-length / numeric rule of the contract, in one pass."""
     rules = _rules(contract, df)
     wide = df.agg(*[
         F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"__r{i}")
@@ -98,7 +110,8 @@ def contract_violations(df: DataFrame, contract: TableContract) -> DataFrame:
         [(f"__r{i}", col, rule) for i, (col, rule, _) in enumerate(rules)],
         "__slot string, column_name string, rule string",
     )
-    return long.join(meta, "__slot").select("column_name", "rule", "violations")
+    name = [F.lit(table).alias("table_name")] if table else []
+    return long.join(meta, "__slot").select(*name, "column_name", "rule", "violations")
 
 
 def cast_failures(raw: DataFrame, contract: TableContract) -> DataFrame:
@@ -107,9 +120,8 @@ def cast_failures(raw: DataFrame, contract: TableContract) -> DataFrame:
     exprs = []
     for i, f in enumerate(typed):
         src = q(f.raw)
-        cleaned = f.clean(src) if f.clean else src
-        value = casts.try_cast_to(cleaned, f.dtype)
-        present = F.trim(src) != F.lit("")
+        value = f.value(src)
+        present = text.without_blanks(src) != F.lit("")
         failed = F.sum(F.when(present & value.isNull(), 1).otherwise(0))
         exprs.append(F.coalesce(failed, F.lit(0)).cast("bigint").alias(f"__f{i}"))
     wide = raw.agg(*exprs)

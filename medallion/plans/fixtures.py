@@ -27,16 +27,29 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _blanks_around(value: Column, where: Column) -> Column:
+    return F.when(where, F.concat(F.lit(" "), value, F.lit(" "))).otherwise(value)
+
+
+def _as_float(value: Column, where: Column) -> Column:
+    """Whole numbers as float text (``'12345.0'``), the way a frame with gaps writes them."""
+    return F.when(where, F.concat(value, F.lit(".0"))).otherwise(value)
+
+
 def institutions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bank registry: ``Segmento, CNPJ, Nome`` (tab-separated in the wild)."""
     c = read_table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_mktsegment").alias("Segmento"),
-        _s(F.col("c_custkey")).alias("CNPJ"),
+        _blanks_around(_s(F.col("c_custkey")), F.col("c_mktsegment") == "BUILDING").alias("CNPJ"),
         F.concat(F.col("c_name"), F.lit(" - PRUDENCIAL")).alias("Nome"),
     )
 
 
+# Fixed value: a text with every separator of the raw files and with quotes.
+REVENUE = 'Desconhecida/não se aplica | "R$ 1; 2"\t'
+
+
 def _profile_columns(stale: bool) -> list[Column]:
     """The 20 profile columns that precede ``Segmento``/``CNPJ`` in the file."""
     nation, key = F.col("c_nationkey"), F.col("c_custkey")
@@ -49,15 +62,15 @@ def _profile_columns(stale: bool) -> list[Column]:
         scores.append(value.alias(raw))
     return [
         (F.concat(F.col("c_name"), F.lit(" (old)")) if stale else F.col("c_name")).alias("employer_name"),
-        (F.lit("1") if stale else _s(nation * 37 + 11)).alias("reviews_count"),
-        _s(nation * 13 + 3).alias("culture_count"),
+        (F.lit("1") if stale else _as_float(_s(nation * 37 + 11), nation % 2 == 1)).alias("reviews_count"),
+        _as_float(_s(nation * 13 + 3), nation % 3 == 1).alias("culture_count"),
         _s(nation * 51 + 7).alias("salaries_count"),
         _s(nation * 9 + 1).alias("benefits_count"),
         F.concat(F.lit("http://www."), F.lower(F.col("c_mktsegment")), F.lit(".example.com")).alias("employer-website"),
         F.when(nation % 2 == 0, F.lit("Paris, França")).otherwise(F.lit("São Paulo, Brasil")).alias("employer-headquarters"),
         F.when(nation != 0, F.concat(_s(F.lit(1900) + nation * 4), F.lit(".0"))).alias("employer-founded"),
         F.col("c_mktsegment").alias("employer-industry"),
-        F.lit("Desconhecida/não se aplica").alias("employer-revenue"),
+        F.lit(REVENUE).alias("employer-revenue"),
         F.concat(F.lit("https://example.com/employers/"), _s(key)).alias("url"),
         *scores,
     ]
@@ -79,7 +92,7 @@ def profiles_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     stale = c.where(F.col("c_mktsegment") == "AUTOMOBILE").select(
         *_profile_columns(stale=True), segment, name, F.lit("60").alias("match_percent"))
     less = c.where(F.col("c_acctbal") < 0).select(
-        *_profile_columns(stale=False), _s(F.col("c_custkey")).alias("CNPJ"), name, F.lit("70").alias("match_percent"))
+        *_profile_columns(stale=False), _blanks_around(_s(F.col("c_custkey")), F.col("c_nationkey") % 2 == 0).alias("CNPJ"), name, F.lit("70").alias("match_percent"))
     return main.unionByName(stale), less
 
 
@@ -101,7 +114,8 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     an institution id, unspecified-priority claims without a usable name,
     fulfilled ones with the upper-case conglomerate spelling; December index
     text is blank and June index text is junk; medium-priority claims have
-    blank customer counts.
+    blank customer counts.  Pending claims have blanks around their id, open ones
+    write whole numbers as float text, and the category holds a separator and quotes.
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
@@ -112,23 +126,24 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
     blank = F.lit(" ")
     ccs_blank = priority == MEDIUM
+    floats = F.col("o_orderstatus") == "O"
     return j.select(
         _s(F.year("o_orderdate")).alias("Ano"),
         F.concat(_s(F.quarter("o_orderdate")), F.lit("º")).alias("Trimestre"),
-        priority.alias("Categoria"),
+        F.concat(priority, F.lit('; "'), F.col("o_orderstatus"), F.lit('"')).alias("Categoria"),
         F.col("o_orderstatus").alias("Tipo"),
-        F.when(priority == NO_ID_PRIORITY, blank).otherwise(_s(ckey)).alias("CNPJ IF"),
+        F.when(priority == NO_ID_PRIORITY, blank).otherwise(_blanks_around(_s(ckey), F.col("o_orderstatus") == "P")).alias("CNPJ IF"),
         F.when(priority == NO_NAME_PRIORITY, F.lit("SEM NOME"))
          .when(F.col("o_orderstatus") == "F", F.concat(F.upper("c_name"), F.lit(" (conglomerado)")))
          .otherwise(F.concat(blank, F.col("c_name"))).alias("Instituição financeira"),
         F.when(month == 12, blank)
          .when(month == 6, F.lit("n/d"))
          .otherwise(F.translate(F.format_number("o_totalprice", 2), ",.", ".,")).alias("Índice"),
-        _s(nation).alias("Quantidade de reclamações reguladas procedentes"),
+        _as_float(_s(nation), floats).alias("Quantidade de reclamações reguladas procedentes"),
         _s(day).alias("Quantidade de reclamações reguladas - outras"),
         _s(month).alias("Quantidade de reclamações não reguladas"),
         _s(nation + day + month).alias("Quantidade total de reclamações"),
-        F.when(ccs_blank, blank).otherwise(_s(ckey * 3)).alias(CCS_SCR_TOTAL),
-        F.when(ccs_blank, blank).otherwise(_s(ckey * 2)).alias(CCS_COUNT),
-        F.when(ccs_blank, blank).otherwise(_s(ckey)).alias(SCR_COUNT),
+        F.when(ccs_blank, blank).otherwise(_as_float(_s(ckey * 3), floats)).alias(CCS_SCR_TOTAL),
+        F.when(ccs_blank, blank).otherwise(_as_float(_s(ckey * 2), floats)).alias(CCS_COUNT),
+        F.when(ccs_blank, blank).otherwise(_as_float(_s(ckey), floats)).alias(SCR_COUNT),
     )

@@ -40,6 +40,7 @@ from medallion.contracts import (
 from medallion.functions import text
 from medallion.functions.keys import document_key, name_key
 from medallion.operators.dedup import first_by
+from medallion.operators.joins import join_on_key
 from medallion.operators.project import column_difference
 from medallion.operators.quality import observed
 from medallion.operators.union import union_by_name
@@ -87,24 +88,21 @@ def trusted_claims(raw: DataFrame) -> DataFrame:
     return df.withColumn("sk_financial_institution_name", name_key("financial_institution_name"))
 
 
-def _composite_inputs(claims: DataFrame, institutions: DataFrame,
-                      profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two sides of the composite-key join of Z5.
-
-    * claims with their registry entry (id join, registry name dropped);
-    * the employee side: distinct ``(id, name key)`` pairs of the claims joined
-      to the profiles, keyed by ``sha1(id || profile segment)``, carrying only
-      the profile columns the claims side does not have (P6), de-duplicated.
-    """
-    banks = institutions.select("cnpj", "segment", "sk_cnpj_segment")
-    banks_claims = claims.select(*CLAIM_COLUMNS).join(banks, "cnpj", "inner")
+def _employees(claims: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The employee side of Z5: distinct ``(id, name key)`` pairs of the claims joined to the
+    profiles, keyed by ``sha1(id || profile segment)``, with only the profile columns the claims
+    side does not have (P6), de-duplicated."""
     prof = profiles.drop("financial_institution_name", "cnpj")
-    pairs = claims.select("cnpj", "sk_financial_institution_name").distinct()
-    employee = pairs.join(prof, "sk_financial_institution_name", "inner")
-    employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
-    carried = [c for c in column_difference(employee, banks_claims, keep=["sk_cnpj_segment"])
+    pairs = claims.select("cnpj", "sk_financial_institution_name").where("cnpj IS NOT NULL").distinct()
+    employee = join_on_key(pairs, prof, "sk_financial_institution_name")
+    employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment")).where("segment IS NOT NULL")
+    carried = [c for c in column_difference(employee, claims, keep=["sk_cnpj_segment"])
                if c in PROFILE_DELIVERY_COLUMNS or c == "sk_cnpj_segment"]
-    return banks_claims, employee.select(*carried).distinct()
+    return employee.select(*carried).distinct()
+
+
+def _registry(institutions: DataFrame) -> DataFrame:
+    return institutions.select("cnpj", "segment", "sk_cnpj_segment")
 
 
 def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -112,7 +110,8 @@ def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: Dat
 
     The many-to-many join of Z5 before any de-duplication of its output.
     """
-    banks_claims, employee = _composite_inputs(claims, institutions, profiles)
+    banks_claims = claims.select(*CLAIM_COLUMNS).join(_registry(institutions), "cnpj", "inner")
+    employee = _employees(claims, profiles)
     return banks_claims.join(employee, "sk_cnpj_segment", "inner").select(*DELIVERY_COLUMNS)
 
 
@@ -129,19 +128,21 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
     de-duplication; they differ only in de-duplicating the join's inputs or its
     output.
 
-    The pairs branch reads only the id and name columns of the claims (column
-    pruning reaches the scan), so the second read of the fact table is narrow.
-    The distincts aggregate on full rows, so an institution holding a third of
-    all claims is spread over all partitions by the aggregate's hash, and the
-    final join on the composite key is either a broadcast of the (small,
-    profile-bounded) employee side or a sort-merge join whose skewed partition
-    AQE splits.
+    The early form meets registry and employees first (both are bounded by the number of
+    institutions and profiles, not of claims), so the claims join once, and their distinct carries
+    their own 15 columns only; the join's not-null filter on the id reaches below it.  (A semi-join
+    of the claims against the ids that are left was tried: it computes the employee side twice.)
+    The distincts aggregate on full rows, so an institution holding a third of all claims is spread over all
+    partitions by the aggregate's hash; the joins broadcast a side under the session threshold or
+    are sort-merge joins whose skewed partitions AQE splits.
     """
-    banks_claims, employee = _composite_inputs(claims, institutions, profiles)
+    claims = claims.select(*CLAIM_COLUMNS)
+    employee, registry = _employees(claims, profiles), _registry(institutions)
     if early_distinct:
-        out = banks_claims.distinct().join(employee, "sk_cnpj_segment", "inner")
+        matched = registry.distinct().join(employee, "sk_cnpj_segment", "inner")
+        out = claims.distinct().join(matched, "cnpj", "inner")
     else:
-        out = banks_claims.join(employee, "sk_cnpj_segment", "inner").distinct()
+        out = claims.join(registry, "cnpj", "inner").join(employee, "sk_cnpj_segment", "inner").distinct()
     return out.select(*DELIVERY_COLUMNS)
 
 

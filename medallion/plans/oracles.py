@@ -26,7 +26,7 @@ ORDER_CUST_ID = pad8("CAST(o_custkey AS VARCHAR)")
 CLAIMS_SELECT = f"""
   CAST(year(o_orderdate) AS VARCHAR) AS year_claim,
   CAST(quarter(o_orderdate) AS INTEGER) AS quarter_claim,
-  o_orderpriority AS category,
+  o_orderpriority || '; "' || o_orderstatus || '"' AS category,
   o_orderstatus AS bank_type,
   CASE WHEN {NO_ID} THEN NULL ELSE {ORDER_CUST_ID} END AS cnpj,
   CASE WHEN {NO_NAME} THEN 'SEM NOME'
@@ -73,7 +73,7 @@ PROFILE_SELECT = f"""
   CASE WHEN c_nationkey % 2 = 0 THEN 'Paris, França' ELSE 'São Paulo, Brasil' END AS employer_headquarters,
   CAST(CASE WHEN c_nationkey <> 0 THEN 1900 + c_nationkey * 4 END AS INTEGER) AS employer_founded,
   c_mktsegment AS employer_industry,
-  'Desconhecida/não se aplica' AS employer_revenue,
+  'Desconhecida/não se aplica | "R$ 1; 2"' || chr(9) AS employer_revenue,
   'https://example.com/employers/' || CAST(c_custkey AS VARCHAR) AS url,
   {_scores_sql()}"""
 
@@ -157,9 +157,7 @@ SELECT c_custkey,
 FROM customer
 """
 
-ORACLES["cast_map"] = """
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem
-"""
+ORACLES["cast_map"] = "SELECT * FROM lineitem"
 
 ORACLES["unaccent_documents"] = """
 SELECT doc_id, sha1(replace(strip_accents(text), 'ß', 'ss')) AS text_sha1,
@@ -217,11 +215,10 @@ FROM orders
 ORACLES["sha1_key"] = "SELECT c_custkey, sha1(c_name) AS name_sha1 FROM customer"
 ORACLES["md5_key"] = "SELECT c_custkey, md5(c_name) AS name_md5 FROM customer"
 
-ORACLES["name_key"] = """
-SELECT c_custkey, sha1(lower(c_name)) AS registry_key, sha1(lower(c_name)) AS profile_key,
-       sha1(lower(c_name)) AS claim_key
-FROM customer
-"""
+# one key for all spellings; the dashed name's key has the ASCII dash
+ORACLES["name_key"] = "SELECT c_custkey, " + ", ".join(
+    f"sha1(lower(c_name)) AS {k}_key" for k in ("registry", "profile", "claim", "no_break", "decomposed", "extended")
+) + ", sha1(lower(replace(c_name, '#', '-'))) AS dashed_key, sha1(lower(replace(c_name, '#', '-'))) AS en_dashed_key FROM customer"
 
 ORACLES["document_key"] = f"""
 SELECT c_custkey, sha1({CUST_ID} || c_mktsegment) AS sk_sha1, md5({CUST_ID} || c_mktsegment) AS sk_md5
@@ -326,7 +323,7 @@ SELECT c_mktsegment AS segment, {CUST_ID} AS cnpj, lower(c_mktsegment) AS segmen
 """
 
 ORACLES["column_difference"] = """
-SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, o_custkey FROM orders
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_custkey FROM orders
 """
 
 ORACLES["row_counts"] = "\nUNION ALL\n".join(
@@ -343,6 +340,11 @@ ORACLES["column_profile"] = "\nUNION ALL\n".join(
     for i, (c, t) in enumerate(_ORDERS_TYPES)
 )
 
+ORACLES["pk_violations_claims"] = f"""
+SELECT financial_institution_name, year_claim, quarter_claim, COUNT(*) AS occurrences
+FROM (SELECT {CLAIMS_SELECT} {CLAIMS_FROM}) GROUP BY ALL HAVING COUNT(*) > 1
+"""
+
 ORACLES["pk_violations"] = """
 SELECT translate(c_name, 'uo', 'úõ') AS financial_institution_name,
        CASE WHEN c_acctbal < 0 THEN 'NONE' ELSE c_mktsegment END AS segment,
@@ -350,18 +352,41 @@ SELECT translate(c_name, 'uo', 'úõ') AS financial_institution_name,
 FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
 """
 
-ORACLES["contract_violations"] = """
-SELECT 'segment' AS column_name, 'max_length' AS rule,
-       CAST(SUM(CASE WHEN length(c_mktsegment) > 10 THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM customer
-UNION ALL
-SELECT 'cnpj', 'max_length', CAST(SUM(CASE WHEN length(CAST(c_custkey * 100003 AS VARCHAR)) > 8 THEN 1 ELSE 0 END) AS BIGINT)
-FROM customer
-UNION ALL
-SELECT 'financial_institution_name', 'max_length', CAST(SUM(CASE WHEN length(c_name) > 255 THEN 1 ELSE 0 END) AS BIGINT)
-FROM customer
-UNION ALL
-SELECT 'sk_cnpj_segment', 'max_length', CAST(0 AS BIGINT)
-"""
+
+
+def _violations_sql(contract, table: str, source: str, text_rules: bool = False, broken: dict | None = None) -> str:
+    """One row for each rule of the contract over ``source``; ``broken`` has the condition of rules that some rows break."""
+    parts = []
+    for f in contract.fields:
+        rules = ["not_null"] * (not f.nullable) + ["max_length"] * (f.max_length is not None and f.dtype == "string")
+        rules += ["numeric"] * (f.dtype != "string" and (text_rules or f.decimal is not None))
+        if text_rules and f.raw is None:
+            continue
+        for rule in rules:
+            plain = {"not_null": f"{f.name} IS NULL", "max_length": f"length({f.name}) > {f.max_length}"}.get(rule, "FALSE")
+            if f.decimal and not text_rules and rule == "numeric":
+                plain = f"abs(round({f.name}, {f.decimal[1]})) >= {10 ** (f.decimal[0] - f.decimal[1])}"
+            condition = (broken or {}).get((f.name, rule), "FALSE" if broken is not None else plain)
+            parts.append(f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, '{rule}' AS rule, "
+                         f"CAST(COALESCE(SUM(CASE WHEN {condition} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _contract_violations_sql() -> str:
+    from medallion.contracts import CLAIMS, INSTITUTIONS
+
+    registry = _violations_sql(INSTITUTIONS, "institutions", "customer", broken={
+        ("segment", "max_length"): "length(c_mktsegment) > 10",
+        ("cnpj", "max_length"): "length(CAST(c_custkey * 100003 AS VARCHAR)) > 8",
+        ("financial_institution_name", "not_null"): "c_mktsegment = 'AUTOMOBILE'"})
+    claims = _violations_sql(CLAIMS, "claims", f"(SELECT * {CLAIMS_FROM})", text_rules=True, broken={
+        ("year_claim", "not_null"): "o_orderstatus = 'P'",
+        ("financial_institution_name", "not_null"): NO_NAME,
+        ("bank_index", "numeric"): "month(o_orderdate) = 6"})
+    return registry + "\nUNION ALL\n" + claims
+
+
+ORACLES["contract_violations"] = _contract_violations_sql()
 
 _CLAIM_TYPED = [("quarter_claim", "int"), ("bank_index", "double"),
                 ("number_of_regulated_proceeding_complaints", "bigint"),
@@ -402,14 +427,9 @@ UNION ALL SELECT 'cp1252', 'windows-1252', 'ISO-8859-1', COUNT(*) FROM customer
 """
 
 ORACLES["parquet_roundtrip"] = "SELECT * FROM orders"
-ORACLES["parquet_append"] = """
-SELECT * EXCLUDE (o_orderdate) FROM orders UNION ALL SELECT * EXCLUDE (o_orderdate) FROM orders
-"""
-ORACLES["parquet_overwrite"] = "SELECT * EXCLUDE (o_orderdate) FROM orders"
-ORACLES["sql_copy_parquet"] = """
-SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
-UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
-"""
+ORACLES["parquet_append"] = "SELECT * FROM orders UNION ALL SELECT * FROM orders"
+ORACLES["parquet_overwrite"] = "SELECT * FROM orders"
+ORACLES["sql_copy_parquet"] = "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem"
 
 ORACLES["delivery_from_layers"] = ORACLES["delivery_satisfaction"]
 ORACLES["claims_incremental_ingest"] = ORACLES["trusted_claims"]
@@ -441,17 +461,37 @@ FROM customer
 
 def _delivery_violations_sql() -> str:
     from medallion.contracts import DELIVERY
-    parts = []
-    for f in DELIVERY.fields:
-        if f.dtype == "string" and f.max_length is not None:
-            parts.append(
-                f"SELECT '{f.name}' AS column_name, 'max_length' AS rule, "
-                f"CAST(COALESCE(SUM(CASE WHEN length({f.name}) > {f.max_length} THEN 1 ELSE 0 END), 0) AS BIGINT) "
-                f"AS violations FROM delivery")
-    return f"WITH delivery AS ({ORACLES['delivery_satisfaction']})\n" + "\nUNION ALL\n".join(parts)
+
+    return f"WITH delivery AS ({ORACLES['delivery_satisfaction']})\n" + _violations_sql(DELIVERY, "delivery", "delivery")
 
 
 ORACLES["delivery_contract_violations"] = _delivery_violations_sql()
 
 # J3 without the final de-duplication: the flagship's rows with their multiplicity.
 ORACLES["join_composite"] = ORACLES["delivery_satisfaction"].replace("SELECT DISTINCT cl.", "SELECT cl.", 1)
+
+ORACLES["folder_auto_encoding"] = """
+SELECT c_custkey, translate(c_name, 'uo', 'úõ') AS name, CASE c_nationkey % 5 WHEN 0 THEN 'utf8' WHEN 1 THEN 'cp1252' WHEN 2 THEN 'utf16'
+       WHEN 3 THEN 'nul' ELSE 'utf16le' END AS origin,
+       CASE c_nationkey % 5 WHEN 1 THEN c_mktsegment || ' – x' ELSE c_mktsegment END AS segment
+FROM customer
+"""
+
+_LINE = "CAST(c_custkey AS VARCHAR) || ';' || c_name"
+ORACLES["csv_malformed"] = f"""
+SELECT c_custkey,
+  CASE WHEN c_nationkey % 3 = 1 THEN NULL ELSE c_name END AS name,
+  CASE WHEN c_nationkey % 3 IN (1, 2) THEN NULL ELSE c_mktsegment END AS segment,
+  CASE c_nationkey % 3 WHEN 1 THEN CAST(c_custkey AS VARCHAR) WHEN 2 THEN {_LINE} END AS line
+FROM customer WHERE c_nationkey % 4 <> 0
+UNION ALL
+SELECT c_custkey, c_name, c_mktsegment, {_LINE} || ';' || c_mktsegment || ';surplus' FROM customer WHERE c_nationkey % 4 = 0
+"""
+
+ORACLES["csv_pick_and_infer"] = "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal FROM customer"
+
+ORACLES["sql_limit"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 50
+"""
+
+ORACLES["reconciliation_counts"] = f"SELECT side, COUNT(*) AS unmatched FROM ({ORACLES['reconciliation']}) GROUP BY side"

@@ -154,10 +154,8 @@ def q_founded_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cast_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A text copy of lineitem typed back in one projection."""
     li = read_table(spark, sf_dir, "lineitem")
-    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
-    as_text = li.select(*[F.col(c).cast("string").alias(c) for c in cols])
-    return casts.cast_map(as_text, {"l_orderkey": "bigint", "l_linenumber": "int",
-                                    "l_quantity": "double", "l_extendedprice": "double"})
+    as_text = li.select(*[F.col(c).cast("string").alias(c) for c in li.columns])
+    return casts.cast_map(as_text, {c: t for c, t in li.dtypes if t != "string"})
 
 
 @query("unaccent_documents")
@@ -287,6 +285,11 @@ def q_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         name_key(F.translate(name, "uo", "úõ")).alias("profile_key"),
         name_key(text.strip_conglomerate(F.concat(F.lit(" "), F.upper(name), F.lit(" (conglomerado)"))))
         .alias("claim_key"),
+        name_key(F.concat(F.lit("\xa0"), name, F.lit("\u2009"))).alias("no_break_key"),
+        name_key(F.replace(F.replace(name, F.lit("o"), F.lit("o\u0301")), F.lit("e"), F.lit("e\u0323\u0302"))).alias("decomposed_key"),
+        name_key(F.translate(name, "uoe", "ừộệ")).alias("extended_key"),
+        name_key(F.replace(name, F.lit("#"), F.lit("-"))).alias("dashed_key"),
+        name_key(F.replace(name, F.lit("#"), F.lit("–"))).alias("en_dashed_key"),
     )
 
 
@@ -319,7 +322,7 @@ def q_join_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims with every profile of the same name key."""
     prof = q_trusted_profiles(spark, sf_dir).select(
         "sk_financial_institution_name", "employer_name", "segment", "match_percent", "source_file")
-    return joins.join_on(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name")
+    return joins.join_on_key(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name")
 
 
 @query("join_composite")
@@ -374,6 +377,12 @@ def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconciliation(claims, "Instituição financeira", profiles, "Nome", "claims", "profiles")
 
 
+@query("reconciliation_counts")
+def q_reconciliation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of unmatched names on each side."""
+    return reconcile.reconciliation_summary(q_reconciliation(spark, sf_dir))
+
+
 @query("override_names")
 def q_override_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An override table, derived from the data, applied by exact value."""
@@ -435,6 +444,13 @@ def q_limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(*cols).orderBy(*cols).limit(100)
 
 
+@query("sql_limit")
+def q_sql_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: SQL LIMIT over a unique order."""
+    return spark.sql("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM {orders} ORDER BY o_orderkey LIMIT 50",
+                     orders=read_table(spark, sf_dir, "orders"))
+
+
 @query("union_missing_columns")
 def q_union_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers by name; suppliers have no segment."""
@@ -465,8 +481,7 @@ def q_column_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep the order columns the customer table lacks, plus the join key."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    kept = [x for x in column_difference(o, c, keep=["o_custkey"]) if x != "o_orderdate"]
-    return keep_only(o, kept)
+    return keep_only(o, column_difference(o, c, keep=["o_custkey"]))
 
 
 # --------------------------------------------------------------------------
@@ -496,12 +511,25 @@ def q_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.pk_violations(prof, list(PROFILES.primary_key))
 
 
+@query("pk_violations_claims")
+def q_pk_violations_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, year, quarter) keys that several claims share."""
+    return quality.pk_violations(q_trusted_claims(spark, sf_dir), list(CLAIMS.primary_key))
+
+
 @query("contract_violations")
 def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry ids longer than eight digits are kept (D2) and reported here."""
-    raw = fixtures.institutions_raw(spark, sf_dir).withColumn(
-        "CNPJ", (F.col("CNPJ").cast("bigint") * 100003).cast("string"))
-    return quality.contract_violations(trusted_institutions(raw), INSTITUTIONS)
+    """Broken rules of the registry (ids longer than eight digits are kept (D2) and reported here, names
+    missing) and of the claims while they are still text (years and names missing, numbers that are none)."""
+    registry = fixtures.institutions_raw(spark, sf_dir).withColumns({
+        "CNPJ": (F.trim("CNPJ").cast("bigint") * 100003).cast("string"),
+        "Nome": F.when(F.col("Segmento") != "AUTOMOBILE", F.col("Nome"))})
+    claims = fixtures.claims_raw(spark, sf_dir).withColumns({
+        "Ano": F.when(F.col("Tipo") != "P", F.col("Ano")),
+        "Instituição financeira": F.nullif(F.col("Instituição financeira"), F.lit("SEM NOME"))})
+    claims = rename_columns(claims, CLAIMS.rename_map())
+    return (quality.contract_violations(trusted_institutions(registry), INSTITUTIONS, "institutions")
+            .unionByName(quality.contract_violations(claims, CLAIMS, "claims")))
 
 
 @query("cast_failures")
@@ -573,7 +601,7 @@ def q_folder_union_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "customer_folders")
     write_delimited(c.where(F.col("c_acctbal") >= 0).select(*text_cols), f"{root}/a", sep="|")
     write_delimited(c.where(F.col("c_acctbal") < 0).select(*reversed(text_cols)), f"{root}/b", sep="|")
-    df = delimited.read_folder(spark, [f"{root}/a", f"{root}/b"], sep="|")
+    df = delimited.read_folder(spark, [f"{root}/a", f"{root}/b"], sep="|", malformed_column=None)
     return casts.cast_map(df.drop("source_file"), {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 
@@ -597,6 +625,49 @@ def q_encoding_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit
 
 
+@query("folder_auto_encoding")
+def q_folder_auto_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 feeding S4: files in UTF-8, cp1252, UTF-16 with and without mark, and UTF-8 with a NUL, read as one table."""
+    c = read_table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "auto_encoding")
+    key, name = F.col("c_custkey").cast("string").alias("c_custkey"), F.translate("c_name", "uo", "úõ").alias("name")
+    dash, nul = F.lit(" \u0096 x"), F.lit("\x00")
+    kinds = [("utf8", "UTF-8", F.col("c_mktsegment")), ("cp1252", "ISO-8859-1", F.concat("c_mktsegment", dash)),
+             ("utf16", "UTF-16", F.col("c_mktsegment")), ("nul", "UTF-8", F.concat("c_mktsegment", nul)),
+             ("utf16le", "UTF-16LE", F.col("c_mktsegment"))]
+    for k, (folder, charset_name, segment) in enumerate(kinds):
+        rows = c.where(F.col("c_nationkey") % 5 == k).select(key, name, F.lit(folder).alias("origin"), segment.alias("segment"))
+        write_delimited(rows, f"{root}/{folder}", sep=";", encoding=charset_name)
+    df = delimited.read_folder(spark, root, sep=";", encoding="auto")
+    return df.select(casts.to_long("c_custkey").alias("c_custkey"), "name", "origin", F.replace("segment", nul, F.lit("")).alias("segment"))
+
+
+@query("csv_malformed")
+def q_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with missing and surplus fields keep their line."""
+    c = read_table(spark, sf_dir, "customer")
+    header = "c_custkey;name;segment"
+    fields = [F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")]
+    kind = F.col("c_nationkey") % 3
+    line = (F.when(F.col("c_nationkey") % 4 == 0, F.concat_ws(";", *fields, F.lit("surplus")))
+            .when(kind == 1, fields[0]).when(kind == 2, F.concat_ws(";", *fields[:2])).otherwise(F.concat_ws(";", *fields)))
+    root = scratch_path(spark, "malformed")
+    # one column under a separator that does not occur: the lines are written as they are
+    c.select(line.alias(header)).write.option("header", True).option("sep", "\x01").option("quote", "").csv(root)
+    df = delimited.read_folder(spark, root, sep=";")
+    return df.select(casts.to_long("c_custkey").alias("c_custkey"), "name", "segment", F.col(delimited.MALFORMED).alias("line"))
+
+
+@query("csv_pick_and_infer")
+def q_csv_pick_and_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a folder that match a name, with inferred types."""
+    c = read_table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "picked")
+    write_delimited(c.select("c_custkey", "c_name", "c_acctbal"), root, sep="|")
+    c.select(F.lit("not this one").alias("value")).write.mode("append").text(root)
+    return delimited.read_delimited(spark, root, sep="|", glob="*.csv", infer_schema=True)
+
+
 @query("parquet_roundtrip")
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snappy parquet, fail-if-exists mode, read back."""
@@ -607,7 +678,7 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("parquet_append")
 def q_parquet_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: two appends of the same batch give it twice."""
-    o = read_table(spark, sf_dir, "orders").drop("o_orderdate")
+    o = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders_append")
     write_parquet(o, path, mode="append")
     write_parquet(o, path, mode="append")
@@ -617,7 +688,7 @@ def q_parquet_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("parquet_overwrite")
 def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: overwrite replaces what an earlier run wrote (re-runs are idempotent)."""
-    o = read_table(spark, sf_dir, "orders").drop("o_orderdate")
+    o = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders_overwrite")
     write_parquet(o.where(F.col("o_totalprice") < 0), path, mode="overwrite")
     write_parquet(o, path, mode="overwrite")
@@ -633,8 +704,7 @@ def q_sql_copy_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lineitem_copy")
     sql_copy_parquet(spark, src_view, path)
     register_scan(spark, copy_view, path)
-    return sql_scan(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag") \
-        .unionByName(spark.table(copy_view).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"))
+    return sql_scan(spark, path).unionByName(spark.table(copy_view))
 
 
 # --------------------------------------------------------------------------
@@ -663,10 +733,12 @@ def q_claims_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target, ckpt = f"{root}/landing", f"{root}/raw_claims", f"{root}/_checkpoint"
     batches = [claims.where(F.col("Tipo") == "F"), claims.where(F.col("Tipo") != "F")]
     for i, batch in enumerate(batches):
-        write_delimited(batch, f"{landing}/delivery={i}", sep=";", encoding="ISO-8859-1",
+        # the second delivery has its columns in another order
+        ordered = batch if i == 0 else batch.select(*[F.col(f"`{c}`") for c in reversed(batch.columns)])
+        write_delimited(ordered, f"{landing}/delivery={i}", sep=";", encoding="ISO-8859-1",
                         trailing_separator=True, cp1252_headers=True)
-        run_once(spark, landing, CLAIMS, target, ckpt, trailing_columns=1)
-    return trusted_claims(spark.read.parquet(target).drop("source_file", "delivery"))
+        run_once(spark, landing, CLAIMS, target, ckpt)
+    return trusted_claims(spark.read.parquet(target))
 
 
 @query("alias_map_join")
@@ -679,9 +751,9 @@ def q_alias_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("catalog_table")
 def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivery published as a catalog table created with declared types."""
-    table = f"dlzd_bank_employment_satisfaction_{uuid.uuid4().hex[:8]}"
-    return publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table))
+    """Delivery published as a catalog table created with the contract's types."""
+    table = f"dlzd_{DELIVERY.name}_{uuid.uuid4().hex[:8]}"
+    return publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table), DELIVERY)
 
 
 @query("layer_audit")
@@ -703,4 +775,4 @@ def q_layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("delivery_contract_violations")
 def q_delivery_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 on the published table: every length rule of the delivery contract, one pass."""
-    return quality.contract_violations(q_delivery_satisfaction(spark, sf_dir), DELIVERY)
+    return quality.contract_violations(q_delivery_satisfaction(spark, sf_dir), DELIVERY, "delivery")

@@ -52,6 +52,7 @@ def write_delimited(
         .option("header", True)
         .option("sep", sep)
         .option("encoding", java_charset(encoding))
+        .option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -19,12 +19,18 @@ from medallion.contracts import TableContract
 _SQL_TYPES = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE"}
 
 
-def contract_column_types(contract: TableContract) -> dict[str, str]:
-    """K9: relational column types from a contract (text with a length -> VARCHAR(n))."""
+def contract_column_types(contract: TableContract, decimals: bool = True) -> dict[str, str]:
+    """K9: column types from a contract, as Spark's DDL parser takes them.
+
+    Text with a length is VARCHAR(n), other text STRING (a relational target gets
+    its own unbounded text type for it); ``decimals`` uses the declared decimals.
+    """
     out = {}
     for f in contract.fields:
         if f.dtype == "string":
-            out[f.name] = f"VARCHAR({f.max_length})" if f.max_length else "TEXT"
+            out[f.name] = f"VARCHAR({f.max_length})" if f.max_length else "STRING"
+        elif decimals and f.decimal:
+            out[f.name] = "DECIMAL({}, {})".format(*f.decimal)
         else:
             out[f.name] = _SQL_TYPES.get(f.dtype, f.dtype.upper())
     return out

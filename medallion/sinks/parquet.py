@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medallion.contracts import TableContract
+from medallion.sinks.jdbc import contract_column_types
 from medallion.sources.parquet import layer_path
 
 SAVE_MODES = ("overwrite", "append", "errorifexists", "ignore")
@@ -28,6 +30,10 @@ def write_parquet(
     """K1-K4: snappy parquet with an explicit save mode."""
     if mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}")
+    if partition_by:
+        # one file for each small period, several for a big one: without this every
+        # task writes a file for each period it has rows of
+        df = df.hint("rebalance", *partition_by)
     writer = (
         df.write.mode(mode)
         .option("compression", compression)
@@ -57,14 +63,15 @@ def create_table_ddl(table: str, columns: Sequence[tuple[str, str]], location: s
     return f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{parts} LOCATION '{location}'"
 
 
-def publish_table(spark: SparkSession, df: DataFrame, table: str, location: str,
+def publish_table(spark: SparkSession, df: DataFrame, table: str, location: str, contract: TableContract,
                   overwrite: bool = True) -> DataFrame:
-    """K9 + K2: create the catalog table if absent (types from ``df``), then fill it.
+    """K9 + K2: create the catalog table if absent, with the contract's types and lengths, then fill it.
 
+    Numbers keep their own type here (declared decimals are for relational targets).
     ``insertInto`` matches columns by position, so ``df`` is selected in the
     table's column order first.
     """
-    spark.sql(create_table_ddl(table, [(f.name, f.dataType.simpleString()) for f in df.schema.fields], location))
-    target_cols = spark.table(table).columns
-    df.select(*target_cols).write.insertInto(table, overwrite=overwrite)
+    types = contract_column_types(contract, decimals=False)
+    spark.sql(create_table_ddl(table, list(types.items()), location))
+    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=overwrite)
     return spark.table(table)

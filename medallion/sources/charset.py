@@ -2,82 +2,99 @@
 
 The text source hands each line over as raw bytes (no decoding), so per line
 we can ask Spark's own ``is_valid_utf8`` and look at the byte values through a
-Latin-1 view of the same bytes.  Per file the line flags are combined with
-``bool_and`` / ``bool_or`` -- a partial aggregation, so a file of any size is
-split across tasks and only one row per file leaves the map side.
+Latin-1 view of the same bytes.  Per file the lines' facts are combined with
+``bool_and`` / ``bool_or`` / ``sum`` -- a partial aggregation, so a file of any
+size is split across tasks and only one row per file leaves the map side.
 
-Labels: ``utf-16`` (NUL bytes between the characters, as UTF-16 text has),
-``ascii`` (no byte over 0x7F), ``utf-8`` (valid UTF-8), ``windows-1252`` (not
-UTF-8 and uses bytes 0x80-0x9F, which are printable only in cp1252) and
+Labels: ``utf-16`` (a byte-order mark), ``utf-16le`` / ``utf-16be`` (no mark, but
+NULs are at least 30 % of all bytes, as in UTF-16 text of mostly Latin letters;
+the first line's NULs say which byte comes first), ``ascii`` (no byte over
+0x7F), ``utf-8`` (valid UTF-8, a stray NUL allowed), ``windows-1252`` (not UTF-8
+and uses bytes 0x80-0x9F, which are printable only in cp1252) and
 ``iso-8859-1`` (not UTF-8, no C1 bytes).  ``spark_charset`` gives the charset to
 pass to the CSV reader for each label.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Detected label -> charset the Spark 4 CSV reader accepts.
 SPARK_CHARSET = {
     "utf-16": "UTF-16",
+    "utf-16le": "UTF-16LE",
+    "utf-16be": "UTF-16BE",
     "ascii": "UTF-8",
     "utf-8": "UTF-8",
     "windows-1252": "ISO-8859-1",
     "iso-8859-1": "ISO-8859-1",
 }
 
+#: Share of NUL bytes from which a file without a byte-order mark is UTF-16.
+NUL_SHARE = 0.3
 
-def line_flags(value: Column) -> list[Column]:
-    latin1 = F.decode(value.cast("binary"), "ISO-8859-1")
-    return [
-        F.is_valid_utf8(value).alias("utf8"),
-        latin1.rlike("[\\x80-\\x9f]").alias("c1"),
-        latin1.rlike("[^\\x00-\\x7f]").alias("high"),
-        latin1.contains("\x00").alias("nul"),
-    ]
+
+def file_facts(spark: SparkSession, folders: str | Sequence[str], glob: str | None = None, heads_only: bool = False) -> DataFrame:
+    """Per file: ``path``, its first line ``head`` (undecoded) and, unless ``heads_only``, what its bytes are."""
+    reader = spark.read.format("text").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = reader.load(folders if isinstance(folders, str) else list(folders)).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    head = F.min_by(F.when(F.col("start") == 0, F.col("value")), F.when(F.col("start") == 0, F.col("at"))).alias("head")
+    if heads_only:
+        return lines.where("start = 0").groupBy("path").agg(head)
+    latin1 = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    nuls = F.length(latin1) - F.length(F.replace(latin1, F.lit("\x00"), F.lit("")))
+    return lines.groupBy("path").agg(
+        head,
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.bool_or(latin1.rlike("[\\x80-\\x9f]")).alias("c1"),
+        F.bool_or(latin1.rlike("[^\\x00-\\x7f]")).alias("high"),
+        F.sum(nuls).alias("nuls"),
+        F.sum(F.length(latin1)).alias("bytes"),
+        F.count(F.lit(1)).alias("lines"),
+    )
 
 
-def encoding_label(utf8: Column, c1: Column, high: Column, nul: Column) -> Column:
+def encoding_label() -> Column:
+    """The label of a row of ``file_facts``."""
+    first = F.hex(F.substring(F.col("head").cast("binary"), 1, 2))
+    wide = F.col("nuls") >= F.col("bytes") * NUL_SHARE
     return (
-        F.when(nul, F.lit("utf-16"))
-        .when(~high, F.lit("ascii"))
-        .when(utf8, F.lit("utf-8"))
-        .when(c1, F.lit("windows-1252"))
+        F.when(first.isin("FFFE", "FEFF"), F.lit("utf-16"))
+        .when((F.col("nuls") > 0) & wide & first.startswith("00"), F.lit("utf-16be"))
+        .when((F.col("nuls") > 0) & wide, F.lit("utf-16le"))
+        .when(~F.col("high"), F.lit("ascii"))
+        .when(F.col("utf8"), F.lit("utf-8"))
+        .when(F.col("c1"), F.lit("windows-1252"))
         .otherwise(F.lit("iso-8859-1"))
     )
 
 
+def spark_charset(label: Column) -> Column:
+    return F.create_map(*[F.lit(x) for kv in SPARK_CHARSET.items() for x in kv])[label]
+
+
 def encoding_audit(spark: SparkSession, folder: str, glob: str | None = None, by: str = "file") -> DataFrame:
     """One row per file (``by='file'`` names it, ``by='path'`` gives its full
-    path) or per parent folder (``by='folder'``).
+    path), or per parent folder and encoding (``by='folder'``).
 
     Columns: the group (``file_name`` / ``file_path`` / ``folder``), ``encoding``,
     ``spark_charset`` and ``lines``.
     """
-    reader = spark.read.format("text")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    path = F.col("_metadata.file_path")
+    facts = file_facts(spark, folder, glob).withColumn("encoding", encoding_label())
+    charset = spark_charset(F.col("encoding")).alias("spark_charset")
     if by == "folder":
-        group, name = F.element_at(F.split(path, "/"), -2), "folder"
-    elif by == "path":
-        group, name = path, "file_path"
-    else:
-        group, name = F.col("_metadata.file_name"), "file_name"
-    lines = reader.load(folder).select(group.alias(name), *line_flags(F.col("value")))
-    per_file = lines.groupBy(name).agg(
-        F.bool_and("utf8").alias("utf8"),
-        F.bool_or("c1").alias("c1"),
-        F.bool_or("high").alias("high"),
-        F.bool_or("nul").alias("nul"),
-        F.count(F.lit(1)).alias("lines"),
-    )
-    label = encoding_label(F.col("utf8"), F.col("c1"), F.col("high"), F.col("nul"))
-    mapping = F.create_map(*[F.lit(x) for kv in SPARK_CHARSET.items() for x in kv])
-    return per_file.select(
-        name,
-        label.alias("encoding"),
-        mapping[label].alias("spark_charset"),
-        "lines",
-    )
+        # the label of a folder's files together, as if they were one
+        parent = F.element_at(F.split("path", "/"), -2)
+        joined = facts.groupBy(parent.alias("folder")).agg(
+            F.min("head").alias("head"), F.bool_and("utf8").alias("utf8"), F.bool_or("c1").alias("c1"), F.bool_or("high").alias("high"),
+            F.sum("nuls").alias("nuls"), F.sum("bytes").alias("bytes"), F.sum("lines").alias("lines"))
+        return joined.withColumn("encoding", encoding_label()).select("folder", "encoding", charset, "lines")
+    name = F.col("path").alias("file_path") if by == "path" else F.element_at(F.split("path", "/"), -1).alias("file_name")
+    return facts.select(name, "encoding", charset, "lines")

@@ -1,6 +1,7 @@
 """Delimited-text sources (S1-S6) and the header handling they need (TR3-TR6).
 
 * Every raw column is read as text; a contract decides the types later.
+* Values may be quoted; a quote inside a quoted value is doubled (``"a ""b"" c"``).
 * Header names are canonicalised: Windows-1252 files read as ISO-8859-1 carry
   C1 control characters where cp1252 has punctuation (the en dash arrives as
   U+0096), so those are mapped back; a BOM and surrounding blanks are removed.
@@ -9,22 +10,28 @@
   are then unioned by name.  Spark's multi-file CSV read matches columns by
   position, which silently swaps data when two files order their columns
   differently (TR3).
+* A row with more or fewer fields than its header keeps its whole line in
+  ``_malformed_line`` (null for all other rows), so that nothing is lost unseen.
 * Unnamed tail columns produced by a trailing separator (``_c14``) are dropped.
+* UTF-16 files are read whole, one task for each file: their line ends are not
+  single bytes, so they cannot be split.
 """
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.contracts import TableContract
 from medallion.operators.union import union_all_by_name
+from medallion.session import scratch_path
 
 # Spark 4 refuses the Python-style names; these are the Java charset names.
 CHARSET_ALIASES = {
@@ -34,6 +41,9 @@ CHARSET_ALIASES = {
     "ascii": "UTF-8", "us-ascii": "UTF-8",
 }
 
+#: Holds the line of a row whose number of fields is not its header's.
+MALFORMED = "_malformed_line"
+
 _UNNAMED = re.compile(r"^_c\d+$")
 
 
@@ -78,6 +88,16 @@ def canonical_header(name: str) -> str:
     return "".join(_c1_to_cp1252(ch) for ch in name)
 
 
+def header_columns(header: str, sep: str) -> list[str]:
+    """Column names of a header line: canonical, unnamed ones as ``_cN``, repeated ones numbered."""
+    raw = next(csv.reader([header], delimiter=sep), [""]) if len(sep) == 1 else header.split(sep)
+    names: list[str] = []
+    for i, name in enumerate(map(canonical_header, raw)):
+        name = name or f"_c{i}"
+        names.append(f"{name}{i}" if name in names else name)
+    return names
+
+
 def canonicalise_columns(df: DataFrame, source_column: str | None = None) -> DataFrame:
     """Rename columns to their canonical header and drop unnamed tail columns (TR5).
 
@@ -90,6 +110,25 @@ def canonicalise_columns(df: DataFrame, source_column: str | None = None) -> Dat
     return df.select(*cols)
 
 
+def is_utf16(encoding: str) -> bool:
+    return java_charset(encoding).upper().startswith("UTF-16")
+
+
+def _reader(spark: SparkSession, sep: str, encoding: str, header: bool = True, glob: str | None = None):
+    reader = (
+        spark.read.option("sep", sep)
+        .option("header", header)
+        .option("encoding", java_charset(encoding))
+        .option("quote", '"').option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+    if is_utf16(encoding):
+        reader = reader.option("multiLine", True)
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -110,16 +149,7 @@ def read_delimited(
     and maps the C1 code points back to the cp1252 characters, in one
     ``translate`` per text column.
     """
-    reader = (
-        spark.read.option("sep", sep)
-        .option("header", header)
-        .option("encoding", java_charset(encoding))
-        .option("mode", "PERMISSIVE")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    reader = _reader(spark, sep, encoding, header, glob)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     else:
@@ -131,6 +161,26 @@ def read_delimited(
     return df
 
 
+def _scan(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str, names: Sequence[str], source_column: str | None,
+          malformed: str | None, glob: str | None = None, recursive: bool = False, only: DataFrame | None = None) -> DataFrame:
+    """Files that all have the columns ``names`` in this order; with ``only``, the files whose path it lists."""
+    fields = [T.StructField(n, T.StringType(), True) for n in names]
+    reader = _reader(spark, sep, encoding, True, glob).option("recursiveFileLookup", recursive)
+    if malformed:
+        fields.append(T.StructField(malformed, T.StringType(), True))
+        # a pruned parser splits a line no further than it needs and would see no surplus field
+        reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
+    df = reader.schema(T.StructType(fields)).csv(list(paths))
+    kept = [F.col(f"`{n}`") for n in (*names, *([malformed] if malformed else [])) if not _UNNAMED.match(n)]
+    if source_column:
+        kept.append(F.col("_metadata.file_name").alias(source_column))
+    if only is not None:
+        df = df.select(*kept, F.col("_metadata.file_path").alias("__path")).join(only, F.col("__path") == only["path"], "left_semi").drop("__path")
+    else:
+        df = df.select(*kept)
+    return c1_values_to_cp1252(df) if encoding.lower() in CP1252_NAMES else df
+
+
 def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
     """File listing as a DataFrame (``path``, ``length``); no file content is read."""
     reader = spark.read.format("binaryFile")
@@ -139,65 +189,41 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return reader.load(folder).select("path", "length")
 
 
-def _python_codec(charset: str) -> str:
-    cs = java_charset(charset).upper()
-    if cs == "ISO-8859-1":
-        return "latin-1"
-    if cs.startswith("UTF-16"):
-        return "utf-16"
-    return "utf-8"
+def _header_text(head: Column, charset: Column) -> Column:
+    """A file's first line as text in its charset, without BOM and line end."""
+    raw = head.cast("binary")
+    latin1 = F.decode(raw, "ISO-8859-1")
+    even = F.substring(raw, F.lit(1), (F.length(raw) - F.length(raw) % 2).cast("int"))  # a big-endian line end leaves one byte
+    text = (F.when(charset == "UTF-16", F.decode(even, "UTF-16")).when(charset == "UTF-16LE", F.decode(even, "UTF-16LE"))
+            .when(charset == "UTF-16BE", F.decode(even, "UTF-16BE"))
+            .when(charset.isin("windows-1252", "ISO-8859-1"), F.translate(latin1, C1_SOURCE, C1_TARGET))
+            .otherwise(F.make_valid_utf8(head)))
+    return F.regexp_replace(F.replace(text, F.lit("\ufeff"), F.lit("")), "\r$", "")
 
 
-def _first_line(path: str, encoding: str, limit: int = 1 << 16) -> str | None:
-    """The header line of one file, reading only its first block; None if unreadable here.
+def file_index(spark: SparkSession, folders: Sequence[str], encoding: str, glob: str | None = None) -> DataFrame:
+    """(path, charset, header) of every file with a line, made on the executors.
 
-    ``encoding`` is a Python codec name.
+    One pass over the files with Spark's text source: the first line of each
+    file, and with ``encoding='auto'`` what its lines say about its charset.
     """
-    import pyarrow as pa
-    import pyarrow.fs as pafs
-
-    uri = path
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if uri.startswith(("s3a://", "s3n://")):
-        uri = "s3://" + uri.split("://", 1)[1]
-    try:
-        fs, inner = pafs.FileSystem.from_uri(uri)
-        with fs.open_input_stream(inner) as stream:
-            head = stream.read(limit)
-    except (OSError, ValueError, pa.ArrowException):
-        return None
-    text = head.decode(encoding, errors="replace")
-    if "\n" not in text and len(head) == limit:
-        return None  # header longer than the block read: let Spark read it whole
-    return text.split("\n", 1)[0].rstrip("\r")
-
-
-def _header_by_spark(spark: SparkSession, path: str, sep: str, encoding: str) -> str:
-    """Fallback for file systems the executors' Python cannot open: Spark reads the header."""
-    cols = (spark.read.option("sep", sep).option("header", True).option("encoding", java_charset(encoding))
-            .csv(path).columns)
-    return sep.join(cols)
-
-
-def read_headers(spark: SparkSession, files: DataFrame, encoding: str | None = None) -> DataFrame:
-    """(path, charset, header line) per file, read on the executors (first block only).
-
-    ``files`` has a ``path`` column and, when ``encoding`` is None, a
-    ``charset`` column with each file's own charset.
-    """
-    if encoding is not None:
-        files = files.select("path", F.lit(java_charset(encoding)).alias("charset"))
+    from medallion.sources.charset import encoding_label, file_facts, spark_charset
+
+    facts = file_facts(spark, folders, glob, heads_only=encoding != "auto")
+    if encoding == "auto":
+        label = encoding_label()
+        charset = F.when(label == "windows-1252", label).otherwise(spark_charset(label))
+    else:
+        charset = F.lit("windows-1252" if encoding.lower() in CP1252_NAMES else java_charset(encoding))
+    return facts.select("path", charset.alias("charset"), "head").select("path", "charset", _header_text(F.col("head"), F.col("charset")).alias("header"))
 
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({
-                "path": b["path"],
-                "charset": b["charset"],
-                "header": [_first_line(p, _python_codec(c)) for p, c in zip(b["path"], b["charset"])],
-            })
 
-    return files.select("path", "charset").mapInPandas(heads, "path string, charset string, header string")
+def _by_columns(rows: Iterable, sep: str) -> dict[tuple[str, tuple[str, ...]], list]:
+    """Index rows by (charset, column names)."""
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row["charset"], tuple(header_columns(row["header"], sep))].append(row)
+    return groups
 
 
 def read_folder(
@@ -207,48 +233,71 @@ def read_folder(
     encoding: str = "UTF-8",
     glob: str | None = None,
     source_column: str | None = "source_file",
+    malformed_column: str | None = MALFORMED,
 ) -> DataFrame:
     """Every file below ``folder`` as one table, columns matched by name.
 
-    Only the file list and one header line per file reach the driver (metadata,
-    one row per file); the data itself is read by one distributed scan per
-    distinct (charset, header) and combined with
-    ``unionByName(allowMissingColumns=True)``.
+    The files' header lines are read and grouped on the executors; one row for
+    each distinct (charset, header) reaches the driver, with the folders it is
+    found in.  With one group the folder itself is scanned.  With several, each
+    group scans its own folders; in a folder of several groups its files are
+    picked by a semi-join with the index of files, which stays a table.
 
-    ``encoding='auto'`` decides each file's charset with the distributed
-    encoding audit (S11 feeding S1-S3); it costs one extra pass over the files.
+    ``encoding='auto'`` decides each file's charset in the same pass (S11
+    feeding S1-S3).  ``malformed_column`` holds the lines of rows with surplus or
+    missing fields; ``None`` leaves it out.
     """
     folders = [folder] if isinstance(folder, str) else list(folder)
-    if encoding == "auto":
-        from medallion.sources.charset import encoding_audit
-
-        files = reduce(DataFrame.unionByName, [
-            encoding_audit(spark, f, glob=glob, by="path").select(
-                F.col("file_path").alias("path"),
-                F.when(F.col("encoding") == "windows-1252", F.lit("windows-1252"))
-                 .otherwise(F.col("spark_charset")).alias("charset"))
-            for f in folders
-        ])
-        headers = read_headers(spark, files).collect()
-    else:
-        files = reduce(DataFrame.unionByName, [list_files(spark, f, glob) for f in folders])
-        headers = read_headers(spark, files, encoding).collect()
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for row in headers:
-        header = row["header"]
-        if header is None:
-            header = _header_by_spark(spark, row["path"], sep, row["charset"])
-        cols = tuple(canonical_header(c) for c in header.split(sep))
-        groups.setdefault((row["charset"], cols), []).append(row["path"])
-    if not groups:
+    path = scratch_path(spark, "file-index")
+    file_index(spark, folders, encoding, glob).withColumn("folder", F.regexp_replace("path", "/[^/]*$", "")).write.parquet(path)
+    index = spark.read.parquet(path)
+    found = index.groupBy("charset", "header").agg(F.collect_set("folder").alias("folders")).collect()
+    if not found:
         raise FileNotFoundError(f"no files under {folders}")
+    groups = _by_columns(found, sep)
+    where = defaultdict(set)
+    for key, rows in groups.items():
+        for row in rows:
+            for name in row["folders"]:
+                where[name].add(key)
     parts = []
-    for (charset, _), paths in sorted(groups.items()):
-        parts.append(read_delimited(spark, sorted(paths), sep=sep, encoding=charset, source_column=source_column))
+    for (charset, names), rows in sorted(groups.items(), key=lambda g: g[0]):
+        scan = (sep, charset, names, source_column, malformed_column, glob)
+        if len(groups) == 1:
+            parts.append(_scan(spark, folders, *scan, recursive=True))
+            continue
+        own = sorted({f for row in rows for f in row["folders"]})
+        alone = [unquote(f) for f in own if len(where[f]) == 1]
+        mixed = [unquote(f) for f in own if len(where[f]) > 1]
+        if alone:
+            parts.append(_scan(spark, alone, *scan))
+        if mixed:
+            mine = index.where((F.col("charset") == charset) & F.col("header").isin([row["header"] for row in rows])).select("path")
+            parts.append(_scan(spark, mixed, *scan, only=mine))
     return union_all_by_name(parts)
 
 
-def conform(df: DataFrame, contract: TableContract, keep: Sequence[str] = ("source_file",)) -> DataFrame:
+def read_files(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str = "UTF-8", source_column: str | None = "source_file",
+               malformed_column: str | None = MALFORMED) -> DataFrame:
+    """The listed files (a bounded number, e.g. of one micro-batch) as one table, columns matched by name."""
+    rows = file_index(spark, list(paths), encoding).collect()
+    if not rows:
+        raise FileNotFoundError(f"no lines in {list(paths)[:3]}")
+    return union_all_by_name([
+        _scan(spark, sorted(unquote(r["path"]) for r in group), sep, charset, names, source_column, malformed_column)
+        for (charset, names), group in sorted(_by_columns(rows, sep).items(), key=lambda g: g[0])])
+
+
+def malformed_rows(df: DataFrame, by: str = "source_file") -> DataFrame:
+    """Audit by file: rows, rows whose number of fields is not their header's, rows with a first field.
+
+    (Spark refuses to read nothing but the malformed lines, so a data column is counted too.)
+    """
+    first = next(c for c in df.columns if c not in (by, MALFORMED))
+    return df.groupBy(by).agg(F.count("*").alias("total"), F.count(MALFORMED).alias("malformed"), F.count(f"`{first}`").alias("first_field"))
+
+
+def conform(df: DataFrame, contract: TableContract, keep: Sequence[str] = ("source_file", MALFORMED)) -> DataFrame:
     """Project a raw read onto the contract's raw columns, in contract order.
 
     Raw columns absent from the files (e.g. ``Segmento`` in a file that has

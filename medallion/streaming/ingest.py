@@ -3,28 +3,38 @@
 The reference re-reads whole folders of quarterly files on every run and
 either overwrites or appends them.  With Structured Streaming the file source
 remembers which files it has already taken (in the checkpoint), so each run
-appends only files that arrived since the last one -- exactly once, and a
-restarted run after a lost executor resumes from the checkpoint.  Trigger
-``availableNow`` processes the backlog in bounded micro-batches and stops, so
-the same job runs as a scheduled batch.
+appends only files that arrived since the last one, and a restarted run after a
+lost executor resumes from the checkpoint.  Trigger ``availableNow`` processes the
+backlog in bounded micro-batches and stops, so the same job runs as a scheduled
+batch.
+
+The stream itself only lists the new files (no content is read for that).  Each
+micro-batch reads its files by header name, like a folder: files may order their
+columns differently.  A header with a column that the contract does not know
+fails the batch, by name, before a row is written.  A micro-batch is one folder of
+the target (``ingest_batch=N``) and replaces what an interrupted attempt left there,
+so every file is in the target exactly once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.contracts import TableContract
-from medallion.sources.delimited import CP1252_NAMES, c1_values_to_cp1252, java_charset
+from medallion.sources.delimited import MALFORMED, conform, read_files
+
+BATCH_COLUMN = "ingest_batch"
+# Fixed value: the schema of Spark's binary-file source; the content is never selected.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def landing_schema(contract: TableContract, trailing_columns: int = 0) -> T.StructType:
-    """Raw text schema in file order, plus unnamed tail columns of a trailing separator."""
-    fields = [T.StructField(n, T.StringType(), True) for n in contract.raw_names]
-    fields += [T.StructField(f"_c{len(fields) + i}", T.StringType(), True) for i in range(trailing_columns)]
-    return T.StructType(fields)
+def check_columns(df: DataFrame, contract: TableContract) -> DataFrame:
+    """``df``, unless it has columns that the contract does not know."""
+    unknown = sorted(set(df.columns) - set(contract.raw_names) - {"source_file", MALFORMED})
+    if unknown:
+        raise ValueError(f"columns that the contract {contract.name!r} does not know: {unknown}")
+    return df
 
 
 def ingest_landing(
@@ -33,36 +43,25 @@ def ingest_landing(
     contract: TableContract,
     target: str,
     checkpoint: str,
-    trailing_columns: int = 0,
     max_files_per_trigger: int = 1000,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append every new file of ``landing`` to the raw parquet table ``target``.
 
-    The files must share the contract's column order (one dialect per landing
-    folder); the header line of each file is skipped.  Rows keep the name of
-    the file they came from.
+    Rows keep the name of the file they came from.  ``max_files_per_trigger``
+    bounds a micro-batch (its list of files is held by the driver); all files
+    are taken, in as many micro-batches as needed.
     """
-    stream = (
-        spark.readStream.schema(landing_schema(contract, trailing_columns))
-        .option("header", True)
-        .option("sep", contract.sep)
-        .option("encoding", java_charset(contract.encoding))
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(landing)
-    )
-    rows = stream.select(*[F.col(f"`{n}`") for n in contract.raw_names],
-                         F.col("_metadata.file_name").alias("source_file"))
-    if contract.encoding.lower() in CP1252_NAMES:
-        rows = c1_values_to_cp1252(rows)
-    writer = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", True)
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(landing).select("path", "length"))
+
+    def append(batch: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in batch.where("length > 0").select("path").collect()]
+        if paths:
+            rows = check_columns(read_files(spark, paths, contract.sep, contract.encoding), contract)
+            conform(rows, contract).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH_COLUMN}={number}")
+
+    writer = files.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 

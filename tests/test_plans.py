@@ -138,3 +138,21 @@ def test_period_query_prunes_claim_partitions(spark, tmp_path):
     assert "ReadSchema: struct<cnpj:string,bank_index:double>" in plan
     expected = claims.where((F.col("year_claim") == "1998") & (F.col("quarter_claim") == 4)).count()
     assert df.count() == expected > 0
+
+
+def test_name_key_is_computed_once_for_each_claim(spark):
+    """No not-null filter repeats the key's expression below the projection of the claims."""
+    from medallion.operators.joins import join_on_key
+
+    claims, profiles = Q.q_trusted_claims(spark, SF_SMALL), Q.q_trusted_profiles(spark, SF_SMALL)
+    keys = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("sha1(")
+    profile_key = profiles.select("sk_financial_institution_name")
+    alone, plain = keys(claims), keys(claims.join(profile_key, "sk_financial_institution_name"))
+    joined = keys(join_on_key(claims, profile_key, "sk_financial_institution_name"))
+    assert alone == 1 and plain - keys(profile_key) == 2 and joined - keys(profile_key) == 1
+
+
+def test_flagship_computes_each_key_once_a_branch(spark):
+    """Claims are read by two branches (pairs and rows): one name key in each, and none in a filter."""
+    plan = Q.q_delivery_satisfaction(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha1(") <= 8

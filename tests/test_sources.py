@@ -93,14 +93,6 @@ def test_contract_column_types():
     assert "cnpj VARCHAR(8)" in create_table_column_types(types)
 
 
-def test_header_fallback_when_python_cannot_open(spark):
-    from medallion.sources import delimited as d
-    root = tempfile.mkdtemp(prefix="md-fallback-")
-    write(f"{root}/f/a.csv", "A|B\n1|2\n", "utf-8")
-    assert d._first_line("nosuchscheme://x/a.csv", "utf-8") is None
-    assert d._header_by_spark(spark, f"{root}/f/a.csv", "|", "UTF-8") == "A|B"
-
-
 def test_encoding_audit_labels(spark):
     root = tempfile.mkdtemp(prefix="md-enc-")
     write(f"{root}/e/ascii.txt", "plain text\n", "ascii")
