@@ -265,7 +265,7 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text_column: str = "text", languages: list[str] | None = None,
-                    min_score: float = 0.4) -> DataFrame:
+                    min_score: float = 0.0) -> DataFrame:
     """``docs`` without the documents whose language is undetermined, not in ``languages`` or scored under ``min_score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

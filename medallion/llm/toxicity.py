@@ -47,6 +47,8 @@ BLOCK = 128
 _FEATURES = 1 << 20
 #: Marginals below this count as no evidence for the document.
 LIKELY = 0.2
+#: Ridge of the logistic regression over the documents.
+DAMPING = 0.02
 _WORD_AT = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 #: Twice the log-likelihood ratio at which a word counts as found too often by chance
 #: (the tail of chi-squared beyond it is about 1e-7).
@@ -236,8 +238,8 @@ def train(texts: list[tuple[bytes, int]], rounds: int = 80, window: int = 40, se
     w = model.document.copy()
     for _ in range(50):  # Newton steps of a slightly damped logistic regression
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (q * (1 - q))[:, None]).T @ x + 0.5 * np.eye(3)
-        w = w - np.linalg.solve(h, x.T @ (q - y) + 0.5 * w * [0, 1, 1])
+        h = (x * (q * (1 - q))[:, None]).T @ x + DAMPING * np.eye(3)
+        w = w - np.linalg.solve(h, x.T @ (q - y) + DAMPING * w * [0, 1, 1])
     model.document = w
     return model
 
