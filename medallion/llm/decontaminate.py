@@ -9,7 +9,9 @@ to its root, so only runs of known words are streamed at all.
 
 The items are a stated query set.  They are read in blocks of at most
 ``block_bytes`` of text, chosen by a hash; one automaton (and one pass over the
-documents) is made for each block, so its size does not follow the benchmark.
+documents) is made for each block, so its size does not follow the benchmark.  Only the
+removal of spans holds the automata of all blocks at once (some 100 bytes for each item
+word), since a cut can bring words of any item together.
 
 Defined results: null and empty texts, and texts without a word, have no words and no
 hits; items without a word have no window; items with equal ids are one item, an item
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from medallion.llm.common import slices
 
 WINDOW = 10
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 # Words are runs of digits, letters a-z (A-Z count as these) and everything from
 # U+0080 on; the byte table sends the rest to the space, on which bytes.split() cuts.

@@ -15,7 +15,7 @@ The documents are range-partitioned by descending id.  A document's successor is
 next row of its partition; the successor of a partition's last document is the first one
 of the next partition, which is sent along as a second copy (one row for each partition).
 
-Defined results: a null text is the empty one.  Repeated ids are ordered by text; null
+Ids are numbers.  Defined results: a null text is the empty one.  Repeated ids are ordered by text; null
 ids come last.  A document that is alone is its own successor.  Longer texts take memory
 in proportion to their length, one document at a time.
 """

@@ -325,6 +325,10 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: st
     """
     found = near_duplicates(docs, id_column, text_column, shingle, radius)
     gone = (found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("__gone")).distinct())
-    kept = docs.join(gone, docs[id_column] == gone["__gone"], "left_anti")
-    named = kept.where(kept[id_column].isNotNull()).dropDuplicates([id_column])
-    return named.unionByName(kept.where(kept[id_column].isNull()))
+    named = docs.where(docs[id_column].isNotNull())
+    kept = named.join(gone, named[id_column] == gone["__gone"], "left_anti")
+    repeated = (docs.groupBy(docs[id_column].alias("__id")).agg(F.count("*").alias("n")).where("n > 1 and __id is not null").select("__id"))
+    if not repeated.isEmpty():  # else the rows need not be brought together by id
+        again = kept.join(repeated, kept[id_column] == repeated["__id"], "left_semi").dropDuplicates([id_column])
+        kept = kept.join(repeated, kept[id_column] == repeated["__id"], "left_anti").unionByName(again)
+    return kept.unionByName(docs.where(docs[id_column].isNull()))
