@@ -1,8 +1,12 @@
 import random
 
+import duckdb
 import pytest
 
 from medallion.llm import decontaminate as D
+from medallion.llm.queries import ORACLES, op2_decontamination
+
+from .conftest import SF
 
 
 def brute(words, items, window):
@@ -82,3 +86,13 @@ def test_documents_keep_their_columns(odd_docs, items):
     assert 1 not in rows and 10 not in rows  # covered by an item
     assert rows[5]["text"] == "Der schnelle braune über den ." and rows[5]["n_chars"] == len(rows[5]["text"])
     assert rows[2]["text"] is None and rows[6]["n_chars"] == len(rows[6]["text"])
+
+
+def test_query_against_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.sql(ORACLES["op2_decontamination"])
+    got = op2_decontamination(spark, SF)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
