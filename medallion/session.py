@@ -86,10 +86,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return local
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    return f"{root}/medallion/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/medallion/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has made so far; returns how many were there.
+
+    Results that still read from them (every query with a written intermediate) must
+    have been used by then, so this is the caller's to call.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 _SHIPPED: set[str] = set()

@@ -25,3 +25,18 @@ def test_queries_run_from_another_directory():
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True, text=True,
                          timeout=600)
     assert "ROWS 150" in out.stdout, out.stderr[-2000:]
+
+
+def test_scratch_folders_can_be_removed(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from medallion.session import remove_scratch, scratch_path
+
+    remove_scratch(spark)
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    local = urlparse(path).path
+    assert os.path.isdir(local)
+    assert remove_scratch(spark) == 1 and not os.path.exists(local)
+    assert remove_scratch(spark) == 0
