@@ -264,6 +264,34 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
         .withColumnRenamed("id", id_column)
 
 
+def label_text(model: Model, text: bytes | None) -> list[dict]:
+    """Runs of code points with the same most probable language, in order; they cover the text."""
+    if not text:
+        return []
+    codes, _ = _padded([text[i:i + SEGMENT] for i in range(0, len(text), SEGMENT)])
+    label = np.concatenate([label_positions(model, codes[at:at + _AT_ONCE]).argmax(axis=2).T.ravel() for at in range(0, len(codes), _AT_ONCE)])
+    # a code point has the label of its last byte
+    octets = np.frombuffer(text, np.uint8)
+    last = np.append(octets[1:] & 0xC0 != 0x80, True)
+    label = label[:len(octets)][last]
+    edges = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1], [True]])).tolist()
+    return [{"begin": a, "end": b, "lang": model.languages[label[a]]} for a, b in zip(edges, edges[1:])]
+
+
+def language_spans(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, spans): the positions' languages of every document, as runs [begin, end) of code points."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    narrow = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "text"):
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "spans": pa.array([label_text(shared.value, t) for t in texts], kind)})
+
+    return narrow.mapInArrow(run, f"id {narrow.schema['id'].dataType.simpleString()}, spans array<struct<begin:int,end:int,lang:string>>") \
+        .withColumnRenamed("id", id_column)
+
+
 def keep_identified(docs: DataFrame, model: Model | None, text_column: str = "text", languages: list[str] | None = None,
                     min_score: float = 0.0) -> DataFrame:
     """``docs`` without the documents whose language is undetermined, not in ``languages`` or scored under ``min_score``."""

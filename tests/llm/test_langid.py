@@ -72,3 +72,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert langid.fit(no_docs, crc_mod(no_docs["doc_id"], 5) != 0) is None
     assert langid.identify(odd_docs, None).where("lang_pred <> 'und' or score <> 0").count() == 0
     assert langid.identify(no_docs, model).count() == 0
+
+
+def test_spans_of_positions(odd_docs):
+    model = langid.fit(odd_docs, crc_mod(odd_docs["doc_id"], 5) >= 0, steps=5)
+    text = "Été de Paris, " * 20
+    spans = langid.label_text(model, text.encode())
+    assert spans[0]["begin"] == 0 and spans[-1]["end"] == len(text)
+    assert all(a["end"] == b["begin"] and a["lang"] != b["lang"] for a, b in zip(spans, spans[1:]))
+    got = {r["doc_id"]: r["spans"] for r in langid.language_spans(odd_docs, model).collect()}
+    assert got[2] == got[3] == [] and got[4][-1]["end"] == 4
