@@ -294,11 +294,17 @@ def language_spans(docs: DataFrame, model: Model, id_column: str = "doc_id", tex
 
 def keep_identified(docs: DataFrame, model: Model | None, text_column: str = "text", languages: list[str] | None = None,
                     min_score: float = 0.0) -> DataFrame:
-    """``docs`` without the documents whose language is undetermined, not in ``languages`` or scored under ``min_score``."""
+    """``docs`` without the documents whose language is undetermined, not in ``languages`` or scored under ``min_score``.
+
+    Without a model (nothing to learn from) only the letterless documents go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text_column):
+            if shared.value is None:
+                yield batch.filter(pa.array([has_letter(t) for t in texts], pa.bool_()))
+                continue
             langs, scores = predict(shared.value, texts)
             keep = [lang != UNDETERMINED and score >= min_score and (languages is None or lang in languages)
                     for lang, score in zip(langs, scores.tolist())]

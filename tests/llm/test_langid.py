@@ -69,6 +69,7 @@ def test_odd_rows(odd_docs, no_docs):
     assert all(got[i][0] in ("en", "de", "fr") for i in (1, 5, 6, 9, None))
     kept = langid.keep_identified(odd_docs, model, min_score=0.0)
     assert kept.columns == odd_docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 5, 6, 9, 10, None}
+    assert {r["doc_id"] for r in langid.keep_identified(odd_docs, None).collect()} == {1, 5, 6, 9, 10, None}
     assert langid.fit(no_docs, crc_mod(no_docs["doc_id"], 5) != 0) is None
     assert langid.identify(odd_docs, None).where("lang_pred <> 'und' or score <> 0").count() == 0
     assert langid.identify(no_docs, model).count() == 0
