@@ -45,6 +45,8 @@ CLEAN_ROWS = 5400
 TRAIN_BYTES = 20_000
 BLOCK = 128
 _FEATURES = 1 << 20
+#: Words whose weights a worker remembers.
+WORDS = 120_000
 #: Marginals below this count as no evidence for the document.
 LIKELY = 0.2
 #: Ridge of the logistic regression over the documents.
@@ -71,17 +73,18 @@ def token_lexicon(docs: list[list[bytes]], toxic: list[int], evidence: float = E
     seen: dict[tuple, int] = {}
     for words, label in zip(docs, toxic):
         seen.setdefault(tuple(words), label)  # copies of a text are one piece of evidence
-    counts = Counter(), Counter()
-    total = [0, 0]
-    for words, label in seen.items():
-        total[label] += 1
-        counts[label].update({f for w in set(words) for f in beginnings(w)})
+    total = Counter(seen.values())
     if not total[1] or not total[0]:
         return set()
-    share = total[1] / sum(total)
+    share = total[1] / len(seen)
+    found = Counter(f for words, label in seen.items() if label for f in {f for w in set(words) for f in beginnings(w)})
+    # fewer documents than this can't reach the evidence, even if no clean one has it
+    least = evidence / (-2 * np.log(share))
+    found = {f: k for f, k in found.items() if k >= least}
+    clean = Counter(f for words, label in seen.items() if not label for f in {f for w in set(words) for f in beginnings(w)} if f in found)
     out = set()
-    for f, k1 in counts[1].items():
-        k0 = counts[0][f]
+    for f, k1 in found.items():
+        k0 = clean[f]
         k = k1 + k0
         if k1 / total[1] < 8 * (k0 + 0.5) / (total[0] + 1):
             continue
@@ -103,7 +106,7 @@ class Field:
     document: np.ndarray = field(default_factory=lambda: np.array([-4.0, 4.0, 4.0]))  # bias, log1p of the sum, the largest
 
     def __post_init__(self):
-        self._words = Memo(self._weights)
+        self._words = Memo(self._weights, WORDS)
 
     def _weights(self, word: bytes) -> tuple[float, float]:
         f = features(word)
@@ -114,7 +117,7 @@ class Field:
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self._words = Memo(self._weights)
+        self._words = Memo(self._weights, WORDS)
 
     def evidence(self, words: list[bytes], lengths: np.ndarray) -> np.ndarray:
         """For chains laid end to end, every token's weight for the toxic label (against the clean one)."""
@@ -285,7 +288,7 @@ def _fit_chains(model: Field, chains: list[list[bytes]], labels: list[list[int]]
             parts[k] += rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-7)
     model.own, model.beside = parts["own"].astype(np.float32), parts["beside"].astype(np.float32)
     model.bias, model.first, model.steps = float(parts["rest"][0]), float(parts["rest"][1]), parts["rest"][2:].reshape(2, 2)
-    model._words = Memo(model._weights)
+    model._words = Memo(model._weights, WORDS)
 
 
 def _pair_counts(e: np.ndarray, lengths: np.ndarray, steps: np.ndarray, p: np.ndarray, moves: np.ndarray) -> np.ndarray:
