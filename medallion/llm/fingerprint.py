@@ -7,9 +7,14 @@ both to the same power of B; the longest common extension of two positions, forw
 backwards, is found by binary search over span equality.
 
 A document's fingerprint is the hash of its whole text with its length.  The likeness of
-two documents is the longest common extension at their beginnings plus that at their
-ends (which do not overlap), over the longer length: 1 for equal texts, and by
-definition for two empty ones.
+two documents is the number of code points in equal spans, which do not overlap, over the
+longer length: 1 for equal texts, and by definition for two empty ones.  The spans are the
+longest common extensions at their beginnings and at their ends, and between these the
+extensions, both ways, of equal spans of ``ANCHOR`` code points, wherever they stand.
+Equal spans of ``ANCHOR + STEP - 1`` code points or more are always found, those shorter
+than ``ANCHOR`` never: unrelated texts of one language have phrases in common.  A span of
+a text that repeats itself may be matched with a shifted copy, short of fewer than
+``ANCHOR + STEP`` code points.
 
 The documents are range-partitioned by descending id.  A document's successor is the
 next row of its partition; the successor of a partition's last document is the first one
@@ -22,6 +27,7 @@ in proportion to their length, one document at a time.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 from collections.abc import Iterator
@@ -36,6 +42,8 @@ from medallion.llm.common import slices
 #: Two primes under 2^31 and a base for each.
 MODULI = (2147483647, 2147483629)
 BASES = (1103515245, 1812433253)
+#: Code points of the equal spans by which texts are aligned past a difference, and from one to the next in the first text.
+ANCHOR, STEP = 64, 16
 
 
 @functools.lru_cache(maxsize=40)  # one for each doubling of the length
@@ -112,9 +120,10 @@ def spans_equal(x: Prefixes, i: int, y: Prefixes, j: int, length: int) -> bool:
     return all(a[k] == b[k] * up[k] % MODULI[k] for k in (0, 1))
 
 
-def common_extension(x: Prefixes, i: int, y: Prefixes, j: int, backwards: bool = False) -> int:
-    """Length of the longest equal spans that begin (or, backwards, end) at i and j, by binary search."""
+def common_extension(x: Prefixes, i: int, y: Prefixes, j: int, backwards: bool = False, limit: int | None = None) -> int:
+    """Length of the longest equal spans (up to ``limit``) that begin (or, backwards, end) at i and j, by binary search."""
     low, high = 0, min(i, j) if backwards else min(len(x) - i, len(y) - j)
+    high = high if limit is None else min(high, limit)
     while low < high:
         middle = (low + high + 1) // 2
         if spans_equal(x, i - middle, y, j - middle, middle) if backwards else spans_equal(x, i, y, j, middle):
@@ -124,6 +133,58 @@ def common_extension(x: Prefixes, i: int, y: Prefixes, j: int, backwards: bool =
     return low
 
 
+def _anchors(x: Prefixes, at: np.ndarray, top: int) -> np.ndarray:
+    """Hashes modulo the first prime of the spans of ``ANCHOR`` code points that begin at ``at``, all times B^top."""
+    p = np.uint64(MODULI[0])
+    return (x.sums[0, at + ANCHOR] + p - x.sums[0, at]) % p * powers(top)[0, top - at] % p
+
+
+def matched_between(x: Prefixes, y: Prefixes, head: int, tail: int) -> int:
+    """Code points in equal spans, without overlap, of what lies between the first ``head`` and the last ``tail`` code points."""
+    x_end, y_end = len(x) - tail, len(y) - tail
+    if min(x_end, y_end) - head < ANCHOR:
+        return 0
+    top = max(len(x), len(y))
+    places = np.arange(head, x_end - ANCHOR + 1, STEP)
+    hashes = _anchors(x, places, top)
+    order = np.argsort(hashes, kind="stable")
+    places, hashes = places[order], hashes[order]
+    found = _anchors(y, np.arange(head, y_end - ANCHOR + 1), top)
+    first = np.searchsorted(hashes, found)
+    hits = np.flatnonzero(hashes[np.minimum(first, len(hashes) - 1)] == found)
+    if not len(hits):
+        return 0
+    first = first[hits].tolist()
+    hits = (hits + head).tolist()
+    following: dict[int, int] = {}  # of equal anchors in x, the first that is not yet in a span
+    taken: list[tuple[int, int]] = [(0, head), (x_end, len(x))]  # sorted spans of x
+    matched, y_from, k = 0, head, 0
+    while k < len(hits):
+        j, begin = hits[k], first[k]
+        k += 1
+        at = following.get(begin, begin)
+        while at < len(places) and hashes[at] == hashes[begin]:
+            i = int(places[at])
+            gap = bisect.bisect_right(taken, (i, len(x) + 1))
+            low, high = taken[gap - 1][1], taken[gap][0]
+            if low <= i and i + ANCHOR <= high:
+                break
+            at += 1  # it stays covered
+        else:
+            following[begin] = len(places)
+            continue
+        following[begin] = at
+        ahead = common_extension(x, i, y, j, limit=min(high - i, y_end - j))
+        if ahead < ANCHOR:
+            continue  # equal modulo the first prime only
+        back = common_extension(x, i, y, j, backwards=True, limit=min(i - low, j - y_from))
+        matched += back + ahead
+        taken.insert(gap, (i - back, i + ahead))
+        y_from = j + ahead
+        k = bisect.bisect_left(hits, y_from, k)
+    return matched
+
+
 def likeness(x: Prefixes, y: Prefixes) -> float:
     longest = max(len(x), len(y))
     if not longest:
@@ -132,7 +193,8 @@ def likeness(x: Prefixes, y: Prefixes) -> float:
     if head == longest:
         return 1.0
     tail = common_extension(x, len(x), y, len(y), backwards=True)
-    return min(head + tail, min(len(x), len(y))) / longest
+    tail = min(tail, min(len(x), len(y)) - head)
+    return (head + tail + matched_between(x, y, head, tail)) / longest
 
 
 def code_points(text: bytes | None) -> np.ndarray:

@@ -44,6 +44,31 @@ def plain_likeness(a, b):
     return min(head + tail, min(len(a), len(b))) / max(len(a), len(b))
 
 
+def like(a, b):
+    return P.likeness(prefixes(a), prefixes(b))
+
+
+def test_likeness_goes_on_past_differences():
+    rng = random.Random(5)
+    text = "".join(rng.choices("abcdefghij klmnop\u00e9\U0001f600", k=10_000))
+    assert like(text, "#" + text[1:-1] + "#") == 9_998 / 10_000
+    edits = list(text)
+    for at in (0, 1_500, 4_000, 4_200, 7_777, 9_999):
+        edits[at] = "#"
+    assert like(text, "".join(edits)) == like("".join(edits), text) == 9_994 / 10_000
+    assert like(text, "#" + text[:3_000] + "##" + text[3_000:6_000] + text[6_001:] + "#") == 9_999 / 10_003
+    assert like(text, "#" + text[5_000:] + text[:5_000] + "#") >= 9_990 / 10_002  # halves in the other order
+
+
+def test_likeness_counts_no_code_point_twice():
+    least = 200 - P.ANCHOR - P.STEP + 2  # periodic text may be aligned a few periods off
+    assert least / 1_002 <= like("#" + "ab" * 100 + "#", "!" + "ab" * 500 + "!") <= 200 / 1_002
+    assert least / 1_002 <= like("#" + "ab" * 500 + "#", "!" + "ab" * 100 + "!") <= 200 / 1_002
+    block = "".join(random.Random(6).choices("abcdefgh", k=100))
+    assert like("#" + block + "#", "!" + block + "?" + block + "?" + block + "!") == 100 / 304
+    assert like("x" * 5_000, "y" * 5_000) == 0
+
+
 def expected(rows):
     out = []
     for k, (key, text) in enumerate(rows):
