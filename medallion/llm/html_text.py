@@ -4,7 +4,10 @@ A page is read once, tag by tag, into a flat list of text blocks: the text betwe
 block-level tags.  A block has its word count and link density (the share of its words
 inside links), those of its two neighbours, and what the tags around it say: whether it
 stands in an article, in an element for page furniture, or in one whose class, id or role
-names such furniture.  A decision tree over these numbers, grown on the small labelled
+names such furniture.  What speaks for furniture is how little of the page (of its articles,
+inside one) such an element holds: a wrapper named after its sidebar, or a form around the
+whole page, holds nearly all of it.  An article or main element begins without the marks
+of what is around it.  A decision tree over these numbers, grown on the small labelled
 table below, keeps a block or not; the kept blocks are the text, in page order.
 
 The tree is grown anew (Gini impurity) wherever it is needed; it is the same each time.
@@ -33,6 +36,8 @@ BLOCK = frozenset("""address article aside blockquote body br button center dd d
     p pre section select summary table tbody td tfoot th thead tr ul caption""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video head select datalist".split())
+#: Of these, the ones that HTML reads as raw text up to their end tag, or the page's end.
+RAW_TEXT = frozenset("script style noscript textarea title iframe".split())
 MAIN = frozenset(["article", "main"])
 #: Elements whose own names speak of the page's layout, not of a part beside the text.
 WHOLE = frozenset(["html", "body", "main", "article"])
@@ -45,10 +50,20 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising adsense spo
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
     comment comments disqus respond reply replies share sharing social related recommended recommendations trending
     pagination pager search toolbar contentinfo complementary form paywall hidden""".split())
+#: Hints that are also words of a text: they count beside other hints and words of layout only ("share-buttons", not "market-share").
+PLAIN = frozenset("""ad ads advertising sponsor sponsored promotion banner menu header rail cookie cookies consent notice notices alert
+    newsletter subscription comment comments respond reply replies share sharing social related recommended recommendations
+    trending search form hidden""".split())
+LAYOUT = frozenset("""site page main top bottom left right center inner outer box bar block blocks area section container wrapper wrap row
+    column col list lists item items button buttons link links icon icons post posts article articles entry content body text title
+    form field input label count meta info global primary secondary mobile desktop sticky fixed fixture module group panel view region
+    story stories news more most box unit slot media widget widgets blog user author thread""".split())
+#: A name with one of these says what a wrapper has, or has not, beside the text.
+MODIFIERS = frozenset("has with without no".split())
 
 # The labelled table.  A row: words and link density of a block, of the block before it, of the block after
-# it; 1 in an article, 0 beside one, 0.5 on a page without one; 1 in a furniture element; 1 in an element that is
-# named like furniture; 1 for main text.
+# it; 1 in an article, 0 beside one, 0.5 on a page without one; in a furniture element the share of the words that it
+# does not hold, else 0; the same of an element that is named like furniture; 1 for main text.
 LABELLED = (
     # menus, before or between articles
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0, 0), (2, 1.0, 1, 1.0, 1, 1.0, 0, 1, 1, 0),
@@ -67,6 +82,9 @@ LABELLED = (
     # reader comments
     (30, 0.0, 50, 0.0, 24, 0.0, 0, 0, 1, 0), (80, 0.0, 12, 0.0, 6, 0.0, 0, 0, 1, 0), (24, 0.0, 3, 0.0, 40, 0.0, 1, 0, 1, 0),
     (55, 0.0, 30, 0.0, 20, 0.0, 0.5, 0, 1, 0), (5, 0.0, 28, 0.0, 33, 0.0, 0.5, 0, 1, 0), (110, 0.0, 60, 0.0, 70, 0.0, 1, 0, 1, 0),
+    # comments and sidebars that hold much of the page
+    (40, 0.0, 30, 0.0, 25, 0.0, 0.5, 0, 0.5, 0), (22, 0.0, 18, 0.0, 60, 0.0, 0.5, 0, 0.6, 0), (75, 0.0, 40, 0.0, 33, 0.0, 1, 0, 0.5, 0),
+    (30, 0.0, 12, 0.0, 20, 0.0, 0.5, 0.5, 0, 0), (50, 0.0, 60, 0.0, 20, 0.0, 1, 0.6, 0, 0), (14, 0.1, 9, 0.0, 35, 0.0, 0.5, 0.5, 0.5, 0),
     # text beside an article, without a name
     (7, 0.0, 1, 1.0, 6, 0.0, 0, 0, 0, 0), (20, 0.0, 2, 1.0, 8, 0.0, 0, 0, 0, 0), (12, 0.0, 66, 0.0, 9, 0.0, 0, 0, 0, 0),
     (40, 0.0, 30, 0.0, 12, 0.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0),
@@ -81,6 +99,10 @@ LABELLED = (
     (60, 0.0, 7, 0.0, 80, 0.0, 0.5, 0, 0, 1), (35, 0.1, 55, 0.0, 40, 0.0, 0.5, 0, 0, 1), (150, 0.0, 20, 0.0, 4, 1.0, 0.5, 0, 0, 1),
     (7, 0.0, 2, 1.0, 60, 0.0, 0.5, 0, 0, 1), (5, 0.0, 70, 0.0, 55, 0.0, 0.5, 0, 0, 1), (18, 0.0, 40, 0.0, 33, 0.0, 0.5, 0, 0, 1),
     (22, 0.0, 6, 0.0, 26, 0.0, 0.5, 0, 0, 1), (90, 0.2, 3, 1.0, 2, 1.0, 0.5, 0, 0, 1), (1, 0.0, 30, 0.0, 48, 0.0, 0.5, 0, 0, 1),
+    # wrappers named after a part, forms around the page
+    (60, 0.0, 9, 0.0, 70, 0.0, 0.5, 0, 0.05, 1), (8, 0.0, 1, 1.0, 50, 0.0, 0.5, 0, 0.1, 1), (25, 0.1, 40, 0.0, 30, 0.0, 0.5, 0, 0.35, 1),
+    (45, 0.0, 20, 0.0, 35, 0.0, 0.5, 0.05, 0, 1), (6, 0.0, 2, 1.0, 44, 0.0, 0.5, 0.2, 0, 1), (33, 0.0, 50, 0.0, 5, 0.0, 0.5, 0.35, 0, 1),
+    (80, 0.0, 30, 0.0, 60, 0.0, 1, 0, 0.1, 1), (10, 0.0, 6, 0.0, 40, 0.0, 1, 0.1, 0, 1), (28, 0.0, 35, 0.0, 22, 0.0, 0.5, 0.35, 0.35, 1),
     (30, 0.0, 0, 0.0, 0, 0.0, 0.5, 0, 0, 1), (12, 0.0, 20, 0.0, 14, 0.0, 0.5, 0, 0, 1), (4, 0.0, 0, 0.0, 0, 0.0, 0.5, 0, 0, 1),
 )
 
@@ -146,8 +168,13 @@ def _named_furniture(attributes: str) -> bool:
     if "=" not in attributes and "hidden" not in attributes:
         return False
     for value in _NAMED.findall(attributes):
-        if not HINTS.isdisjoint(w.lower() for w in _PART.findall(value)):
-            return True
+        for name in value.strip("\"'").split():
+            parts = {w.lower() for w in _PART.findall(name)}
+            hints = parts & HINTS
+            if not hints or not MODIFIERS.isdisjoint(parts):
+                continue
+            if hints - PLAIN or all(w in HINTS or w in LAYOUT or len(w) < 4 for w in parts):
+                return True
     return _HIDDEN.search(attributes) is not None
 
 
@@ -157,14 +184,19 @@ class Block:
     words: int
     linked: int
     main: bool
-    furniture: bool
-    named: bool
+    #: Share of the words (of the main text's, inside it) that are not in the furniture, or named, element around the block; 0 without one.
+    furniture: float
+    named: float
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks that have a word, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, 0)]  # name, main, furniture, named, links around
+    # name, main, marks of the innermost furniture and named elements, innermost mark of both, links around
+    stack: list[tuple[str, bool, int, int, int, int]] = [("", False, -1, -1, -1, 0)]
+    marks: list[int] = []  # each marked element's mark around it; -1 at the beginning of the page, of an article
+    marked: list[tuple[int, int, int]] = []  # each block's marks
+    unclosed: set[str] = set()
     parts: list[str] = []
     link_parts: list[str] = []
     at = 0
@@ -173,16 +205,17 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             words = " ".join(html.unescape("".join(parts)).split())
             if words:
-                _, main, furniture, named, _ = stack[-1]
+                _, main, *own, _ = stack[-1]
                 linked = len(html.unescape(" ".join(link_parts)).split())
-                out.append(Block(words, words.count(" ") + 1, linked, main, furniture, named))
+                out.append(Block(words, words.count(" ") + 1, linked, main, 0.0, 0.0))
+                marked.append(tuple(own))
             parts.clear()
             link_parts.clear()
 
     def text(begin: int, end: int) -> None:
         if end > begin:
             parts.append(page[begin:end])
-            if stack[-1][4]:
+            if stack[-1][5]:
                 link_parts.append(page[begin:end])
 
     while True:
@@ -207,14 +240,15 @@ def blocks_of(page: str) -> list[Block]:
                     break
             continue
         if name in RAW and not m.group(3).endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            end = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if end is not None:
                 at = end.end()
                 if name in BLOCK:
                     end_block()
                 continue
-            if name != "head":  # never closed: it goes on to the end
+            if name in RAW_TEXT:  # never closed: it goes on to the end
                 break
+            unclosed.add(name)
         if name in BLOCK:
             end_block()
             k = len(stack) - 1
@@ -228,11 +262,34 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name == "a" and stack[-1][0] == "a":
             stack.pop()  # links don't nest
-        _, main, furniture, named, links = stack[-1]
+        _, main, furniture, named, mark, links = stack[-1]
         hint = name not in WHOLE and _named_furniture(m.group(3)) if m.group(3) else False
         if name in BLOCK or name == "a" or hint:
-            stack.append((name, main or name in MAIN or 'role="main"' in m.group(3), furniture or name in FURNITURE, named or hint, links + (name == "a")))
+            if not main and (name in MAIN or 'role="main"' in m.group(3)):
+                main, furniture, named, mark = True, -1, -1, -1
+            if hint or name in FURNITURE:
+                marks.append(mark)
+                mark = len(marks) - 1
+                furniture = mark if name in FURNITURE else furniture
+                named = mark if hint else named
+            stack.append((name, main, furniture, named, mark, links + (name == "a")))
     end_block()
+    if marks:
+        held = [0] * len(marks)
+        size = {True: 0, False: 0}  # words of the main text, of the page
+        for block, (_, _, mark) in zip(out, marked):
+            plain = max(0, block.words - block.linked)
+            size[False] += plain
+            size[True] += plain if block.main else 0
+            if mark >= 0:
+                held[mark] += plain
+        for mark in range(len(marks) - 1, -1, -1):
+            if marks[mark] >= 0:
+                held[marks[mark]] += held[mark]
+        for block, (furniture, named, _) in zip(out, marked):
+            whole = size[block.main] or 1
+            block.furniture = 1 - held[furniture] / whole if furniture >= 0 else 0.0
+            block.named = 1 - held[named] / whole if named >= 0 else 0.0
     return out
 
 

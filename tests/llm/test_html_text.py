@@ -45,6 +45,36 @@ def test_page_without_article():
     assert text(page).startswith("A title Plain words") and text(page).endswith("second one here.") and " Short. " in text(page)
 
 
+SENTENCES = "<p>" + "</p><p>".join("Plain words that go on for a while in the %s of these paragraphs." % w for w in ("first", "second", "third")) + "</p>"
+PLAIN_SENTENCES = " ".join(re.sub("<[^>]*>", " ", SENTENCES).split())
+
+
+def test_wrappers_named_after_a_part_keep_the_text():
+    around = "<nav><a href=1>One</a> <a href=2>Two</a></nav>%s<div class=footer>Copyright of us</div>"
+    for wrapper in ("<div class='layout has-sidebar'>", "<div id='page' class='right-sidebar'>", "<div class='page-with-header'>", "<form id=aspnetForm>"):
+        end = "</form>" if "form" in wrapper else "</div>"
+        for inside in ("<article>%s</article>", "<main>%s</main>", "<div>%s</div>"):
+            inside %= SENTENCES
+            assert text(f"<body>{wrapper}{around % inside}{end}</body>") == PLAIN_SENTENCES, (wrapper, inside[:9])
+        part = "<div class=sidebar><p>Something else that is written beside the text.</div>"
+        assert text(f"<body>{wrapper}{around % (SENTENCES + part)}{end}</body>") == PLAIN_SENTENCES
+        assert text(f"<body><main>{wrapper}{SENTENCES}{part}{end}</main></body>") == PLAIN_SENTENCES
+
+
+def test_names_with_an_everyday_word_are_no_furniture():
+    page = f"<body><div>{SENTENCES}</div><section id='market-share'><p>Their share of the market grew by a tenth in the last year.</section>%s</body>"
+    kept = PLAIN_SENTENCES + " Their share of the market grew by a tenth in the last year."
+    assert text(page % "") == kept
+    assert text(page % "<div class='share-buttons'><p>Tell all of your friends about this page now.</div><div id=comments><p>I liked this.</div>") == kept
+
+
+def test_unclosed_elements_that_are_no_raw_text():
+    for name in ("video", "audio", "object", "svg", "canvas", "math", "select", "datalist", "template"):
+        assert text(f"<article><p>before<{name} id=x><p>after</article>") == "before after", name
+    assert text("<article><p>before<video>not shown</video> after<video><p>end</article>") == "before after end"
+    assert text("<article><p>before<textarea><p>after</article>") == "before"
+
+
 def test_broken_markup():
     assert text("<article><p>a < b and c > d <b>x<p>y</article>") == "a < b and c > d x y"
     assert text("<article><p>open <a href='x'>link<p>next one that is not closed") == "open link next one that is not closed"
