@@ -660,12 +660,17 @@ def q_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("csv_pick_and_infer")
 def q_csv_pick_and_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of a folder that match a name, with inferred types."""
+    """The files of a folder that match a name, with inferred types; rows too short and too long are told by their kept lines."""
     c = read_table(spark, sf_dir, "customer")
     root = scratch_path(spark, "picked")
     write_delimited(c.select("c_custkey", "c_name", "c_acctbal"), root, sep="|")
     c.select(F.lit("not this one").alias("value")).write.mode("append").text(root)
-    return delimited.read_delimited(spark, root, sep="|", glob="*.csv", infer_schema=True)
+    some = c.where(F.col("c_custkey") % 10 == 3)
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("c_custkey", "c_name", "c_acctbal")]
+    untidy = some.select(F.concat_ws("|", *fields, F.lit("surplus"))).union(some.select(F.concat_ws("|", *fields[:2])))
+    write_delimited(untidy.toDF("c_custkey|c_name|c_acctbal"), root, sep="\x01", mode="append")
+    df = delimited.read_delimited(spark, root, sep="|", glob="*.csv", infer_schema=True, malformed_column=delimited.MALFORMED)
+    return df.where(F.col(delimited.MALFORMED).isNull()).drop(delimited.MALFORMED)
 
 
 @query("parquet_roundtrip")

@@ -12,6 +12,8 @@
   differently (TR3).
 * A row with more or fewer fields than its header keeps its whole line in
   ``_malformed_line`` (null for all other rows), so that nothing is lost unseen.
+  ``read_delimited`` does so where it is given the column's name, and otherwise
+  refuses such a row with an error.
 * Unnamed tail columns produced by a trailing separator (``_c14``) are dropped.
 * UTF-16 files are read whole, one task for each file: their line ends are not
   single bytes, so they cannot be split.
@@ -139,9 +141,14 @@ def read_delimited(
     schema: T.StructType | None = None,
     glob: str | None = None,
     source_column: str | None = None,
+    malformed_column: str | None = None,
 ) -> DataFrame:
     """One scan of files that share a header.
 
+    ``malformed_column`` adds a column that holds the lines of rows with surplus
+    or missing fields (or values that are not of the schema's types); without it
+    the read fails on such a row.
+
     ``schema`` (all strings, in file order) avoids the header-inference job;
     ``infer_schema`` is available but costs one extra pass over the data.
     ``glob`` picks files of a folder by name (S5) instead of by list position.
@@ -149,12 +156,18 @@ def read_delimited(
     and maps the C1 code points back to the cp1252 characters, in one
     ``translate`` per text column.
     """
-    reader = _reader(spark, sep, encoding, header, glob)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    else:
-        reader = reader.option("inferSchema", infer_schema)
     paths = [paths] if isinstance(paths, str) else list(paths)
+    # a pruned parser splits a line no further than it needs and would see no surplus field
+    reader = _reader(spark, sep, encoding, header, glob).option("columnPruning", False)
+    given = schema is not None
+    if schema is None:
+        schema = _reader(spark, sep, encoding, header, glob).option("inferSchema", infer_schema).csv(paths).schema
+    if malformed_column:
+        schema = T.StructType([*schema.fields, T.StructField(malformed_column, T.StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", malformed_column)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    reader = reader.schema(schema).option("enforceSchema", not given)
     df = canonicalise_columns(reader.csv(paths), source_column)
     if encoding.lower() in CP1252_NAMES:
         df = c1_values_to_cp1252(df)

@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from medallion.contracts import INSTITUTIONS
 from medallion.sources import charset, delimited
@@ -30,6 +31,22 @@ def test_quoted_headers(spark, tmp_path):
     assert df.columns == ["A;1", "B", "B3"] and tuple(df.first()) == ("1", "2", "4")
 
 
+@pytest.mark.parametrize("schema", [None, "A string, B string"])
+def test_one_scan_keeps_or_refuses_surplus_and_missing_fields(spark, tmp_path, schema):
+    put(tmp_path, "a.csv", "A;B\na;1;extra\nb\nc;3\n")
+    schema = schema and StructType.fromDDL(schema)
+    options = {"sep": ";", "schema": schema, "infer_schema": schema is None}
+    df = delimited.read_delimited(spark, str(tmp_path), malformed_column=delimited.MALFORMED, **options)
+    got = {r["A"]: (r["B"] and str(r["B"]), r[delimited.MALFORMED]) for r in df.collect()}
+    assert got == {"a": ("1", "a;1;extra"), "b": (None, "b"), "c": ("3", None)}
+    assert dict(df.dtypes)["B"] == ("int" if schema is None else "string")
+    assert {r["A"] for r in df.where(F.col(delimited.MALFORMED).isNotNull()).select("A").collect()} == {"a", "b"}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        delimited.read_delimited(spark, str(tmp_path), **options).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        delimited.read_delimited(spark, str(tmp_path), **options).select("A").collect()
+
+
 def test_surplus_and_missing_fields_keep_their_line(spark, tmp_path):
     put(tmp_path, "a.csv", "A;B\na;1;extra\nb\nc;3\n")
     df = delimited.read_folder(spark, str(tmp_path), sep=";")
