@@ -16,7 +16,7 @@ from medallion.session import scratch_path, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language that the network recognises go."""
+    """Documents without a letter go; with no score limit or list of languages the network's answer removes no other."""
     ship_package(spark)
     return langid.keep_identified(docs, langid.fit(docs, crc_mod(docs["doc_id"], 5) != 0))
 
