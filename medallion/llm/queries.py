@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, simhash, toxicity
+from medallion.llm import bpe, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, reversed_search, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -88,6 +88,11 @@ def op10_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item, searched from the items' side."""
+    return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_decontamination": op2_decontamination,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_prefix_hashes": op10_prefix_hashes,
+    "op13_reversed_search": op13_reversed_search,
 }
 #: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
 OP2_SQL = r"""
@@ -124,4 +130,30 @@ SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
 FROM low LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL}
+#: Term counts of all documents, joined to the items' terms with their repeats.
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+         row_number() OVER () AS r
+  FROM documents WHERE text IS NOT NULL),
+items AS (
+  SELECT item_id, r, t, count(*) AS times
+  FROM (SELECT item_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+        FROM (SELECT *, row_number() OVER () AS r FROM benchmark WHERE text IS NOT NULL))
+  GROUP BY ALL),
+total AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM docs WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY ALL),
+df AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM tf, total GROUP BY t, big_n),
+gain AS (
+  SELECT r, t, df.weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w) * big_n) // big_l))) AS gain
+  FROM tf JOIN docs USING (r) JOIN df USING (t), total),
+scored AS (
+  SELECT item_id, items.r AS item, gain.r AS doc, CAST(sum(times * gain) AS BIGINT) AS score
+  FROM gain JOIN items USING (t) GROUP BY ALL HAVING sum(times * gain) > 0),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scored JOIN docs ON docs.r = scored.doc)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op13_reversed_search": OP13_SQL}
