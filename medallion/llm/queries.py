@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, reversed_search, simhash, toxicity
+from medallion.llm import bpe, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, reversed_search, secret_scan, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -88,6 +88,11 @@ def op10_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the fixed patterns and strings of high entropy."""
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item, searched from the items' side."""
     return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_prefix_hashes": op10_prefix_hashes,
+    "op12_secret_scan": op12_secret_scan,
     "op13_reversed_search": op13_reversed_search,
 }
 #: Every window of ten item words (or the whole shorter item) is looked up among the documents' windows of that length.
@@ -156,4 +162,54 @@ ranked AS (
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op13_reversed_search": OP13_SQL}
+def _matches_sql(regex: str, group: int, least: int) -> str:
+    """Row, place and value of every match: running sums of what lies between the matches and of the matches."""
+    quoted = regex.replace("'", "''")
+    return f"""SELECT r, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY r ORDER BY i) - length(m) AS BIGINT) AS start,
+         CAST(sum(length(gap) + length(m)) OVER (PARTITION BY r ORDER BY i) AS BIGINT) AS stop, v, length(v) >= {least} AS kept
+  FROM (SELECT r, unnest(gaps[:len(ms)]) AS gap, unnest(ms) AS m, unnest(vs) AS v, unnest(range(len(ms))) AS i
+        FROM (SELECT r, string_split_regex(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}', 0) AS ms,
+                     regexp_extract_all(text, '{quoted}', {group}) AS vs FROM t))"""
+
+
+def _entropy_sql(chars: secret_scan.CharacterClass, allowed: tuple[str, ...]) -> str:
+    """United windows of a class's runs outside allow-listed matches, every window's entropy from its own character counts."""
+    grown = secret_scan.steps(chars.window)
+    sums = [sum(grown[:c + 1]) for c in range(chars.window + 1)]
+    cut = secret_scan.any_of(allowed)
+    return f"""
+  SELECT r, start + min(q) AS start, start + max(q) + {chars.window} AS stop
+  FROM (SELECT *, sum(CASE WHEN q <= before + {chars.window} THEN 0 ELSE 1 END) OVER (PARTITION BY r, start ORDER BY q) AS island
+        FROM (SELECT *, lag(q) OVER (PARTITION BY r, start ORDER BY q) AS before
+              FROM (SELECT r, start, q
+                    FROM (SELECT r, start, q, count(*) AS c
+                          FROM (SELECT r, start, q, unnest(string_split(substring(run, q + 1, {chars.window}), '')) AS letter
+                                FROM (SELECT r, start, run, unnest(range(length(run) - {chars.window - 1})) AS q
+                                      FROM (SELECT r, run, CAST(place + sum(length(run) + coalesce(length(cut), 0)) OVER (PARTITION BY r, place ORDER BY i)
+                                                   - length(run) - coalesce(length(cut), 0) AS BIGINT) AS start
+                                            FROM (SELECT r, place, unnest(parts) AS run, unnest(list_resize(cuts, len(parts))) AS cut, unnest(range(len(parts))) AS i
+                                                  FROM (SELECT r, start AS place, string_split_regex(v, '{cut}') AS parts, regexp_extract_all(v, '{cut}') AS cuts
+                                                        FROM ({_matches_sql("(" + chars.regex + ")", 1, chars.window)}))))
+                                      WHERE length(run) >= {chars.window}))
+                          GROUP BY r, start, q, letter)
+                    GROUP BY r, start, q HAVING sum({sums}[c + 1]) <= {chars.most})))
+  GROUP BY r, start, island"""
+
+
+def _op12_sql() -> str:
+    base = [(p.kind, f"SELECT r, start, stop FROM ({_matches_sql(p.regex, p.group, p.least)}) WHERE kept") for p in secret_scan.PATTERNS]
+    more = [(c.kind, _entropy_sql(c, secret_scan.ALLOWED)) for c in secret_scan.CLASSES]
+    union = " UNION ALL ".join(f"SELECT r, start, stop, '{kind}' AS kind, {rank} AS rank FROM ({sql})" for rank, (kind, sql) in enumerate(base + more))
+    counts = ", ".join(f"count(kind) FILTER (kind = '{p.kind}') AS n_{p.kind}" for p in secret_scan.PATTERNS)
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({union}),
+said AS (SELECT *, kind || ':' || start || ':' || stop AS span FROM spans)
+SELECT any_value(doc_id) AS doc_id, {counts},
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, rank, stop) FILTER (rank < {len(base)}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, rank, stop), '') AS spans
+FROM t LEFT JOIN said USING (r) GROUP BY r
+"""
+
+
+ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_secret_scan": _op12_sql(), "op13_reversed_search": OP13_SQL}
