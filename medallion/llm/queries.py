@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, reversed_search, secret_scan, simhash, toxicity
+from medallion.llm import bpe, collocations, decontaminate, fingerprint, hilbert, html_text, langid, pitman_yor, planes, reversed_search, secret_scan, simhash, toxicity
 from medallion.llm.common import crc_mod, table
 
 #: Folder of the public tokenizer files; a parameter of the operators that use them.
@@ -88,6 +88,12 @@ def op10_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language, from count streams in prefix and suffix order."""
+    found = collocations.collocations(table(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.col("score").cast("bigint"))  # at most 1,000,000: a part occurs as often as the whole
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: the fixed patterns and strings of high entropy."""
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
@@ -109,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_pitman_yor": op9_pitman_yor,
     "op10_prefix_hashes": op10_prefix_hashes,
+    "op11_collocations": op11_collocations,
     "op12_secret_scan": op12_secret_scan,
     "op13_reversed_search": op13_reversed_search,
 }
@@ -136,6 +143,35 @@ SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
 FROM low LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: Every phrase of one to four words counted whole; cuts and longer phrases by joins.
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+grams AS (SELECT lang, w[i:i + k - 1] AS g
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS n FROM grams GROUP BY lang, phrase),
+total AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidate AS (SELECT * FROM f WHERE len(g) > 1 AND n >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.n AS a, k, h.n AS l, t.n AS r, CAST((CAST(2000000 AS HUGEINT) * c.n) // (h.n + t.n) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM candidate) c
+  JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.g[:k], ' ')
+  JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.g[k + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT c.lang, c.phrase
+  FROM (SELECT lang, n, array_to_string(g[i:i + k - 1], ' ') AS part
+        FROM (SELECT lang, n, g, k, unnest(range(1, len(g) - k + 2)) AS i FROM candidate, (SELECT unnest([2, 3]) AS k) WHERE len(g) > k)) x
+  JOIN candidate c ON c.lang = x.lang AND c.phrase = x.part WHERE 100 * x.n >= 80 * c.n),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, total.n, score
+  FROM lowest JOIN total USING (lang) WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM inside))
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 #: Term counts of all documents, joined to the items' terms with their repeats.
 OP13_SQL = r"""
 WITH docs AS (
@@ -212,4 +248,4 @@ FROM t LEFT JOIN said USING (r) GROUP BY r
 """
 
 
-ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_secret_scan": _op12_sql(), "op13_reversed_search": OP13_SQL}
+ORACLES: dict[str, str] = {"op2_decontamination": OP2_SQL, "op11_collocations": OP11_SQL, "op12_secret_scan": _op12_sql(), "op13_reversed_search": OP13_SQL}
