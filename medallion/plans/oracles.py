@@ -495,3 +495,12 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM
 """
 
 ORACLES["reconciliation_counts"] = f"SELECT side, COUNT(*) AS unmatched FROM ({ORACLES['reconciliation']}) GROUP BY side"
+
+ORACLES["csv_multiline"] = """
+SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR) AS line,
+  CASE o_orderstatus
+    WHEN 'F' THEN o_orderpriority || chr(10) || 'said "yes; no"' || chr(10) || chr(10) || ';' || o_orderstatus
+    WHEN 'O' THEN '5" disk ' || o_orderpriority
+    ELSE '"' || chr(10) || '"' || chr(10) || o_orderpriority END AS note
+FROM orders
+"""

@@ -658,6 +658,22 @@ def q_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(casts.to_long("c_custkey").alias("c_custkey"), "name", "segment", F.col(delimited.MALFORMED).alias("line"))
 
 
+@query("csv_multiline")
+def q_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted values with line breaks, blank lines, separators and quotes, in files of two headers, read in splits."""
+    o = read_table(spark, sf_dir, "orders")
+    note = (F.when(F.col("o_orderstatus") == "F", F.concat("o_orderpriority", F.lit('\nsaid "yes; no"\n\n;'), "o_orderstatus"))
+            .when(F.col("o_orderstatus") == "O", F.concat(F.lit('5" disk '), "o_orderpriority")).otherwise(F.concat(F.lit('"\n"\n'), "o_orderpriority")))
+    rows = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), note.alias("the\nnote"), F.col("o_custkey").cast("string").alias("o_custkey"))
+    root = scratch_path(spark, "multiline")
+    write_delimited(rows.where(F.col("o_orderpriority") < "3"), f"{root}/a", sep=";")
+    write_delimited(rows.where(F.col("o_orderpriority") >= "3").select(*reversed(rows.columns)), f"{root}/b", sep=";")
+    # a split size far below a file's, so that values go over the ends of splits at every scale
+    df = delimited.read_folder(spark, root, sep=";", multiline=True, split_bytes=1 << 16)
+    return df.select(casts.to_long("o_orderkey").alias("o_orderkey"), F.col("the\nnote").alias("note"), casts.to_long("o_custkey").alias("o_custkey"),
+                     F.col(delimited.MALFORMED).alias("line"))
+
+
 @query("csv_pick_and_infer")
 def q_csv_pick_and_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of a folder that match a name, with inferred types; rows too short and too long are told by their kept lines."""

@@ -1,7 +1,9 @@
 """Delimited-text sources (S1-S6) and the header handling they need (TR3-TR6).
 
 * Every raw column is read as text; a contract decides the types later.
-* Values may be quoted; a quote inside a quoted value is doubled (``"a ""b"" c"``).
+* Values may be quoted; a quote inside a quoted value is doubled (``"a ""b"" c"``).  With
+  ``multiline`` quoted values may hold line breaks, and files are still read in splits
+  (``sources.quoted``); without it, a record is a line.
 * Header names are canonicalised: Windows-1252 files read as ISO-8859-1 carry
   C1 control characters where cp1252 has punctuation (the en dash arrives as
   U+0096), so those are mapped back; a BOM and surrounding blanks are removed.
@@ -34,6 +36,7 @@ from pyspark.sql import types as T
 from medallion.contracts import TableContract
 from medallion.operators.union import union_all_by_name
 from medallion.session import scratch_path
+from medallion.sources import quoted
 
 # Spark 4 refuses the Python-style names; these are the Java charset names.
 CHARSET_ALIASES = {
@@ -247,6 +250,8 @@ def read_folder(
     glob: str | None = None,
     source_column: str | None = "source_file",
     malformed_column: str | None = MALFORMED,
+    multiline: bool = False,
+    split_bytes: int = quoted.SPLIT_BYTES,
 ) -> DataFrame:
     """Every file below ``folder`` as one table, columns matched by name.
 
@@ -259,8 +264,12 @@ def read_folder(
     ``encoding='auto'`` decides each file's charset in the same pass (S11
     feeding S1-S3).  ``malformed_column`` holds the lines of rows with surplus or
     missing fields; ``None`` leaves it out.
+
+    ``multiline`` reads quoted values with line breaks, files in splits of ``split_bytes``.
     """
     folders = [folder] if isinstance(folder, str) else list(folder)
+    if multiline and not is_utf16(encoding):  # UTF-16 files are read whole anyhow, line breaks in values included
+        return _read_multiline(spark, folders, sep, encoding, glob, source_column, malformed_column, split_bytes)
     path = scratch_path(spark, "file-index")
     file_index(spark, folders, encoding, glob).withColumn("folder", F.regexp_replace("path", "/[^/]*$", "")).write.parquet(path)
     index = spark.read.parquet(path)
@@ -290,6 +299,69 @@ def read_folder(
     return union_all_by_name(parts)
 
 
+def _decoded(raw: Column, charset: str) -> Column:
+    """Undecoded bytes as text."""
+    if charset.upper() == "UTF-8":
+        return F.make_valid_utf8(raw.cast("string"))
+    text = F.decode(raw, "ISO-8859-1" if charset in CP1252_NAMES else charset)
+    return F.translate(text, C1_SOURCE, C1_TARGET) if charset in CP1252_NAMES else text
+
+
+def _read_multiline(spark: SparkSession, folders: Sequence[str], sep: str, encoding: str, glob: str | None, source_column: str | None,
+                    malformed_column: str | None, split_bytes: int) -> DataFrame:
+    """Records found by ``sources.quoted``, parsed by their file's header in one scan."""
+    from medallion.sources.charset import encoding_label, file_facts, spark_charset
+
+    rows = quoted.records(spark, folders, sep, glob, split_bytes)
+    heads = rows.where("header").select("path", F.col("record").alias("head"))
+    if encoding == "auto":
+        label = encoding_label()
+        facts = file_facts(spark, folders, glob).select(F.col("path").alias("of"), F.when(label == "windows-1252", label).otherwise(spark_charset(label)).alias("charset"))
+        heads = heads.join(facts, heads["path"] == facts["of"]).drop("of")
+    else:
+        heads = heads.withColumn("charset", F.lit("windows-1252" if encoding.lower() in CP1252_NAMES else java_charset(encoding)))
+    found = heads.select("charset", "head").distinct().collect()
+    if not found:
+        raise FileNotFoundError(f"no records under {folders}")
+    if any(is_utf16(r["charset"]) for r in found):
+        raise ValueError("UTF-16 files cannot be read in splits: read them by themselves, with their encoding given")
+    groups: dict[tuple[str, tuple[str, ...]], list[bytes]] = defaultdict(list)
+    for r in found:
+        groups[r["charset"], tuple(header_columns(_header_of(bytes(r["head"]), r["charset"]), sep))].append(bytes(r["head"]))
+    keys = sorted(groups)
+    data = rows.where(~F.col("header"))
+    if len(keys) > 1:  # one row for each file
+        group = F.coalesce(*(F.when((F.col("charset") == key[0]) & F.col("head").isin(groups[key]), F.lit(i)) for i, key in enumerate(keys)))
+        data = data.join(heads.select(F.col("path").alias("of"), group.alias("group")), F.col("path") == F.col("of")).drop("of")
+    else:
+        data = data.withColumn("group", F.lit(0))
+    wanted = list(dict.fromkeys(n for _, names in keys for n in names if not _UNNAMED.match(n)))
+    kinds = [_parsed(F.col("record"), charset, names, wanted, sep, F.col("closed")) for charset, names in keys]
+    values = kinds[0] if len(kinds) == 1 else F.coalesce(*(F.when(F.col("group") == i, v) for i, v in enumerate(kinds)))
+    kept = [F.col(f"value.`{n}`") for n in wanted]
+    if malformed_column:
+        kept.append(F.col(f"value.`{MALFORMED}`").alias(malformed_column))
+    if source_column:
+        kept.append(F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B"))).alias(source_column))
+    return data.select("path", values.alias("value")).select(*kept)
+
+
+def _header_of(raw: bytes, charset: str) -> str:
+    return raw.decode({"windows-1252": "cp1252"}.get(charset, charset), errors="replace")
+
+
+def _parsed(raw: Column, charset: str, names: Sequence[str], wanted: Sequence[str], sep: str, closed: Column) -> Column:
+    """A record's values under the names wanted, and its text if its fields are not its header's or it never ends."""
+    text = _decoded(raw, charset)
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in (*(f"f{i}" for i in range(len(names))), MALFORMED)])
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": MALFORMED,
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    value = F.from_csv(text, fields.simpleString(), options)
+    by_name = {n: value[f"f{i}"] for i, n in enumerate(names)}
+    return F.struct(*(by_name.get(n, F.lit(None).cast("string")).alias(n) for n in wanted),
+                    F.coalesce(value[MALFORMED], F.when(~closed, text)).alias(MALFORMED))
+
+
 def read_files(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str = "UTF-8", source_column: str | None = "source_file",
                malformed_column: str | None = MALFORMED) -> DataFrame:
     """The listed files (a bounded number, e.g. of one micro-batch) as one table, columns matched by name."""
@@ -330,7 +402,8 @@ def read_contract(
     contract: TableContract,
     encoding: str | None = None,
     glob: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """A contract's raw table from a folder of delimited files."""
-    df = read_folder(spark, folder, sep=contract.sep, encoding=encoding or contract.encoding, glob=glob)
+    df = read_folder(spark, folder, sep=contract.sep, encoding=encoding or contract.encoding, glob=glob, multiline=multiline)
     return conform(df, contract)
