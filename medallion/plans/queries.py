@@ -669,7 +669,7 @@ def q_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_delimited(rows.where(F.col("o_orderpriority") < "3"), f"{root}/a", sep=";")
     write_delimited(rows.where(F.col("o_orderpriority") >= "3").select(*reversed(rows.columns)), f"{root}/b", sep=";")
     # a split size far below a file's, so that values go over the ends of splits at every scale
-    df = delimited.read_folder(spark, root, sep=";", multiline=True, split_bytes=1 << 16)
+    df = delimited.read_folder(spark, root, sep=";", multiline=True, split_bytes=1 << 15)
     return df.select(casts.to_long("o_orderkey").alias("o_orderkey"), F.col("the\nnote").alias("note"), casts.to_long("o_custkey").alias("o_custkey"),
                      F.col(delimited.MALFORMED).alias("line"))
 

@@ -46,6 +46,8 @@ from medallion.session import scratch_path
 SPLIT_BYTES = 128 << 20
 MAX_RECORD_BYTES = 64 << 20
 _BOM = b"\xef\xbb\xbf"
+#: A record of nothing else is a blank line.
+_BLANK = b" \t\r"
 
 #: How a piece of text lies to its split: a whole record, one that goes on in the next split,
 #: the end of one from before, or the whole split inside one.
@@ -151,7 +153,7 @@ class _Cutter:
 
     def _emit(self, kind: int) -> None:
         text = b"\n".join(self.held)
-        header = self.header and not self.from_before and bool(text.strip())
+        header = self.header and not self.from_before and bool(text.strip(_BLANK))
         self.out.append((*self.split, text, kind, header))
         self.header = self.header and not header
         self.held, self.size, self.from_before = [], 0, False
@@ -250,4 +252,4 @@ def records(spark: SparkSession, folders: str | Sequence[str], sep: str, glob: s
     ended = pieces.where(F.col("kind") == WHOLE).select("path", "header", F.lit(True).alias("closed"), F.col("line").cast("string").alias("record"))
     rows = ended.unionByName(joined.select("path", "header", "closed", text.alias("record")))
     record = F.when(F.expr("endswith(cast(record as binary), X'0D')"), F.expr("substring(cast(record as binary), 1, octet_length(record) - 1)")).otherwise(F.col("record").cast("binary"))
-    return rows.select("path", "header", "closed", record.alias("record")).where(F.expr("length(trim(BOTH ' \t' FROM cast(record as string))) > 0"))
+    return rows.select("path", "header", "closed", record.alias("record")).where(F.trim(F.col("record").cast("string"), F.lit(_BLANK.decode())) != "")
