@@ -58,7 +58,7 @@ COVERED = 80
 UNKNOWN = "und"
 FILTER_BITS = 1 << 26
 #: Bytes of text counted together in a task.
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 #: Sampled keys for each run of a stream.
 SAMPLED = 40
 
@@ -84,10 +84,18 @@ class Words:
         return [b" ".join(words[i:i + order]) for i in at.tolist()]
 
 
-def _known(bitmap: np.ndarray, lang: str, phrases: list[bytes]) -> np.ndarray:
-    """Which of the phrases the bitmap may hold; hashes as in ``_bitmap``."""
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """Of every word, as Spark's xxhash64(lang, word)."""
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases))
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first ^ (second << np.uint64(1) | second >> np.uint64(63))
+
+
+def _known(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes the bitmap holds (see ``_bitmap``)."""
     at = hashes & np.uint64(len(bitmap) * 64 - 1)
     return bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) == 1
 
@@ -97,27 +105,27 @@ def _count_words(lang: str, x: Words, known) -> Iterator[tuple[list[bytes], np.n
     yield [b"", *x.known[1:]], np.concatenate([[n[1:].sum()], n[1:]])
 
 
-def _pairs(lang: str, x: Words, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs of frequent words, and the pairs as numbers."""
-    frequent = _known(words, lang, x.known)
+def _pairs(hashes: np.ndarray, x: Words, words: np.ndarray) -> np.ndarray:
+    """Places of pairs of frequent words."""
+    frequent = _known(words, hashes)
     frequent[0] = False
     there = frequent[x.ids]
-    at = np.flatnonzero(there[:-1] & there[1:])
-    return at, x.ids[at] * len(x.known) + x.ids[at + 1]
+    return np.flatnonzero(there[:-1] & there[1:])
 
 
 def _count_pairs(lang: str, x: Words, known) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    at, pairs = _pairs(lang, x, known[0])
-    _, first, n = np.unique(pairs, return_index=True, return_counts=True)
-    yield x.phrases(at[first], 2), n
+    at = _pairs(_hashes(lang, x.known), x, known[0])
+    pairs, n = np.unique(x.ids[at] * len(x.known) + x.ids[at + 1], return_counts=True)
+    words = x.known
+    yield [words[a] + b" " + words[b] for a, b in zip((pairs // len(words)).tolist(), (pairs % len(words)).tolist())], n
 
 
 def _count_longer(longest: int):
     def run(lang: str, x: Words, known) -> Iterator[tuple[list[bytes], np.ndarray]]:
-        at, pairs = _pairs(lang, x, known[0])
-        _, first, numbers = np.unique(pairs, return_index=True, return_inverse=True)
-        frequent = _known(known[1], lang, x.phrases(at[first], 2))
-        at, numbers = at[frequent[numbers]], numbers[frequent[numbers]]
+        hashes = _hashes(lang, x.known)
+        at = _pairs(hashes, x, known[0])
+        at = at[_known(known[1], _pair_hashes(hashes[x.ids[at]], hashes[x.ids[at + 1]]))]
+        numbers = x.ids[at] * len(x.known) + x.ids[at + 1]
         pair = np.zeros(len(x.ids) + 1, bool)
         pair[at] = True
         for order in range(3, longest + 1):  # a phrase goes on where another frequent pair begins at its last word
@@ -125,6 +133,7 @@ def _count_longer(longest: int):
             at, numbers = at[on], numbers[on]
             if not len(at):
                 return
+            _, numbers = np.unique(numbers, return_inverse=True)  # small again, so that the next product fits
             _, first, numbers, n = np.unique(numbers * len(x.known) + x.ids[at + order - 1], return_index=True, return_inverse=True, return_counts=True)
             yield x.phrases(at[first], order), n
     return run
@@ -168,8 +177,11 @@ def _counts(kernel, known, flush_bytes: int):
 
 
 def _bitmap(counted: DataFrame, bits: int) -> np.ndarray:
-    """A bit at the hash of every counted phrase; at most bits / 64 rows come to the driver."""
-    at = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(bits - 1))
+    """A bit at the hash of every counted word or pair; at most bits / 64 rows come to the driver."""
+    words = F.split("phrase", " ")
+    first, second = (F.xxhash64("lang", F.get(words, F.lit(i))) for i in range(2))
+    turned = F.shiftleft(second, 1).bitwiseOR(F.shiftrightunsigned(second, 63))
+    at = F.when(F.size(words) == 1, first).otherwise(first.bitwiseXOR(turned)).bitwiseAND(F.lit(bits - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
     rows = (counted.where(F.col("phrase") != "").select(F.shiftright(at, 6).alias("word"), bit.alias("bit"))
             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
@@ -186,7 +198,10 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, t
     path, maps, passes = scratch_path(spark, "collocations"), [], [_count_words, _count_pairs, _count_longer(longest)][:longest]
     for number, kernel in enumerate(passes):
         known = spark.sparkContext.broadcast(maps) if maps else None
-        (rows.mapInArrow(_counts(kernel, known, flush_bytes), _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+        counted = rows.mapInArrow(_counts(kernel, known, flush_bytes), _COUNTS)
+        if number:  # a flush has each phrase once and few of them again in the next: nothing to sum before the shuffle
+            counted = counted.repartition("lang", "phrase")
+        (counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
          .where((F.col("n") >= least) | (F.col("phrase") == "")).write.parquet(f"{path}/{number}"))
         if known is not None:
             known.unpersist()

@@ -122,12 +122,14 @@ def test_scores_beyond_64_bits():
 
 
 def test_bitmap_is_the_workers(spark):
-    phrases = ["", "a", "a b", "é x\x00", "the end"]
-    table = spark.createDataFrame([("en", p, 1) for p in phrases], "lang string, phrase string, n bigint")
-    bitmap = collocations._bitmap(table, 1 << 16)
-    assert collocations._known(bitmap, "en", [p.encode() for p in phrases[1:]]).all()
-    want = np.zeros(1 << 10, np.uint64)
-    for p in phrases[1:]:
-        at = xxhash.xxh64_intdigest(p, xxhash.xxh64_intdigest("en", 42)) & 0xFFFF
-        want[at >> 6] |= np.uint64(1 << (at & 63))
-    assert (bitmap == want).all() and not collocations._known(bitmap, "fr", [b"a", b"a b"]).any()
+    words, pairs = [b"a", "é".encode(), b"x\x00", b"the"], [(0, 1), (1, 0), (2, 3), (0, 0)]
+    of = collocations._hashes("en", words)
+    pair_hashes = collocations._pair_hashes(of[[a for a, _ in pairs]], of[[b for _, b in pairs]])
+    for phrases, hashes in (([w.decode() for w in words], of), ([f"{words[a].decode()} {words[b].decode()}" for a, b in pairs], pair_hashes)):
+        bitmap = collocations._bitmap(spark.createDataFrame([("en", p, 1) for p in ["", *phrases]], "lang string, phrase string, n bigint"), 1 << 16)
+        want = np.zeros(1 << 10, np.uint64)
+        for h in hashes.tolist():
+            want[(h & 0xFFFF) >> 6] |= np.uint64(1 << (h & 63))
+        assert (bitmap == want).all() and collocations._known(bitmap, hashes).all()
+        assert not collocations._known(bitmap, collocations._hashes("fr", words)).any()
+    assert of[0] == xxhash.xxh64_intdigest("a", xxhash.xxh64_intdigest("en", 42))
