@@ -419,11 +419,13 @@ ORACLES["folder_union_by_header"] = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """
 
+# Three charsets read the Latin-1 names alike; names in cp850 make no sense in the charset they pass for.
 ORACLES["encoding_audit"] = """
-SELECT 'ascii' AS folder, 'ascii' AS encoding, 'UTF-8' AS spark_charset, COUNT(*) AS lines FROM customer
-UNION ALL SELECT 'utf8', 'utf-8', 'UTF-8', COUNT(*) FROM customer
-UNION ALL SELECT 'latin1', 'iso-8859-1', 'ISO-8859-1', COUNT(*) FROM customer
-UNION ALL SELECT 'cp1252', 'windows-1252', 'ISO-8859-1', COUNT(*) FROM customer
+SELECT 'ascii' AS folder, 'ascii' AS encoding, CAST(1 AS DOUBLE) AS confidence, 'UTF-8' AS spark_charset, COUNT(*) AS lines FROM customer
+UNION ALL SELECT 'utf8', 'utf-8', 1, 'UTF-8', COUNT(*) FROM customer
+UNION ALL SELECT 'latin1', 'iso-8859-1', round(1 / 3, 4), 'ISO-8859-1', COUNT(*) FROM customer
+UNION ALL SELECT 'cp1252', 'windows-1252', 1, 'ISO-8859-1', COUNT(*) FROM customer
+UNION ALL SELECT 'cp850', 'iso-8859-1', 0, 'ISO-8859-1', COUNT(*) FROM customer
 """
 
 ORACLES["parquet_roundtrip"] = "SELECT * FROM orders"

@@ -607,7 +607,7 @@ def q_folder_union_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("encoding_audit")
 def q_encoding_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The encoding of every folder of name files, decided on the executors."""
+    """The encoding of every folder of name files and how sure it is, decided on the executors."""
     c = read_table(spark, sf_dir, "customer")
     root = scratch_path(spark, "encodings")
     accented = F.translate("c_name", "uo", "úõ")
@@ -617,6 +617,7 @@ def q_encoding_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "utf8": (accented, "UTF-8"),
         "latin1": (accented, "ISO-8859-1"),
         "cp1252": (dash, "ISO-8859-1"),
+        "cp850": (F.translate("c_name", "uo", "\u00a3\u00e4"), "ISO-8859-1"),  # u and o with accents, at their cp850 bytes
     }
     for folder, (value, enc) in variants.items():
         (c.select(value.alias("name")).write.mode("errorifexists")

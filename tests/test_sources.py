@@ -115,3 +115,29 @@ def test_read_folder_auto_encoding(spark):
     df = delimited.read_folder(spark, f"{root}/c", sep=";", encoding="auto")
     got = sorted((r["Nome"], r["Índice"]) for r in df.collect())
     assert got == [("Ação", "1,5"), ("Pão – doce", "2,5")]
+
+
+def test_confidence_of_encodings(spark, tmp_path):
+    """Text is sure of its own charset unless others read it alike; another charset's text is not."""
+    text = "Instituição financeira: São Paulo, operações à vista – não há dúvida.\nÍndice de reclamações\n"
+    latin = text.replace("–", "-")
+    cases = {
+        "ascii": (b"plain\ntext\n", "ascii", 1.0, 1.0), "empty": (b"\n", "ascii", 1.0, 1.0),
+        "utf8": (text.encode(), "utf-8", 0.999, 1.0), "one": ("não\n".encode(), "utf-8", 0.9, 1.0),
+        "cp1252": (text.encode("cp1252"), "windows-1252", 0.95, 1.0),
+        "latin1": (latin.encode("latin-1"), "iso-8859-1", 0.3, 0.34),
+        "cp850": (latin.encode("cp850"), "windows-1252", 0.0, 0.01), "mac": (latin.encode("mac_roman"), "windows-1252", 0.0, 0.01),
+        "utf16": (text.encode("utf-16"), "utf-16", 1.0, 1.0), "utf16le": (text.encode("utf-16-le"), "utf-16le", 0.8, 1.0),
+        "broken": ("São".encode()[:-1] + b" x" + "é".encode()[:1] + b"\n", "iso-8859-1", 0.0, 1.0),
+    }
+    for name, (data, *_) in cases.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r["file_name"]: (r["encoding"], r["confidence"]) for r in charset.encoding_audit(spark, str(tmp_path)).collect()}
+    assert {n: e for n, (e, _) in got.items()} == {n: e for n, (_, e, _, _) in cases.items()}
+    assert all(low <= got[n][1] <= high for n, (_, _, low, high) in cases.items()), got
+
+
+def test_confidence_comes_from_the_same_aggregation(spark, tmp_path):
+    (tmp_path / "a").write_bytes("São\n".encode())
+    plan = charset.file_facts(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan and "Generate" not in plan
