@@ -147,3 +147,25 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ccs_blank, blank).otherwise(_as_float(_s(ckey * 2), floats)).alias(CCS_COUNT),
         F.when(ccs_blank, blank).otherwise(_as_float(_s(ckey), floats)).alias(SCR_COUNT),
     )
+
+
+def _word(first: int, length: int) -> Column:
+    """A made-up word that follows from the customer's key."""
+    return F.translate(F.substring(F.md5(_s(F.col("c_custkey"))), first, length), "0123456789abcdef", "bcdfglmnprstaeio")
+
+
+def spelled_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One institution name a customer as the registry and as the claims spell it.
+
+    All names share their first word.  The claims' spelling follows the nation: the same but for
+    case and accents, a wrong letter, the second word missing, another short form, or a suffix.
+    """
+    c = read_table(spark, sf_dir, "customer")
+    one, two, kind = F.initcap(_word(1, 8)), F.initcap(_word(9, 10)), F.col("c_nationkey") % 5
+    registry = F.concat(F.lit("Banco "), one, F.lit(" "), two, F.lit(" S.A."))
+    claims = (F.when(kind == 0, F.concat(F.lit("BÁNCO "), F.upper(one), F.lit(" "), F.upper(two), F.lit(" S.A.")))
+              .when(kind == 1, F.concat(F.lit("Banco "), one, F.lit(" "), F.overlay(two, F.lit("x"), F.lit(5)), F.lit(" S.A.")))
+              .when(kind == 2, F.concat(F.lit("Banco "), one, F.lit(" S.A.")))
+              .when(kind == 3, F.concat(F.lit("Bco "), one, F.lit(" "), two))
+              .otherwise(F.concat(F.lit("Banco "), one, F.lit(" "), two, F.lit(" S.A. Múltiplo"))))
+    return c.select(claims.alias("name")), c.select(registry.alias("name"))

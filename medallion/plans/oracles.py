@@ -506,3 +506,36 @@ SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR) AS line,
     ELSE '"' || chr(10) || '"' || chr(10) || o_orderpriority END AS note
 FROM orders
 """
+
+_WORDS = """
+SELECT c_custkey, c_nationkey % 5 AS kind, translate(substring(h, 1, 8), '0123456789abcdef', 'bcdfglmnprstaeio') AS one,
+       translate(substring(h, 9, 10), '0123456789abcdef', 'bcdfglmnprstaeio') AS two
+FROM (SELECT *, md5(CAST(c_custkey AS VARCHAR)) AS h FROM customer)
+"""
+_TITLE = "upper(substring({0}, 1, 1)) || substring({0}, 2)"
+_ONE, _TWO = _TITLE.format("one"), _TITLE.format("two")
+_SPELLED = f"""
+WITH words AS ({_WORDS}),
+spelled AS (
+  SELECT 'registry' AS side, 'Banco ' || {_ONE} || ' ' || {_TWO} || ' S.A.' AS name, 'banco' || one || two || 's.a.' AS name_norm FROM words
+  UNION
+  SELECT 'claims',
+    CASE kind WHEN 0 THEN 'BÁNCO ' || upper(one) || ' ' || upper(two) || ' S.A.'
+              WHEN 1 THEN 'Banco ' || {_ONE} || ' ' || substring({_TWO}, 1, 4) || 'x' || substring(two, 6) || ' S.A.'
+              WHEN 2 THEN 'Banco ' || {_ONE} || ' S.A.' WHEN 3 THEN 'Bco ' || {_ONE} || ' ' || {_TWO}
+              ELSE 'Banco ' || {_ONE} || ' ' || {_TWO} || ' S.A. Múltiplo' END,
+    CASE kind WHEN 0 THEN 'banco' || one || two || 's.a.' WHEN 1 THEN 'banco' || one || substring(two, 1, 4) || 'x' || substring(two, 6) || 's.a.'
+              WHEN 2 THEN 'banco' || one || 's.a.' WHEN 3 THEN 'bco' || one || two ELSE 'banco' || one || two || 's.a.multiplo' END
+  FROM words),
+report AS (SELECT * FROM spelled QUALIFY min(side) OVER (PARTITION BY name_norm) = max(side) OVER (PARTITION BY name_norm))
+"""
+ORACLES["reconciliation_spelling"] = f"{_SPELLED} SELECT * FROM report"
+
+# Every name of one side with every name of the other.
+ORACLES["name_proposals"] = f"""{_SPELLED},
+grams AS (SELECT *, list_distinct(list_transform(range(1, greatest(length(name_norm) - 1, 2)), lambda i: substring(name_norm, i, 3))) AS g FROM report)
+SELECT left_name, right_name, CAST(100 * o // (m + n - o) AS INTEGER) AS match_percent
+FROM (SELECT l.name AS left_name, r.name AS right_name, len(l.g) AS m, len(r.g) AS n, len(list_intersect(l.g, r.g)) AS o
+      FROM grams l, grams r WHERE l.side = 'claims' AND r.side = 'registry')
+WHERE 100 * o >= 45 * (m + n - o)
+"""

@@ -18,7 +18,7 @@ from medallion.contracts import CLAIMS, DELIVERY, INSTITUTIONS, PROFILES
 from medallion.functions import casts, text
 from medallion.functions.keys import document_key, md5_hex, name_key, sha1_hex
 from medallion.functions.unaccent import unaccent, unaccent_nfkd
-from medallion.operators import dedup, joins, quality, reconcile
+from medallion.operators import dedup, joins, quality, reconcile, similarity
 from medallion.operators.project import column_difference, keep_only, rename_columns
 from medallion.operators.union import union_by_name
 from medallion.plans import fixtures
@@ -383,6 +383,19 @@ def q_reconciliation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconciliation_summary(q_reconciliation(spark, sf_dir))
 
 
+@query("reconciliation_spelling")
+def q_reconciliation_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 with names left over on both sides: case and accents are bridged, other spellings are not."""
+    claims, registry = fixtures.spelled_names(spark, sf_dir)
+    return reconcile.reconciliation(claims, "name", registry, "name", "claims", "registry")
+
+
+@query("name_proposals")
+def q_name_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry names proposed for the claims' unmatched names, q-gram similarity of 45 % or more."""
+    return similarity.name_proposals(q_reconciliation_spelling(spark, sf_dir), "claims", "registry", least=45, largest=10_000)
+
+
 @query("override_names")
 def q_override_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An override table, derived from the data, applied by exact value."""
