@@ -24,9 +24,9 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def column_difference(left: DataFrame, right: DataFrame, keep: Sequence[str] = ()) -> list[str]:
-    """Columns of ``left`` that ``right`` does not have, plus ``keep``, in ``left`` order."""
-    right_cols = set(right.columns)
+def column_difference(left: DataFrame, right: DataFrame | Sequence[str], keep: Sequence[str] = ()) -> list[str]:
+    """Columns of ``left`` that ``right`` (a table, or its columns) does not have, plus ``keep``, in ``left`` order."""
+    right_cols = set(right.columns if isinstance(right, DataFrame) else right)
     out = [c for c in left.columns if c not in right_cols]
     out += [k for k in keep if k not in out]
     return out

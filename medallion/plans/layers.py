@@ -88,19 +88,24 @@ def trusted_claims(raw: DataFrame) -> DataFrame:
     return df.withColumn("sk_financial_institution_name", name_key("financial_institution_name"))
 
 
-def _employees(claims: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The employee side of Z5: distinct ``(id, name key)`` pairs of the claims joined to the
-    profiles, keyed by ``sha1(id || profile segment)``, with only the profile columns the claims
-    side does not have (P6), de-duplicated."""
+def employees_of(named: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The employee side of Z5 from the claims' ``cnpj`` and ``sk_financial_institution_name``: their distinct
+    pairs joined to the profiles, keyed by ``sha1(id || profile segment)``, with only the profile columns the
+    claims side does not have (P6), de-duplicated."""
     prof = profiles.drop("financial_institution_name", "cnpj")
-    pairs = claims.select("cnpj", "sk_financial_institution_name").where("cnpj IS NOT NULL").distinct()
+    pairs = named.select("cnpj", "sk_financial_institution_name").where("cnpj IS NOT NULL").distinct()
     employee = join_on_key(pairs, prof, "sk_financial_institution_name")
     employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment")).where("segment IS NOT NULL")
-    carried = [c for c in column_difference(employee, claims, keep=["sk_cnpj_segment"])
+    carried = [c for c in column_difference(employee, CLAIM_COLUMNS, keep=["sk_cnpj_segment"])
                if c in PROFILE_DELIVERY_COLUMNS or c == "sk_cnpj_segment"]
     return employee.select(*carried).distinct()
 
 
+def delivery_matches(institutions: DataFrame, employee: DataFrame) -> DataFrame:
+    """Registry and employees of every id: what a claim of that id is joined to."""
+    return _registry(institutions).distinct().join(employee, "sk_cnpj_segment", "inner")
+
+
 def _registry(institutions: DataFrame) -> DataFrame:
     return institutions.select("cnpj", "segment", "sk_cnpj_segment")
 
@@ -111,7 +116,7 @@ def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: Dat
     The many-to-many join of Z5 before any de-duplication of its output.
     """
     banks_claims = claims.select(*CLAIM_COLUMNS).join(_registry(institutions), "cnpj", "inner")
-    employee = _employees(claims, profiles)
+    employee = employees_of(claims, profiles)
     return banks_claims.join(employee, "sk_cnpj_segment", "inner").select(*DELIVERY_COLUMNS)
 
 
@@ -137,12 +142,11 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
     are sort-merge joins whose skewed partitions AQE splits.
     """
     claims = claims.select(*CLAIM_COLUMNS)
-    employee, registry = _employees(claims, profiles), _registry(institutions)
+    employee = employees_of(claims, profiles)
     if early_distinct:
-        matched = registry.distinct().join(employee, "sk_cnpj_segment", "inner")
-        out = claims.distinct().join(matched, "cnpj", "inner")
+        out = claims.distinct().join(delivery_matches(institutions, employee), "cnpj", "inner")
     else:
-        out = claims.join(registry, "cnpj", "inner").join(employee, "sk_cnpj_segment", "inner").distinct()
+        out = claims.join(_registry(institutions), "cnpj", "inner").join(employee, "sk_cnpj_segment", "inner").distinct()
     return out.select(*DELIVERY_COLUMNS)
 
 

@@ -539,3 +539,13 @@ FROM (SELECT l.name AS left_name, r.name AS right_name, len(l.g) AS m, len(r.g)
       FROM grams l, grams r WHERE l.side = 'claims' AND r.side = 'registry')
 WHERE 100 * o >= 45 * (m + n - o)
 """
+
+ORACLES["parquet_overwrite_period"] = """
+SELECT o_orderkey, o_custkey, CASE WHEN last THEN 'R' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN last THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter
+FROM (SELECT *, date_trunc('quarter', o_orderdate) = max(date_trunc('quarter', o_orderdate)) OVER () AS last FROM orders)
+"""
+ORACLES["batch_append"] = """
+SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year, 'status-' || o_orderstatus AS batch, COUNT(*) OVER (PARTITION BY o_orderstatus) AS total FROM orders
+"""
+ORACLES["delivery_incremental"] = ORACLES["delivery_satisfaction"]

@@ -21,7 +21,7 @@ from medallion.functions.unaccent import unaccent, unaccent_nfkd
 from medallion.operators import dedup, joins, quality, reconcile, similarity
 from medallion.operators.project import column_difference, keep_only, rename_columns
 from medallion.operators.union import union_by_name
-from medallion.plans import fixtures
+from medallion.plans import fixtures, incremental
 from medallion.plans.layers import (
     build_raw,
     composite_key_join,
@@ -34,7 +34,8 @@ from medallion.plans.layers import (
 from medallion.plans.sqlapi import delivery_satisfaction_sql, register_sql_functions, register_views
 from medallion.session import scratch_path
 from medallion.sinks.delimited import write_delimited
-from medallion.sinks.parquet import publish_table, sql_copy_parquet, write_parquet
+from medallion.sinks.batches import batch_counts, read_batches, write_batch
+from medallion.sinks.parquet import publish_table, replace_periods, sql_copy_parquet, write_parquet
 from medallion.sources import charset, delimited
 from medallion.sources.parquet import read_table, register_scan, sql_scan
 from medallion.streaming.ingest import run_once
@@ -731,6 +732,29 @@ def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("parquet_overwrite_period")
+def q_parquet_overwrite_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 for one period: the last quarter of the orders is replaced by a new version, all others stay."""
+    o = read_table(spark, sf_dir, "orders").withColumns({"year": F.year("o_orderdate"), "quarter": F.quarter("o_orderdate")})
+    path = write_parquet(o, scratch_path(spark, "orders_by_quarter"), partition_by=["year", "quarter"])
+    last = tuple(o.agg(F.max(F.struct("year", "quarter")).alias("x")).select("x.*").first())
+    version = o.where((F.col("year") == last[0]) & (F.col("quarter") == last[1])).withColumns({
+        "o_totalprice": -F.col("o_totalprice"), "o_orderstatus": F.lit("R")})
+    replace_periods(version, path, ["year", "quarter"], [last])
+    return spark.read.schema(o.schema).parquet(path)
+
+
+@query("batch_append")
+def q_batch_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/K6/K8: the orders in one batch a status, each staged and committed once; a repeated batch adds nothing."""
+    o = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    table = scratch_path(spark, "orders_batches")
+    for status in ("F", "O", "P", "F", "O"):
+        write_batch(o.where(F.col("o_orderstatus") == status), table, f"status-{status}", ["year"])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in o.schema.fields)
+    return read_batches(spark, table, schema).join(batch_counts(spark, table), "batch")
+
+
 @query("sql_copy_parquet")
 def q_sql_copy_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COPY-style SQL export, then SQL scan of the folder through a view."""
@@ -760,6 +784,17 @@ def q_delivery_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, raw, scratch_path(spark, "layers"))
 
 
+@query("delivery_incremental")
+def q_delivery_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery table made from two batches of claims, one after the other, and one that is sent again."""
+    claims, root = fixtures.claims_raw(spark, sf_dir), scratch_path(spark, "delivery_incremental")
+    registry, profiles = q_trusted_institutions(spark, sf_dir), q_trusted_profiles(spark, sf_dir)
+    for name, batch in (("first", F.col("Tipo") != "P"), ("second", F.col("Tipo") == "P"), ("first", F.col("Tipo") != "P")):
+        incremental.add_claims(spark, root, name, claims.where(batch))
+        incremental.refresh_delivery(spark, root, registry, profiles)
+    return incremental.read_delivery(spark, root)
+
+
 @query("claims_incremental_ingest")
 def q_claims_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 via Structured Streaming: two deliveries of claim files, each run appends only new files."""

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medallion.contracts import TableContract
 from medallion.sinks.jdbc import contract_column_types
@@ -45,6 +46,54 @@ def write_parquet(
     return path
 
 
+def replace_periods(df: DataFrame, path: str, partition_by: Sequence[str], periods: Sequence[tuple] | None = None,
+                    max_records_per_file: int = 5_000_000) -> str:
+    """K2 for a part of a table: the periods that ``df`` has rows of are replaced, all others keep their files.
+
+    ``periods`` (values in the order of ``partition_by``) lists what the caller means to replace: a
+    listed period without rows is emptied, and rows of a period that is not listed are an error.  Running it again gives
+    the same table.
+    """
+    spark, old = df.sparkSession, {}
+    if periods is not None:  # an error in a task: the write is not committed and nothing is replaced
+        stray = F.raise_error(F.concat_ws(" ", F.lit("rows of a period that is not to be replaced:"), *(F.col(c).cast("string") for c in partition_by)))
+        df = df.where(F.when(in_periods(partition_by, periods), F.lit(True)).otherwise(stray.cast("boolean")))
+        old = {p: _file_names(spark, _period_folder(spark, path, partition_by, p)) for p in periods}
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file).partitionBy(*partition_by).parquet(path))
+    for period, names in old.items():  # files of before are still there: the new version has no rows of this period
+        folder = _period_folder(spark, path, partition_by, period)
+        if names & _file_names(spark, folder):
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return path
+
+
+def _period_folder(spark: SparkSession, path: str, partition_by: Sequence[str], period: tuple):
+    parts = (f"{c}={_partition_value(spark, v)}" for c, v in zip(partition_by, period))
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *parts]))
+
+
+def _file_names(spark: SparkSession, folder) -> set[str]:
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+
+def _partition_value(spark: SparkSession, value: object) -> str:
+    """A value as Spark writes it into a folder name."""
+    catalog = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return catalog.DEFAULT_PARTITION_NAME() if value in (None, "") else catalog.escapePathName(str(value))
+
+
+def in_periods(partition_by: Sequence[str], periods: Sequence[tuple]) -> Column:
+    """A filter for the periods listed that prunes partitions; a null value is a period too."""
+    found = F.lit(False)
+    for first in sorted({p[0] for p in periods}, key=lambda v: (v is not None, str(v))):
+        rest = [p[1:] for p in periods if p[0] == first]
+        here = F.col(partition_by[0]).isNull() if first is None else F.col(partition_by[0]) == F.lit(first)
+        found = found | (here & in_periods(partition_by[1:], rest) if len(partition_by) > 1 else here)
+    return found
+
+
 def write_layer(df: DataFrame, root: str, layer: str, table: str, mode: str = "overwrite", **kwargs) -> str:
     """Write ``<root>/<layer>/<table>/``; overwrite by default so a re-run gives the same table."""
     return write_parquet(df, layer_path(root, layer, table), mode=mode, **kwargs)
