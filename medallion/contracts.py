@@ -20,6 +20,9 @@ from medallion.functions import casts, text
 
 Cleaner = Callable[[Column], Column]
 
+#: Columns of one number type from which they are cast together.
+TOGETHER = 3
+
 
 @dataclass(frozen=True)
 class Field:
@@ -36,7 +39,16 @@ class Field:
 
         Whole numbers also come as float text (``'12345.0'``) and are read as such.
         """
-        c = source if self.clean is None else self.clean(source)
+        return self.typed(self.cleaned(source))
+
+    def cleaned(self, source: Column) -> Column:
+        """The text that is to be cast."""
+        return source if self.clean is None else self.clean(source)
+
+    def typed(self, c: Column) -> Column:
+        """The never-throwing cast of cleaned text; text cut at its point has whole numbers only."""
+        if self.dtype == "int" and self.clean is text.cut_decimals:
+            return casts.to_int(c)
         if self.dtype == "bigint":
             return casts.float_text_to_long(c)
         if self.dtype == "int":
@@ -79,13 +91,22 @@ class TableContract:
                 return f
         raise KeyError(name)
 
-    def clean_columns(self, df: DataFrame) -> list[Column]:
-        """One expression per raw field: rename + cleaner + never-throwing cast."""
-        out = []
-        for f in self.raw_fields:
-            c = F.col(f"`{f.raw}`") if f.raw in df.columns else F.lit(None).cast("string")
-            out.append(f.value(c).alias(f.name))
-        return out
+    def clean(self, raw: DataFrame, *keep: Column) -> DataFrame:
+        """The raw fields renamed, cleaned and cast, with further columns ``keep`` of the raw table.
+
+        Text first, then types.  Numbers of one type are cast as one array by one expression: with an
+        expression for each of some ten columns, the generated code of the stage exceeds the
+        8,000 bytes a method beyond which the JVM leaves it uncompiled.
+        """
+        text_of = [(F.col(f"`{f.raw}`") if f.raw in raw.columns else F.lit(None).cast("string")) for f in self.raw_fields]
+        alike = {t: [f for f in self.raw_fields if f.dtype == t] for t in ("bigint", "double")}
+        together = {f.name: (t, i) for t, fields in alike.items() if len(fields) >= TOGETHER for i, f in enumerate(fields)}
+        cleaned = {f.name: f.cleaned(c) for f, c in zip(self.raw_fields, text_of)}
+        arrays = [F.transform(F.array(*(cleaned[f.name] for f in alike[t])), alike[t][0].typed).alias(f"__{t}") for t in dict.fromkeys(t for t, _ in together.values())]
+        first = raw.select(*(c.alias(n) for n, c in cleaned.items() if n not in together), *arrays, *keep)
+        values = (F.get(f"__{together[f.name][0]}", F.lit(together[f.name][1])) if f.name in together else f.typed(F.col(f.name)) for f in self.raw_fields)
+        known = {*cleaned, "__bigint", "__double"}
+        return first.select(*(v.alias(f.name) for v, f in zip(values, self.raw_fields)), *(c for c in first.columns if c not in known))
 
 
 # --------------------------------------------------------------------------

@@ -19,8 +19,9 @@ ColumnOrName = Column | str
 # there by raising and catching an exception per row, which costs tens of
 # microseconds; dirty columns (a quarter of the rows blank) spend most of their
 # time there.  Only text of the right shape is handed to the cast.
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
-DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^(NaN|[+-]?Infinity)$"
+# Blanks around it are for the cast to drop.
+INTEGER_TEXT = r"^ *[+-]?[0-9]+ *$"
+DECIMAL_TEXT = r"^ *(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|NaN|[+-]?Infinity) *$"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -28,8 +29,8 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def _guarded(c: ColumnOrName, shape: str, type_name: str) -> Column:
-    t = F.trim(_col(c))
-    return F.when(t.rlike(shape), t.try_cast(type_name))
+    c = _col(c)
+    return F.when(c.rlike(shape), c.try_cast(type_name))
 
 
 def to_long(c: ColumnOrName) -> Column:
@@ -45,26 +46,27 @@ def to_double(c: ColumnOrName) -> Column:
     return _guarded(c, DECIMAL_TEXT, "double")
 
 
-def _float_text(c: ColumnOrName, type_name: str, below: float, above: float) -> Column:
-    """Integer text goes through the integer cast, so that no digit passes through a double."""
-    t = F.trim(_col(c))
-    d = F.when(t.rlike(DECIMAL_TEXT), t.try_cast("double"))
-    return (F.when(t.rlike(INTEGER_TEXT), t.try_cast(type_name))
-            .when((d > F.lit(below)) & (d < F.lit(above)), d.cast(type_name)))
+#: A whole number, perhaps with decimals; what comes before the point is its value.
+PLAIN_TEXT = r"^ *[+-]?[0-9]+(?:\.[0-9]*)? *$"
+# Room for every digit of a bigint, and 18 decimals.
+_EXACT = "decimal(38,18)"
 
 
-def float_text_to_long(c: ColumnOrName) -> Column:
-    """``'2000.0'`` -> 2000 by way of double; out-of-range or junk -> null.
+def _float_text(c: ColumnOrName, type_name: str) -> Column:
+    """Plain numbers are cut at the point; exponents and the like go through an exact decimal."""
+    c = _col(c)
+    return (F.when(c.rlike(PLAIN_TEXT), F.substring_index(c, ".", 1).try_cast(type_name))
+            .otherwise(_guarded(c, DECIMAL_TEXT, _EXACT).try_cast(type_name)))
+
 
-    The bounds are bigint's own range: -2^63 is the first double that fits, 2^63
-    the first that does not.
-    """
-    return _float_text(c, "bigint", -(2.0**63) * (1 + 2.0**-52), 2.0**63)
+def float_text_to_long(c: ColumnOrName) -> Column:
+    """``'2000.0'`` -> 2000, no digit through a double; out-of-range or junk -> null."""
+    return _float_text(c, "bigint")
 
 
 def float_text_to_int(c: ColumnOrName) -> Column:
     """C3 for int: everything that truncates to a value in its range."""
-    return _float_text(c, "int", -(2.0**31) - 1, 2.0**31)
+    return _float_text(c, "int")
 
 
 _CASTERS = {

@@ -179,12 +179,19 @@ def alias_substring(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:
     return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), mapping.items(), _col(c))
 
 
+def smallest_target(mapping: DataFrame, key: str, value: str) -> DataFrame:
+    """(__from, __to): one target for each value, the smallest, whatever the order of the rows."""
+    pairs = mapping.select(F.col(key).alias("__from"), F.col(value).alias("__to"))
+    return pairs.where("__from IS NOT NULL AND __to IS NOT NULL").groupBy("__from").agg(F.min("__to").alias("__to"))
+
+
 def map_by_join(df: DataFrame, column: str, mapping: DataFrame, key: str = "from_value", value: str = "to_value") -> DataFrame:
     """T17 at scale: whole-value mapping through a left join with a mapping table.
 
     The planner broadcasts ``mapping`` only when its size is under the session
-    threshold; beyond it the join is a sort-merge join.
+    threshold; beyond it the join is a sort-merge join.  Of several targets of one value
+    the smallest is taken.
     """
-    m = mapping.select(F.col(key).alias("__from"), F.col(value).alias("__to")).dropDuplicates(["__from"])
+    m = smallest_target(mapping, key, value)
     joined = df.join(m, df[column] == m["__from"], "left")
     return joined.withColumn(column, F.coalesce(F.col("__to"), F.col(column))).drop("__from", "__to")

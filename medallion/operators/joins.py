@@ -6,8 +6,8 @@ re-decides with the measured size of the shuffled side
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``); beyond that the join is a
 sort-merge join whose skewed partitions AQE splits.  That is the size check
 behind every broadcast, and the fallback beyond it.  Inner equi-joins get an
-inferred ``isnotnull(key)`` filter, so null keys (blank ids) never reach the
-shuffle and cannot pile up in one partition.
+inferred ``isnotnull(key)`` filter (a join on a computed key filters the column it
+is made of), so rows without a key never reach the shuffle and cannot pile up in one partition.
 """
 
 from __future__ import annotations
@@ -24,14 +24,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: s
     return left.join(right, on=keys, how=how)
 
 
-def join_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def join_on_key(left: DataFrame, right: DataFrame, key: str, source: str | None = None) -> DataFrame:
     """Inner join on a computed text key that is null for rows without one; the key appears once.
 
     An inner join gets a not-null filter on its keys, and that filter would compute the key a
     second time below the projection.  The left side joins on a form of the key that is never null
     (the empty text, which no key is), so the key is computed once for each of its rows.
+
+    ``source`` is the column that the left key is made of: rows without it have no key and are filtered by
+    that column, so that they are not all sent to one partition as rows of one key.
     """
     r = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "__key")
+    if source:
+        left = left.where(F.col(source).isNotNull())
     return left.join(r, F.coalesce(left[key], F.lit("")) == r["__key"]).drop("__key")
 
 

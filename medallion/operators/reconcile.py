@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.keys import name_norm
-from medallion.functions.text import strip, strip_conglomerate
+from medallion.functions.text import smallest_target, strip, strip_conglomerate
 
 
 def normalised_names(df: DataFrame, column: str) -> DataFrame:
@@ -48,9 +48,19 @@ def reconciliation_summary(report: DataFrame) -> DataFrame:
     return report.groupBy("side").agg(F.count(F.lit(1)).alias("unmatched"))
 
 
+def conflicting(overrides: DataFrame, from_col: str = "from_name", to_col: str = "to_name") -> DataFrame:
+    """Names that an override or alias table sends to more than one target, with the targets' number."""
+    return (overrides.where(F.col(from_col).isNotNull() & F.col(to_col).isNotNull()).groupBy(from_col)
+            .agg(F.count_distinct(to_col).alias("targets"), F.min(to_col).alias("taken")).where("targets > 1"))
+
+
 def apply_overrides(df: DataFrame, column: str, overrides: DataFrame,
                     from_col: str = "from_name", to_col: str = "to_name") -> DataFrame:
-    """Replace names listed in ``overrides``; others keep their value."""
-    o = overrides.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to")).dropDuplicates(["__from"])
+    """Replace names listed in ``overrides``; others keep their value.
+
+    Of several targets of one name the smallest is taken (``conflicting`` lists such names); a null
+    name or target overrides nothing.
+    """
+    o = smallest_target(overrides, from_col, to_col)
     out = df.join(o, df[column] == o["__from"], "left")
     return out.withColumn(column, F.coalesce(F.col("__to"), F.col(column))).drop("__from", "__to")

@@ -50,7 +50,7 @@ from medallion.sources.parquet import read_layer
 
 def trusted_institutions(raw: DataFrame) -> DataFrame:
     """Registry with padded id and the (id, segment) surrogate key."""
-    df = raw.select(*INSTITUTIONS.clean_columns(raw))
+    df = INSTITUTIONS.clean(raw)
     return df.withColumn("sk_cnpj_segment", document_key("cnpj", "segment"))
 
 
@@ -67,10 +67,10 @@ def profile_survivor_order():
 
 def trusted_profiles(raw: DataFrame, dedup: bool = True) -> DataFrame:
     """Z3: typed profiles, headquarters split, name key, one row per (name, segment)."""
-    cols = PROFILES.clean_columns(raw)
     source = F.col("source_file") if "source_file" in raw.columns else F.lit(None).cast("string")
-    df = raw.select(*cols, source.alias("source_file"))
-    hq = text.blank_to_null(F.col("employer_headquarters"))
+    hq_text = F.col("`employer-headquarters`") if "employer-headquarters" in raw.columns else F.lit(None).cast("string")
+    df = PROFILES.clean(raw, source.alias("source_file"), text.blank_to_null(hq_text).alias("__hq"))
+    hq = F.col("__hq")
     df = df.withColumns({
         "headquarters_city": text.split_part_trim(hq, ",", 1),
         "headquarters_country": F.when(hq.contains(","), text.split_part_trim(hq, ",", -1)),
@@ -84,7 +84,7 @@ def trusted_profiles(raw: DataFrame, dedup: bool = True) -> DataFrame:
 
 def trusted_claims(raw: DataFrame) -> DataFrame:
     """Typed claims with padded id, clean name and the name key."""
-    df = raw.select(*CLAIMS.clean_columns(raw))
+    df = CLAIMS.clean(raw)
     return df.withColumn("sk_financial_institution_name", name_key("financial_institution_name"))
 
 
@@ -93,7 +93,7 @@ def employees_of(named: DataFrame, profiles: DataFrame) -> DataFrame:
     pairs joined to the profiles, keyed by ``sha1(id || profile segment)``, with only the profile columns the
     claims side does not have (P6), de-duplicated."""
     prof = profiles.drop("financial_institution_name", "cnpj")
-    pairs = named.select("cnpj", "sk_financial_institution_name").where("cnpj IS NOT NULL").distinct()
+    pairs = named.select("cnpj", "sk_financial_institution_name").where("cnpj IS NOT NULL").distinct()  # one pair an id without a name
     employee = join_on_key(pairs, prof, "sk_financial_institution_name")
     employee = employee.withColumn("sk_cnpj_segment", document_key("cnpj", "segment")).where("segment IS NOT NULL")
     carried = [c for c in column_difference(employee, CLAIM_COLUMNS, keep=["sk_cnpj_segment"])

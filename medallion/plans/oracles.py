@@ -293,22 +293,22 @@ SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '%URGENT' THEN split_part(o_or
 FROM orders
 """
 
-ORACLES["distinct_rows"] = "SELECT DISTINCT user_id, event_type FROM events"
-ORACLES["dedup_subset"] = ORACLES["distinct_rows"]
+ORACLES["distinct_rows"] = "SELECT DISTINCT * FROM events"
+ORACLES["dedup_subset"] = "SELECT DISTINCT user_id, event_type FROM events"
 
 ORACLES["dedup_row_number"] = """
-SELECT event_id, user_id, event_type, value, props FROM events
+SELECT event_id, ts, user_id, event_type, value, props FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1
 """
 
 ORACLES["dedup_first_by"] = """
-SELECT event_id, user_id, event_type, value FROM events
+SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """
 
 ORACLES["limit_preview"] = """
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
-ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice LIMIT 100
+SELECT * FROM lineitem
+ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate LIMIT 100
 """
 
 ORACLES["union_missing_columns"] = """
@@ -490,10 +490,14 @@ UNION ALL
 SELECT c_custkey, c_name, c_mktsegment, {_LINE} || ';' || c_mktsegment || ';surplus' FROM customer WHERE c_nationkey % 4 = 0
 """
 
-ORACLES["csv_pick_and_infer"] = "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal FROM customer"
+ORACLES["csv_pick_and_infer"] = f"""
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS line FROM customer
+UNION ALL SELECT c_custkey, c_name, c_acctbal, replace({_LINE}, ';', '|') || '|' || CAST(c_acctbal AS VARCHAR) || '|surplus' FROM customer WHERE c_custkey % 10 = 3
+UNION ALL SELECT c_custkey, c_name, NULL, replace({_LINE}, ';', '|') FROM customer WHERE c_custkey % 10 = 3
+"""
 
 ORACLES["sql_limit"] = """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 50
+SELECT * FROM orders ORDER BY o_orderkey LIMIT 50
 """
 
 ORACLES["reconciliation_counts"] = f"SELECT side, COUNT(*) AS unmatched FROM ({ORACLES['reconciliation']}) GROUP BY side"

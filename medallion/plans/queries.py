@@ -323,7 +323,7 @@ def q_join_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims with every profile of the same name key."""
     prof = q_trusted_profiles(spark, sf_dir).select(
         "sk_financial_institution_name", "employer_name", "segment", "match_percent", "source_file")
-    return joins.join_on_key(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name")
+    return joins.join_on_key(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name", source="financial_institution_name")
 
 
 @query("join_composite")
@@ -412,8 +412,9 @@ def q_override_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("distinct_rows")
 def q_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G3."""
-    return dedup.distinct_rows(read_table(spark, sf_dir, "events").select("user_id", "event_type"))
+    """Whole rows of the events, sent twice and with every third row a third time."""
+    ev = read_table(spark, sf_dir, "events")
+    return dedup.distinct_rows(ev.unionByName(ev).unionByName(ev.where(F.col("event_id") % 3 == 0)))
 
 
 @query("dedup_subset")
@@ -429,7 +430,7 @@ def q_dedup_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return spark.sql(
         """
-        SELECT event_id, user_id, event_type, value, props
+        SELECT event_id, ts, user_id, event_type, value, props
         FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS row_num
             FROM {events}
@@ -444,24 +445,22 @@ def q_dedup_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dedup_first_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 through the DataFrame operator: latest event per user."""
     ev = read_table(spark, sf_dir, "events")
-    out = dedup.first_by(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
-    return out.select("event_id", "user_id", "event_type", "value")
+    return dedup.first_by(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
 
 
 @query("limit_preview")
 def q_limit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1/L2: the first 100 lines in key order (an ordered preview is the feature)."""
     li = read_table(spark, sf_dir, "lineitem")
-    # (order, line) is not unique in the driver's lineitem: the remaining output
-    # columns complete the order so that the first 100 rows are well defined.
-    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    return li.select(*cols).orderBy(*cols).limit(100)
+    # (order, line) is not unique in the driver's lineitem: the other columns
+    # complete the order so that the first 100 rows are well defined.
+    return li.orderBy("l_orderkey", "l_linenumber", *(c for c in li.columns if c not in ("l_orderkey", "l_linenumber"))).limit(100)
 
 
 @query("sql_limit")
 def q_sql_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: SQL LIMIT over a unique order."""
-    return spark.sql("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM {orders} ORDER BY o_orderkey LIMIT 50",
+    return spark.sql("SELECT * FROM {orders} ORDER BY o_orderkey LIMIT 50",
                      orders=read_table(spark, sf_dir, "orders"))
 
 
@@ -701,7 +700,7 @@ def q_csv_pick_and_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     untidy = some.select(F.concat_ws("|", *fields, F.lit("surplus"))).union(some.select(F.concat_ws("|", *fields[:2])))
     write_delimited(untidy.toDF("c_custkey|c_name|c_acctbal"), root, sep="\x01", mode="append")
     df = delimited.read_delimited(spark, root, sep="|", glob="*.csv", infer_schema=True, malformed_column=delimited.MALFORMED)
-    return df.where(F.col(delimited.MALFORMED).isNull()).drop(delimited.MALFORMED)
+    return df.withColumnRenamed(delimited.MALFORMED, "line")
 
 
 @query("parquet_roundtrip")
@@ -726,7 +725,7 @@ def q_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: overwrite replaces what an earlier run wrote (re-runs are idempotent)."""
     o = read_table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders_overwrite")
-    write_parquet(o.where(F.col("o_totalprice") < 0), path, mode="overwrite")
+    write_parquet(o.withColumn("o_orderstatus", F.lit("old")).unionByName(o), path, mode="overwrite")
     write_parquet(o, path, mode="overwrite")
     write_parquet(o, path, mode="overwrite")
     return spark.read.parquet(path)

@@ -21,7 +21,7 @@ def results(spark, fn, values):
 
 
 @pytest.mark.parametrize("contract", [INSTITUTIONS, PROFILES, CLAIMS, DELIVERY], ids=lambda c: c.name)
-def test_column_types_parse(contract):
+def test_column_types_parse(spark, contract):
     for decimals in (True, False):
         parsed = T.StructType.fromDDL(create_table_column_types(contract_column_types(contract, decimals)))
         assert parsed.names == contract.names

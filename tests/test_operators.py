@@ -56,3 +56,30 @@ def test_column_profile_counts(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "i int, s string")
     rows = {r["column_name"]: (r["data_type"], r["non_null"], r["total"]) for r in quality.column_profile(df).collect()}
     assert rows == {"i": ("int", 2, 2), "s": ("string", 1, 2)}
+
+
+def test_conflicting_targets_take_the_smallest(spark):
+    from medallion.functions.text import map_by_join
+    from medallion.operators.reconcile import apply_overrides, conflicting
+
+    rows = [("a", "z"), ("a", "b"), ("a", "c"), (None, "x"), ("n", None), ("d", "e"), ("d", "e")]
+    df = spark.createDataFrame([("a",), ("d",), ("n",), (None,), ("q",)], "name string")
+    for order in (rows, rows[::-1]):
+        o = spark.createDataFrame(order, "from_name string, to_name string")
+        want = sorted([("b",), ("e",), ("n",), (None,), ("q",)], key=str)
+        assert sorted(map(tuple, apply_overrides(df, "name", o).collect()), key=str) == want
+        mapping = o.toDF("from_value", "to_value")
+        assert sorted(map(tuple, map_by_join(df, "name", mapping).collect()), key=str) == want
+        assert [tuple(r) for r in conflicting(o).collect()] == [("a", 3, "b")]
+
+
+def test_rows_without_a_name_do_not_reach_the_join(spark):
+    from medallion.operators.joins import join_on_key
+    from medallion.plans import queries as Q
+    from tests.conftest import SF_SMALL
+
+    plan = Q.q_join_name_key(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(coalesce(map(" in plan  # the claims' cleaned name, in the scan's own join
+    claims, profiles = Q.q_trusted_claims(spark, SF_SMALL), Q.q_trusted_profiles(spark, SF_SMALL).select("sk_financial_institution_name", "segment")
+    both = [join_on_key(claims, profiles, "sk_financial_institution_name", source=s) for s in (None, "financial_institution_name")]
+    assert both[0].exceptAll(both[1]).count() == 0 and both[0].count() == both[1].count() > 0

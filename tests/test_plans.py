@@ -1,6 +1,9 @@
 """Plan checks and properties of the layer jobs."""
 
+import pytest
+
 from medallion.plans import queries as Q
+from tests.codegen import largest_method
 from tests.conftest import SF_SMALL
 
 
@@ -156,3 +159,9 @@ def test_flagship_computes_each_key_once_a_branch(spark):
     """Claims are read by two branches (pairs and rows): one name key in each, and none in a filter."""
     plan = Q.q_delivery_satisfaction(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sha1(") <= 8
+
+
+@pytest.mark.parametrize("name", ["trusted_claims", "trusted_profiles", "trusted_institutions", "join_id", "join_name_key", "delivery_satisfaction", "founded_year"])
+def test_generated_code_is_small_enough_to_be_compiled(spark, name):
+    """HotSpot leaves methods of more than 8,000 bytes uncompiled."""
+    assert 0 < largest_method(Q.QUERIES[name](spark, SF_SMALL)) < 8000
