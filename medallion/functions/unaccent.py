@@ -5,7 +5,8 @@ a canonical decomposition into an ASCII letter plus combining marks, followed by
 a handful of literal replacements for letters that do not decompose (``ß``,
 ``æ``, ``ø``...).  The translate table is generated from a rule (Unicode
 canonical decomposition), not written out by hand.  It stays inside whole-stage
-codegen -- no Python worker is involved.
+codegen -- no Python worker is involved.  Greek and Cyrillic letters are written in
+Latin ones first (``functions.scripts``).
 
 ``unaccent_nfkd`` is the optional full-Unicode path: an Arrow-batched pandas
 UDF applying NFKD and dropping combining marks.  It is the slow path and is
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from medallion.functions.scripts import letters, marked, to_latin
+from medallion.functions.scripts import FIRST as FIRST_LETTER
 from medallion.functions.text import UNICODE_SPACES
 
 ColumnOrName = Column | str
@@ -87,20 +90,28 @@ def translate_table() -> tuple[str, str]:
 
 
 def unaccent(c: ColumnOrName) -> Column:
-    """Native accent stripping."""
-    c = F.col(c) if isinstance(c, str) else c
+    """Native accent stripping and transliteration."""
     src, dst = translate_table()
-    out = F.translate(c, src, dst)
+    out = F.translate(to_latin(c), src, dst)
     return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), MULTI_LETTER.items(), out)
 
 
 def _nfkd_strip(text: str | None) -> str | None:
     if text is None:
         return None
+    for apart, together in marked().items():
+        text = text.replace(apart, together)
+    text = text.translate(_spelled())
     folded = "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
     return folded.translate(_folding())
 
 
+@lru_cache(maxsize=1)
+def _spelled() -> dict:
+    """Greek and Cyrillic letters as Python's table."""
+    return {FIRST_LETTER + i: x for i, x in enumerate(letters()) if x is not None}
+
+
 @lru_cache(maxsize=1)
 def _folding() -> dict:
     """The native table as Python's, with the letters that become several."""

@@ -169,3 +169,20 @@ def spelled_names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
               .when(kind == 3, F.concat(F.lit("Bco "), one, F.lit(" "), two))
               .otherwise(F.concat(F.lit("Banco "), one, F.lit(" "), two, F.lit(" S.A. Múltiplo"))))
     return c.select(claims.alias("name")), c.select(registry.alias("name"))
+
+
+# The letters of made-up words in three scripts; c stands for a sound that takes two Latin letters.
+WORD_LETTERS = "bcdfglmnprstaeio"
+CYRILLIC_LETTERS = "бцдфглмнпрстаеио"
+GREEK_LETTERS = "βχδφγλμνπρστάεϊό"
+
+
+def scripts_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One made-up name a customer in Latin letters (as Cyrillic and as Greek is read), in Cyrillic and in Greek."""
+    c = read_table(spark, sf_dir, "customer")
+    name = F.concat(_word(1, 8), F.lit(" "), _word(9, 10))
+    return c.select(
+        "c_custkey", F.initcap(F.replace(name, F.lit("c"), F.lit("ts"))).alias("as_cyrillic"),
+        F.replace(F.replace(name, F.lit("c"), F.lit("ch")), F.lit("f"), F.lit("ph")).alias("as_greek"),
+        F.initcap(F.translate(name, WORD_LETTERS, CYRILLIC_LETTERS)).alias("cyrillic"),
+        F.translate(name, WORD_LETTERS, GREEK_LETTERS).alias("greek"))

@@ -553,3 +553,10 @@ ORACLES["batch_append"] = """
 SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year, 'status-' || o_orderstatus AS batch, COUNT(*) OVER (PARTITION BY o_orderstatus) AS total FROM orders
 """
 ORACLES["delivery_incremental"] = ORACLES["delivery_satisfaction"]
+
+ORACLES["name_key_scripts"] = f"""
+SELECT c_custkey, sha1(cyr) AS as_cyrillic_key, sha1(cyr) AS cyrillic_key, sha1(gr) AS as_greek_key, sha1(gr) AS greek_key, cyrillic_in_latin
+FROM (SELECT c_custkey, replace(one || two, 'c', 'ts') AS cyr, replace(replace(one || two, 'c', 'ch'), 'f', 'ph') AS gr,
+             upper(left(a, 1)) || substring(a, 2) || ' ' || upper(left(b, 1)) || substring(b, 2) AS cyrillic_in_latin
+      FROM (SELECT *, replace(one, 'c', 'ts') AS a, replace(two, 'c', 'ts') AS b FROM ({_WORDS})))
+"""

@@ -167,6 +167,14 @@ def q_unaccent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", sha1_hex(folded).alias("text_sha1"), F.length(folded).alias("n_chars_folded"))
 
 
+@query("name_key_scripts")
+def q_name_key_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key for a name in Latin, Cyrillic and Greek letters."""
+    names = fixtures.scripts_names(spark, sf_dir)
+    return names.select("c_custkey", *(name_key(c).alias(f"{c}_key") for c in ("as_cyrillic", "cyrillic", "as_greek", "greek")),
+                        unaccent("cyrillic").alias("cyrillic_in_latin"))
+
+
 @query("unaccent_udf")
 def q_unaccent_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Arrow-batched NFKD path over the same texts."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from medallion.contracts import SQL_CLAIM_COLUMNS, SQL_PROFILE_COLUMNS
+from medallion.functions.scripts import to_latin_sql
 from medallion.functions.unaccent import MULTI_LETTER, translate_table
 from medallion.functions.casts import DECIMAL_TEXT
 from medallion.functions.text import CONGLOMERATE_MARKER, ORDINAL_SIGN, PRUDENTIAL_MARKER_PATTERN, UNICODE_SPACES, WHITESPACE
@@ -22,7 +23,7 @@ def _lit(s: str) -> str:
 
 def unaccent_sql(arg: str) -> str:
     src, dst = translate_table()
-    expr = f"translate({arg}, {_lit(src)}, {_lit(dst)})"
+    expr = f"translate({to_latin_sql(arg, _lit)}, {_lit(src)}, {_lit(dst)})"
     for k, v in MULTI_LETTER.items():
         expr = f"replace({expr}, {_lit(k)}, {_lit(v)})"
     return expr

@@ -98,3 +98,27 @@ def test_reconciliation_both_sides(spark):
                  for r in reconciliation(claims, "n", profiles, "n", "claims", "profiles").collect())
     assert got == [("claims", "SEM NOME", "semnome"),
                    ("profiles", "Banco Beta", "bancobeta"), ("profiles", "banco  beta", "bancobeta")]
+
+
+def test_greek_and_cyrillic_names_have_the_keys_of_latin_ones(spark):
+    from medallion.functions.keys import name_key
+    from medallion.functions.unaccent import unaccent, unaccent_nfkd
+
+    pairs = [("Банк Москвы", "Bank Moskvy"), ("СБЕРБАНК РОССИИ", "sberbank rossii"), ("Альфа-Банк", "alfa-bank"), ("Жёлтый щит", "Zhyoltyy shchit"),
+             ("Київ", "Kiyiv"), ("Хоум Кредит", "Khoum Kredit"), ("Εθνική Τράπεζα", "ethnike trapeza"), ("ΨΥΧΉ", "psuche"), ("Jožin из б", "jozin iz b")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    rows = df.select("a", "b", name_key("a").alias("x"), name_key("b").alias("y"), unaccent("a").alias("native"), unaccent_nfkd("a").alias("udf")).collect()
+    assert [(r["a"], r["native"]) for r in rows if r["x"] != r["y"]] == []
+    assert all(r["native"] == r["udf"] and r["native"].isascii() for r in rows)
+
+
+def test_marks_apart_from_their_letters(spark):
+    import unicodedata
+
+    from medallion.functions.unaccent import unaccent, unaccent_nfkd
+
+    texts = ["Йод ёж їжак", "Ά έ ύ ώ", "Žluťoučký", "нет", "中文 ok", "", None]
+    df = spark.createDataFrame([(t, t and unicodedata.normalize("NFD", t)) for t in texts], "a string, b string")
+    for r in df.select(unaccent("a").alias("a"), unaccent("b").alias("b"), unaccent_nfkd("a").alias("c"), unaccent_nfkd("b").alias("d")).collect():
+        assert r["a"] == r["b"] == r["c"] == r["d"]
+    assert df.select(unaccent("a").alias("a")).first()["a"] == "Yod yozh yizhak"
