@@ -560,3 +560,5 @@ FROM (SELECT c_custkey, replace(one || two, 'c', 'ts') AS cyr, replace(replace(o
              upper(left(a, 1)) || substring(a, 2) || ' ' || upper(left(b, 1)) || substring(b, 2) AS cyrillic_in_latin
       FROM (SELECT *, replace(one, 'c', 'ts') AS a, replace(two, 'c', 'ts') AS b FROM ({_WORDS})))
 """
+
+ORACLES["delivery_bucketed"] = ORACLES["delivery_satisfaction"]

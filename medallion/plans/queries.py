@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.contracts import CLAIMS, DELIVERY, INSTITUTIONS, PROFILES
+from medallion.contracts import CLAIM_COLUMNS, CLAIMS, DELIVERY, DELIVERY_COLUMNS, INSTITUTIONS, PROFILES
 from medallion.functions import casts, text
 from medallion.functions.keys import document_key, md5_hex, name_key, sha1_hex
 from medallion.functions.unaccent import unaccent, unaccent_nfkd
@@ -25,7 +25,9 @@ from medallion.plans import fixtures, incremental
 from medallion.plans.layers import (
     build_raw,
     composite_key_join,
+    delivery_matches,
     delivery_satisfaction,
+    employees_of,
     run_pipeline,
     trusted_claims,
     trusted_institutions,
@@ -33,6 +35,7 @@ from medallion.plans.layers import (
 )
 from medallion.plans.sqlapi import delivery_satisfaction_sql, register_sql_functions, register_views
 from medallion.session import scratch_path
+from medallion.sinks.bucketed import join_stored, write_joinable
 from medallion.sinks.delimited import write_delimited
 from medallion.sinks.batches import batch_counts, read_batches, write_batch
 from medallion.sinks.parquet import publish_table, replace_periods, sql_copy_parquet, write_parquet
@@ -334,6 +337,19 @@ def q_join_name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_on_key(q_trusted_claims(spark, sf_dir), prof, "sk_financial_institution_name", source="financial_institution_name")
 
 
+@query("delivery_bucketed")
+def q_delivery_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1/J3/Z5 on stored tables: claims and matches in the same buckets of the id, joined without an exchange."""
+    claims = q_trusted_claims(spark, sf_dir).select(*CLAIM_COLUMNS)
+    matches = delivery_matches(q_trusted_institutions(spark, sf_dir), employees_of(claims, q_trusted_profiles(spark, sf_dir)))
+    name = _view_name("delivery")
+    stored = write_joinable(spark, scratch_path(spark, name), name, claims, matches, "cnpj", buckets=16)
+    out = join_stored(*stored, "cnpj", DELIVERY_COLUMNS, distinct=True)
+    for kind in ("large", "small"):  # the plan has its files and buckets: nothing is left in the catalog
+        spark.sql(f"DROP TABLE {name}_{kind}")
+    return out
+
+
 @query("join_composite")
 def q_join_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The composite-key join itself, duplicates of the output kept."""
@@ -830,7 +846,9 @@ def q_alias_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery published as a catalog table created with the contract's types."""
     table = f"dlzd_{DELIVERY.name}_{uuid.uuid4().hex[:8]}"
-    return publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table), DELIVERY)
+    out = publish_table(spark, q_delivery_satisfaction(spark, sf_dir), table, scratch_path(spark, table), DELIVERY)
+    spark.sql(f"DROP TABLE {table}")  # an external table: its files stay, nothing is left in the catalog
+    return out
 
 
 @query("layer_audit")
