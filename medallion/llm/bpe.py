@@ -3,7 +3,7 @@
 A byte pair that occurs inside no vocabulary token can be joined by no merge, so
 a cut between its two bytes is certain.  Texts are cut there, every fragment is
 encoded by itself (and remembered, since fragments repeat), and the ids are laid
-end to end.  Two levels use the same table of pairs:
+end to end.  A fragment's merges take n log n steps, whatever its length.  Two levels use the same table of pairs:
 
 * a text is cut before each space whose pair with the byte before it is forced.
   The pre-tokenizer never ends a run of characters differently because of such a
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import json
 import re
 import struct
@@ -40,6 +41,9 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{
 
 #: Fragments remembered per worker; the older half goes when it is full.
 MEMO_ENTRIES = 300_000
+#: Bytes from which a fragment or piece is not remembered, and from which a fragment is merged with a heap.
+MEMO_BYTES = 1024
+LONG = 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,6 +66,8 @@ class Memo(dict):
         self.compute, self.limit, self.older = compute, limit, {}
 
     def __missing__(self, key):
+        if len(key) > MEMO_BYTES:
+            return self.compute(key)
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
@@ -114,6 +120,8 @@ class ForcedBoundaryBPE:
 
     def _merge(self, fragment: bytes) -> bytes:
         """Ids of one fragment, as little-endian 32-bit integers: the lowest-ranked pair is joined until none is left."""
+        if len(fragment) > LONG:
+            return self._merge_long(fragment)
         single, get, none = self.single, self.ranks.get, len(self.merged)
         ids = [single[b] for b in fragment]
         scores = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
@@ -130,6 +138,30 @@ class ForcedBoundaryBPE:
                 scores[i - 1] = get(ids[i - 1] << 32 | ids[i], none)
         return _IDS[len(ids)](*ids) if len(ids) < len(_IDS) else struct.pack(f"<{len(ids)}I", *ids)
 
+    def _merge_long(self, fragment: bytes) -> bytes:
+        """The same with a heap of pairs over a linked list: n log n in the fragment's length."""
+        single, get, merged, n = self.single, self.ranks.get, self.merged, len(fragment)
+        ids = [single[b] for b in fragment]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [rank << 40 | i for i, pair in enumerate(zip(ids, ids[1:])) if (rank := get(pair[0] << 32 | pair[1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            entry = heapq.heappop(heap)
+            rank, i = entry >> 40, entry & (1 << 40) - 1
+            j = after[i]
+            if ids[i] < 0 or j >= n or get(ids[i] << 32 | ids[j]) != rank:
+                continue  # one of the two has been joined with another in the meantime
+            ids[i], ids[j] = merged[rank], -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (rank := get(ids[i] << 32 | ids[k])) is not None:
+                    heapq.heappush(heap, rank << 40 | i)
+            h = before[i]
+            if h >= 0 and (rank := get(ids[h] << 32 | ids[i])) is not None:
+                heapq.heappush(heap, rank << 40 | h)
+        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
+
     def encode_piece(self, piece: bytes) -> bytes:
         """Ids of a piece between text-level cuts: its pre-tokens, cut at every forced pair."""
         if piece[1:].isalpha() and (piece[:1] == b" " or piece[:1].isalpha()):

@@ -87,3 +87,30 @@ def test_query(spark, document_rows, library):
         row = got[r["doc_id"]]
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_long_fragments_have_the_library_s_ids(own, library):
+    """Runs of one letter, of a few, and of anything: the heap and the plain way agree with the library."""
+    rng = random.Random(7)
+    texts = ["a" * 5000, "-" * 3000, "=" * 777, "\n" * 4000, " " * 3000, "ab" * 2000, "the" * 900, "é" * 1500, "9" * 2000, "aB3" * 1000]
+    texts += ["".join(rng.choices("abcdefgh", k=rng.randrange(60, 400))) for _ in range(60)] + ["".join(rng.choices("ab", k=300)) for _ in range(20)]
+    for text in texts:
+        assert np.frombuffer(own.encode(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text[:30]
+
+
+def test_very_long_runs_take_n_log_n(own, library):
+    import time
+
+    took = {}
+    for char in "a-=\n":
+        for n in (16_000, 64_000):
+            began = time.perf_counter()
+            ids = own.encode((char * n).encode())
+            took[char, n] = time.perf_counter() - began
+            assert own.decode(ids) == (char * n).encode()
+        assert took[char, 64_000] < 10 * took[char, 16_000] + 0.1
+    began = time.perf_counter()
+    ids = own.encode(b"a" * 1_000_000)
+    assert time.perf_counter() - began < 30
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode("a" * 1_000_000, add_special_tokens=False).ids
+    assert max(map(len, own._fragment), default=0) <= bpe.MEMO_BYTES and max(map(len, own._piece), default=0) <= bpe.MEMO_BYTES
