@@ -66,7 +66,7 @@ class Memo(dict):
         self.compute, self.limit, self.older = compute, limit, {}
 
     def __missing__(self, key):
-        if len(key) > MEMO_BYTES:
+        if isinstance(key, bytes) and len(key) > MEMO_BYTES:
             return self.compute(key)
         value = self.older.get(key)
         if value is None:
