@@ -4,23 +4,28 @@ A page is read once, tag by tag, into a flat list of text blocks: the text betwe
 block-level tags.  A block has its word count and link density (the share of its words
 inside links), those of its two neighbours, and what the tags around it say: whether it
 stands in an article, in an element for page furniture, or in one whose class, id or role
-names such furniture.  What speaks for furniture is how little of the page (of its articles,
-inside one) such an element holds: a wrapper named after its sidebar, or a form around the
-whole page, holds nearly all of it.  An article or main element begins without the marks
-of what is around it.  A decision tree over these numbers, grown on the small labelled
+names such furniture.  What speaks for furniture is how little of the page (of the main
+article, inside it) such an element holds: a wrapper named after its sidebar, or a form around the
+whole page, holds nearly all of it.  Reader comments, related items and asides get no such
+excuse while there is text beside them, however long they are.  One article is the page's main
+one: the longest of those that stand in no such element, if any does.  It alone begins
+without the marks of what is around it; articles within it, or beside it in a list of
+comments or teasers, keep theirs.  A decision tree over these numbers, grown on the small labelled
 table below, keeps a block or not; the kept blocks are the text, in page order.
 
 The tree is grown anew (Gini impurity) wherever it is needed; it is the same each time.
 
 Defined results: null and empty pages have the empty text; unclosed and stray tags are
 allowed (an element ends with the one around it, a paragraph with the next block); what
-is no tag is text; repeated rows are read each by itself; pages are read whole.
+is no tag is text; repeated rows are read each by itself; pages are read whole, in time in proportion
+to their length even if quotes, comments or elements are never closed.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +54,9 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising adsense spo
     nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer copyright sidebar aside widget rail
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
     comment comments disqus respond reply replies share sharing social related recommended recommendations trending
-    pagination pager search toolbar contentinfo complementary form paywall hidden""".split())
+    pagination pager search toolbar contentinfo complementary form paywall hidden teaser teasers""".split())
+#: Of these, what is written by readers or leads to other pages.
+BESIDE = frozenset("comment comments disqus respond reply replies related recommended recommendations trending teaser teasers".split())
 #: Hints that are also words of a text: they count beside other hints and words of layout only ("share-buttons", not "market-share").
 PLAIN = frozenset("""ad ads advertising sponsor sponsored promotion banner menu header rail cookie cookies consent notice notices alert
     newsletter subscription comment comments respond reply replies share sharing social related recommended recommendations
@@ -70,6 +77,9 @@ LABELLED = (
     (1, 1.0, 1, 1.0, 12, 0.0, 0, 1, 0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 1, 0), (6, 1.0, 4, 1.0, 5, 1.0, 0.5, 0, 0, 0),
     (1, 1.0, 0, 0.0, 1, 1.0, 0.5, 1, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0.5, 0, 1, 0), (4, 0.8, 2, 1.0, 3, 1.0, 0.5, 0, 0, 0),
     (1, 1.0, 60, 0.0, 1, 1.0, 1, 1, 0, 0), (2, 1.0, 45, 0.0, 2, 1.0, 1, 0, 1, 0), (9, 0.9, 3, 1.0, 8, 0.9, 0, 0, 0, 0),
+    # menus without a name on pages without an article
+    (1, 1.0, 0, 0.0, 1, 1.0, 0.5, 0, 0, 0), (2, 1.0, 1, 1.0, 2, 1.0, 0.5, 0, 0, 0), (1, 1.0, 12, 0.0, 1, 1.0, 0.5, 0, 0, 0), (3, 1.0, 2, 1.0, 25, 0.0, 0.5, 0, 0, 0),
+    (2, 1.0, 30, 0.0, 2, 1.0, 0.5, 0, 0, 0), (4, 1.0, 3, 1.0, 0, 0.0, 0.5, 0, 0, 0), (5, 0.8, 40, 0.0, 3, 1.0, 0.5, 0, 0, 0), (3, 1.0, 1, 1.0, 9, 0.0, 0.5, 0, 0, 0),
     # page headers and footers
     (4, 0.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0), (8, 0.0, 2, 1.0, 5, 0.0, 0, 1, 1, 0), (14, 0.1, 80, 0.0, 0, 0.0, 0, 1, 0, 0),
     (9, 0.0, 33, 0.0, 0, 0.0, 0, 1, 0, 0), (22, 0.3, 15, 0.0, 0, 0.0, 0.5, 1, 0, 0), (6, 0.0, 120, 0.0, 3, 1.0, 0.5, 1, 1, 0),
@@ -94,6 +104,9 @@ LABELLED = (
     (1, 0.0, 1, 0.0, 2, 0.0, 1, 0, 0, 1), (2, 0.0, 60, 0.0, 9, 0.0, 1, 0, 0, 1), (30, 0.2, 50, 0.0, 40, 0.1, 1, 0, 0, 1),
     (70, 0.0, 2, 0.0, 12, 0.0, 1, 0, 0, 1), (6, 0.5, 44, 0.0, 38, 0.0, 1, 0, 0, 1), (400, 0.0, 30, 0.0, 12, 0.0, 1, 0, 0, 1),
     (5, 1.0, 30, 0.0, 35, 0.0, 1, 0, 0, 1), (9, 0.0, 5, 0.0, 7, 0.0, 1, 0, 0, 1), (15, 0.0, 4, 0.0, 1, 0.0, 1, 0, 0, 1),
+    (2, 1.0, 14, 0.0, 3, 1.0, 1, 0, 0, 1), (5, 1.0, 9, 0.0, 4, 1.0, 1, 0, 0, 1), (4, 1.0, 4, 1.0, 4, 1.0, 1, 0, 0, 1), (8, 1.0, 6, 1.0, 7, 1.0, 1, 0, 0, 1),
+    (3, 1.0, 60, 0.0, 5, 1.0, 1, 0, 0, 1), (10, 1.0, 12, 0.0, 9, 0.0, 1, 0, 0, 1), (6, 1.0, 30, 0.0, 20, 0.0, 1, 0, 0, 1), (2, 1.0, 25, 0.1, 2, 1.0, 1, 0, 0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 1), (1, 1.0, 14, 0.0, 2, 1.0, 1, 0, 0, 1), (3, 1.0, 2, 1.0, 0, 0.0, 1, 0, 0, 1), (2, 1.0, 4, 1.0, 35, 0.0, 1, 0, 0, 1),
     (2, 0.0, 12, 0.0, 0, 0.0, 1, 0, 0, 1), (25, 0.1, 12, 0.5, 25, 0.1, 1, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1),
     # pages without an article element
     (60, 0.0, 7, 0.0, 80, 0.0, 0.5, 0, 0, 1), (35, 0.1, 55, 0.0, 40, 0.0, 0.5, 0, 0, 1), (150, 0.0, 20, 0.0, 4, 1.0, 0.5, 0, 0, 1),
@@ -158,15 +171,84 @@ def keeps(tree: Node, row: tuple) -> bool:
 
 # --- blocks ------------------------------------------------------------------------------------
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_START = re.compile(r"<(?=[!?/a-zA-Z])")
+_NAME_END = re.compile(r"[\s/>\"']")
+_SPECIAL = re.compile(r"[>\"']")
+#: Names longer than this are no HTML element's.
+_LONGEST_NAME = 40
+
+
+class Tags:
+    """Tags of a page from left to right.  No character is looked at again and again, whatever is left open."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {c: page.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()  # opening quotes from which no tag's end is reached
+        self.seen = {}  # what was found last by each kind of search, and from where
+
+    def _next(self, what, at: int) -> int:
+        """Place of the next match of ``what`` (a pattern or one character), or the page's end; searches never overlap."""
+        begin, found = self.seen.get(what, (0, -1))
+        if not begin <= at <= found:
+            if isinstance(what, str):
+                found = self.page.find(what, at)
+            else:
+                m = what.search(self.page, at)
+                found = m.start() if m else -1
+            found = len(self.page) if found < 0 else found
+            self.seen[what] = (at, found)
+        return found
+
+    def _end(self, at: int) -> int:
+        """Place after the tag's closing bracket; -1 if there is none outside quotes."""
+        opened = []
+        while at <= self.last[">"]:
+            at = self._next(_SPECIAL, at)
+            if at == len(self.page) or at in self.dead:
+                break
+            c = self.page[at]
+            if c == ">":
+                return at + 1
+            opened.append(at)
+            if at >= self.last[c]:
+                break
+            at = self._next(c, at + 1) + 1
+        self.dead.update(opened)
+        return -1
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, closing, name, attributes) of the next tag; the name is empty for comments and declarations."""
+        page = self.page
+        while (at := self._next(_START, at)) < len(page):
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, len(page) if end < 0 else end + 3, False, "", ""
+            if page[at + 1] in "!?":
+                end = self._next(">", at)
+                if end < len(page):
+                    return at, end + 1, False, "", ""
+            else:
+                closing = page[at + 1] == "/"
+                begin = at + 1 + closing
+                if page[begin:begin + 1].isascii() and page[begin:begin + 1].isalpha():
+                    stop = self._next(_NAME_END, begin)
+                    end = self._end(stop) if stop < len(page) else -1
+                    if end >= 0:
+                        return at, end, closing, page[begin:stop].lower() if stop - begin <= _LONGEST_NAME else "unknown", page[stop:end - 1]
+            at += 1
+        return None
+
+
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _named_furniture(attributes: str) -> bool:
+def _named_furniture(attributes: str) -> int:
+    """1 if a class, id or role names furniture, or the element is hidden; 2 if it names what readers wrote or other pages."""
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return 0
+    found = 0
     for value in _NAMED.findall(attributes):
         for name in value.strip("\"'").split():
             parts = {w.lower() for w in _PART.findall(name)}
@@ -174,8 +256,8 @@ def _named_furniture(attributes: str) -> bool:
             if not hints or not MODIFIERS.isdisjoint(parts):
                 continue
             if hints - PLAIN or all(w in HINTS or w in LAYOUT or len(w) < 4 for w in parts):
-                return True
-    return _HIDDEN.search(attributes) is not None
+                found = max(found, 2 if hints & BESIDE else 1)
+    return found or int(_HIDDEN.search(attributes) is not None)
 
 
 @dataclass
@@ -184,65 +266,101 @@ class Block:
     words: int
     linked: int
     main: bool
-    #: Share of the words (of the main text's, inside it) that are not in the furniture, or named, element around the block; 0 without one.
+    #: Share of the words (of the main article's, inside it) that are not in the furniture, or named, element around the block; 0 without one.
     furniture: float
     named: float
 
 
+@dataclass
+class _Open:
+    """An open element: the innermost marks around its content, and where the innermost block-level element is."""
+
+    name: str
+    article: int = -1
+    furniture: int = -1
+    named: int = -1
+    mark: int = -1
+    links: int = 0
+    block: int = 0
+
+
+@dataclass
+class _Mark:
+    """An element that is furniture or named like it: the mark around it, the innermost strict mark up to it, and its plain words."""
+
+    around: int
+    strict: int
+    by_name: bool
+    held: int = 0
+
+
+@dataclass
+class _Article:
+    """An outermost article or main element: the mark around it, the number of marks before it, and its plain words."""
+
+    mark: int
+    first: int
+    words: int = 0
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks that have a word, in order."""
     out: list[Block] = []
-    # name, main, marks of the innermost furniture and named elements, innermost mark of both, links around
-    stack: list[tuple[str, bool, int, int, int, int]] = [("", False, -1, -1, -1, 0)]
-    marks: list[int] = []  # each marked element's mark around it; -1 at the beginning of the page, of an article
-    marked: list[tuple[int, int, int]] = []  # each block's marks
+    stack, open_names = [_Open("")], Counter()
+    marks: list[_Mark] = []
+    articles: list[_Article] = []
+    places: list[_Open] = []  # each block's place
     unclosed: set[str] = set()
     parts: list[str] = []
     link_parts: list[str] = []
-    at = 0
+    tags, at = Tags(page), 0
 
     def end_block() -> None:
         if parts:
             words = " ".join(html.unescape("".join(parts)).split())
             if words:
-                _, main, *own, _ = stack[-1]
                 linked = len(html.unescape(" ".join(link_parts)).split())
-                out.append(Block(words, words.count(" ") + 1, linked, main, 0.0, 0.0))
-                marked.append(tuple(own))
+                out.append(Block(words, words.count(" ") + 1, linked, stack[-1].article >= 0, 0.0, 0.0))
+                places.append(stack[-1])
             parts.clear()
             link_parts.clear()
 
     def text(begin: int, end: int) -> None:
         if end > begin:
             parts.append(page[begin:end])
-            if stack[-1][5]:
+            if stack[-1].links:
                 link_parts.append(page[begin:end])
 
+    def close(k: int) -> None:
+        for element in stack[k:]:
+            open_names[element.name] -= 1
+        del stack[k:]
+
     while True:
-        m = _TAG.search(page, at)
-        if m is None:
+        tag = tags.after(at)
+        if tag is None:
             text(at, len(page))
             break
-        text(at, m.start())
-        at = m.end()
-        name = m.group(2)
-        if name is None:
+        start, end, closing, name, attributes = tag
+        text(at, start)
+        at = end
+        if not name:
             continue  # a comment or a declaration
-        name = name.lower()
-        if m.group(1):
+        if closing:
             if name in BLOCK:
                 end_block()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    if any(s[0] in BLOCK for s in stack[i:]):
-                        end_block()
-                    del stack[i:]
-                    break
+            if open_names[name] > 0:
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                if any(e.name in BLOCK for e in stack[k:]):
+                    end_block()
+                close(k)
             continue
-        if name in RAW and not m.group(3).endswith("/"):
-            end = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if end is not None:
-                at = end.end()
+        if name in RAW and not attributes.endswith("/"):
+            found = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if found is not None:
+                at = found.end()
                 if name in BLOCK:
                     end_block()
                 continue
@@ -251,48 +369,71 @@ def blocks_of(page: str) -> list[Block]:
             unclosed.add(name)
         if name in BLOCK:
             end_block()
-            k = len(stack) - 1
-            while k and stack[k][0] not in BLOCK:
-                k -= 1
-            if name != "br" and stack[k][0] == "p":
-                del stack[k:]
-            if name in SIBLINGS and stack[-1][0] == name:
-                stack.pop()
-        if name in VOID or m.group(3).endswith("/"):
+            if name != "br" and stack[stack[-1].block].name == "p":
+                close(stack[-1].block)
+            if name in SIBLINGS and stack[-1].name == name:
+                close(len(stack) - 1)
+        if name in VOID or attributes.endswith("/"):
             continue
-        if name == "a" and stack[-1][0] == "a":
-            stack.pop()  # links don't nest
-        _, main, furniture, named, mark, links = stack[-1]
-        hint = name not in WHOLE and _named_furniture(m.group(3)) if m.group(3) else False
+        if name == "a" and stack[-1].name == "a":
+            close(len(stack) - 1)  # links don't nest
+        inside = stack[-1]
+        hint = _named_furniture(attributes) if attributes else 0
+        if name in WHOLE and (hint < 2 or name != "article"):
+            hint = 0
         if name in BLOCK or name == "a" or hint:
-            if not main and (name in MAIN or 'role="main"' in m.group(3)):
-                main, furniture, named, mark = True, -1, -1, -1
+            new = _Open(name, inside.article, inside.furniture, inside.named, inside.mark, inside.links + (name == "a"), len(stack) if name in BLOCK else inside.block)
             if hint or name in FURNITURE:
-                marks.append(mark)
-                mark = len(marks) - 1
-                furniture = mark if name in FURNITURE else furniture
-                named = mark if hint else named
-            stack.append((name, main, furniture, named, mark, links + (name == "a")))
+                strict = len(marks) if hint == 2 or name == "aside" else marks[inside.mark].strict if inside.mark >= 0 else -1
+                marks.append(_Mark(inside.mark, strict, hint == 2))
+                new.mark = len(marks) - 1
+                new.furniture = new.mark if name in FURNITURE else inside.furniture
+                new.named = new.mark if hint else inside.named
+            if inside.article < 0 and (name in MAIN or 'role="main"' in attributes):
+                articles.append(_Article(new.mark, len(marks)))
+                new.article = len(articles) - 1
+            stack.append(new)
+            open_names[name] += 1
     end_block()
     if marks:
-        held = [0] * len(marks)
-        size = {True: 0, False: 0}  # words of the main text, of the page
-        for block, (_, _, mark) in zip(out, marked):
-            plain = max(0, block.words - block.linked)
-            size[False] += plain
-            size[True] += plain if block.main else 0
-            if mark >= 0:
-                held[mark] += plain
-        for mark in range(len(marks) - 1, -1, -1):
-            if marks[mark] >= 0:
-                held[marks[mark]] += held[mark]
-        for block, (furniture, named, _) in zip(out, marked):
-            whole = size[block.main] or 1
-            block.furniture = 1 - held[furniture] / whole if furniture >= 0 else 0.0
-            block.named = 1 - held[named] / whole if named >= 0 else 0.0
+        _share(out, places, marks, articles)
     return out
 
 
+def _share(blocks: list[Block], places: list[_Open], marks: list[_Mark], articles: list[_Article]) -> None:
+    """Fill in each block's shares, by the main article and by what the marked elements hold."""
+    plain = [max(0, b.words - b.linked) for b in blocks]
+    for n, place in zip(plain, places):
+        if place.mark >= 0:
+            marks[place.mark].held += n
+        if place.article >= 0:
+            articles[place.article].words += n
+    for mark in reversed(marks):
+        if mark.around >= 0:
+            marks[mark.around].held += mark.held
+    # articles of readers or of other pages are none; one in an aside is, if nothing stands outside
+    able = {i for i, a in enumerate(articles) if a.mark < 0 or marks[a.mark].strict < 0}
+    if not able and not any(n for n, p in zip(plain, places) if p.mark < 0):
+        able = {i for i, a in enumerate(articles) if not marks[marks[a.mark].strict].by_name}
+    for block, place in zip(blocks, places):
+        block.main = place.article in able
+    # the main one: the longest outside all marks, else the longest
+    main = max(able, key=lambda i: (articles[i].mark < 0, articles[i].words, -i), default=None)
+    primary = None if main is None else articles[main]
+    first = primary.first if primary else 0
+    own = [main is not None and p.article == main for p in places]
+    free = [m and p.mark < first or p.mark < 0 for m, p in zip(own, places)]
+    page, inside = sum(plain), primary.words if primary else 0
+    beside = {True: sum(n for n, m, f in zip(plain, own, free) if m and f), False: sum(n for n, m, f in zip(plain, own, free) if m or f)}
+    for block, place, is_own in zip(blocks, places, own):
+        least, whole = (first, inside or 1) if is_own else (0, page or 1)
+        block.furniture = 1 - marks[place.furniture].held / whole if place.furniture >= least else 0.0
+        block.named = 1 - marks[place.named].held / whole if place.named >= least else 0.0
+        strict = marks[place.mark].strict if place.mark >= least else -1
+        if strict >= least and beside[is_own] > 0:
+            block.furniture, block.named = (block.furniture, 1.0) if marks[strict].by_name else (1.0, block.named)
+
+
 def rows_of(blocks: list[Block]) -> list[tuple]:
     """The tree's features of each block."""
     any_main = any(b.main for b in blocks)

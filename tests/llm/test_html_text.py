@@ -102,3 +102,80 @@ def test_query_against_the_article_elements(spark):
         inside = re.search(r"<article>(.*?)</article>", r["html"], re.S).group(1)
         plain = html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br)>", " ", inside)))
         assert got[r["page_id"]] == " ".join(plain.split())
+
+
+COMMENT = "A reader wrote this long comment because the matter seemed to need one more word. "
+
+
+def test_articles_of_comments_and_teasers_go():
+    main = f"<article>{SENTENCES}</article>"
+    comment = f"<article class='comment'><p>{COMMENT}</article>"
+    for beside in (f"<section class='comments'>{comment * 3}</section>", f"<div id=comments>{comment}<article><p>{COMMENT}</article></div>", comment * 2,
+                   f"<aside class='related'><article><h2>Another story</h2><p>{COMMENT}</article></aside>", f"<aside><article><p>{COMMENT}</article></aside>",
+                   f"<ol class='comment-list'><li><article>{COMMENT}</article></ol>", f"<article class='related-post'><p>{COMMENT}</article>"):
+        assert text(f"<body>{main}{beside}</body>") == PLAIN_SENTENCES, beside
+        assert text(f"<body>{beside}{main}</body>") == PLAIN_SENTENCES, beside
+        assert text(f"<body><main>{SENTENCES}{beside}</main></body>") == PLAIN_SENTENCES, beside
+        assert text(f"<body><div><h1>Title</h1>{SENTENCES}</div>{beside}</body>") == "Title " + PLAIN_SENTENCES, beside
+
+
+def test_comments_and_asides_longer_than_the_text_go():
+    for beside in (f"<div class='comments'>{('<p>' + COMMENT) * 40}</div>", f"<aside>{('<p>' + COMMENT) * 40}</aside>", f"<section id=disqus_thread><p>{COMMENT * 40}</section>"):
+        for whole in (f"<article>{SENTENCES}</article>{beside}", f"<article>{SENTENCES}{beside}</article>", f"<div>{SENTENCES}</div>{beside}", f"{beside}<main>{SENTENCES}</main>"):
+            assert text(f"<body>{whole}</body>") == PLAIN_SENTENCES, whole[:60]
+
+
+def test_an_article_in_an_aside_alone_stays():
+    assert text(f"<body><aside><article>{SENTENCES}</article></aside></body>") == PLAIN_SENTENCES
+    assert text(f"<body><div class='right-sidebar'><aside><main>{SENTENCES}</main></aside></div></body>") == PLAIN_SENTENCES
+
+
+def test_several_articles_without_a_name_stay():
+    page = "".join(f"<article><h2>Part {w}</h2><p>{COMMENT}</article>" for w in ("one", "two", "three"))
+    assert text(f"<body>{page}</body>") == " ".join(f"Part {w} {COMMENT.strip()}" for w in ("one", "two", "three"))
+
+
+def test_lists_of_links_in_an_article_stay():
+    for items in (["One", "Two", "Three"], ["First link", "Second one here", "Third"], ["A"], ["Some words of a link"] * 6):
+        links = "".join(f"<li><a href=x>{i}</a></li>" for i in items)
+        assert text(f"<body><article>{SENTENCES}<ul>{links}</ul><p>The end of it.</p></article></body>") == f"{PLAIN_SENTENCES} {' '.join(items)} The end of it."
+        assert text(f"<body><nav><ul>{links}</ul></nav><article>{SENTENCES}</article><ul>{links}</ul></body>") == PLAIN_SENTENCES
+
+
+def test_nested_wrappers():
+    page = f"<body><div id=page class='right-sidebar'><form><div class='layout sidebar-left'><main><div class=content>{SENTENCES}</div>" \
+           f"<div class=sidebar><p>Beside the text.</div></main></div></form></div></body>"
+    assert text(page) == PLAIN_SENTENCES
+
+
+def plain_tags(page):
+    """The tags by one pattern (quadratic on bad markup)."""
+    pattern = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>\"']*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    return [(m.start(), m.end(), m[1] == "/", (m[2] or "").lower(), m[3] or "") for m in pattern.finditer(page)]
+
+
+def test_tags_are_those_of_the_pattern():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(6000):
+        page = "".join(rng.choices(["<", ">", "'", '"', "a", "/", " ", "<a ", "</p>", "<!--", "-->", "<!x", "<b x='", "=", "<p>", "é"], k=rng.randrange(0, 25)))
+        got, at, tags = [], 0, H.Tags(page)
+        while (tag := tags.after(at)) is not None:
+            got.append(tag)
+            at = tag[1]
+        assert got == plain_tags(page), page
+
+
+def test_bad_markup_takes_linear_time():
+    import time
+
+    kinds = ["<a x='", "<a x=\"'", "<div>", "<a", "<a ", "<!x", "<!--", "<", "</x>", "<p class='ad'>", "<span class=ad>x<br>", "<video>", "<li><a>", "'<b ", "<a x='>' y="]
+    for kind in kinds:
+        for tail in ("", ">", "'>", "</x>" * 16_000):
+            began = time.perf_counter()
+            H.main_text(kind * 16_000 + tail, TREE)
+            assert time.perf_counter() - began < 1.5, (kind, tail[:4])
+    began = time.perf_counter()
+    assert len(H.main_text("<article>" + "<p>some words in a paragraph</p>" * 60_000 + "</article>", TREE)) == 60_000 * 26 - 1
+    assert time.perf_counter() - began < 10
