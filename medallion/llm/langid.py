@@ -7,9 +7,9 @@ all its bytes.  Segments of many documents run through the network together.
 
 Training: back-propagation through time in numpy (Adam, cross-entropy at every byte) on
 the driver, on a bounded sample: about ``rows_per_language`` labelled rows of each
-language (twice as many at most), ``windows`` segments of each, all drawn by hashes; the
-``max_languages`` most frequent languages are learned.  Only the text and the language of
-the training rows are used.
+language (twice as many at most), ``windows`` segments of each, all drawn by hashes.  All
+languages are learned, and the sample, the model and its pass grow with their number;
+``max_languages`` keeps to the most frequent.  Only the text and the language of the training rows are used.
 
 Defined results: ``und`` with score 0 for null, empty and letterless texts, and for all
 texts where nothing could be learned; equal probabilities go to the language that sorts
@@ -34,8 +34,8 @@ SEGMENT = 64
 HIDDEN = 8
 ROWS_PER_LANGUAGE = 700
 WINDOWS = 3
-#: The most frequent languages that are learned.
-MAX_LANGUAGES = 200
+#: The most frequent languages that are learned; None for all.
+MAX_LANGUAGES = None
 STEPS = 350
 BATCH = 192
 _AT_ONCE = 4096  # segments in one run of the network
@@ -231,20 +231,23 @@ def predict(model: Model | None, texts: list[bytes | None]) -> tuple[list[str],
 
 
 def fit(docs: DataFrame, usable: Column, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id",
-        max_languages: int = MAX_LANGUAGES, rows_per_language: int = ROWS_PER_LANGUAGE,
+        max_languages: int | None = MAX_LANGUAGES, rows_per_language: int = ROWS_PER_LANGUAGE,
         windows: int = WINDOWS, **options) -> Model | None:
     """Train on a bounded sample of the rows where ``usable`` holds and the language is not null."""
     text = docs[text_column].cast("binary")
     rows = (docs.where(usable & docs[lang_column].isNotNull() & (F.octet_length(text) > 0))
             .select(text.alias("text"), docs[lang_column].alias("lang"), F.xxhash64(docs[id_column], text).alias("h")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    if max_languages is not None:
+        counts = counts.orderBy(F.desc("n"), "lang").limit(max_languages)
+    counts = counts.collect()  # one row a language
     if not counts:
         return None
-    shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(1.0, rows_per_language / r["n"]))))
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, rows_per_language / r["n"])) for r in counts], "lang string, share double")
     # only the windows leave the tasks, not the texts
     at = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.lit(1), F.octet_length("text") - SEGMENT + 1)).cast("int") + 1
     cut = F.array(*(F.substring("text", at(k), F.lit(SEGMENT)) for k in range(windows)))
-    found = (rows.where(hash_share(F.col("h")) < F.try_element_at(shares, F.col("lang"))).select("lang", "h", cut.alias("cut"))
+    found = (rows.join(shares, "lang").where(hash_share(F.col("h")) < F.col("share")).select("lang", "h", cut.alias("cut"))
              .orderBy("h", "lang").limit(2 * rows_per_language * len(counts)).collect())
     return train([(bytes(w), r["lang"]) for r in found for w in r["cut"]], **options)
 

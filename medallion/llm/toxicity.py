@@ -16,7 +16,8 @@ one half are the offending spans, with code-point offsets.
 
 The fit uses a bounded sample: about ``toxic_rows`` and ``clean_rows`` labels (twice as
 many at most), drawn by a hash of the id, and of these the usable documents of at most
-``train_bytes``.  Every document is scored, whole.
+``train_bytes``.  The chains are fitted on windows of ``window`` tokens: ``windows`` at most of a toxic
+document, drawn from all its toxic tokens, one of a clean one.  Every document is scored, whole.
 
 Defined results: null, empty and wordless texts have no tokens and get the score of no
 evidence; so do all texts where nothing could be learned (score 0); repeated rows get
@@ -44,6 +45,8 @@ TOXIC_ROWS = 1800
 CLEAN_ROWS = 5400
 TRAIN_BYTES = 20_000
 BLOCK = 128
+#: Windows that a toxic training text gives at most.
+WINDOWS = 4
 _FEATURES = 1 << 20
 #: Words whose weights a worker remembers.
 WORDS = 120_000
@@ -217,8 +220,12 @@ def scores(model: Field | None, docs: list[list[bytes]]) -> np.ndarray:
     return 1 / (1 + np.exp(-evidence_of_documents(model, docs)[2] @ model.document))
 
 
-def train(texts: list[tuple[bytes, int]], rounds: int = 80, window: int = 40, seed: int = 11) -> Field | None:
-    """Fit the field to labelled texts; None where one of the two labels is missing."""
+def train(texts: list[tuple[bytes, int]], rounds: int = 80, window: int = 40, windows: int = WINDOWS, seed: int = 11) -> Field | None:
+    """Fit the field to labelled texts; None where one of the two labels is missing.
+
+    A toxic text gives ``windows`` windows at most of ``window`` tokens, around tokens drawn from all its toxic
+    ones; a clean text gives one, drawn from all its tokens.
+    """
     texts = sorted(set(texts), key=lambda x: (zlib.crc32(x[0]), x))
     docs, toxic = [words_of(t) for t, _ in texts], [int(y) for _, y in texts]
     lexicon = token_lexicon(docs, toxic)
@@ -229,7 +236,8 @@ def train(texts: list[tuple[bytes, int]], rounds: int = 80, window: int = 40, se
     fitted = [i for i in range(len(docs)) if i % 3 or len(docs) < 30]  # the rest sets the documents' scale
     for words, y in ((docs[i], toxic[i]) for i in fitted):
         marked = [int(y and not lexicon.isdisjoint(beginnings(w))) for w in words]
-        at = np.flatnonzero(marked)[:4].tolist() if y else []
+        toxic_at = np.flatnonzero(marked) if y else np.zeros(0, np.int64)
+        at = sorted(rng.choice(toxic_at, min(windows, len(toxic_at)), replace=False).tolist())
         for i in at or ([int(rng.integers(0, len(words)))] if words else []):
             lo = max(0, i - window // 2)
             chains.append(words[lo:lo + window])

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from medallion.llm import langid
 from medallion.llm.common import crc_mod
@@ -83,3 +84,25 @@ def test_spans_of_positions(odd_docs):
     assert all(a["end"] == b["begin"] and a["lang"] != b["lang"] for a, b in zip(spans, spans[1:]))
     got = {r["doc_id"]: r["spans"] for r in langid.language_spans(odd_docs, model).collect()}
     assert got[2] == got[3] == [] and got[4][-1]["end"] == 4
+
+
+def test_languages_of_any_number_are_learned(spark):
+    """Three hundred rare languages beside a frequent one: all are known to the model."""
+    rows = [(i, f"text of language number {i % 301} " * 3, f"l{i % 301:03}") for i in range(602)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs, F.lit(True), steps=3)
+    assert len(model.languages) == 301
+    assert len(langid.fit(docs, F.lit(True), max_languages=5, steps=3).languages) == 5
+
+
+def test_query_on_the_held_out_fifth(spark):
+    from medallion.llm.queries import op3_language_id
+
+    rows = op3_language_id(spark, "/root/testdata/sf0.01").collect()
+    truth = {r["doc_id"]: (r["lang"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(truth)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert 0.1 < len(held) / len(rows) < 0.3
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert sum(r["lang_pred"] == truth[r["doc_id"]][0] for r in held) >= 0.95 * len(held)

@@ -80,3 +80,31 @@ def test_odd_rows(spark, odd_docs, no_docs, labelled):
     assert T.fit(no_docs, labels, crc_mod(no_docs["doc_id"], 3) != 1) is None
     nulls = spark.createDataFrame([(1, None), (None, 1), (5, 1), (5, 0)], "doc_id bigint, toxic int")
     assert T.fit(odd_docs, nulls, crc_mod(odd_docs["doc_id"], 3) != 1) is None
+
+
+def test_windows_come_from_the_whole_text(monkeypatch):
+    """Toxic tokens far behind the first four are fitted too, and no more windows than the parameter says."""
+    seen = []
+    monkeypatch.setattr(T, "_fit_chains", lambda model, chains, labels, rounds: seen.append(chains))
+    filler = " ".join(f"plain{i}" for i in range(60))
+    toxic = [" ".join(f"x{j} {filler} badword{'s' * (k % 2)}" for k in range(12)).encode() for j in range(40)]
+    clean = [f"some words of text number {j} {filler}".encode() for j in range(40)]
+    T.train([(t, 1) for t in toxic] + [(t, 0) for t in clean], rounds=1, windows=3)
+    chains = seen[0]
+    bad = [c for c in chains if any(w.startswith(b"badword") for w in c)]
+    assert bad and len(bad) <= 3 * 40
+
+
+def test_query_on_the_held_out_third(spark):
+    from medallion.llm.queries import op7_toxicity
+
+    folder = "/root/testdata/sf0.01"
+    rows = {r["doc_id"]: r for r in op7_toxicity(spark, folder).collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r["toxic"] is not None}
+    assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in rows.values())
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in rows.items())
+    held = {i: y for i, y in labels.items() if i in rows and rows[i]["held_out"]}
+    toxic = [rows[i]["predicted"] for i, y in held.items() if y]
+    clean = [rows[i]["predicted"] for i, y in held.items() if not y]
+    assert sum(toxic) >= 0.5 * len(toxic) > 0 and sum(clean) <= 0.02 * len(clean)
