@@ -11,7 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from medallion.session import scratch_path
 
 
 def jdbc_read_options(
@@ -65,23 +68,24 @@ def equi_depth_boundaries(sample: DataFrame, column: str, parts: int) -> list:
     ``sample`` is a published copy of the table or a part of it that stands for it, read as
     a DataFrame; only the boundaries come to the driver.  Values of any type that has an order will do.
     """
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
+    return [value for _, value in equi_depth_shares(sample, column, parts)]
+
 
+def equi_depth_shares(sample: DataFrame, column: str, parts: int) -> list[tuple[int, object]]:
+    """(share, smallest value) of the shares 1 to ``parts`` - 1 in which a value begins, in order."""
     counts = sample.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    ordered = counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()).persist()
-    try:
-        before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        bases = ordered.groupBy("part").agg(F.sum("n").alias("in_part")).withColumn("base", F.coalesce(F.sum("in_part").over(before), F.lit(0)))
-        total = bases.agg(F.sum("in_part")).first()[0] or 0
-        within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        placed = ordered.join(F.broadcast(bases.drop("in_part")), "part").withColumn("rank", F.col("base") + F.coalesce(F.sum("n").over(within), F.lit(0)))
-        # the first value of each share
-        share = F.floor(F.col("rank") * parts / F.lit(max(total, 1)))
-        rows = placed.groupBy(share.alias("share")).agg(F.min("value").alias("value")).where("share > 0").collect()
-        return sorted(r["value"] for r in rows)
-    finally:
-        ordered.unpersist()
+    path = scratch_path(sample.sparkSession, "boundaries")  # written: made again, the ranges might be cut elsewhere
+    counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ordered = sample.sparkSession.read.parquet(path)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ordered.groupBy("part").agg(F.sum("n").alias("in_part")).withColumn("base", F.coalesce(F.sum("in_part").over(before), F.lit(0)))
+    total = bases.agg(F.sum("in_part")).first()[0] or 0
+    within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ordered.join(F.broadcast(bases.drop("in_part")), "part").withColumn("rank", F.col("base") + F.coalesce(F.sum("n").over(within), F.lit(0)))
+    # the first value of each share
+    share = F.floor(F.col("rank") * parts / F.lit(max(total, 1)))
+    rows = placed.groupBy(share.alias("share")).agg(F.min("value").alias("value")).where("share > 0").collect()
+    return sorted((r["share"], r["value"]) for r in rows)
 
 
 def read_jdbc_balanced(spark: SparkSession, url: str, table: str, column: str, boundaries: Sequence, properties: Mapping[str, str] | None = None) -> DataFrame:
