@@ -1,6 +1,8 @@
 """Shards along a Hilbert curve (operator 6): DataFrame functions only.
 
-Several metadata columns are quantised to ``bits`` bits each, the cells are numbered
+Several metadata columns are quantised to ``bits`` bits each, all of them in their own order (numbers
+by equal widths, labels by boundaries of equal depth, so that a shard's smallest and
+largest label say what it can hold), the cells are numbered
 along a Hilbert curve, rows are sorted by that number, and the order is cut into runs of
 equal row counts.  Rows that are near in all the columns are near on the curve, so a
 shard covers a small box in each of them: its smallest and largest values (see
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.session import scratch_path
+from medallion.sources.jdbc import equi_depth_shares
 
 SHARDS = 40
 BITS = 5
@@ -93,9 +96,13 @@ def scaled(value: Column, low: float | None, high: float | None, bits: int) -> C
     return F.coalesce(F.least(F.greatest(cell, F.lit(0)), F.lit((1 << bits) - 1)).cast("int"), F.lit(0))
 
 
-def hashed(value: Column, bits: int) -> Column:
-    """A text's cell: the first bits of its hash, so that an equality filter meets one cell."""
-    return F.when(value.isNull(), F.lit(0)).otherwise(F.shiftrightunsigned(F.xxhash64(value), 64 - bits).cast("int"))
+def ranked(value: Column, shares: list[tuple[int, object]]) -> Column:
+    """A label's cell: the share of the rows (of at most 2^bits) in which it or the next smaller boundary begins, so that cells keep the labels' order."""
+    cell, before = F.lit(0), 0
+    for share, boundary in shares:
+        cell = cell + F.when(value >= F.lit(boundary), F.lit(int(share) - before)).otherwise(F.lit(0))
+        before = int(share)
+    return cell
 
 
 def size_of(text: Column) -> Column:
@@ -106,7 +113,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, id_co
                   labels: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """(id, size, text_crc32, curve, shard, slot) of every row; the shards' row counts differ by at most one.
 
-    Dimensions: the logarithm of the size, the id, and the hash of each column in ``labels``.
+    Dimensions: the logarithm of the size, the id, and each column in ``labels`` by its order.
     """
     spark = docs.sparkSession
     text = docs[text_column]
@@ -118,7 +125,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, id_co
     edge = narrow.agg(F.min("size"), F.max("size"), F.min(number), F.max(number)).first()
     sizes = [None if x is None else log2(x) for x in edge[:2]]
     cells = [scaled(F.log2(F.col("size")), *sizes, bits), scaled(number, edge[2], edge[3], bits),
-             *(hashed(F.col(f"label{i}"), bits) for i in range(len(labels)))]
+             *(ranked(F.col(f"label{i}"), equi_depth_shares(narrow, f"label{i}", 1 << bits)) for i in range(len(labels)))]
     path = scratch_path(spark, "hilbert")
     # monotonically_increasing_id: the partition's number above 33 bits, the place in it below
     (narrow.select("id", "size", "text_crc32", curve_index(cells, bits).alias("curve"))

@@ -78,3 +78,20 @@ def test_shards_prune_in_several_dimensions(spark):
     # a narrow filter on either dimension leaves out most shards
     assert sum(r["min_doc_id"] <= 100 and r["max_doc_id"] >= 50 for r in bounds) <= 8
     assert sum(r["min_size"] <= 60 for r in bounds) <= 8
+
+
+def test_shards_prune_by_labels(spark):
+    """With 500 sources, the bounds of most shards leave a given source out, and all shards that hold it have it within theirs."""
+    docs = spark.range(8000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") * 7919 % 4000).cast("int")).alias("text"),
+                                    F.when(F.col("id") % 977 != 5, F.format_string("source %03d", F.col("id") * 31 % 500)).alias("source"),
+                                    F.element_at(F.array(*map(F.lit, ("de", "en", "fr"))), (F.col("id") % 3 + 1).cast("int")).alias("lang"))
+    shards = hilbert.assign_shards(docs, 16).join(docs.select("doc_id", "source", "lang"), "doc_id")
+    bounds = hilbert.shard_bounds(shards, ["source", "lang"]).collect()
+    holding = {}
+    for r in shards.where("source is not null").select("source", "shard").distinct().collect():
+        holding.setdefault(r["source"], set()).add(r["shard"])
+    covering = {s: {r["shard"] for r in bounds if r["min_source"] <= s <= r["max_source"]} for s in holding}
+    assert all(holding[s] <= covering[s] for s in holding)
+    assert sum(map(len, covering.values())) / len(covering) <= 9
+    assert sum(r["min_lang"] <= "fr" <= r["max_lang"] for r in bounds) <= 12
+    assert hilbert.ranked(F.lit("x"), []) is not None
