@@ -20,7 +20,7 @@ The documents are range-partitioned by descending id.  A document's successor is
 next row of its partition; the successor of a partition's last document is the first one
 of the next partition, which is sent along as a second copy (one row for each partition).
 
-Ids are numbers.  Defined results: a null text is the empty one.  Repeated ids are ordered by text; null
+Ids are numbers, texts or dates.  Defined results: a null text is the empty one.  Repeated ids are ordered by text; null
 ids come last.  A document that is alone is its own successor.  Longer texts take memory
 in proportion to their length, one document at a time.
 """
@@ -36,8 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from medallion.llm.common import slices
+from medallion.sources.jdbc import equi_depth_boundaries
 
 #: Two primes under 2^31 and a base for each.
 MODULI = (2147483647, 2147483629)
@@ -217,7 +219,12 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     narrow = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
     want = partitions or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = narrow.select(F.percentile_approx("id", [i / want for i in range(1, want)], 10 * want)).first()[0] if want > 1 else []
+    if want == 1:
+        cuts = []
+    elif isinstance(narrow.schema["id"].dataType, NumericType):
+        cuts = narrow.select(F.percentile_approx("id", [i / want for i in range(1, want)], 10 * want)).first()[0]
+    else:  # percentiles are for numbers
+        cuts = equi_depth_boundaries(narrow, "id", want)
     cuts = sorted(set(cuts or []), reverse=True)
     # bucket 0 has the largest ids; null ids come after all others
     bucket = F.lit(len(cuts))

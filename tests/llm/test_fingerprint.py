@@ -99,3 +99,33 @@ def test_one_document(spark):
     for text in ("abcdef", "", None):
         docs = spark.createDataFrame([(5, text)], "doc_id bigint, text string")
         assert [tuple(r) for r in P.fingerprints(docs).collect()] == expected([(5, text)])
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_ids_that_are_texts(spark, document_rows, partitions):
+    rows = [(f"doc-{r['doc_id'] * 7919 % 1000:x}é", r["text"]) for r in document_rows] + [(None, "no id"), ("", "empty id")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(5)
+    got = P.fingerprints(docs, partitions=partitions).collect()
+    want = expected(sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode()), reverse=True))
+    got, want = (sorted(map(tuple, x), key=repr) for x in (got, want))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for a, b in zip(got, want):  # both ends count at least; what is equal in the middle may add to them
+        assert b[5] <= a[5] <= 1 and b[6] <= a[6] <= 1
+
+
+def test_middle_part_against_the_longest_common_blocks():
+    """Likeness of edited copies is close to what the standard library's matching blocks of 64 and more give."""
+    from difflib import SequenceMatcher
+
+    rng = random.Random(8)
+    for _ in range(30):
+        a = "".join(rng.choices("abcdefghijklmnop ", k=rng.randrange(400, 1500)))
+        b = list(a)
+        for _ in range(rng.randrange(1, 5)):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randrange(0, 4)] = rng.choices("xyz", k=rng.randrange(0, 4))
+        b = "".join(b)
+        blocks = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+        sure = sum(m.size for m in blocks if m.size >= P.ANCHOR + P.STEP - 1) / max(len(a), len(b))
+        most = sum(m.size for m in blocks) / max(len(a), len(b))
+        assert sure - 0.01 <= like(a, b) <= most + 0.01
