@@ -492,8 +492,8 @@ SELECT c_custkey, c_name, c_mktsegment, {_LINE} || ';' || c_mktsegment || ';surp
 
 ORACLES["csv_pick_and_infer"] = f"""
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS line FROM customer
-UNION ALL SELECT c_custkey, c_name, c_acctbal, replace({_LINE}, ';', '|') || '|' || CAST(c_acctbal AS VARCHAR) || '|surplus' FROM customer WHERE c_custkey % 10 = 3
-UNION ALL SELECT c_custkey, c_name, NULL, replace({_LINE}, ';', '|') FROM customer WHERE c_custkey % 10 = 3
+UNION ALL SELECT CAST(c_custkey AS INTEGER), c_name, c_acctbal, replace({_LINE}, ';', '|') || '|' || CAST(c_acctbal AS VARCHAR) || '|surplus' FROM customer WHERE c_custkey % 10 = 3
+UNION ALL SELECT CAST(c_custkey AS INTEGER), c_name, NULL, replace({_LINE}, ';', '|') FROM customer WHERE c_custkey % 10 = 3
 """
 
 ORACLES["sql_limit"] = """
