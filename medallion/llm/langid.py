@@ -247,7 +247,7 @@ def fit(docs: DataFrame, usable: Column, text_column: str = "text", lang_column:
     # only the windows leave the tasks, not the texts
     at = lambda k: F.pmod(F.xxhash64("h", F.lit(k)), F.greatest(F.lit(1), F.octet_length("text") - SEGMENT + 1)).cast("int") + 1
     cut = F.array(*(F.substring("text", at(k), F.lit(SEGMENT)) for k in range(windows)))
-    found = (rows.join(shares, "lang").where(hash_share(F.col("h")) < F.col("share")).select("lang", "h", cut.alias("cut"))
+    found = (rows.join(F.broadcast(shares), "lang").where(hash_share(F.col("h")) < F.col("share")).select("lang", "h", cut.alias("cut"))
              .orderBy("h", "lang").limit(2 * rows_per_language * len(counts)).collect())
     return train([(bytes(w), r["lang"]) for r in found for w in r["cut"]], **options)
 
