@@ -94,4 +94,3 @@ def test_shards_prune_by_labels(spark):
     assert all(holding[s] <= covering[s] for s in holding)
     assert sum(map(len, covering.values())) / len(covering) <= 9
     assert sum(r["min_lang"] <= "fr" <= r["max_lang"] for r in bounds) <= 12
-    assert hilbert.ranked(F.lit("x"), []) is not None
