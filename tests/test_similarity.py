@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medallion.operators import reconcile, similarity
@@ -87,3 +88,26 @@ def test_names_of_the_report(spark):
     assert similarity.name_proposals(report.limit(0), "claims", "registry").count() == 0
     with pytest.raises(ValueError):
         similarity.similar_pairs(claims, registry, least=0)
+
+
+def test_a_common_gram_is_compared_in_blocks(spark, monkeypatch):
+    """Blocks of few names, whatever the names of a q-gram, and keys without texts; long texts fill all bits."""
+    rnd = random.Random(7)
+    names = ["banco " + "".join(rnd.choice("bcdf") for _ in range(9)) for _ in range(150)] + ["".join(map(chr, range(300, 900)))]
+    other = [n[:-1] + "x" for n in names]
+    sizes, alike = [], similarity._alike
+    monkeypatch.setattr(similarity, "CHUNK", 4)
+
+    def seen(block, least):
+        sizes.append(len(block["id"]))
+        return alike(block, least)
+
+    keys = similarity._by_first(similarity._ordered(table(spark, names).select(F.lit(0).alias("side"), "text").withColumn("grams", similarity.q_grams(F.col("text")))), 45)
+    assert not {"text", "tokens"} & set(keys.columns)
+    got = similarity.similar_pairs(table(spark, names), table(spark, other), least=45).collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == all_pairs(names, other, 45)
+    live = keys.unionByName(keys.withColumn("side", F.lit(1))).withColumns({c: F.count_if(F.col("side") == i).over(Window.partitionBy("at")) for i, c in enumerate("lr")})
+    monkeypatch.setattr(similarity, "_alike", seen)
+    batches = similarity._blocks(live).toArrow().to_batches()
+    list(similarity._compare(45)(iter(batches)))
+    assert len(sizes) > live.select("at").distinct().count() and 2 * max(sizes) < live.groupBy("at").count().agg(F.max("count")).first()[0]
