@@ -19,7 +19,7 @@ inside an unquoted value (``5" disk``) changes nothing.  Between quotes a double
 
 Both readings have to see the same splits, so they run in a session of their own in which the
 split size depends on nothing but ``split_bytes``; a split that the first reading has not seen
-is an error.  The records are written to the shared scratch folder, so later stages and
+is an error.  How many tasks and files there are does not depend on it: a task reads neighbouring splits up to ``TASK_BYTES``.  The records are written to the shared scratch folder, so later stages and
 lost executors do not read the files again.  What is broadcast is 17 bytes for each split
 (128 MB of input).
 
@@ -44,6 +44,8 @@ from pyspark.sql import functions as F
 from medallion.session import scratch_path
 
 SPLIT_BYTES = 128 << 20
+#: Input of one task: a task takes as many splits, one after another, as this holds.
+TASK_BYTES = 32 << 20
 MAX_RECORD_BYTES = 64 << 20
 _BOM = b"\xef\xbb\xbf"
 #: A record of nothing else is a blank line.
@@ -233,6 +235,9 @@ def records(spark: SparkSession, folders: str | Sequence[str], sep: str, glob: s
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(folders).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
                                         F.col("value").cast("binary").alias("line"))
+    splits = lines.rdd.getNumPartitions()
+    # small splits share a task, but every core has some
+    lines = lines.coalesce(max(min(splits, 2 * spark.sparkContext.defaultParallelism), -(-splits * split_bytes // TASK_BYTES)))
     lines.mapInArrow(_look(mark), "path string, start bigint, outside boolean, inside boolean").write.parquet(f"{scratch}/splits")
     states = split_states(own.read.parquet(f"{scratch}/splits"))
     names = states.select(F.unhex(F.md5(F.concat_ws(":", "path", F.col("start").cast("string")))).alias("name"), "state").toArrow()

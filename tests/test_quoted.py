@@ -155,3 +155,17 @@ def test_linear_time():
         quoted.ends_inside(line, True, b";")
         took.append(time.perf_counter() - began)
     assert took[1] < 12 * took[0] + 0.05 and took[3] < 12 * took[2] + 0.05
+
+
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    """Tasks and files follow the input's size and the cores, not the number of splits; records over splits stay whole."""
+    lines = [f'{i};"note {i}\nsaid ""yes;{i}"""' for i in range(4000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id;note\n" + "\n".join(lines) + "\n")
+    scratch = str(tmp_path / "scratch")
+    monkeypatch.setattr(quoted, "scratch_path", lambda *_: scratch)
+    got = quoted.records(spark, str(tmp_path / "in"), ";", split_bytes=512).where("NOT header").select(F.col("record").cast("string"), "closed")
+    assert sorted(tuple(r) for r in got.collect()) == sorted((x, True) for x in lines)
+    splits = spark.read.parquet(f"{scratch}/splits")
+    assert splits.count() > 200 and len(splits.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+    assert len(spark.read.parquet(f"{scratch}/pieces").inputFiles()) <= 4 * 2 * spark.sparkContext.defaultParallelism
