@@ -84,10 +84,21 @@ def changed_ids(before: DataFrame, now: DataFrame) -> DataFrame:
     return one_side.select("cnpj").distinct()
 
 
-def refresh_plan(spark: SparkSession, root: str, institutions: DataFrame, profiles: DataFrame) -> tuple[list[tuple], DataFrame, DataFrame]:
-    """(touched periods, their delivery rows, the matches now); nothing is written."""
+def matches_now(spark: SparkSession, root: str, institutions: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The matches of all ids in the index."""
     index = read_batches(spark, _index_path(root), _INDEX)
-    matches = delivery_matches(institutions, employees_of(index.select("cnpj", "sk_financial_institution_name"), profiles))
+    return delivery_matches(institutions, employees_of(index.select("cnpj", "sk_financial_institution_name"), profiles))
+
+
+def refresh_plan(spark: SparkSession, root: str, institutions: DataFrame, profiles: DataFrame,
+                 kept: str | None = None) -> tuple[list[tuple], DataFrame, DataFrame]:
+    """(touched periods, their delivery rows, the matches now); nothing is written but the matches, to ``kept`` if it is
+    given.  They are used several times, and are then worked out once and read from there."""
+    index = read_batches(spark, _index_path(root), _INDEX)
+    matches = matches_now(spark, root, institutions, profiles)
+    if kept:
+        matches.write.parquet(kept)
+        matches = spark.read.schema(_ddl(matches)).parquet(kept)
     done = _refreshes(spark, root)
     taken = {b for r in done for b in r["batches"]}
     new = [r["batch"] for r in committed(spark, _index_path(root)) if r["batch"] not in taken]
@@ -106,9 +117,8 @@ def _claims_ddl() -> str:
 
 def refresh_delivery(spark: SparkSession, root: str, institutions: DataFrame, profiles: DataFrame) -> list[tuple]:
     """Bring the delivery table up to date with all batches; the periods that were replaced."""
-    periods, rows, matches = refresh_plan(spark, root, institutions, profiles)
     kept = f"{layer_path(root, 'delivery', 'matches')}/{uuid.uuid4().hex}"
-    matches.write.parquet(kept)
+    periods, rows, _ = refresh_plan(spark, root, institutions, profiles, kept)
     if periods:
         replace_periods(rows, _delivery_path(root), PERIOD, periods)
     done = committed(spark, _state_path(root))

@@ -184,3 +184,14 @@ def test_a_refresh_that_died_is_run_again(spark, sources, tmp_path, monkeypatch)
     monkeypatch.undo()
     assert incremental.refresh_delivery(spark, root, registry, profiles)
     assert same_rows(incremental.read_delivery(spark, root), delivery_satisfaction(trusted_claims(claims), registry, profiles))
+
+
+def test_matches_are_worked_out_once_a_refresh(spark, sources, tmp_path):
+    """The delivery rows and the changed ids are made from the kept matches, not from the index and the profiles again."""
+    claims, registry, profiles = sources
+    root, kept = str(tmp_path / "lake"), str(tmp_path / "kept")
+    incremental.add_claims(spark, root, "all", claims)
+    periods, rows, matches = incremental.refresh_plan(spark, root, registry, profiles, kept)
+    assert periods and same_rows(matches, incremental.matches_now(spark, root, registry, profiles))
+    read = set(rows.inputFiles())
+    assert read and all("/kept/" in f or "/trusted/claims/" in f for f in read) and any("/kept/" in f for f in read)
