@@ -48,6 +48,10 @@ from medallion.sinks.parquet import write_layer
 from medallion.sources.parquet import read_layer
 
 
+#: Claims for each task of the late distinct, whose rows are wide.
+ROWS_A_TASK = 50_000
+
+
 def trusted_institutions(raw: DataFrame) -> DataFrame:
     """Registry with padded id and the (id, segment) surrogate key."""
     df = INSTITUTIONS.clean(raw)
@@ -120,6 +124,13 @@ def composite_key_join(claims: DataFrame, institutions: DataFrame, profiles: Dat
     return banks_claims.join(employee, "sk_cnpj_segment", "inner").select(*DELIVERY_COLUMNS)
 
 
+def _distinct_in_parts(rows: DataFrame, number: int) -> DataFrame:
+    """Distinct rows, dealt out by all columns to as many tasks as ``number`` rows need, so that a task's table of wide rows
+    does not grow with the input (a plain distinct has a fixed number of partitions, which AQE can only make fewer)."""
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-number // ROWS_A_TASK))
+    return rows.repartition(parts, *rows.columns).distinct()
+
+
 def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles: DataFrame,
                           early_distinct: bool = True) -> DataFrame:
     """Claims with their registry segment and the employer profile of their id.
@@ -138,7 +149,7 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
     their own 15 columns only; the join's not-null filter on the id reaches below it.  (A semi-join
     of the claims against the ids that are left was tried: it computes the employee side twice.)
     The distincts aggregate on full rows, so an institution holding a third of all claims is spread over all
-    partitions by the aggregate's hash; the joins broadcast a side under the session threshold or
+    partitions by the aggregate's hash (of the late form, as many as the number of claims asks for, which is counted first); the joins broadcast a side under the session threshold or
     are sort-merge joins whose skewed partitions AQE splits.
     """
     claims = claims.select(*CLAIM_COLUMNS)
@@ -146,7 +157,8 @@ def delivery_satisfaction(claims: DataFrame, institutions: DataFrame, profiles:
     if early_distinct:
         out = claims.distinct().join(delivery_matches(institutions, employee), "cnpj", "inner")
     else:
-        out = claims.join(_registry(institutions), "cnpj", "inner").join(employee, "sk_cnpj_segment", "inner").distinct()
+        out = claims.join(_registry(institutions), "cnpj", "inner").join(employee, "sk_cnpj_segment", "inner")
+        out = _distinct_in_parts(out, claims.count())
     return out.select(*DELIVERY_COLUMNS)
 
 

@@ -165,3 +165,13 @@ def test_flagship_computes_each_key_once_a_branch(spark):
 def test_generated_code_is_small_enough_to_be_compiled(spark, name):
     """HotSpot leaves methods of more than 8,000 bytes uncompiled."""
     assert 0 < largest_method(Q.QUERIES[name](spark, SF_SMALL)) < 8000
+
+
+def test_late_distinct_has_parts_by_the_number_of_claims(spark, monkeypatch):
+    from medallion.plans import layers
+
+    monkeypatch.setattr(layers, "ROWS_A_TASK", 50)
+    claims = Q.q_trusted_claims(spark, SF_SMALL)
+    late = Q.q_delivery_satisfaction_late(spark, SF_SMALL)
+    assert late.rdd.getNumPartitions() >= claims.count() / 50 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert late.exceptAll(Q.q_delivery_satisfaction(spark, SF_SMALL)).count() == 0
